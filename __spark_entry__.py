@@ -350,11 +350,11 @@ def _schema_report_sql() -> str:
 
 _PHONE_SQL = (
     r"(?:^|[^0-9])((?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}"
-    r"|\+[1-9][0-9]{7,14})(?:[^0-9]|$)"
+    r"|\+[1-9][0-9]{7,14})\b"
 )
 _CARD_SQL = (
-    r"(?:^|[^0-9A-Za-z])([0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
-    r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?:[^0-9A-Za-z]|$)"
+    r"\b([0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
+    r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})\b"
 )
 _PII_SQL = f"""
 WITH found AS (

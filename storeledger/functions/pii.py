@@ -12,14 +12,14 @@ PHONE = (
     r"(?<![0-9])(?:"
     r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}"
     r"|\+[1-9][0-9]{7,14}"
-    r")(?![0-9])"
+    r")(?![0-9A-Za-z_])"
 )
 CARD = (
-    r"(?<![0-9A-Za-z])(?:"
+    r"(?<![0-9A-Za-z_])(?:"
     r"[0-9]{13,19}"
     r"|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
     r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
-    r")(?![0-9A-Za-z])"
+    r")(?![0-9A-Za-z_])"
 )
 
 
