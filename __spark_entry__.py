@@ -35,36 +35,50 @@ def _doubles(rows: DataFrame) -> DataFrame:
     )
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return pipeline.stage(driver_tables.raw_tables(spark, sf_dir))
-
-
-def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return pipeline.build_marts(_staged(spark, sf_dir))
+def _staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    operator, source = pipeline.STAGING[name]
+    return operator(driver_tables.RAW[source](spark, sf_dir))
 
 
 def _stage(name: str):
-    return lambda spark, sf: _doubles(_staged(spark, sf)[name])
+    return lambda spark, sf: _doubles(_staged(spark, sf, name))
 
 
 def _over(operator, *staged: str):
-    def query(spark, sf):
-        tables_ = _staged(spark, sf)
-        return operator(*[tables_[name] for name in staged])
-
-    return query
+    return lambda spark, sf: operator(*[_staged(spark, sf, name) for name in staged])
 
 
 def _mart(name: str):
-    return lambda spark, sf: _marts(spark, sf)[name]
+    operator, sources = pipeline.MARTS[name]
+    return _over(operator, *sources)
 
 
 def _report(operator, mart: str):
-    return lambda spark, sf: operator(_marts(spark, sf)[mart])
+    return lambda spark, sf: operator(_mart(mart)(spark, sf))
+
+
+def _entities(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    return {name: _mart(name)(spark, sf_dir) for name in names}
 
 
 def _metric(name: str, dims=(), filters=None):
-    return lambda spark, sf: semantic.run_metric(CONTRACT, _marts(spark, sf), name, dims, filters)
+    entity = CONTRACT["metrics"][name]["entity"]
+    return lambda spark, sf: semantic.run_metric(
+        CONTRACT, _entities(spark, sf, entity), name, dims, filters
+    )
+
+
+def _checks_report(spark, sf):
+    checked = {check["entity"] for check in CONTRACT["checks"].values()}
+    return quality.run_checks(CONTRACT, _entities(spark, sf, *checked))
+
+
+def _pk_violations(spark, sf):
+    return quality.pk_violations(CONTRACT, _entities(spark, sf, *CONTRACT["entities"]))
+
+
+def _entity_schema_report(spark, sf):
+    return quality.entity_schema_report(CONTRACT, _entities(spark, sf, *CONTRACT["entities"]))
 
 
 def _kept_orders(orders: DataFrame) -> DataFrame:
@@ -141,7 +155,7 @@ def _publish_counts(spark, sf):
 
 
 def _pii_scan_documents(spark, sf):
-    return quality.pii_scan(spark.read.parquet(f"{sf}/documents.parquet"), "text")
+    return quality.pii_scan(driver_tables.documents(spark, sf), "text")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -189,9 +203,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "discount_by_product", ["product"], {"product": FILTERED_PRODUCTS}
     ),
     # quality
-    "checks_report": lambda spark, sf: quality.run_checks(CONTRACT, _marts(spark, sf)),
-    "pk_violations": lambda spark, sf: quality.pk_violations(CONTRACT, _marts(spark, sf)),
-    "entity_schema_report": lambda spark, sf: quality.entity_schema_report(CONTRACT, _marts(spark, sf)),
+    "checks_report": _checks_report,
+    "pk_violations": _pk_violations,
+    "entity_schema_report": _entity_schema_report,
     "pii_scan_documents": _pii_scan_documents,
     # sinks
     "raw_roundtrip": _raw_roundtrip,

@@ -17,27 +17,31 @@ def flatten_pages(pages: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+STAGING = {
+    "stg_orders": (staging.stg_orders, "orders"),
+    "stg_order_items": (staging.stg_order_items, "order_items"),
+    "stg_variants": (staging.stg_variants, "variants"),
+}
+
+# Each mart with the staged tables it is computed from, in argument order.
+MARTS = {
+    "cost_discounts": (marts.cost_discounts, ["stg_orders"]),
+    "cost_refunds": (marts.cost_refunds, ["stg_orders"]),
+    "money_summary": (marts.money_summary, ["stg_orders", "stg_variants"]),
+    "product_leaks": (marts.product_leaks, ["stg_order_items"]),
+    "product_margin": (marts.product_margin, ["stg_order_items", "stg_variants"]),
+    "stock_capital": (marts.stock_capital, ["stg_variants"]),
+}
+
+
 def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_orders": staging.stg_orders(raw["orders"]),
-        "stg_order_items": staging.stg_order_items(raw["order_items"]),
-        "stg_variants": staging.stg_variants(raw["variants"]),
-    }
+    return {name: operator(raw[source]) for name, (operator, source) in STAGING.items()}
 
 
 def build_marts(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    orders, items, variants = (
-        staged["stg_orders"],
-        staged["stg_order_items"],
-        staged["stg_variants"],
-    )
     return {
-        "cost_discounts": marts.cost_discounts(orders),
-        "cost_refunds": marts.cost_refunds(orders),
-        "money_summary": marts.money_summary(orders, variants),
-        "product_leaks": marts.product_leaks(items),
-        "product_margin": marts.product_margin(items, variants),
-        "stock_capital": marts.stock_capital(variants),
+        name: operator(*[staged[source] for source in sources])
+        for name, (operator, sources) in MARTS.items()
     }
 
 

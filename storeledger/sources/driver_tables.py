@@ -12,8 +12,31 @@ from storeledger.schemas import MONEY, TOTAL
 _CENTS = "decimal(18,2)"
 
 
+# Declared schemas spare every read a look at the file footers.
+_SCHEMAS = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents")
 
 
 def _cancelled() -> Column:
@@ -113,12 +136,11 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW = {"orders": orders, "order_items": order_items, "variants": variants}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "orders": orders(spark, sf_dir),
-        "order_items": order_items(spark, sf_dir),
-        "variants": variants(spark, sf_dir),
-    }
+    return {name: bind(spark, sf_dir) for name, bind in RAW.items()}
 
 
 # Landed pages ---------------------------------------------------------------
@@ -132,6 +154,9 @@ def _allocation(amount: Column) -> Column:
     return F.struct(_money_set(amount).alias("allocatedAmountSet"))
 
 
+_LINE_COLUMNS = ("l_linenumber", "l_quantity", "p_name", "original", "discount")
+
+
 def _line_node() -> Column:
     """A line whose discount shows as two allocations (odd line numbers) or as the gap
     between its totals (even ones); line 7 has no product and names it in its title."""
@@ -177,29 +202,15 @@ def order_pages(
     others as ``order_lines`` pages. So no group grows with the data, not even
     where one order has a third of all lines, and no line is lost.
     """
-    order_rows = _order_rows(spark, sf_dir)
+    order_rows = _order_rows(spark, sf_dir).withColumn("page", F.expr(f"o_orderkey div {per_page}"))
     bounds = _bounds(_table(spark, sf_dir, "orders"), "o_orderkey", per_page)
-    created = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    cancelled_at = F.when(F.col("cancelled"), created).alias("cancelled_at")
-    page = F.expr(f"o_orderkey div {per_page}").alias("page")
-    head = F.struct(
-        F.col("name").alias("name"),
-        created.alias("createdAt"),
-        F.col("financial_status").alias("displayFinancialStatus"),
-        _money_set(F.col("total_price")).alias("totalPriceSet"),
-        _money_set(F.col("total_discounts")).alias("totalDiscountsSet"),
-        _money_set(F.col("total_refunded")).alias("totalRefundedSet"),
-        _money_set(F.col("shipping_charged")).alias("totalShippingPriceSet"),
-    )
-    heads = order_rows.select(
-        page, F.lit(0).cast("bigint").alias("chunk"), "o_orderkey", cancelled_at, head.alias("head")
-    )
+    heads = order_rows.drop("n_lines", "order_id").withColumn("chunk", F.lit(0).cast("bigint"))
     chunks = F.expr(f"(n_lines + {lines_per_order - 1}) div {lines_per_order}")
     lines = (
         _line_amounts(_table(spark, sf_dir, "lineitem"))
         .withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
         .join(
-            order_rows.select("o_orderkey", page, cancelled_at, "n_lines"),
+            order_rows.select("o_orderkey", "page", "created_at", "cancelled", "n_lines"),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -207,19 +218,30 @@ def order_pages(
             "page",
             F.pmod(F.col("position"), chunks).alias("chunk"),
             "o_orderkey",
-            "cancelled_at",
-            _line_node().alias("line"),
+            "created_at",
+            "cancelled",
+            *_LINE_COLUMNS,
         )
     )
-    # One shuffle on (page, chunk) serves both groupings below it.
+    created = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    head = F.struct(
+        F.col("name").alias("name"),
+        created.alias("createdAt"),
+        F.col("financial_status").alias("displayFinancialStatus"),
+        _money_set(F.col("total_price")).alias("totalPriceSet"),
+        _money_set(F.col("total_discounts")).alias("totalDiscountsSet"),
+        _money_set(F.col("total_refunded")).alias("totalRefundedSet"),
+        _money_set(F.col("shipping_charged")).alias("totalShippingPriceSet"),
+    )
+    # One shuffle of flat rows on (page, chunk) serves both groupings above it.
     nodes = (
         heads.unionByName(lines, allowMissingColumns=True)
         .repartition("page", "chunk")
         .groupBy("page", "chunk", "o_orderkey")
         .agg(
-            F.first("head", ignorenulls=True).alias("head"),
-            F.first("cancelled_at", ignorenulls=True).alias("cancelled_at"),
-            F.collect_list("line").alias("lines"),
+            F.first(F.when(F.col("name").isNotNull(), head), ignorenulls=True).alias("head"),
+            F.first(F.when(F.col("cancelled"), created), ignorenulls=True).alias("cancelled_at"),
+            F.collect_list(F.when(F.col("l_linenumber").isNotNull(), _line_node())).alias("lines"),
         )
     )
     node = F.struct(
@@ -260,15 +282,10 @@ def product_pages(spark: SparkSession, sf_dir: str, per_page: int = 100) -> Data
         ),
     )
     products = (
-        part.select(
-            F.expr(f"p_partkey div {per_page}").alias("page"),
-            "p_brand",
-            "p_name",
-            variant.alias("variant"),
-        )
+        part.withColumn("page", F.expr(f"p_partkey div {per_page}"))
         .repartition("page")
         .groupBy("page", "p_brand", "p_name")
-        .agg(F.collect_list("variant").alias("variants"))
+        .agg(F.collect_list(variant).alias("variants"))
     )
     node = F.struct(
         F.col("p_brand").alias("id"),

@@ -82,25 +82,32 @@ def _problem(resource: Column, page: Column) -> Column:
     )
 
 
-def _with_problem(pages: DataFrame) -> DataFrame:
-    page = parse(F.col("body"), schemas.FULL_PAGE)
-    return pages.withColumn("_page", page).withColumn(
-        "problem", _problem(F.col("resource"), F.col("_page"))
-    )
+def _parsed(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("_page", parse(F.col("body"), schemas.FULL_PAGE))
 
 
 def page_errors(pages: DataFrame) -> DataFrame:
-    """Pages that cannot be loaded and why: one row per bad page."""
-    return (
-        _with_problem(pages)
-        .filter(F.col("problem").isNotNull())
-        .select("resource", "request_cursor", "problem")
+    """Pages that cannot be loaded and why: one row per bad page.
+
+    An exploded list of none or one problem, here and in ``good_pages``, keeps the
+    test above the parse; a filter would be pushed below it and parse many times.
+    """
+    problem = F.array(_problem(F.col("resource"), F.col("_page")))
+    return _parsed(pages).select(
+        "resource",
+        "request_cursor",
+        F.explode(F.filter(problem, lambda p: p.isNotNull())).alias("problem"),
     )
 
 
 def good_pages(pages: DataFrame) -> DataFrame:
     """The pages ``page_errors`` does not list, for loads that set bad pages aside."""
-    return _with_problem(pages).filter(F.col("problem").isNull()).drop("_page", "problem")
+    fine = _problem(F.col("resource"), F.col("_page")).isNull()
+    return _parsed(pages).select(
+        "resource",
+        "request_cursor",
+        F.explode(F.when(fine, F.array("body"))).alias("body"),
+    )
 
 
 def page_chain_gaps(pages: DataFrame) -> DataFrame:
