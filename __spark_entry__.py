@@ -363,7 +363,7 @@ def _schema_report_sql() -> str:
 
 
 _PHONE_SQL = (
-    r"(?:^|[^0-9])((?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}"
+    r"(?:^|[^0-9.]|(?:^|[^0-9])\.)((?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}"
     r"|\+[1-9][0-9]{7,14})\b"
 )
 _CARD_SQL = (

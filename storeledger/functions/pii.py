@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,63}"
 PHONE = (
-    r"(?<![0-9])(?:"
+    r"(?<![0-9])(?<![0-9]\.)(?:"
     r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}"
     r"|\+[1-9][0-9]{7,14}"
     r")(?![0-9A-Za-z_])"
@@ -35,17 +35,22 @@ def _luhn(card: Column) -> Column:
     return F.aggregate(weighted, F.lit(0), lambda acc, d: acc + d) % 10 == 0
 
 
+def _where(possible: Column, hits: Column) -> Column:
+    """Hits, spared the long pattern where a plain test rules any out; null text has none."""
+    return F.when(possible, hits).otherwise(0)
+
+
 def email_hits(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(EMAIL))
+    return _where(F.contains(text, F.lit("@")), F.regexp_count(text, F.lit(EMAIL)))
 
 
 def phone_hits(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(PHONE))
+    return _where(text.rlike("[0-9]{4}"), F.regexp_count(text, F.lit(PHONE)))
 
 
 def card_hits(text: Column) -> Column:
     candidates = F.regexp_extract_all(text, F.lit(CARD), F.lit(0))
-    return F.size(F.filter(candidates, _luhn))
+    return _where(text.rlike("[0-9]{4}"), F.size(F.filter(candidates, _luhn)))
 
 
 # PERSON, the contract's fourth type, needs a language model and has no pattern.

@@ -16,16 +16,7 @@ from storeledger.functions.money import (
     set_amount,
 )
 from storeledger.schemas import MONEY, TOTAL
-from storeledger.sources.pages import checked_nodes, parse
-
-
-def _nodes(pages: DataFrame, resources, schema: str, name: str) -> DataFrame:
-    page = parse(F.col("body"), schema)
-    return (
-        pages.filter(F.col("resource").isin(*resources))
-        .select(page.alias("page"))
-        .select(F.explode(checked_nodes(F.col("page"), name)).alias("node"))
-    )
+from storeledger.sources.pages import nodes
 
 
 def product_title(product: Column, line_title: Column) -> Column:
@@ -44,7 +35,7 @@ def line_discount(original: Column, discounted: Column, allocated: Column) -> Co
 
 def flatten_orders(pages: DataFrame) -> DataFrame:
     o = F.col("node")
-    return _nodes(pages, ["orders"], schemas.ORDER_HEAD_PAGE, "orders").select(
+    return nodes(pages, ("orders",), schemas.ORDER_HEAD_PAGE, "orders").select(
         o["id"].alias("order_id"),
         o["name"].alias("name"),
         o["createdAt"].alias("created_at"),
@@ -59,8 +50,8 @@ def flatten_orders(pages: DataFrame) -> DataFrame:
 
 def order_lines(pages: DataFrame) -> DataFrame:
     """One row per order line with its amounts before the discount rule."""
-    lines = _nodes(
-        pages, ["orders", "order_lines"], schemas.ORDER_LINES_PAGE, "orders"
+    lines = nodes(
+        pages, ("orders", "order_lines"), schemas.ORDER_LINES_PAGE, "orders"
     ).select(
         F.col("node.id").alias("order_id"),
         F.col("node.cancelledAt").isNotNull().alias("cancelled"),
@@ -98,7 +89,7 @@ def flatten_items(pages: DataFrame) -> DataFrame:
 
 def flatten_variants(pages: DataFrame) -> DataFrame:
     p = F.col("node")
-    variants = _nodes(pages, ["products"], schemas.PRODUCT_PAGE, "products").select(
+    variants = nodes(pages, ("products",), schemas.PRODUCT_PAGE, "products").select(
         p["id"].alias("product_id"),
         p["title"].alias("product"),
         p["status"].alias("status"),

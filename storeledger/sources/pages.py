@@ -45,14 +45,30 @@ def has_errors(page: Column) -> Column:
     return page["errors"].isNotNull() & ~F.trim(page["errors"]).isin(*_NO_ERRORS)
 
 
-def checked_nodes(page: Column, resource: str) -> Column:
-    """The page's list of nodes; a bad page fails the job as soon as it is read."""
-    nodes = page["data"][resource]["nodes"]
+def nodes(pages: DataFrame, resources: tuple[str, ...], schema: str, name: str) -> DataFrame:
+    """The nodes of the given pages, one per row; a bad page fails the job.
+
+    The check asks for the resource itself, so it holds wherever the optimizer
+    moves it. The outer explode keeps the optimizer from guessing a filter on the
+    list and pushing it below the parse, which would parse every page twice.
+    """
+    page = F.col("page")
+    wanted = F.col("resource").isin(*resources)
+    found = page["data"][name]["nodes"]
+    checked = (
+        F.when(wanted & unreadable(page), F.raise_error(F.lit(f"unreadable {name} page")))
+        .when(
+            wanted & has_errors(page),
+            F.raise_error(F.concat(F.lit("page with errors: "), page["errors"])),
+        )
+        .when(wanted & found.isNull(), F.raise_error(F.lit(f"{name} page without nodes")))
+        .otherwise(found)
+    )
     return (
-        F.when(unreadable(page), F.raise_error(F.lit(f"unreadable {resource} page")))
-        .when(has_errors(page), F.raise_error(F.concat(F.lit("page with errors: "), page["errors"])))
-        .when(nodes.isNull(), F.raise_error(F.lit(f"{resource} page without nodes")))
-        .otherwise(nodes)
+        pages.filter(wanted)
+        .select("resource", parse(F.col("body"), schema).alias("page"))
+        .select(F.explode_outer(checked).alias("node"))
+        .filter(F.col("node").isNotNull())
     )
 
 

@@ -1,0 +1,142 @@
+"""The hand-computed fixture through the whole pipeline, from landing files to the report."""
+
+import json
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from golden import PAGES, pages_frame, rows_of
+from storeledger.operators import report
+from storeledger.plans import pipeline
+from storeledger.sources import pages, tables
+
+JAN, FEB = datetime(2026, 1, 1), datetime(2026, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("golden"))
+    pages.write_pages(pages_frame(spark, PAGES), f"{folder}/landing")
+    landed = pages.read_pages(spark, f"{folder}/landing")
+    assert pipeline.load(landed, folder) == {"orders": 4, "order_items": 6, "variants": 4}
+    return folder
+
+
+@pytest.fixture(scope="module")
+def built(spark, root):
+    return pipeline.model(spark, root)
+
+
+def test_raw_orders(spark, root):
+    raw = tables.read_raw(spark, root + "/raw")["orders"]
+    assert rows_of(raw.select("order_id", "cancelled", "total_refunded", "shipping_charged"), "order_id") == [
+        ("O1", False, Decimal("0"), Decimal("3.95")),
+        ("O2", False, Decimal("20"), Decimal("3.95")),
+        ("O3", True, Decimal("30"), Decimal("3.95")),
+        ("O4", False, Decimal("0"), Decimal("3.95")),
+    ]
+
+
+def test_raw_items(spark, root):
+    raw = tables.read_raw(spark, root + "/raw")["order_items"]
+    got = rows_of(
+        raw.selectExpr("order_id", "product", "quantity", "double(discounted_total)", "double(discount)"),
+        "order_id", "product",
+    )
+    assert got == [
+        ("O1", "Cap", 1, 36.0, 4.0),
+        ("O1", "Mug", 2, 54.0, 6.0),
+        ("O2", "Gift wrap", 1, 20.0, 0.0),
+        ("O2", "Mug", 1, 30.0, 0.0),
+        ("O3", "Cap", 1, 30.0, 5.0),
+        ("O4", "Tee", 3, 60.0, 15.0),
+    ]
+
+
+def test_raw_variants(spark, root):
+    raw = tables.read_raw(spark, root + "/raw")["variants"]
+    got = rows_of(raw.selectExpr("variant_id", "product", "double(unit_cost)", "inventory_quantity"), "variant_id")
+    assert got == [("V1", "Mug", 12.0, 10), ("V2", "Cap", 20.0, 5), ("V3", "Cap", 24.0, -2), ("V4", "Tee", None, 7)]
+
+
+def test_monthly(built):
+    assert rows_of(built["cost_discounts"], "month") == [(JAN, 1, 10.0), (FEB, 1, 15.0)]
+    assert rows_of(built["cost_refunds"], "month") == [(JAN, 1, 20.0), (FEB, 0, 0.0)]
+
+
+def test_money_tree(built):
+    assert rows_of(report.money_tree(built["money_summary"])) == [
+        ("capital in stock", 172.0, 86.0),
+        ("cancelled orders", 30.0, 15.0),
+        ("discounts", 25.0, 12.5),
+        ("refunds", 20.0, 10.0),
+    ]
+
+
+def test_product_leaks(built):
+    assert rows_of(built["product_leaks"], "product") == [
+        ("Cap", 1, 1, 36.0, 4.0, 10.0),
+        ("Gift wrap", 1, 1, 20.0, 0.0, 0.0),
+        ("Mug", 2, 3, 84.0, 6.0, 6.7),
+        ("Tee", 1, 3, 60.0, 15.0, 20.0),
+    ]
+
+
+def test_product_margin(built):
+    assert rows_of(built["product_margin"], "product") == [
+        ("Cap", 1, 36.0, 22.0, 14.0, 38.9, 4.0, 22.2),
+        ("Mug", 3, 84.0, 36.0, 48.0, 57.1, 6.0, 11.1),
+    ]
+
+
+def test_stock_capital(built):
+    assert rows_of(report.stock_capital_ranked(built["stock_capital"])) == [
+        ("Mug", "Default", 10, 12.0, 120.0),
+        ("Cap", "S", 5, 20.0, 100.0),
+        ("Tee", "Default", 7, None, None),
+    ]
+
+
+def test_reports(built):
+    reports = pipeline.reports(built)
+    assert rows_of(reports["top_capital"]) == [("Mug", 120.0), ("Cap", 100.0)]
+    assert [r[0] for r in rows_of(reports["top_discounted"])] == ["Tee", "Mug", "Cap"]
+
+
+def test_publish(spark, built, tmp_path):
+    counts = pipeline.publish(built, str(tmp_path))
+    assert counts == {"money_summary": 4, "product_leaks": 4, "product_margin": 2, "stock_capital": 3}
+    again = pipeline.publish(built, str(tmp_path))
+    assert again == counts
+    published = tables.read_tables(spark, str(tmp_path), counts)
+    for name, rows in counts.items():
+        assert published[name].dtypes == built[name].dtypes
+        assert published[name].count() == rows
+
+
+def test_managed_tables(spark, built):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledger")
+    for _ in range(2):
+        tables.save_tables({"product_leaks": built["product_leaks"]}, "ledger")
+    assert spark.table("ledger.product_leaks").count() == 4
+
+
+def test_staging_views(spark, built):
+    assert spark.table("stg_orders").count() == 4
+
+
+def test_run_replaces_earlier_load(spark, tmp_path):
+    pages_all = pages_frame(spark, PAGES)
+    pipeline.run(spark, pages_all, str(tmp_path))
+    reports = pipeline.run(spark, pages_frame(spark, PAGES[1:]), str(tmp_path))
+    assert [r[0] for r in rows_of(reports["top_discounted"])] == ["Tee"]
+
+
+def test_one_page_per_file(spark, tmp_path):
+    for i, (resource, cursor, body) in enumerate(PAGES):
+        envelope = {"resource": resource, "request_cursor": cursor, "body": json.loads(body)}
+        (tmp_path / f"page{i}.json").write_text(json.dumps(envelope, indent=2))
+    landed = pages.read_pages(spark, str(tmp_path), one_page_per_file=True)
+    assert pages.page_errors(landed).count() == 0
+    assert pipeline.flatten_pages(landed)["order_items"].count() == 6
