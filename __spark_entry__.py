@@ -140,8 +140,8 @@ def _raw_roundtrip(spark, sf):
 def _load_counts(spark, sf):
     """Land the pages as files, read them back, load the raw tables, report the rows."""
     root = scratch_dir(spark, "load")
-    pages.write_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
-    counts = pipeline.load(pages.read_pages(spark, f"{root}/landing"), root)
+    pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
+    counts = pipeline.load(pages.read_archive(spark, f"{root}/landing"), root)
     return tables.counts_frame(spark, counts)
 
 

@@ -4,12 +4,14 @@ The flat binding joins and sums; the page binding nests the same rows into lande
 JSON pages, so that flattening them must give the flat binding back.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.schemas import MONEY, TOTAL
 
-_CENTS = "decimal(18,2)"
+_PRICE = "decimal(18,2)"
 
 
 # Declared schemas spare every read a look at the file footers.
@@ -43,17 +45,32 @@ def _cancelled() -> Column:
     return F.col("o_orderstatus") == "P"
 
 
-def _line_amounts(lineitem: DataFrame) -> DataFrame:
-    original = F.col("l_extendedprice").cast(_CENTS)
-    discount = F.round(original * F.col("l_discount").cast("decimal(4,2)"), 2).cast(_CENTS)
-    return lineitem.withColumn("original", original).withColumn("discount", discount)
+def _cents(amount: Column) -> Column:
+    """Whole cents of a double that holds an amount with two decimals."""
+    return F.floor(amount * 100 + 0.5)
+
+
+def _amount(cents: Column) -> Column:
+    return cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+
+
+def _line_cents(lineitem: DataFrame) -> DataFrame:
+    """Adds a line's ``original`` total and ``discount`` as exact whole cents.
+
+    The discount is the original times a whole percentage, rounded half up.
+    """
+    return (
+        lineitem.withColumn("original", _cents(F.col("l_extendedprice")))
+        .withColumn("percent", _cents(F.col("l_discount")))
+        .withColumn("discount", F.expr("(original * percent + 50) div 100"))
+    )
 
 
 def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its line totals, summed before they are joined."""
     net = F.col("original") - F.col("discount")
     totals = (
-        _line_amounts(_table(spark, sf_dir, "lineitem"))
+        _line_cents(_table(spark, sf_dir, "lineitem"))
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.sum("discount").alias("total_discounts"),
@@ -61,7 +78,10 @@ def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).alias("n_lines"),
         )
     )
-    zero = F.lit(0).cast(TOTAL)
+
+    def total(cents: str) -> Column:
+        return F.coalesce(_amount(F.col(cents)), F.lit(0)).cast(TOTAL).alias(cents)
+
     return (
         _table(spark, sf_dir, "orders")
         .join(totals, "o_orderkey", "left")
@@ -73,10 +93,10 @@ def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderdate").alias("created_at"),
             _cancelled().alias("cancelled"),
             F.col("o_orderpriority").alias("financial_status"),
-            F.col("o_totalprice").cast(_CENTS).cast(TOTAL).alias("total_price"),
-            F.coalesce(F.col("total_discounts").cast(TOTAL), zero).alias("total_discounts"),
-            F.coalesce(F.col("total_refunded").cast(TOTAL), zero).alias("total_refunded"),
-            zero.alias("shipping_charged"),
+            _amount(_cents(F.col("o_totalprice"))).cast(TOTAL).alias("total_price"),
+            total("total_discounts"),
+            total("total_refunded"),
+            F.lit(0).cast(TOTAL).alias("shipping_charged"),
         )
     )
 
@@ -89,7 +109,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line. Both joins shuffle on the key unless a side is seen to be
     small; a hot order or part is split by the adaptive skew join."""
     return (
-        _line_amounts(_table(spark, sf_dir, "lineitem"))
+        _line_cents(_table(spark, sf_dir, "lineitem"))
         .join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
@@ -97,16 +117,16 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             _cancelled().alias("cancelled"),
             F.col("p_name").alias("product"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.col("original").cast(MONEY).alias("original_total"),
-            (F.col("original") - F.col("discount")).cast(MONEY).alias("discounted_total"),
-            F.col("discount").cast(MONEY).alias("discount"),
+            _amount(F.col("original")).cast(MONEY).alias("original_total"),
+            _amount(F.col("original") - F.col("discount")).cast(MONEY).alias("discounted_total"),
+            _amount(F.col("discount")).cast(MONEY).alias("discount"),
         )
     )
 
 
 def _unit_cost() -> Column:
     unpriced = F.col("p_name").like("small %") | (F.col("p_brand") == "Brand#7")
-    cost = F.round(F.col("p_retailprice").cast(_CENTS) * F.lit(0.6).cast("decimal(2,1)"), 2)
+    cost = F.round(F.col("p_retailprice").cast(_PRICE) * F.lit(0.6).cast("decimal(2,1)"), 2)
     return F.when(~unpriced, cost.cast(MONEY))
 
 
@@ -130,7 +150,7 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ACTIVE").alias("status"),
         F.col("p_partkey").cast("string").alias("variant_id"),
         _variant_title().alias("variant"),
-        F.col("p_retailprice").cast(_CENTS).cast(MONEY).alias("price"),
+        F.col("p_retailprice").cast(_PRICE).cast(MONEY).alias("price"),
         _unit_cost().alias("unit_cost"),
         _inventory().alias("inventory_quantity"),
     )
@@ -162,16 +182,18 @@ def _line_node() -> Column:
     between its totals (even ones); line 7 has no product and names it in its title."""
     odd = F.col("l_linenumber") % 2 == 1
     original, discount = F.col("original"), F.col("discount")
-    half = F.round(discount / 2, 2).cast(_CENTS)
+    half = F.expr("(discount + 1) div 2")
     return F.struct(
         F.col("p_name").alias("title"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         F.when(F.col("l_linenumber") != 7, F.struct(F.col("p_name").alias("title"))).alias("product"),
-        _money_set(original).alias("originalTotalSet"),
-        _money_set(F.when(odd, original).otherwise(original - discount)).alias("discountedTotalSet"),
-        F.when(odd, F.array(_allocation(half), _allocation((discount - half).cast(_CENTS)))).alias(
-            "discountAllocations"
+        _money_set(_amount(original)).alias("originalTotalSet"),
+        _money_set(_amount(F.when(odd, original).otherwise(original - discount))).alias(
+            "discountedTotalSet"
         ),
+        F.when(
+            odd, F.array(_allocation(_amount(half)), _allocation(_amount(discount - half)))
+        ).alias("discountAllocations"),
     )
 
 
@@ -207,7 +229,7 @@ def order_pages(
     heads = order_rows.drop("n_lines", "order_id").withColumn("chunk", F.lit(0).cast("bigint"))
     chunks = F.expr(f"(n_lines + {lines_per_order - 1}) div {lines_per_order}")
     lines = (
-        _line_amounts(_table(spark, sf_dir, "lineitem"))
+        _line_cents(_table(spark, sf_dir, "lineitem"))
         .withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
         .join(
             order_rows.select("o_orderkey", "page", "created_at", "cancelled", "n_lines"),
@@ -275,7 +297,7 @@ def product_pages(spark: SparkSession, sf_dir: str, per_page: int = 100) -> Data
     variant = F.struct(
         F.col("p_partkey").cast("string").alias("id"),
         _variant_title().alias("title"),
-        F.col("p_retailprice").cast(_CENTS).cast("string").alias("price"),
+        F.col("p_retailprice").cast(_PRICE).cast("string").alias("price"),
         _inventory().alias("inventoryQuantity"),
         F.when(~no_item, F.struct(F.when(_unit_cost().isNotNull(), cost).alias("unitCost"))).alias(
             "inventoryItem"

@@ -1,7 +1,8 @@
 """Landed JSON pages: reading, writing, and the checks that a fetch is whole.
 
 A landing file holds one JSON object per line: ``resource``, ``request_cursor``
-(null for the first page) and ``body``, the response. ``orders`` and
+(null for the first page) and ``body``, the response, as text or as an object.
+Landed pages may also be kept as parquet, partitioned by resource. ``orders`` and
 ``products`` pages form cursor chains. An order with more lines than one page
 may nest continues on ``order_lines`` pages, which have the shape of an orders
 page and add lines but no order.
@@ -20,7 +21,7 @@ _NO_ERRORS = ("", "[]", "{}", "null", "false", "0")
 
 
 def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = False) -> DataFrame:
-    """Landed pages below ``path``; a line that is no JSON object fails the read."""
+    """Landed JSON pages below ``path``; a line that is no JSON object fails the read."""
     return (
         spark.read.schema(schemas.LANDED_PAGE)
         .option("mode", "FAILFAST")
@@ -29,8 +30,19 @@ def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = False)
     )
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    pages.write.mode("overwrite").option("compression", "gzip").json(path)
+def archive_pages(pages: DataFrame, path: str) -> None:
+    """Keep landed pages as parquet by resource: splittable, compressed, and a reader
+    of one resource skips the files of the others."""
+    (
+        pages.write.mode("overwrite")
+        .option("compression", "zstd")
+        .partitionBy("resource")
+        .parquet(path)
+    )
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.LANDED_PAGE).parquet(path)
 
 
 def parse(body: Column, schema: str) -> Column:

@@ -17,7 +17,7 @@ JAN, FEB = datetime(2026, 1, 1), datetime(2026, 2, 1)
 @pytest.fixture(scope="module")
 def root(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("golden"))
-    pages.write_pages(pages_frame(spark, PAGES), f"{folder}/landing")
+    pages_frame(spark, PAGES).write.json(f"{folder}/landing")
     landed = pages.read_pages(spark, f"{folder}/landing")
     assert pipeline.load(landed, folder) == {"orders": 4, "order_items": 6, "variants": 4}
     return folder
@@ -140,3 +140,13 @@ def test_one_page_per_file(spark, tmp_path):
     landed = pages.read_pages(spark, str(tmp_path), one_page_per_file=True)
     assert pages.page_errors(landed).count() == 0
     assert pipeline.flatten_pages(landed)["order_items"].count() == 6
+
+
+def test_archived_pages(spark, tmp_path):
+    landed = pages_frame(spark, PAGES)
+    pages.archive_pages(landed, str(tmp_path / "pages"))
+    kept = pages.read_archive(spark, str(tmp_path / "pages"))
+    columns = landed.columns
+    assert kept.select(columns).exceptAll(landed).count() == 0 and kept.count() == 3
+    counts = pipeline.load(kept, str(tmp_path))
+    assert counts == {"orders": 4, "order_items": 6, "variants": 4}
