@@ -268,6 +268,20 @@ b_variants AS (
                      ELSE p_size END AS BIGINT) AS inventory_quantity
     FROM part)"""
 
+
+def _cents_sql(amount: str) -> str:
+    return f"CAST({amount} * 100 AS HUGEINT)"
+
+
+def _ratio_sql(part: str, whole: str, digits: int) -> str:
+    """Two integers' ratio, rounded half away from zero; null over zero."""
+    steps = f"(abs({part}) * {2 * 10**digits} + abs({whole})) // nullif(2 * abs({whole}), 0)"
+    return (
+        f"CASE WHEN ({part} < 0) = ({whole} < 0) THEN 1 ELSE -1 END"
+        f" * CAST({steps} AS DOUBLE) / {10**digits}"
+    )
+
+
 _MART_SQL = {
     "cost_discounts": """
         SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month,
@@ -279,10 +293,10 @@ _MART_SQL = {
                count(*) FILTER (WHERE total_refunded > 0) AS refunded_orders,
                CAST(round(sum(total_refunded), 2) AS DOUBLE) AS amount_gbp
         FROM b_orders WHERE NOT cancelled GROUP BY 1""",
-    "money_summary": """
+    "money_summary": f"""
         SELECT category, CAST(round(coalesce(amount, 0), 2) AS DOUBLE) AS amount_gbp,
-               round(100.0 * CAST(coalesce(amount, 0) AS DOUBLE)
-                     / nullif(CAST(revenue AS DOUBLE), 0), 2) AS pct_of_revenue
+               {_ratio_sql("100 * " + _cents_sql("coalesce(amount, 0)"), _cents_sql("revenue"), 2)}
+                   AS pct_of_revenue
         FROM (SELECT 'refunds' AS category, sum(total_refunded) AS amount
               FROM b_orders WHERE NOT cancelled
               UNION ALL SELECT 'discounts', sum(total_discounts) FROM b_orders WHERE NOT cancelled
@@ -290,28 +304,27 @@ _MART_SQL = {
               UNION ALL SELECT 'capital in stock', sum(inventory_quantity * unit_cost)
               FROM b_variants) leaks,
              (SELECT sum(total_price) AS revenue FROM b_orders WHERE NOT cancelled) scale""",
-    "product_leaks": """
+    "product_leaks": f"""
         SELECT product, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
                CAST(round(sum(discounted_total), 2) AS DOUBLE) AS revenue_gbp,
                CAST(round(sum(discount), 2) AS DOUBLE) AS discount_gbp,
-               round(100.0 * CAST(sum(discount) AS DOUBLE)
-                     / nullif(CAST(sum(original_total) AS DOUBLE), 0), 1) AS discount_pct
+               {_ratio_sql("100 * " + _cents_sql("sum(discount)"), _cents_sql("sum(original_total)"), 1)}
+                   AS discount_pct
         FROM b_items WHERE NOT cancelled GROUP BY product""",
-    "product_margin": """
+    "product_margin": f"""
         SELECT product, units, CAST(round(net, 2) AS DOUBLE) AS revenue_gbp,
-               round(cogs, 2) AS cogs_gbp, round(CAST(net AS DOUBLE) - cogs, 2) AS margin_gbp,
-               round(100.0 * (CAST(net AS DOUBLE) - cogs) / nullif(CAST(net AS DOUBLE), 0), 1)
-                   AS margin_pct,
+               {_ratio_sql("cogs", "100 * n", 2)} AS cogs_gbp,
+               {_ratio_sql("(revenue - cogs)", "100 * n", 2)} AS margin_gbp,
+               {_ratio_sql("100 * (revenue - cogs)", "revenue", 1)} AS margin_pct,
                CAST(round(given, 2) AS DOUBLE) AS discount_gbp,
-               round(100.0 * CAST(given AS DOUBLE)
-                     / nullif(CAST(net AS DOUBLE) - cogs + CAST(given AS DOUBLE), 0), 1)
+               {_ratio_sql("100 * discount", "(revenue - cogs + discount)", 1)}
                    AS discount_share_of_potential_margin_pct
-        FROM (SELECT product, units, net, given, units * unit_cost AS cogs
+        FROM (SELECT product, units, net, given, n, units * {_cents_sql("cost_sum")} AS cogs,
+                     {_cents_sql("net")} * n AS revenue, {_cents_sql("given")} * n AS discount
               FROM (SELECT product, CAST(sum(quantity) AS BIGINT) AS units,
                            sum(discounted_total) AS net, sum(discount) AS given
                     FROM b_items WHERE NOT cancelled GROUP BY product) sold
-              JOIN (SELECT product,
-                           CAST(sum(unit_cost) AS DOUBLE) / count(unit_cost) AS unit_cost
+              JOIN (SELECT product, sum(unit_cost) AS cost_sum, count(unit_cost) AS n
                     FROM b_variants WHERE unit_cost IS NOT NULL GROUP BY product) costs
               USING (product)) priced""",
     "stock_capital": """

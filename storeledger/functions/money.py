@@ -50,12 +50,17 @@ def as_double(exact: Column) -> Column:
     return exact.cast("double")
 
 
-def percent(part: Column, whole: Column, digits: int) -> Column:
-    """``100 * part / whole`` in doubles; a zero or missing whole gives null."""
-    whole = whole.cast("double")
-    return F.round(F.lit(100.0) * part.cast("double") / F.nullif(whole, F.lit(0.0)), digits)
+def exact_ratio(part: Column, whole: Column, digits: int) -> Column:
+    """``part / whole`` of exact numbers, rounded half away from zero as a double.
+
+    Counts whole steps of the last digit with integer division, so a tie is a tie
+    whatever the size of the sums; a zero or missing whole gives null.
+    """
+    size = F.abs(F.nullif(whole, F.lit(0)))
+    steps = F.call_function("div", F.abs(part) * (2 * 10**digits) + size, size * 2)
+    signed = F.when((part < 0) == (whole < 0), steps).otherwise(-steps)
+    return signed / F.lit(10.0**digits)
 
 
-def exact_mean(value: Column) -> Column:
-    """Mean as exact sum over count, so it does not depend on row order."""
-    return F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0).cast("bigint"))
+def percent(part: Column, whole: Column, digits: int) -> Column:
+    return exact_ratio(part * 100, whole, digits)

@@ -8,7 +8,7 @@ summed on the map side before its rows are shuffled.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storeledger.functions.money import as_double, exact_mean, percent, rounded
+from storeledger.functions.money import as_double, exact_ratio, percent, rounded
 
 
 def kept(rows: DataFrame) -> DataFrame:
@@ -116,20 +116,28 @@ def product_leaks(items: DataFrame) -> DataFrame:
     )
 
 
-def product_unit_cost(variants: DataFrame) -> DataFrame:
-    """Mean unit cost per product over its variants that have one."""
+def _costs(variants: DataFrame) -> DataFrame:
+    """Sum and number of the unit costs a product's variants have."""
     return (
         variants.filter(F.col("unit_cost").isNotNull())
         .groupBy("product")
-        .agg(exact_mean(F.col("unit_cost")).alias("unit_cost"))
+        .agg(F.sum("unit_cost").alias("cost_sum"), F.count("unit_cost").alias("cost_count"))
     )
 
 
+def product_unit_cost(variants: DataFrame) -> DataFrame:
+    """Mean unit cost per product over its variants that have one."""
+    mean = as_double(F.col("cost_sum")) / F.col("cost_count")
+    return _costs(variants).select("product", mean.alias("unit_cost"))
+
+
 def product_margin(items: DataFrame, variants: DataFrame) -> DataFrame:
     """Per product with a known cost: revenue, cost of goods, margin, and how much
     of the margin before discounts the discounts used up.
 
-    Both sides are down to one row per product before they meet.
+    Both sides are down to one row per product before they meet. Amounts are kept
+    times the number of costs until the last division, so the mean cost is never
+    rounded on the way.
     """
     sold = (
         kept(items)
@@ -140,20 +148,22 @@ def product_margin(items: DataFrame, variants: DataFrame) -> DataFrame:
             F.sum("discount").alias("given"),
         )
     )
-    net, given = as_double(F.col("net")), as_double(F.col("given"))
+    costs = F.col("cost_count")
     return (
-        sold.join(product_unit_cost(variants), "product")
-        .withColumn("cogs", F.col("units") * F.col("unit_cost"))
-        .withColumn("margin", net - F.col("cogs"))
+        sold.join(_costs(variants), "product")
+        .withColumn("cogs", F.col("units") * F.col("cost_sum"))
+        .withColumn("revenue", F.col("net") * costs)
+        .withColumn("discount", F.col("given") * costs)
+        .withColumn("margin", F.col("revenue") - F.col("cogs"))
         .select(
             "product",
             "units",
             rounded(F.col("net")).alias("revenue_gbp"),
-            F.round("cogs", 2).alias("cogs_gbp"),
-            F.round("margin", 2).alias("margin_gbp"),
-            percent(F.col("margin"), net, 1).alias("margin_pct"),
+            exact_ratio(F.col("cogs"), costs, 2).alias("cogs_gbp"),
+            exact_ratio(F.col("margin"), costs, 2).alias("margin_gbp"),
+            percent(F.col("margin"), F.col("revenue"), 1).alias("margin_pct"),
             rounded(F.col("given")).alias("discount_gbp"),
-            percent(given, F.col("margin") + given, 1).alias(
+            percent(F.col("discount"), F.col("margin") + F.col("discount"), 1).alias(
                 "discount_share_of_potential_margin_pct"
             ),
         )
