@@ -6,22 +6,26 @@ from pyspark.sql import SparkSession
 
 from storeledger.plans import pipeline
 from storeledger.session import configure
-from storeledger.sources.pages import good_pages, page_chain_gaps, page_errors, read_pages
+from storeledger.sources.pages import page_chain_gaps, read_pages
 
 
 def main() -> None:
-    args = argparse.ArgumentParser(prog="storeledger")
-    args.add_argument("landing", help="folder of landed pages (JSON lines)")
-    args.add_argument("out", help="folder for raw, mart and published tables")
-    args.add_argument("--set-bad-pages-aside", action="store_true")
-    args = args.parse_args()
+    parser = argparse.ArgumentParser(prog="storeledger")
+    parser.add_argument("landing", help="folder of landed pages (JSON lines)")
+    parser.add_argument("out", help="folder for raw, mart and published tables")
+    parser.add_argument(
+        "--set-bad-pages-aside",
+        action="store_true",
+        help="load the good pages only; without it a bad page fails the run",
+    )
+    args = parser.parse_args()
 
     spark = configure(SparkSession.builder.appName("storeledger").getOrCreate())
     pages = read_pages(spark, args.landing)
-    page_chain_gaps(pages).show(truncate=False)
     if args.set_bad_pages_aside:
-        page_errors(pages).write.mode("overwrite").parquet(f"{args.out}/page_errors")
-        pages = good_pages(pages)
+        pages = pipeline.set_bad_pages_aside(spark, pages, args.out)
+    print("gaps in the page chains")
+    page_chain_gaps(pages).show(truncate=False)
     for name, rows in pipeline.run(spark, pages, args.out).items():
         print(name)
         rows.show(truncate=False)

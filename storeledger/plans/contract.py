@@ -4,6 +4,8 @@ Fixed values: names, types, aggregates, allow-lists and bounds below are the
 published contract and must not be changed.
 """
 
+import json
+
 CONTRACT = {
     "entities": {
         "money_summary": {
@@ -110,3 +112,26 @@ CONTRACT = {
 
 # Declared field types and the Spark types the marts carry for them.
 SPARK_TYPES = {"text": "string", "int": "bigint", "numeric": "double"}
+
+
+def load_contract(path: str) -> dict:
+    """A contract file (YAML or JSON) in the shape of ``CONTRACT``.
+
+    A field may be given as its type or as a mapping with a ``type``. YAML needs
+    PyYAML; JSON does not.
+    """
+    with open(path, encoding="utf-8") as file:
+        if path.endswith(".json"):
+            contract = json.load(file)
+        else:
+            try:
+                import yaml
+            except ImportError as missing:
+                raise RuntimeError("PyYAML is needed to read a YAML contract") from missing
+            contract = yaml.safe_load(file)
+    for entity in contract["entities"].values():
+        entity["fields"] = {
+            name: declared["type"] if isinstance(declared, dict) else declared
+            for name, declared in entity["fields"].items()
+        }
+    return {"checks": {}, "policy": {"block_pii": [], "max_rows": 500}, **contract}

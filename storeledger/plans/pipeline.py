@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from storeledger.operators import flatten, marts, report, staging
+from storeledger.sources import pages as page_sources
 from storeledger.sources import tables
 
 # The monthly marts are built but not published.
@@ -50,6 +51,13 @@ def create_views(staged: dict[str, DataFrame]) -> None:
         rows.createOrReplaceTempView(name)
 
 
+def set_bad_pages_aside(spark: SparkSession, pages: DataFrame, root: str) -> DataFrame:
+    """Check every page once, keep them all with their problem, return the good ones."""
+    archive = f"{root}/pages"
+    page_sources.archive_pages(page_sources.with_problem(pages), archive)
+    return page_sources.read_archive(spark, archive).filter("problem is null").drop("problem")
+
+
 def load(pages: DataFrame, root: str) -> dict[str, int]:
     """Replace the three raw tables from landed pages; returns their row counts."""
     return tables.replace_tables(flatten_pages(pages), f"{root}/raw")

@@ -42,7 +42,8 @@ def archive_pages(pages: DataFrame, path: str) -> None:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.LANDED_PAGE).parquet(path)
+    """Archived pages; ``problem`` is null unless they were archived with one."""
+    return spark.read.schema(schemas.LANDED_PAGE + ", problem string").parquet(path)
 
 
 def parse(body: Column, schema: str) -> Column:
@@ -110,8 +111,14 @@ def _problem(resource: Column, page: Column) -> Column:
     )
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_page", parse(F.col("body"), schemas.FULL_PAGE))
+def with_problem(pages: DataFrame) -> DataFrame:
+    """The pages with why they cannot be loaded, or null; parses every page whole."""
+    page = parse(F.col("body"), schemas.FULL_PAGE)
+    return (
+        pages.select("resource", "request_cursor", "body", page.alias("page"))
+        .withColumn("problem", _problem(F.col("resource"), F.col("page")))
+        .drop("page")
+    )
 
 
 def page_errors(pages: DataFrame) -> DataFrame:
@@ -120,8 +127,8 @@ def page_errors(pages: DataFrame) -> DataFrame:
     An exploded list of none or one problem, here and in ``good_pages``, keeps the
     test above the parse; a filter would be pushed below it and parse many times.
     """
-    problem = F.array(_problem(F.col("resource"), F.col("_page")))
-    return _parsed(pages).select(
+    problem = F.array(F.col("problem"))
+    return with_problem(pages).select(
         "resource",
         "request_cursor",
         F.explode(F.filter(problem, lambda p: p.isNotNull())).alias("problem"),
@@ -130,11 +137,10 @@ def page_errors(pages: DataFrame) -> DataFrame:
 
 def good_pages(pages: DataFrame) -> DataFrame:
     """The pages ``page_errors`` does not list, for loads that set bad pages aside."""
-    fine = _problem(F.col("resource"), F.col("_page")).isNull()
-    return _parsed(pages).select(
+    return with_problem(pages).select(
         "resource",
         "request_cursor",
-        F.explode(F.when(fine, F.array("body"))).alias("body"),
+        F.explode(F.when(F.col("problem").isNull(), F.array("body"))).alias("body"),
     )
 
 

@@ -60,6 +60,14 @@ def test_good_pages_load(spark):
     assert flatten.flatten_items(good).count() == 6
 
 
+def test_bad_pages_set_aside(spark, tmp_path):
+    good = pipeline.set_bad_pages_aside(spark, pages_frame(spark, PAGES + BAD), str(tmp_path))
+    assert good.columns == ["request_cursor", "body", "resource"] and good.count() == 3
+    kept = pages.read_archive(spark, str(tmp_path / "pages"))
+    assert kept.filter("problem is not null").count() == len(BAD)
+    assert pipeline.load(good, str(tmp_path))["order_items"] == 6
+
+
 @pytest.mark.parametrize("bad,message", [
     (BAD[0], "Throttled"),
     (BAD[1], "unreadable orders page"),
@@ -123,6 +131,7 @@ def test_parse_once(spark):
         pages.page_errors(landed).filter("problem = 'errors'").groupBy("resource").count(),
         pages.good_pages(landed),
         pages.good_pages(landed).filter("resource = 'orders'").groupBy().count(),
+        pages.with_problem(landed),
         pages.page_chain_gaps(landed),
         pages.truncation_suspects(landed),
         *flat.values(),

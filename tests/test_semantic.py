@@ -1,6 +1,7 @@
 """Metrics, checks, key and schema reports, and the scan for personal data."""
 
 import copy
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from golden import PAGES, PRODUCTS, page, pages_frame, product, rows_of, variant
 from storeledger.functions import pii
 from storeledger.operators import quality, semantic
 from storeledger.plans import pipeline
-from storeledger.plans.contract import CONTRACT
+from storeledger.plans.contract import CONTRACT, load_contract
 
 
 def marts_of(spark, rows):
@@ -110,6 +111,17 @@ def test_schema_report(marts):
     assert rows_of(bad.select("entity", "field", "actual_type", "null_values")) == [("product_leaks", "units", "missing", 4)]
 
 
+def test_load_contract(tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps(CONTRACT))
+    assert load_contract(str(tmp_path / "c.json")) == CONTRACT
+    yaml = pytest.importorskip("yaml")
+    typed = copy.deepcopy(CONTRACT)
+    for entity in typed["entities"].values():
+        entity["fields"] = {name: {"type": kind} for name, kind in entity["fields"].items()}
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(typed))
+    assert load_contract(str(tmp_path / "c.yaml")) == CONTRACT
+
+
 TEXTS = {
     "mail a.b+c@x-1.example.co.uk and d_e@y.org": (2, 0, 0),
     "no at sign, @home, a@b": (0, 0, 0),
