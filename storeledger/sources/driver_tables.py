@@ -174,19 +174,27 @@ def _allocation(amount: Column) -> Column:
     return F.struct(_money_set(amount).alias("allocatedAmountSet"))
 
 
+_HEAD_COLUMNS = (
+    "name",
+    "financial_status",
+    "total_price",
+    "total_discounts",
+    "total_refunded",
+    "shipping_charged",
+)
 _LINE_COLUMNS = ("l_linenumber", "l_quantity", "p_name", "original", "discount")
 
 
-def _line_node() -> Column:
+def _line_node(line: Column) -> Column:
     """A line whose discount shows as two allocations (odd line numbers) or as the gap
     between its totals (even ones); line 7 has no product and names it in its title."""
-    odd = F.col("l_linenumber") % 2 == 1
-    original, discount = F.col("original"), F.col("discount")
-    half = F.expr("(discount + 1) div 2")
+    odd = line["l_linenumber"] % 2 == 1
+    original, discount = line["original"], line["discount"]
+    half = F.call_function("div", discount + 1, F.lit(2))
     return F.struct(
-        F.col("p_name").alias("title"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.when(F.col("l_linenumber") != 7, F.struct(F.col("p_name").alias("title"))).alias("product"),
+        line["p_name"].alias("title"),
+        line["l_quantity"].cast("bigint").alias("quantity"),
+        F.when(line["l_linenumber"] != 7, F.struct(line["p_name"].alias("title"))).alias("product"),
         _money_set(_amount(original)).alias("originalTotalSet"),
         _money_set(_amount(F.when(odd, original).otherwise(original - discount))).alias(
             "discountedTotalSet"
@@ -197,6 +205,24 @@ def _line_node() -> Column:
     )
 
 
+def _order_node(order: Column) -> Column:
+    """An order with its lines; on a continuation page only the id, the cancellation and
+    the lines are there."""
+    head, created = order["head"], F.date_format(order["created_at"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.struct(
+        order["o_orderkey"].cast("string").alias("id"),
+        head["name"].alias("name"),
+        F.when(head.isNotNull(), created).alias("createdAt"),
+        F.when(order["cancelled"], created).alias("cancelledAt"),
+        head["financial_status"].alias("displayFinancialStatus"),
+        _money_set(head["total_price"]).alias("totalPriceSet"),
+        _money_set(head["total_discounts"]).alias("totalDiscountsSet"),
+        _money_set(head["total_refunded"]).alias("totalRefundedSet"),
+        _money_set(head["shipping_charged"]).alias("totalShippingPriceSet"),
+        F.struct(F.transform(order["lines"], _line_node).alias("nodes")).alias("lineItems"),
+    )
+
+
 def _bounds(rows: DataFrame, key: str, size: int) -> tuple[int, int]:
     """First and last page number; one row reaches the driver."""
     low, high = rows.agg(F.min(key), F.max(key)).first()
@@ -245,38 +271,31 @@ def order_pages(
             *_LINE_COLUMNS,
         )
     )
-    created = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    head = F.struct(
-        F.col("name").alias("name"),
-        created.alias("createdAt"),
-        F.col("financial_status").alias("displayFinancialStatus"),
-        _money_set(F.col("total_price")).alias("totalPriceSet"),
-        _money_set(F.col("total_discounts")).alias("totalDiscountsSet"),
-        _money_set(F.col("total_refunded")).alias("totalRefundedSet"),
-        _money_set(F.col("shipping_charged")).alias("totalShippingPriceSet"),
-    )
-    # One shuffle of flat rows on (page, chunk) serves both groupings above it.
+    # One shuffle of flat rows on (page, chunk) serves both groupings above it; the
+    # nested nodes are built last, once per page.
     nodes = (
         heads.unionByName(lines, allowMissingColumns=True)
         .repartition("page", "chunk")
         .groupBy("page", "chunk", "o_orderkey")
         .agg(
-            F.first(F.when(F.col("name").isNotNull(), head), ignorenulls=True).alias("head"),
-            F.first(F.when(F.col("cancelled"), created), ignorenulls=True).alias("cancelled_at"),
-            F.collect_list(F.when(F.col("l_linenumber").isNotNull(), _line_node())).alias("lines"),
+            F.first(
+                F.when(F.col("name").isNotNull(), F.struct(*_HEAD_COLUMNS)), ignorenulls=True
+            ).alias("head"),
+            F.first("created_at").alias("created_at"),
+            F.first("cancelled").alias("cancelled"),
+            F.collect_list(
+                F.when(F.col("l_linenumber").isNotNull(), F.struct(*_LINE_COLUMNS))
+            ).alias("lines"),
         )
     )
-    node = F.struct(
-        F.col("o_orderkey").cast("string").alias("id"),
-        "head.*",
-        F.col("cancelled_at").alias("cancelledAt"),
-        F.struct(F.col("lines").alias("nodes")).alias("lineItems"),
+    order = F.struct("o_orderkey", "head", "created_at", "cancelled", "lines")
+    cursor, body = _landed(
+        "orders", F.col("page"), bounds, F.transform(F.col("orders"), _order_node)
     )
-    cursor, body = _landed("orders", F.col("page"), bounds, F.col("nodes"))
     more = F.col("chunk") > 0
     return (
         nodes.groupBy("page", "chunk")
-        .agg(F.collect_list(node).alias("nodes"))
+        .agg(F.collect_list(order).alias("orders"))
         .select(
             F.when(more, "order_lines").otherwise("orders").alias("resource"),
             F.when(more, F.concat_ws("/", "page", "chunk")).otherwise(cursor).alias("request_cursor"),
