@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from storeledger.functions.pii import EMAIL  # noqa: E402
-from storeledger.operators import flatten, marts, quality, report, semantic  # noqa: E402
+from storeledger.operators import flatten, marts, quality, report, rollups, semantic  # noqa: E402
 from storeledger.plans import pipeline  # noqa: E402
 from storeledger.plans.contract import CONTRACT  # noqa: E402
 from storeledger.session import configure, scratch_dir  # noqa: E402
@@ -44,8 +44,16 @@ def _stage(name: str):
     return lambda spark, sf: _doubles(_staged(spark, sf, name))
 
 
-def _over(operator, *staged: str):
-    return lambda spark, sf: operator(*[_staged(spark, sf, name) for name in staged])
+def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A staged table, or a rollup of one."""
+    if name not in pipeline.ROLLUPS:
+        return _staged(spark, sf_dir, name)
+    operator, staged = pipeline.ROLLUPS[name]
+    return operator(_staged(spark, sf_dir, staged))
+
+
+def _over(operator, *sources: str):
+    return lambda spark, sf: operator(*[_source(spark, sf, name) for name in sources])
 
 
 def _mart(name: str):
@@ -82,7 +90,7 @@ def _entity_schema_report(spark, sf):
 
 
 def _kept_orders(orders: DataFrame) -> DataFrame:
-    return _doubles(marts.kept(orders).select("order_id", "created_at", "total_price"))
+    return _doubles(rollups.kept(orders).select("order_id", "created_at", "total_price"))
 
 
 def _flatten_orders(spark, sf):
@@ -154,6 +162,13 @@ def _publish_counts(spark, sf):
     return tables.counts_frame(spark, counts)
 
 
+def _published_product_leaks(spark, sf):
+    """One mart after the whole way: pages, raw tables, rollups, marts, published copy."""
+    root = scratch_dir(spark, "run")
+    pipeline.run(spark, driver_tables.landed_pages(spark, sf), root)
+    return tables.read_tables(spark, f"{root}/published", ["product_leaks"])["product_leaks"]
+
+
 def _pii_scan_documents(spark, sf):
     return quality.pii_scan(driver_tables.documents(spark, sf), "text")
 
@@ -165,10 +180,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_variants": _stage("stg_variants"),
     # pieces of the marts
     "kept_orders": _over(_kept_orders, "stg_orders"),
-    "cancelled_value": _over(marts.cancelled_value, "stg_orders"),
-    "revenue_total": _over(marts.revenue_total, "stg_orders"),
-    "capital_total": _over(marts.capital_total, "stg_variants"),
-    "product_unit_cost": _over(marts.product_unit_cost, "stg_variants"),
+    "cancelled_value": _over(marts.cancelled_value, "order_months"),
+    "revenue_total": _over(marts.revenue_total, "order_months"),
+    "capital_total": _over(marts.capital_total, "product_costs"),
+    "product_unit_cost": _over(marts.product_unit_cost, "product_costs"),
     # marts
     "cost_discounts": _mart("cost_discounts"),
     "cost_refunds": _mart("cost_refunds"),
@@ -211,6 +226,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_roundtrip": _raw_roundtrip,
     "load_counts": _load_counts,
     "publish_counts": _publish_counts,
+    "published_product_leaks": _published_product_leaks,
 }
 
 
@@ -554,6 +570,7 @@ def oracle_sql() -> dict[str, str]:
         "entity_schema_report": _schema_report_sql(),
         "pii_scan_documents": _PII_SQL,
         "raw_roundtrip": _ITEMS_SQL,
+        "published_product_leaks": _base(_MART_SQL["product_leaks"]),
         "load_counts": _base(
             """SELECT 'orders' AS "table", count(*) AS rows FROM b_orders
                UNION ALL SELECT 'order_items', count(*) FROM b_items

@@ -1,83 +1,61 @@
-"""The six marts over staged tables.
+"""The six marts over rollups and staged tables.
 
 Marts are unsorted; ``operators.report`` sorts when it reads. Amounts stay exact
-decimals through every sum and leave as doubles. Each hot month or product is
-summed on the map side before its rows are shuffled.
+decimals through every sum and leave as doubles.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.functions.money import as_double, exact_ratio, percent, rounded
+from storeledger.operators.rollups import kept
 
 
-def kept(rows: DataFrame) -> DataFrame:
-    """Rows of orders that stand; a missing flag counts as neither kept nor cancelled."""
-    return rows.filter(~F.col("cancelled"))
-
-
-def _by_month(orders: DataFrame, amount: str, counter: str) -> DataFrame:
-    month = F.trunc(F.col("created_at").cast("date"), "month").cast("timestamp_ntz")
-    return (
-        kept(orders)
-        .groupBy(month.alias("month"))
-        .agg(
-            F.count_if(F.col(amount) > 0).alias(counter),
-            rounded(F.sum(amount)).alias("amount_gbp"),
-        )
-    )
-
-
-def cost_discounts(orders: DataFrame) -> DataFrame:
+def cost_discounts(months: DataFrame) -> DataFrame:
     """Discounts by month of order creation."""
-    return _by_month(orders, "total_discounts", "discounted_orders")
+    return kept(months).select("month", "discounted_orders", rounded(F.col("discounts")).alias("amount_gbp"))
 
 
-def cost_refunds(orders: DataFrame) -> DataFrame:
+def cost_refunds(months: DataFrame) -> DataFrame:
     """Refunds by month of order creation (not of the refund)."""
-    return _by_month(orders, "total_refunded", "refunded_orders")
+    return kept(months).select("month", "refunded_orders", rounded(F.col("refunds")).alias("amount_gbp"))
 
 
-def _order_sums(orders: DataFrame) -> DataFrame:
+def _order_sums(months: DataFrame) -> DataFrame:
     standing, cancelled = ~F.col("cancelled"), F.col("cancelled")
 
     def total(amount: str, condition: Column) -> Column:
         return F.sum(F.when(condition, F.col(amount)))
 
-    return orders.agg(
-        total("total_price", standing).alias("revenue"),
-        total("total_refunded", standing).alias("refunds"),
-        total("total_discounts", standing).alias("discounts"),
-        total("total_price", cancelled).alias("cancelled_value"),
+    return months.agg(
+        total("price", standing).alias("revenue"),
+        total("refunds", standing).alias("refunds"),
+        total("discounts", standing).alias("discounts"),
+        total("price", cancelled).alias("cancelled_value"),
     )
 
 
-def revenue_total(orders: DataFrame) -> DataFrame:
-    return kept(orders).agg(as_double(F.sum("total_price")).alias("revenue"))
-
+def revenue_total(months: DataFrame) -> DataFrame:
+    return _order_sums(months).select(as_double(F.col("revenue")).alias("revenue"))
 
-def cancelled_value(orders: DataFrame) -> DataFrame:
-    return orders.filter("cancelled").agg(
-        as_double(F.sum("total_price")).alias("cancelled_value")
-    )
 
+def cancelled_value(months: DataFrame) -> DataFrame:
+    return _order_sums(months).select(as_double(F.col("cancelled_value")).alias("cancelled_value"))
 
-def _capital_sum(variants: DataFrame) -> DataFrame:
-    return variants.agg(F.sum(F.col("inventory_quantity") * F.col("unit_cost")).alias("capital"))
 
-
-def capital_total(variants: DataFrame) -> DataFrame:
+def capital_total(costs: DataFrame) -> DataFrame:
     """Stock value; oversold variants lower it, variants without a cost are left out."""
-    return _capital_sum(variants).select(as_double(F.col("capital")).alias("capital"))
+    return costs.agg(as_double(F.sum("capital")).alias("capital"))
 
 
-def money_summary(orders: DataFrame, variants: DataFrame) -> DataFrame:
+def money_summary(months: DataFrame, costs: DataFrame) -> DataFrame:
     """Where the money goes: always four rows, scaled by the revenue of kept orders.
 
-    One pass over each table. The two one-row results are folded into one row
-    and then turned into four; no revenue gives a null percentage.
+    The two one-row results are folded into one row and then turned into four; no
+    revenue gives a null percentage.
     """
-    parts = _order_sums(orders).unionByName(_capital_sum(variants), allowMissingColumns=True)
+    capital = costs.agg(F.sum("capital").alias("capital"))
+    parts = _order_sums(months).unionByName(capital, allowMissingColumns=True)
     sums = parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
     labelled = sums.select(
         "revenue",
@@ -97,70 +75,44 @@ def money_summary(orders: DataFrame, variants: DataFrame) -> DataFrame:
     )
 
 
-def product_leaks(items: DataFrame) -> DataFrame:
-    """Per product: orders, units, net revenue, discount and its share of the gross.
-
-    The distinct count first groups by product and order, so the lines of a hot
-    product spread over many tasks.
-    """
-    return (
-        kept(items)
-        .groupBy("product")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.sum("quantity").alias("units"),
-            rounded(F.sum("discounted_total")).alias("revenue_gbp"),
-            rounded(F.sum("discount")).alias("discount_gbp"),
-            percent(F.sum("discount"), F.sum("original_total"), 1).alias("discount_pct"),
-        )
-    )
-
-
-def _costs(variants: DataFrame) -> DataFrame:
-    """Sum and number of the unit costs a product's variants have."""
-    return (
-        variants.filter(F.col("unit_cost").isNotNull())
-        .groupBy("product")
-        .agg(F.sum("unit_cost").alias("cost_sum"), F.count("unit_cost").alias("cost_count"))
+def product_leaks(sales: DataFrame) -> DataFrame:
+    """Per product: orders, units, net revenue, discount and its share of the gross."""
+    return sales.select(
+        "product",
+        "orders",
+        "units",
+        rounded(F.col("net")).alias("revenue_gbp"),
+        rounded(F.col("given")).alias("discount_gbp"),
+        percent(F.col("given"), F.col("gross"), 1).alias("discount_pct"),
     )
 
 
-def product_unit_cost(variants: DataFrame) -> DataFrame:
+def product_unit_cost(costs: DataFrame) -> DataFrame:
     """Mean unit cost per product over its variants that have one."""
     mean = as_double(F.col("cost_sum")) / F.col("cost_count")
-    return _costs(variants).select("product", mean.alias("unit_cost"))
+    return costs.select("product", mean.alias("unit_cost"))
 
 
-def product_margin(items: DataFrame, variants: DataFrame) -> DataFrame:
+def product_margin(sales: DataFrame, costs: DataFrame) -> DataFrame:
     """Per product with a known cost: revenue, cost of goods, margin, and how much
     of the margin before discounts the discounts used up.
 
-    Both sides are down to one row per product before they meet. Amounts are kept
-    times the number of costs until the last division, so the mean cost is never
-    rounded on the way.
+    Both sides are one row per product. Amounts are kept times the number of costs
+    until the last division, so the mean cost is never rounded on the way.
     """
-    sold = (
-        kept(items)
-        .groupBy("product")
-        .agg(
-            F.sum("quantity").alias("units"),
-            F.sum("discounted_total").alias("net"),
-            F.sum("discount").alias("given"),
-        )
-    )
-    costs = F.col("cost_count")
+    n = F.col("cost_count")
     return (
-        sold.join(_costs(variants), "product")
+        sales.join(costs, "product")
         .withColumn("cogs", F.col("units") * F.col("cost_sum"))
-        .withColumn("revenue", F.col("net") * costs)
-        .withColumn("discount", F.col("given") * costs)
+        .withColumn("revenue", F.col("net") * n)
+        .withColumn("discount", F.col("given") * n)
         .withColumn("margin", F.col("revenue") - F.col("cogs"))
         .select(
             "product",
             "units",
             rounded(F.col("net")).alias("revenue_gbp"),
-            exact_ratio(F.col("cogs"), costs, 2).alias("cogs_gbp"),
-            exact_ratio(F.col("margin"), costs, 2).alias("margin_gbp"),
+            exact_ratio(F.col("cogs"), n, 2).alias("cogs_gbp"),
+            exact_ratio(F.col("margin"), n, 2).alias("margin_gbp"),
             percent(F.col("margin"), F.col("revenue"), 1).alias("margin_pct"),
             rounded(F.col("given")).alias("discount_gbp"),
             percent(F.col("discount"), F.col("margin") + F.col("discount"), 1).alias(

@@ -1,8 +1,8 @@
-"""The whole run: landed pages, raw tables, marts, published marts, report."""
+"""The whole run: landed pages, raw tables, rollups, marts, published marts, report."""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeledger.operators import flatten, marts, report, staging
+from storeledger.operators import flatten, marts, report, rollups, staging
 from storeledger.sources import pages as page_sources
 from storeledger.sources import tables
 
@@ -24,24 +24,41 @@ STAGING = {
     "stg_variants": (staging.stg_variants, "variants"),
 }
 
-# Each mart with the staged tables it is computed from, in argument order.
+ROLLUPS = {
+    "order_months": (rollups.order_months, "stg_orders"),
+    "product_sales": (rollups.product_sales, "stg_order_items"),
+    "product_costs": (rollups.product_costs, "stg_variants"),
+}
+
+# Each mart with the rollups or staged tables it is computed from, in argument order.
 MARTS = {
-    "cost_discounts": (marts.cost_discounts, ["stg_orders"]),
-    "cost_refunds": (marts.cost_refunds, ["stg_orders"]),
-    "money_summary": (marts.money_summary, ["stg_orders", "stg_variants"]),
-    "product_leaks": (marts.product_leaks, ["stg_order_items"]),
-    "product_margin": (marts.product_margin, ["stg_order_items", "stg_variants"]),
+    "cost_discounts": (marts.cost_discounts, ["order_months"]),
+    "cost_refunds": (marts.cost_refunds, ["order_months"]),
+    "money_summary": (marts.money_summary, ["order_months", "product_costs"]),
+    "product_leaks": (marts.product_leaks, ["product_sales"]),
+    "product_margin": (marts.product_margin, ["product_sales", "product_costs"]),
     "stock_capital": (marts.stock_capital, ["stg_variants"]),
 }
 
 
+def _apply(steps: dict, inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: operator(inputs[source]) for name, (operator, source) in steps.items()}
+
+
 def stage(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: operator(raw[source]) for name, (operator, source) in STAGING.items()}
+    return _apply(STAGING, raw)
 
 
-def build_marts(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def roll_up(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return _apply(ROLLUPS, staged)
+
+
+def build_marts(
+    staged: dict[str, DataFrame], rolled: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    inputs = {**staged, **(rolled or roll_up(staged))}
     return {
-        name: operator(*[staged[source] for source in sources])
+        name: operator(*[inputs[source] for source in sources])
         for name, (operator, sources) in MARTS.items()
     }
 
@@ -64,10 +81,15 @@ def load(pages: DataFrame, root: str) -> dict[str, int]:
 
 
 def model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Stage the raw tables, replace the six mart tables and read them back."""
+    """Stage the raw tables, replace the six mart tables and read them back.
+
+    The rollups are written first, so orders and order items, the two large
+    tables, are each read once for all marts.
+    """
     staged = stage(tables.read_raw(spark, f"{root}/raw"))
     create_views(staged)
-    built = build_marts(staged)
+    tables.replace_tables(roll_up(staged), f"{root}/rollups")
+    built = build_marts(staged, tables.read_tables(spark, f"{root}/rollups", ROLLUPS))
     tables.replace_tables(built, f"{root}/marts")
     return tables.read_tables(spark, f"{root}/marts", built)
 

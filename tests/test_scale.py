@@ -12,7 +12,7 @@ from storeledger.sources import driver_tables, pages, tables
 from test_oracle import normal
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"raw_roundtrip", "load_counts", "publish_counts"}
+EAGER = {"raw_roundtrip", "load_counts", "publish_counts", "published_product_leaks"}
 
 
 def executed(frame):
@@ -125,6 +125,7 @@ def shuffled_joins(spark):
 @pytest.mark.parametrize("name", [
     "stg_orders", "product_leaks", "product_margin", "money_summary", "cost_discounts",
     "flatten_orders", "flatten_items", "item_discount", "page_chain_gaps", "load_counts", "publish_counts",
+    "published_product_leaks",
 ])
 def test_hot_keys_keep_results_whole(spark, skewed, shuffled_joins, name):
     folder, con = skewed
