@@ -165,7 +165,8 @@ def _publish_counts(spark, sf):
 def _published_product_leaks(spark, sf):
     """One mart after the whole way: pages, raw tables, rollups, marts, published copy."""
     root = scratch_dir(spark, "run")
-    pipeline.run(spark, driver_tables.landed_pages(spark, sf), root)
+    pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
+    pipeline.run(spark, pages.read_archive(spark, f"{root}/landing"), root)
     return tables.read_tables(spark, f"{root}/published", ["product_leaks"])["product_leaks"]
 
 
