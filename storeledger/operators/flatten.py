@@ -51,7 +51,7 @@ def flatten_orders(pages: DataFrame) -> DataFrame:
 def order_lines(pages: DataFrame) -> DataFrame:
     """One row per order line with its amounts before the discount rule."""
     lines = nodes(
-        pages, ("orders", "order_lines"), schemas.ORDER_LINES_PAGE, "orders"
+        pages, ("orders", "order_lines"), schemas.ORDER_LINES_PAGE, "orders", "lineItems"
     ).select(
         F.col("node.id").alias("order_id"),
         F.col("node.cancelledAt").isNotNull().alias("cancelled"),
@@ -89,7 +89,7 @@ def flatten_items(pages: DataFrame) -> DataFrame:
 
 def flatten_variants(pages: DataFrame) -> DataFrame:
     p = F.col("node")
-    variants = nodes(pages, ("products",), schemas.PRODUCT_PAGE, "products").select(
+    variants = nodes(pages, ("products",), schemas.PRODUCT_PAGE, "products", "variants").select(
         p["id"].alias("product_id"),
         p["title"].alias("product"),
         p["status"].alias("status"),

@@ -58,7 +58,25 @@ def has_errors(page: Column) -> Column:
     return page["errors"].isNotNull() & ~F.trim(page["errors"]).isin(*_NO_ERRORS)
 
 
-def nodes(pages: DataFrame, resources: tuple[str, ...], schema: str, name: str) -> DataFrame:
+def _incomplete(nodes: Column, children: str | None) -> Column:
+    """A list with a null node, a node without its list of children, or a null child."""
+
+    def broken(node: Column) -> Column:
+        if children is None:
+            return node.isNull()
+        listed = node[children]["nodes"]
+        return node.isNull() | listed.isNull() | F.exists(listed, lambda child: child.isNull())
+
+    return F.exists(nodes, broken)
+
+
+def nodes(
+    pages: DataFrame,
+    resources: tuple[str, ...],
+    schema: str,
+    name: str,
+    children: str | None = None,
+) -> DataFrame:
     """The nodes of the given pages, one per row; a bad page fails the job.
 
     The check asks for the resource itself, so it holds wherever the optimizer
@@ -75,6 +93,10 @@ def nodes(pages: DataFrame, resources: tuple[str, ...], schema: str, name: str)
             F.raise_error(F.concat(F.lit("page with errors: "), page["errors"])),
         )
         .when(wanted & found.isNull(), F.raise_error(F.lit(f"{name} page without nodes")))
+        .when(
+            wanted & _incomplete(found, children),
+            F.raise_error(F.lit(f"{name} page with an incomplete node")),
+        )
         .otherwise(found)
     )
     return (
@@ -89,6 +111,9 @@ def _problem(resource: Column, page: Column) -> Column:
     orders, products = page["data"]["orders"], page["data"]["products"]
     is_product = resource == "products"
     nodes_missing = F.when(is_product, products["nodes"].isNull()).otherwise(orders["nodes"].isNull())
+    incomplete = F.when(is_product, _incomplete(products["nodes"], "variants")).otherwise(
+        _incomplete(orders["nodes"], "lineItems")
+    )
     more = F.when(is_product, products["pageInfo"]["hasNextPage"]).otherwise(
         orders["pageInfo"]["hasNextPage"]
     )
@@ -106,6 +131,7 @@ def _problem(resource: Column, page: Column) -> Column:
         .when(unreadable(page), "unreadable")
         .when(has_errors(page), "errors")
         .when(nodes_missing, "no nodes")
+        .when(incomplete, "incomplete node")
         .when((resource != "order_lines") & more.isNull(), "no page info")
         .when(broken_allocation, "broken allocation")
     )

@@ -20,6 +20,9 @@ BAD = [
     ("customers", "f", "{}"),
     page("orders", "g", [order("O9", "2026-01-01T00:00:00Z", None, "1", "0", None, [BROKEN])]),
     ("orders", "h", PAGES[0][2][:-20]),
+    page("orders", "i", [ORDERS[0], None]),
+    page("orders", "j", [{**ORDERS[0], "lineItems": None}]),
+    page("products", "k", [{**PRODUCTS[0], "variants": {"nodes": [None]}}]),
 ]
 
 
@@ -51,6 +54,9 @@ def test_problems(spark):
         "f": "unknown resource",
         "g": "broken allocation",
         "h": "unreadable",
+        "i": "incomplete node",
+        "j": "incomplete node",
+        "k": "incomplete node",
     }
 
 
@@ -73,12 +79,21 @@ def test_bad_pages_set_aside(spark, tmp_path):
     (BAD[1], "unreadable orders page"),
     (BAD[3], "without nodes"),
     (BAD[6], "allocation without an amount"),
+    (BAD[8], "incomplete node"),
+    (BAD[9], "incomplete node"),
 ])
 def test_strict_load_fails(spark, bad, message):
     with pytest.raises(Exception, match=message):
         flatten.flatten_items(pages_frame(spark, PAGES + [bad])).collect()
 
 
+def test_strict_load_of_heads_and_variants_fails(spark):
+    with pytest.raises(Exception, match="incomplete node"):
+        flatten.flatten_orders(pages_frame(spark, [BAD[8]])).collect()
+    with pytest.raises(Exception, match="incomplete node"):
+        flatten.flatten_variants(pages_frame(spark, [BAD[10]])).collect()
+
+
 def test_bad_landing_line_fails(spark, tmp_path):
     (tmp_path / "pages.json").write_text('{"resource": "orders", "body": "{}"}\nnot json\n')
     with pytest.raises(Exception):
