@@ -167,7 +167,7 @@ def _published_product_leaks(spark, sf):
     root = scratch_dir(spark, "run")
     pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
     pipeline.run(spark, pages.read_archive(spark, f"{root}/landing"), root)
-    return tables.read_tables(spark, f"{root}/published", ["product_leaks"])["product_leaks"]
+    return spark.read.parquet(f"{root}/published/product_leaks")
 
 
 def _pii_scan_documents(spark, sf):

@@ -88,10 +88,11 @@ def model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """
     staged = stage(tables.read_raw(spark, f"{root}/raw"))
     create_views(staged)
-    tables.replace_tables(roll_up(staged), f"{root}/rollups")
-    built = build_marts(staged, tables.read_tables(spark, f"{root}/rollups", ROLLUPS))
+    rolled = roll_up(staged)
+    tables.replace_tables(rolled, f"{root}/rollups")
+    built = build_marts(staged, tables.read_back(rolled, f"{root}/rollups"))
     tables.replace_tables(built, f"{root}/marts")
-    return tables.read_tables(spark, f"{root}/marts", built)
+    return tables.read_back(built, f"{root}/marts")
 
 
 def publish(built: dict[str, DataFrame], root: str) -> dict[str, int]:

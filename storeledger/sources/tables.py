@@ -41,8 +41,12 @@ def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+def read_back(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The same tables as written below ``root``, with the schemas they were written with."""
+    return {
+        name: rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/{name}")
+        for name, rows in tables.items()
+    }
 
 
 def counts_frame(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
