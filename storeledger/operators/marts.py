@@ -75,9 +75,13 @@ def money_summary(months: DataFrame, costs: DataFrame) -> DataFrame:
     )
 
 
-def product_leaks(sales: DataFrame) -> DataFrame:
-    """Per product: orders, units, net revenue, discount and its share of the gross."""
-    return sales.select(
+def product_leaks(sums: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per product: orders, units, net revenue, discount and its share of the gross.
+
+    Both sides have one row for every product, a missing title included.
+    """
+    counted = orders.withColumnRenamed("product", "counted")
+    return sums.join(counted, F.col("product").eqNullSafe(F.col("counted"))).select(
         "product",
         "orders",
         "units",
@@ -93,7 +97,7 @@ def product_unit_cost(costs: DataFrame) -> DataFrame:
     return costs.select("product", mean.alias("unit_cost"))
 
 
-def product_margin(sales: DataFrame, costs: DataFrame) -> DataFrame:
+def product_margin(sums: DataFrame, costs: DataFrame) -> DataFrame:
     """Per product with a known cost: revenue, cost of goods, margin, and how much
     of the margin before discounts the discounts used up.
 
@@ -102,7 +106,7 @@ def product_margin(sales: DataFrame, costs: DataFrame) -> DataFrame:
     """
     n = F.col("cost_count")
     return (
-        sales.join(costs, "product")
+        sums.join(costs, "product")
         .withColumn("cogs", F.col("units") * F.col("cost_sum"))
         .withColumn("revenue", F.col("net") * n)
         .withColumn("discount", F.col("given") * n)

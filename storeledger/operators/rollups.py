@@ -26,17 +26,12 @@ def order_months(orders: DataFrame) -> DataFrame:
     )
 
 
-def product_sales(items: DataFrame) -> DataFrame:
-    """Kept lines by product.
-
-    The distinct count first groups by product and order, so the lines of a hot
-    product spread over many tasks.
-    """
+def product_sums(items: DataFrame) -> DataFrame:
+    """Units and amounts of kept lines by product."""
     return (
         kept(items)
         .groupBy("product")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
             F.sum("quantity").alias("units"),
             F.sum("original_total").alias("gross"),
             F.sum("discounted_total").alias("net"),
@@ -45,6 +40,16 @@ def product_sales(items: DataFrame) -> DataFrame:
     )
 
 
+def product_orders(items: DataFrame) -> DataFrame:
+    """Distinct orders with kept lines by product.
+
+    On its own, so that the shuffle by product and order, which summing on the map
+    side hardly shrinks, carries keys and no amounts. It spreads the lines of a hot
+    product over many tasks.
+    """
+    return kept(items).groupBy("product").agg(F.count_distinct("order_id").alias("orders"))
+
+
 def product_costs(variants: DataFrame) -> DataFrame:
     """Variants with a unit cost by product: sum and number of costs, and stock value."""
     return (

@@ -26,7 +26,8 @@ STAGING = {
 
 ROLLUPS = {
     "order_months": (rollups.order_months, "stg_orders"),
-    "product_sales": (rollups.product_sales, "stg_order_items"),
+    "product_sums": (rollups.product_sums, "stg_order_items"),
+    "product_orders": (rollups.product_orders, "stg_order_items"),
     "product_costs": (rollups.product_costs, "stg_variants"),
 }
 
@@ -35,8 +36,8 @@ MARTS = {
     "cost_discounts": (marts.cost_discounts, ["order_months"]),
     "cost_refunds": (marts.cost_refunds, ["order_months"]),
     "money_summary": (marts.money_summary, ["order_months", "product_costs"]),
-    "product_leaks": (marts.product_leaks, ["product_sales"]),
-    "product_margin": (marts.product_margin, ["product_sales", "product_costs"]),
+    "product_leaks": (marts.product_leaks, ["product_sums", "product_orders"]),
+    "product_margin": (marts.product_margin, ["product_sums", "product_costs"]),
     "stock_capital": (marts.stock_capital, ["stg_variants"]),
 }
 
@@ -83,8 +84,8 @@ def load(pages: DataFrame, root: str) -> dict[str, int]:
 def model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Stage the raw tables, replace the six mart tables and read them back.
 
-    The rollups are written first, so orders and order items, the two large
-    tables, are each read once for all marts.
+    The rollups are written first and shared, so no mart but stock capital reads
+    a large table again.
     """
     staged = stage(tables.read_raw(spark, f"{root}/raw"))
     create_views(staged)

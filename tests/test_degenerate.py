@@ -100,3 +100,14 @@ def test_garbage_number_fails(spark):
     bad = order("O1", "2026-01-01T00:00:00Z", None, "ten", "0", None, [])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         pipeline.flatten_pages(pages_frame(spark, [page("orders", None, [bad])]))["orders"].collect()
+
+
+def test_line_without_any_title(spark):
+    """A line that names no product forms a row of its own and meets no cost."""
+    nameless = line(None, 2, "10.00", "8.00", [], product=None)
+    orders = [order("O1", "2026-01-01T00:00:00Z", None, "8.00", "0.00", None, [nameless, line("Mug", 1, "5.00", "5.00", [])])]
+    marts = marts_of(spark, orders)
+    assert rows_of(marts["product_leaks"], "product") == [
+        (None, 1, 2, 8.0, 2.0, 20.0), ("Mug", 1, 1, 5.0, 0.0, 0.0),
+    ]
+    assert [r["product"] for r in marts["product_margin"].collect()] == ["Mug"]
