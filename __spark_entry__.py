@@ -7,6 +7,8 @@ Exact amounts leave as doubles on both sides.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -243,8 +245,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["money_tree"](spark, "/root/testdata/sf0.001")
 
 
+def _llm_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    """Queries of the training-data subpackage with their SQL; none where it is not installed."""
+    found = importlib.util.find_spec("storeledger.llm")
+    if found is None or found.origin is None:
+        return {}
+    return importlib.import_module("storeledger.llm.queries").QUERIES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _configured(query) for name, query in _QUERIES.items()}
+    every = _QUERIES | {name: query for name, (query, _) in _llm_queries().items()}
+    return {name: _configured(query) for name, query in every.items()}
 
 
 # Oracle ---------------------------------------------------------------------
@@ -436,7 +447,8 @@ _VARIANTS_SQL = _base(
 
 def oracle_sql() -> dict[str, str]:
     in_filter = ", ".join(f"'{p}'" for p in FILTERED_PRODUCTS)
-    return {
+    llm = {name: sql for name, (_, sql) in _llm_queries().items() if sql}
+    return llm | {
         "stg_orders": _base(
             "SELECT order_id, name, created_at, cancelled, financial_status, " + _ORDER_COLUMNS
         ),

@@ -31,7 +31,7 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.sort_values(list(frame.columns), na_position="last").reset_index(drop=True)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     got = normal(entry_module.queries()[name](spark, SF_DIR).toPandas())
     want = normal(duck.execute(entry_module.oracle_sql()[name]).df())
@@ -39,7 +39,9 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    """The training-data queries may have none; their own tests hold them against brute force."""
+    own = set(entry_module.queries()) - set(entry_module._llm_queries())
+    assert own <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
