@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storeledger.llm.jaccard_join import jaccard_join
+from storeledger.llm.packing import pack
 from storeledger.llm.support import Scratch, documents
 
 
@@ -12,7 +14,15 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir, "doc_id", "text"), Scratch(spark, "op2"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(documents(spark, sf_dir, "doc_id", "text"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 #: name: (query, SQL or None)
 QUERIES = {
     "op2_jaccard_join": (op2_jaccard_join, None),
+    "op7_packing": (op7_packing, None),
 }
