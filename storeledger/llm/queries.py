@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeledger.llm.decontaminate import contamination
 from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.packing import pack
 from storeledger.llm.support import Scratch, documents
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination(documents(spark, sf_dir, "doc_id", "text"), benchmark)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir, "doc_id", "text"), Scratch(spark, "op2"))
 
@@ -23,6 +29,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: name: (query, SQL or None)
 QUERIES = {
+    "op1_decontamination": (op1_decontamination, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
     "op7_packing": (op7_packing, None),
 }

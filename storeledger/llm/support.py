@@ -84,6 +84,9 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# All of ASCII but letters and digits.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
 _LETTER = np.random.default_rng(20240229).integers(0, 2**64, 256, np.uint64)
 _LETTER[65:91] = _LETTER[97:123]  # A-Z hash as a-z
 _BASE = 0x9E3779B97F4A7C15
@@ -119,12 +122,17 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words `[^\\x20\\x09-\\x0D]+` of each text: starts, ends, and each text's first word (one more entry)."""
+def spans(
+    data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text: starts, ends, and each text's first word (one more entry).
+
+    Words are `[^\\x20\\x09-\\x0D]+`, or runs of what is not in another table of blank bytes.
+    """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    space = _SPACE[data]
+    space = blanks[data]
     begin = ~space
     end = begin.copy()
     begin[1:] &= space[:-1]
@@ -146,9 +154,11 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * powers(_BASE_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and each text's first word."""
-    starts, ends, firsts = spans(data, offsets)
+    starts, ends, firsts = spans(data, offsets, blanks)
     return range_hashes(data, starts, ends), firsts
 
 
