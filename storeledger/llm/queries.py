@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from storeledger.llm.decontaminate import contamination
 from storeledger.llm.jaccard_join import jaccard_join
+from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.packing import pack
-from storeledger.llm.support import Scratch, documents
+from storeledger.llm.support import Scratch, crc_remainder, documents
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +28,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("held_out", crc_remainder("doc_id", 4) == 2)
+    model = train_language_model(docs.filter(~F.col("held_out")))
+    return identify_language(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 #: name: (query, SQL or None)
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
     "op7_packing": (op7_packing, None),
+    "op8_language_id": (op8_language_id, None),
 }
