@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.llm.decontaminate import contamination
+from storeledger.llm.fingerprints import likeness_under_edits
 from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.packing import pack
@@ -21,6 +22,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir, "doc_id", "text"), Scratch(spark, "op2"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likeness_under_edits(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(documents(spark, sf_dir, "doc_id", "text"))
     return pieces.select(
@@ -38,6 +43,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
+    "op3_fingerprints": (op3_fingerprints, None),
     "op7_packing": (op7_packing, None),
     "op8_language_id": (op8_language_id, None),
 }
