@@ -11,6 +11,7 @@ from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.packing import pack
 from storeledger.llm.support import Scratch, crc_remainder, documents
+from storeledger.llm.warc import read_archives, write_archives
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,31 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op10")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    archives = write_archives(pages, f"{scratch.folder}/warc", scratch)
+    found = read_archives(archives, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# SHA-1 in base32: eight groups of five hex digits, each four letters.
+_OP10_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (
+    SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+           min(page_id) OVER (PARTITION BY html) AS first
+    FROM payloads)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INT)) & 31)
+           + 1 AS INT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
+
+
 #: name: (query, SQL or None)
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
@@ -46,4 +72,5 @@ QUERIES = {
     "op3_fingerprints": (op3_fingerprints, None),
     "op7_packing": (op7_packing, None),
     "op8_language_id": (op8_language_id, None),
+    "op10_warc": (op10_warc, _OP10_SQL),
 }
