@@ -11,7 +11,10 @@ with any similar set. Others (few: n is chosen so) also emit the signatures of a
 family of partitions, and so on until more than k of one family are filled; for two similar
 sets the first family that suffices for either is emitted by both.
 
-Sets are distinct sets, known by a 64-bit digest; documents with equal sets are one.
+Sets are distinct sets, known by a 64-bit digest; documents with equal sets are one. Before
+sets are moved to be compared, pairs are held against sketches: for each of a few ranges of
+hashes, count and checksum modulo 16. They bound the difference of two sets from below, so
+only pairs that are surely not similar are put aside.
 """
 
 from __future__ import annotations
@@ -34,9 +37,13 @@ SHINGLE_WORDS = 5
 GROWTH = 1.3
 # Signatures held back to find repeated ones before they are shuffled.
 HELD = 1 << 19
-# Sets that share a signature are compared pair by pair up to so many; beyond, only those
-# that also share a signature of an independent family.
-SMALL_GROUP = 32
+# Sets of one signature that one key compares with each other, or with so many others; a
+# larger group is compared block by block.
+BLOCK = 1024
+# Documents whose ids are broadcast to pick their texts; beyond, texts are joined.
+BROADCAST_IDS = 1_000_000
+# A sketch has a power of two of ranges, about one for SKETCH_SHARE to twice as many elements.
+SKETCH_SHARE, SKETCH_LEAST, SKETCH_MOST = 6, 16, 512
 
 
 def difference_bound(total: int) -> int:
@@ -122,6 +129,54 @@ def signatures(sets: np.ndarray, offsets: np.ndarray, ids: np.ndarray, salt: int
     return np.concatenate(found), np.concatenate(owners)
 
 
+def _sketch_ranges(size: int) -> int:
+    return min(SKETCH_MOST, max(SKETCH_LEAST, 1 << max(0, (size // SKETCH_SHARE).bit_length() - 1)))
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """For each range of hash values, the count and a checksum of the set's elements there, modulo 16."""
+    ranges = _sketch_ranges(len(own))
+    mixed = mix(own ^ np.uint64(0x8A5CD789635D2DFF))
+    at = (mixed >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64)
+    counts = np.bincount(at, minlength=ranges)
+    checks = np.bincount(at, weights=(mixed & np.uint64(15)).astype(np.float64), minlength=ranges)
+    return ((counts % 16) * 16 + checks.astype(np.int64) % 16).astype(np.uint8).tobytes()
+
+
+def _folded(sketches: list[bytes], ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and checksums of all sketches over so many ranges."""
+    counts, checks = (np.empty((len(sketches), ranges), np.uint8) for _ in range(2))
+    for i, one in enumerate(sketches):
+        values = np.frombuffer(one, np.uint8)
+        if len(values) == ranges:
+            counts[i], checks[i] = values >> 4, values & 15
+        else:
+            parts = values.reshape(ranges, -1)
+            counts[i], checks[i] = (parts >> 4).sum(1) & 15, (parts & 15).sum(1) & 15
+    return counts, checks
+
+
+def _least_difference(counts: np.ndarray, checks: np.ndarray, one: int) -> np.ndarray:
+    """A lower bound of the elements in which set `one` differs from each set."""
+    more = (counts - counts[one]) & 15
+    apart = np.minimum(more, (16 - more) & 15)
+    apart[(apart == 0) & (checks != checks[one])] = 2
+    return apart.sum(1, dtype=np.int64)
+
+
+def may_be_similar(sizes: np.ndarray, sketches: list[bytes], one: int) -> np.ndarray:
+    """Whether each set may be similar to set `one`, by sizes and sketches."""
+    counts, checks = _folded(sketches, min(map(len, sketches)) if sketches else 0)
+    return _possible(sizes, counts, checks, one)
+
+
+def _possible(sizes: np.ndarray, counts: np.ndarray, checks: np.ndarray, one: int) -> np.ndarray:
+    total = sizes + sizes[one]
+    bound = total + 2 * (-4 * total // 9)
+    near = 100 * np.minimum(sizes, sizes[one]) >= 80 * np.maximum(sizes, sizes[one])
+    return near & (_least_difference(counts, checks, one) <= bound)
+
+
 def _texts(batches: Iterator[pa.RecordBatch], column: str):
     for batch in batches:
         data, offsets = utf8(batch.column(column))
@@ -132,9 +187,15 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str):
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, sets, offsets in _texts(batches, "text"):
+        sketches = [sketch(sets[s:e]) for s, e in zip(offsets[:-1], offsets[1:])]
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array(np.diff(offsets)), pa.array(digests(sets, offsets))],
-            ["doc_id", "n_shingles", "set_id"],
+            [
+                rows.column("doc_id"),
+                pa.array(np.diff(offsets)),
+                pa.array(digests(sets, offsets)),
+                pa.array(sketches, pa.binary()),
+            ],
+            ["doc_id", "n_shingles", "set_id", "sketch"],
         )
 
 
@@ -227,31 +288,71 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs `a`, `b` that are similar."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
-    sizes = F.octet_length("sa"), F.octet_length("sb")
-    near = F.least(*sizes) * 100 >= F.greatest(*sizes) * 80
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").filter(near).select("a", "b", "sa", "sb")
-    return rows.mapInArrow(_verify, "a long, b long")
-
-
-def _second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signatures of an independent family, of sets whose shingles are given."""
+def _possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = batch.column("shingles").to_pylist()
-        sets = np.frombuffer(b"".join(values), np.uint64)
-        offsets = np.cumsum([0, *(len(v) // 8 for v in values)])
-        found, own = signatures(sets, offsets, batch.column("set_id").to_numpy(), salt=1)
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(found.view(np.int64))], ["set_id", "sig2"])
-
+        rows = zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "ka", "kb")))
+        keep = [bool(may_be_similar(np.array([na, nb]), [ka, kb], 0)[1]) for na, nb, ka, kb in rows]
+        yield batch.select(["a", "b", "shared"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Possible pairs of each group's sets that have different labels; rows come group by group."""
+    group, held = None, []
+
+    def pairs() -> pa.RecordBatch:
+        ids, labels, sizes, blocks, sketches = zip(*held)
+        ids, labels, sizes, blocks = (np.array(x) for x in (ids, labels, sizes, blocks))
+        counts, checks = _folded(list(sketches), min(map(len, sketches)))
+        first = group[1] == group[2]
+        a, b = [], []
+        for i in range(len(ids)):
+            if not first and blocks[i] != group[1]:
+                continue
+            other = (ids > ids[i]) if first else (blocks != group[1])
+            found = np.flatnonzero(other & (labels != labels[i]) & _possible(sizes, counts, checks, i))
+            a.append(np.full(len(found), ids[i]))
+            b.append(ids[found])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-def _across(rows: DataFrame, *keys: str) -> DataFrame:
-    """Pairs of sets that share the keys and are not yet in one component."""
-    other = rows.select(*keys, F.col("set_id").alias("b"), F.col("label").alias("label_b"))
-    pairs = rows.join(other, [*keys]).filter("set_id < b and label <> label_b")
-    return pairs.select(F.col("set_id").alias("a"), "b").distinct()
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("sig", "i", "j", "set_id", "label", "n_shingles", "own", "sketch")]
+        for row in zip(*columns):
+            if row[:3] != group:
+                if len(held) > 1:
+                    yield pairs()
+                group, held = row[:3], []
+            held.append(row[3:])
+    if len(held) > 1:
+        yield pairs()
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Each row of a group of n once for every pair of blocks, `i` <= `j`, that its own block is in."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("set_id"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+
+class _Sets:
+    """Fetches the sets of documents from their texts."""
+
+    def __init__(self, docs: DataFrame, firsts: DataFrame, scratch: Scratch):
+        self.docs, self.firsts, self.scratch = docs, firsts, scratch
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs `a`, `b` that are similar, written."""
+        pairs = self.scratch.write(pairs.select("a", "b"), "pairs")
+        ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+        wanted = self.scratch.write(self.firsts.join(ids, "set_id", "left_semi").select("doc_id"), "wanted")
+        picked = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+        sets = self.docs.join(picked, "doc_id", "left_semi").select("text")
+        sets = self.scratch.write(sets.mapInArrow(_shingles, "set_id long, shingles binary"), "shingles")
+        left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
+        right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
+        rows = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+        return self.scratch.write(rows.mapInArrow(_verify, "a long, b long").distinct(), "links")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
@@ -275,27 +376,30 @@ def jaccard_join(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     support.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    described = scratch.write(docs.mapInArrow(_describe, "doc_id long, n_shingles long, set_id long"), "sets")
+    described = scratch.write(
+        docs.mapInArrow(_describe, "doc_id long, n_shingles long, set_id long, sketch binary"), "sets"
+    )
     known = docs.filter("doc_id is not null")
+    firsts = described.filter("doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    sketches = described.join(firsts, ["set_id", "doc_id"], "left_semi").select("set_id", "n_shingles", "sketch")
+    fetch = _Sets(known, firsts, scratch)
+
     members = scratch.write(_members(known), "members")
+    hubs = members.filter("set_id <> hub").groupBy(F.col("set_id").alias("a"), F.col("hub").alias("b"))
+    hubs = hubs.agg(F.count("*").alias("shared"))
+    hubs = hubs.join(sketches.toDF("a", "na", "ka"), "a").join(sketches.toDF("b", "nb", "kb"), "b")
     hubs = scratch.write(
-        members.filter("set_id <> hub")
-        .groupBy(F.col("set_id").alias("a"), F.col("hub").alias("b"))
-        .agg(F.count("*").alias("shared")),
+        hubs.select("a", "b", "shared", "na", "nb", "ka", "kb").mapInArrow(
+            _possible_pairs, "a long, b long, shared long"
+        ),
         "hubs",
     )
-    involved = hubs.select(F.col("a").alias("set_id")).union(hubs.select("b")).distinct()
-    firsts = described.filter("doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = firsts.join(involved, "set_id", "left_semi").select("doc_id")
-    sets = known.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_shingles, "set_id long, shingles binary")
-    sets = scratch.write(sets, "shingles")
-
     best = hubs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", "best.b")
-    links = scratch.write(_links(best, sets), "links")
-    labels = scratch.write(components(links.toDF("u", "v"), scratch), "labels")
-    apart = _labelled(_labelled(hubs, labels, "a", "label_a"), labels, "b", "label_b").filter("label_a <> label_b")
-    more = scratch.write(_links(apart.join(best, ["a", "b"], "left_anti"), sets), "links")
-    links = links.unionByName(more)
+    links = fetch.links(best)
+    # A set hangs on the hub it proved similar to; other hubs that hang on the same are settled.
+    hung = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    apart = _labelled(_labelled(hubs, hung, "a", "label_a"), hung, "b", "label_b").filter("label_a <> label_b")
+    links = links.unionByName(fetch.links(apart.join(best, ["a", "b"], "left_anti")))
     labels = scratch.write(components(links.toDF("u", "v"), scratch), "labels")
 
     placed = _labelled(members, labels, "set_id", "label").select("sig", "set_id", "label").distinct()
@@ -305,17 +409,13 @@ def jaccard_join(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .filter("n > 2 and low <> high")
         .select("sig", "n")
     )
-    rest = scratch.write(placed.join(open_groups, "sig"), "open")
-    if not rest.isEmpty():
-        large = rest.filter(F.col("n") > SMALL_GROUP)
-        second = sets.join(large.select("set_id").distinct(), "set_id", "left_semi").mapInArrow(
-            _second, "set_id long, sig2 long"
-        )
-        pairs = _across(rest.filter(F.col("n") <= SMALL_GROUP), "sig").unionByName(
-            _across(large.join(second, "set_id"), "sig", "sig2")
-        )
-        tested = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = scratch.write(_links(pairs.distinct().join(tested, ["a", "b"], "left_anti"), sets), "links")
+    rows = _blocks(placed.join(open_groups, "sig").join(sketches, "set_id"))
+    rows = rows.select("sig", "i", "j", "set_id", "label", "n_shingles", "own", "sketch")
+    rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    pairs = rows.mapInArrow(_open_pairs, "a long, b long").distinct()
+    tested = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = fetch.links(pairs.join(tested, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
         links = links.unionByName(more)
         labels = scratch.write(components(links.toDF("u", "v"), scratch), "labels")
 
