@@ -10,6 +10,8 @@ from storeledger.llm.fingerprints import likeness_under_edits
 from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.packing import pack
+from storeledger.llm.quality import score_quality, train_quality_model
+from storeledger.llm.secrets import find_secrets, labelled_findings, train_forest
 from storeledger.llm.support import Scratch, crc_remainder, documents
 from storeledger.llm.warc import read_archives, write_archives
 
@@ -27,6 +29,12 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likeness_under_edits(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("held_out", crc_remainder("doc_id", 3) == 1)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_remainder("doc_id", 3) != 1)
+    return score_quality(docs, train_quality_model(docs, labels)).drop("text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(documents(spark, sf_dir, "doc_id", "text"))
     return pieces.select(
@@ -40,6 +48,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return find_secrets(docs, train_forest(labelled_findings(docs)))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op10")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -70,7 +83,9 @@ QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_fingerprints": (op3_fingerprints, None),
+    "op4_quality": (op4_quality, None),
     "op7_packing": (op7_packing, None),
     "op8_language_id": (op8_language_id, None),
+    "op9_secrets": (op9_secrets, None),
     "op10_warc": (op10_warc, _OP10_SQL),
 }
