@@ -11,6 +11,8 @@ rest, which is cut into sequences of power-of-two lengths: nothing is padded.
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,18 @@ from storeledger.llm import support
 WINDOW = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-# Words whose ids a worker remembers.
-REMEMBERED_WORDS = 300_000
+# Pieces of texts whose ids a worker remembers.
+REMEMBERED = 1_000_000
+# Texts of letters of ASCII and Latin-1, digits, blanks and single full stops and commas.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIMPLE = "".join(re.findall(f"[{_LETTERS}0-9 \n.,]", "".join(map(chr, range(256))))).encode("latin-1")
+_DOUBLE = ("..", ",,", ".,", ",.")
+# Tabs and the ASCII marks but the apostrophe; runs of letters and of neither letters nor blanks.
+_MARKED = b"\t" + bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
+_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS} \n\t]+").findall
+# Marks, letters, marks.
+_MARKS = r"([!-&(-/:-@\[-`{-~]*)"
+_PLAIN = re.compile(f"{_MARKS}([{_LETTERS}]+){_MARKS}").fullmatch
 PIECE_NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 _remembered: dict[str, dict[str, bytes]] = {}
@@ -37,11 +49,35 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def pieces(text: str) -> list[str]:
+    """Pieces of a text whose ids, one after the other, are the text's ids.
+
+    The tokenizer lower-cases; blanks, tabs and newlines always end a token and make none; a run
+    of letters, and a run of marks, are never one token.
+    """
+    try:
+        rest = text.encode("latin-1").translate(None, _SIMPLE)
+    except UnicodeEncodeError:
+        rest = b"'"
+    if not rest and not any(d in text for d in _DOUBLE):
+        return text.lower().replace(".", " . ").replace(",", " , ").replace("\n", " ").split(" ")
+    if not rest.translate(None, _MARKED) and "<|" not in text:
+        return _RUNS(text.lower())
+    found = []
+    for word in text.replace("\n", " ").replace("\t", " ").split(" "):
+        plain = _PLAIN(word)
+        if plain and "<|" not in word:  # which begins the tokenizer's special tokens
+            before, letters, after = plain.groups()
+            found += (before, letters.lower(), after)
+        else:
+            found.append(word)
+    return found
+
+
 class WordIds:
     """Ids of texts, as little-endian unsigned 32-bit numbers.
 
-    Blanks, tabs and newlines always end a token of this tokenizer and make none, so a text's
-    ids are those of its words in turn; the ids of a word are asked for once and remembered.
+    The tokenizer is asked once for the ids of a piece; a bounded number is remembered.
     """
 
     def __init__(self, path: str):
@@ -54,19 +90,17 @@ class WordIds:
         self.known = _remembered.setdefault(path, {})
 
     def __call__(self, text: str) -> bytes:
-        known = self.known
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+        known, parts = self.known, pieces(text)
         try:
-            return b"".join(map(known.__getitem__, words))
+            return b"".join(map(known.__getitem__, parts))
         except KeyError:
-            missing = set(words).difference(known)
-        if len(known) + len(missing) > REMEMBERED_WORDS:
-            known.clear()
-            missing = set(words)
-        missing = list(missing)
-        for word, encoded in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            known[word] = np.asarray(encoded.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+            missing = list(set(parts).difference(known))
+        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        new = {piece: array("I", e.ids).tobytes() for piece, e in zip(missing, encoded)}
+        if len(known) + len(new) <= REMEMBERED:
+            known.update(new)
+            return b"".join(map(known.__getitem__, parts))
+        return b"".join([new[piece] if piece in new else known[piece] for piece in parts])
 
 
 class SumOfSquares:
