@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeledger.llm.attention import score_texts, train_scorer
 from storeledger.llm.decontaminate import contamination
 from storeledger.llm.fingerprints import likeness_under_edits
 from storeledger.llm.jaccard_join import jaccard_join
@@ -35,6 +36,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality_model(docs, labels)).drop("text")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("held_out", crc_remainder("doc_id", 5) == 1)
+    model = train_scorer(docs.filter(~F.col("held_out")), Scratch(spark, "op5"))
+    return score_texts(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(documents(spark, sf_dir, "doc_id", "text"))
     return pieces.select(
@@ -84,6 +91,7 @@ QUERIES = {
     "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_fingerprints": (op3_fingerprints, None),
     "op4_quality": (op4_quality, None),
+    "op5_lm_score": (op5_lm_score, None),
     "op7_packing": (op7_packing, None),
     "op8_language_id": (op8_language_id, None),
     "op9_secrets": (op9_secrets, None),
