@@ -13,6 +13,7 @@ from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.packing import pack
 from storeledger.llm.quality import score_quality, train_quality_model
 from storeledger.llm.secrets import find_secrets, labelled_findings, train_forest
+from storeledger.llm.suffix_dedup import repeated_passages
 from storeledger.llm.support import Scratch, crc_remainder, documents
 from storeledger.llm.warc import read_archives, write_archives
 
@@ -42,6 +43,10 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir, "doc_id", "text"), Scratch(spark, "op6"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(documents(spark, sf_dir, "doc_id", "text"))
     return pieces.select(
@@ -92,6 +97,7 @@ QUERIES = {
     "op3_fingerprints": (op3_fingerprints, None),
     "op4_quality": (op4_quality, None),
     "op5_lm_score": (op5_lm_score, None),
+    "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op7_packing": (op7_packing, None),
     "op8_language_id": (op8_language_id, None),
     "op9_secrets": (op9_secrets, None),
