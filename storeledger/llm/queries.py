@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from storeledger.llm.attention import score_texts, train_scorer
 from storeledger.llm.decontaminate import contamination
 from storeledger.llm.fingerprints import likeness_under_edits
@@ -102,4 +103,5 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_secrets": (op9_secrets, None),
     "op10_warc": (op10_warc, _OP10_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
