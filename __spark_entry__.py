@@ -385,7 +385,7 @@ def _metric_sql(metric: str, mart: str, field: str, dim: str, where: str = "true
     return _over_marts(
         f"""SELECT {dim}, CAST(sum(CAST({field} AS DECIMAL(34,4))) AS DOUBLE) AS {metric}
             FROM {mart} WHERE {where} GROUP BY {dim}
-            ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS FIRST LIMIT 500"""
+            ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS FIRST"""
     )
 
 
@@ -545,7 +545,7 @@ def oracle_sql() -> dict[str, str]:
                       CAST(sum(CAST(discount_share_of_potential_margin_pct AS DECIMAL(34,4))) AS DOUBLE)
                       / count(discount_share_of_potential_margin_pct) AS margin_hit_by_discounts
                FROM product_margin GROUP BY product
-               ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS FIRST LIMIT 500"""
+               ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS FIRST"""
         ),
         "metric_margin_hit_mean": _over_marts(
             """SELECT CAST(sum(CAST(discount_share_of_potential_margin_pct AS DECIMAL(34,4))) AS DOUBLE)

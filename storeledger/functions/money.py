@@ -6,13 +6,24 @@ from pyspark.sql import functions as F
 from storeledger.schemas import MONEY, TOTAL
 
 
+def beyond_scale(text: Column) -> Column:
+    """Whether an amount has a digit other than 0 after the four decimals that amounts keep."""
+    return text.rlike(r"\.[0-9]{4}[0-9]*[1-9]|[0-9.][eE][-+]?[0-9]")
+
+
+def exact_amount(text: Column, dtype: str = MONEY) -> Column:
+    """A numeric text as a decimal; one that would have to be rounded is an error."""
+    refused = F.raise_error(F.concat(F.lit("amount beyond the scale: "), text))
+    return F.when(beyond_scale(text), refused).otherwise(text).cast(dtype)
+
+
 def amount_or_null(text: Column) -> Column:
     """A numeric text as an exact amount; null and the empty text give null."""
-    return F.nullif(text, F.lit("")).cast(MONEY)
+    return exact_amount(F.nullif(text, F.lit("")))
 
 
 def amount_or_zero(text: Column, dtype: str = MONEY) -> Column:
-    return F.coalesce(F.nullif(text, F.lit("")).cast(dtype), F.lit(0).cast(dtype))
+    return F.coalesce(exact_amount(F.nullif(text, F.lit("")), dtype), F.lit(0).cast(dtype))
 
 
 def set_amount(money_set: Column, dtype: str = MONEY) -> Column:
@@ -31,7 +42,7 @@ def allocated_total(allocations: Column) -> Column:
     """
     amounts = allocation_amounts(allocations)
     total = F.aggregate(
-        F.transform(amounts, lambda a: a.cast(MONEY)),
+        F.transform(amounts, lambda a: exact_amount(a)),
         F.lit(0).cast(TOTAL),
         lambda acc, a: (acc + a).cast(TOTAL),
     )

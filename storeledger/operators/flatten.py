@@ -16,7 +16,7 @@ from storeledger.functions.money import (
     set_amount,
 )
 from storeledger.schemas import MONEY, TOTAL
-from storeledger.sources.pages import nodes
+from storeledger.sources.pages import REQUIRED, nodes
 
 
 def product_title(product: Column, line_title: Column) -> Column:
@@ -35,7 +35,9 @@ def line_discount(original: Column, discounted: Column, allocated: Column) -> Co
 
 def flatten_orders(pages: DataFrame) -> DataFrame:
     o = F.col("node")
-    return nodes(pages, ("orders",), schemas.ORDER_HEAD_PAGE, "orders").select(
+    return nodes(
+        pages, ("orders",), schemas.ORDER_HEAD_PAGE, "orders", required=REQUIRED["orders"][0]
+    ).select(
         o["id"].alias("order_id"),
         o["name"].alias("name"),
         o["createdAt"].alias("created_at"),
@@ -51,7 +53,12 @@ def flatten_orders(pages: DataFrame) -> DataFrame:
 def order_lines(pages: DataFrame) -> DataFrame:
     """One row per order line with its amounts before the discount rule."""
     lines = nodes(
-        pages, ("orders", "order_lines"), schemas.ORDER_LINES_PAGE, "orders", "lineItems"
+        pages,
+        ("orders", "order_lines"),
+        schemas.ORDER_LINES_PAGE,
+        "orders",
+        "lineItems",
+        *REQUIRED["order_lines"],
     ).select(
         F.col("node.id").alias("order_id"),
         F.col("node.cancelledAt").isNotNull().alias("cancelled"),
@@ -89,7 +96,9 @@ def flatten_items(pages: DataFrame) -> DataFrame:
 
 def flatten_variants(pages: DataFrame) -> DataFrame:
     p = F.col("node")
-    variants = nodes(pages, ("products",), schemas.PRODUCT_PAGE, "products", "variants").select(
+    variants = nodes(
+        pages, ("products",), schemas.PRODUCT_PAGE, "products", "variants", *REQUIRED["products"]
+    ).select(
         p["id"].alias("product_id"),
         p["title"].alias("product"),
         p["status"].alias("status"),

@@ -8,11 +8,13 @@ may nest continues on ``order_lines`` pages, which have the shape of an orders
 page and add lines but no order.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger import schemas
-from storeledger.functions.money import allocation_amounts
+from storeledger.functions.money import allocation_amounts, beyond_scale
 
 RESOURCES = ("orders", "order_lines", "products")
 
@@ -50,8 +52,14 @@ def parse(body: Column, schema: str) -> Column:
     return F.from_json(body, schema, {"columnNameOfCorruptRecord": "_corrupt"})
 
 
-def unreadable(page: Column) -> Column:
-    return page.isNull() | page["_corrupt"].isNotNull()
+def unreadable(page: Column, body: Column) -> Column:
+    """No JSON object of the schema, or text after it: as a list's element it would not be alone."""
+    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]")))
+    return page.isNull() | page["_corrupt"].isNotNull() | (F.coalesce(alone, F.lit(0)) != 1)
+
+
+def unknown(resource: Column) -> Column:
+    return ~F.coalesce(resource.isin(*RESOURCES), F.lit(False))
 
 
 def has_errors(page: Column) -> Column:
@@ -70,16 +78,42 @@ def _incomplete(nodes: Column, children: str | None) -> Column:
     return F.exists(nodes, broken)
 
 
+def _lacking(nodes: Column, fields: tuple[str, ...], children: str | None, child_fields: tuple[str, ...]) -> Column:
+    """A list with a node, or a child of one, without a field that every one must have."""
+
+    def lacks(node: Column) -> Column:
+        missing = F.lit(False)
+        for field in fields:
+            missing = missing | node[field].isNull()
+        if children and child_fields:
+            child = lambda c: reduce(Column.__or__, [c[f].isNull() for f in child_fields])
+            missing = missing | F.exists(node[children]["nodes"], child)
+        return missing
+
+    return F.exists(nodes, lacks)
+
+
+# Fields that a node, and a child of it, must have, by resource.
+REQUIRED = {
+    "orders": (("id", "name", "createdAt"), ("quantity",)),
+    "order_lines": (("id",), ("quantity",)),
+    "products": (("id",), ("id",)),
+}
+
+
 def nodes(
     pages: DataFrame,
     resources: tuple[str, ...],
     schema: str,
     name: str,
     children: str | None = None,
+    required: tuple[str, ...] = ("id",),
+    child_required: tuple[str, ...] = (),
 ) -> DataFrame:
     """The nodes of the given pages, one per row; a bad page fails the job.
 
-    The check asks for the resource itself, so it holds wherever the optimizer
+    So does a page of no known resource, whichever resources are asked for, and a node
+    without a required field. The check asks for the resource itself, so it holds wherever the optimizer
     moves it. The outer explode keeps the optimizer from guessing a filter on the
     list and pushing it below the parse, which would parse every page twice.
     """
@@ -87,7 +121,8 @@ def nodes(
     wanted = F.col("resource").isin(*resources)
     found = page["data"][name]["nodes"]
     checked = (
-        F.when(wanted & unreadable(page), F.raise_error(F.lit(f"unreadable {name} page")))
+        F.when(unknown(F.col("resource")), F.raise_error(F.lit("page of an unknown resource")))
+        .when(wanted & unreadable(page, F.col("body")), F.raise_error(F.lit(f"unreadable {name} page")))
         .when(
             wanted & has_errors(page),
             F.raise_error(F.concat(F.lit("page with errors: "), page["errors"])),
@@ -97,17 +132,47 @@ def nodes(
             wanted & _incomplete(found, children),
             F.raise_error(F.lit(f"{name} page with an incomplete node")),
         )
+        .when(
+            wanted & _lacking(found, required, children, child_required),
+            F.raise_error(F.lit(f"{name} page with a node without a required field")),
+        )
         .otherwise(found)
     )
     return (
-        pages.filter(wanted)
-        .select("resource", parse(F.col("body"), schema).alias("page"))
+        pages.filter(wanted | unknown(F.col("resource")))
+        .select("resource", "body", parse(F.col("body"), schema).alias("page"))
         .select(F.explode_outer(checked).alias("node"))
         .filter(F.col("node").isNotNull())
     )
 
 
-def _problem(resource: Column, page: Column) -> Column:
+def _amounts(orders: Column, products: Column) -> Column:
+    """Whether any amount of a page has more decimals than amounts keep."""
+    totals = ("totalPriceSet", "totalDiscountsSet", "totalRefundedSet", "totalShippingPriceSet")
+
+    def any_beyond(node: Column, fields: tuple[str, ...]) -> Column:
+        found = [F.coalesce(beyond_scale(node[f]["shopMoney"]["amount"]), F.lit(False)) for f in fields]
+        return reduce(Column.__or__, found)
+
+    def line(li: Column) -> Column:
+        allocations = F.exists(
+            allocation_amounts(li["discountAllocations"]), lambda a: F.coalesce(beyond_scale(a), F.lit(False))
+        )
+        return any_beyond(li, ("originalTotalSet", "discountedTotalSet")) | F.coalesce(allocations, F.lit(False))
+
+    def variant(v: Column) -> Column:
+        amounts = (v["price"], v["inventoryItem"]["unitCost"]["amount"])
+        return reduce(Column.__or__, [F.coalesce(beyond_scale(a), F.lit(False)) for a in amounts])
+
+    return F.coalesce(
+        F.exists(orders["nodes"], lambda o: any_beyond(o, totals) | F.exists(o["lineItems"]["nodes"], line)),
+        F.lit(False),
+    ) | F.coalesce(
+        F.exists(products["nodes"], lambda p: F.exists(p["variants"]["nodes"], variant)), F.lit(False)
+    )
+
+
+def _problem(resource: Column, page: Column, body: Column) -> Column:
     orders, products = page["data"]["orders"], page["data"]["products"]
     is_product = resource == "products"
     nodes_missing = F.when(is_product, products["nodes"].isNull()).otherwise(orders["nodes"].isNull())
@@ -117,6 +182,15 @@ def _problem(resource: Column, page: Column) -> Column:
     more = F.when(is_product, products["pageInfo"]["hasNextPage"]).otherwise(
         orders["pageInfo"]["hasNextPage"]
     )
+    lists = {"orders": orders, "order_lines": orders, "products": products}
+    children = {"orders": "lineItems", "order_lines": "lineItems", "products": "variants"}
+    lacking = reduce(
+        Column.__or__,
+        [
+            (resource == name) & F.coalesce(_lacking(lists[name]["nodes"], own, children[name], childs), F.lit(False))
+            for name, (own, childs) in REQUIRED.items()
+        ],
+    )
     broken_allocation = F.exists(
         orders["nodes"],
         lambda o: F.exists(
@@ -127,13 +201,15 @@ def _problem(resource: Column, page: Column) -> Column:
         ),
     )
     return (
-        F.when(~F.coalesce(resource.isin(*RESOURCES), F.lit(False)), "unknown resource")
-        .when(unreadable(page), "unreadable")
+        F.when(unknown(resource), "unknown resource")
+        .when(unreadable(page, body), "unreadable")
         .when(has_errors(page), "errors")
         .when(nodes_missing, "no nodes")
         .when(incomplete, "incomplete node")
         .when((resource != "order_lines") & more.isNull(), "no page info")
+        .when(lacking, "missing field")
         .when(broken_allocation, "broken allocation")
+        .when(_amounts(orders, products), "amount beyond the scale")
     )
 
 
@@ -142,7 +218,7 @@ def with_problem(pages: DataFrame) -> DataFrame:
     page = parse(F.col("body"), schemas.FULL_PAGE)
     return (
         pages.select("resource", "request_cursor", "body", page.alias("page"))
-        .withColumn("problem", _problem(F.col("resource"), F.col("page")))
+        .withColumn("problem", _problem(F.col("resource"), F.col("page"), F.col("body")))
         .drop("page")
     )
 

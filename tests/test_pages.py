@@ -23,6 +23,13 @@ BAD = [
     page("orders", "i", [ORDERS[0], None]),
     page("orders", "j", [{**ORDERS[0], "lineItems": None}]),
     page("products", "k", [{**PRODUCTS[0], "variants": {"nodes": [None]}}]),
+    (None, "l", PAGES[0][2]),
+    page("orders", "m", [{**ORDERS[0], "id": None}]),
+    page("orders", "n", [{**ORDERS[0], "createdAt": None}]),
+    page("orders", "o", [{**ORDERS[0], "lineItems": {"nodes": [{**BROKEN, "quantity": None, "discountAllocations": []}]}}]),
+    page("products", "p", [{**PRODUCTS[0], "variants": {"nodes": [{**PRODUCTS[0]["variants"]["nodes"][0], "id": None}]}}]),
+    ("orders", "q", PAGES[0][2] + ' {"errors": [{"message": "Throttled"}]}'),
+    page("orders", "r", [{**ORDERS[0], "totalPriceSet": money("1.23456")}]),
 ]
 
 
@@ -57,6 +64,13 @@ def test_problems(spark):
         "i": "incomplete node",
         "j": "incomplete node",
         "k": "incomplete node",
+        "l": "unknown resource",
+        "m": "missing field",
+        "n": "missing field",
+        "o": "missing field",
+        "p": "missing field",
+        "q": "unreadable",
+        "r": "amount beyond the scale",
     }
 
 
@@ -81,6 +95,11 @@ def test_bad_pages_set_aside(spark, tmp_path):
     (BAD[6], "allocation without an amount"),
     (BAD[8], "incomplete node"),
     (BAD[9], "incomplete node"),
+    (BAD[5], "unknown resource"),
+    (BAD[11], "unknown resource"),
+    (BAD[12], "required field"),
+    (BAD[14], "required field"),
+    (BAD[16], "unreadable"),
 ])
 def test_strict_load_fails(spark, bad, message):
     with pytest.raises(Exception, match=message):
@@ -92,6 +111,12 @@ def test_strict_load_of_heads_and_variants_fails(spark):
         flatten.flatten_orders(pages_frame(spark, [BAD[8]])).collect()
     with pytest.raises(Exception, match="incomplete node"):
         flatten.flatten_variants(pages_frame(spark, [BAD[10]])).collect()
+    with pytest.raises(Exception, match="required field"):
+        flatten.flatten_orders(pages_frame(spark, [BAD[13]])).collect()
+    with pytest.raises(Exception, match="required field"):
+        flatten.flatten_variants(pages_frame(spark, [BAD[15]])).collect()
+    with pytest.raises(Exception, match="beyond the scale"):
+        flatten.flatten_orders(pages_frame(spark, [BAD[17]])).collect()
 
 
 def test_bad_landing_line_fails(spark, tmp_path):

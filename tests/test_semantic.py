@@ -42,11 +42,21 @@ def test_filters(marts):
     assert both == [("Tee", 15.0), ("Mug", 6.0)]
 
 
-def test_cap(marts):
+def test_first_rows_on_request(marts):
     assert metric(marts, "discount_by_product", "product", max_rows=2) == [("Tee", 15.0), ("Mug", 6.0)]
-    small = copy.deepcopy(CONTRACT)
-    small["policy"]["max_rows"] = 1
-    assert semantic.run_metric(small, marts, "discount_by_product", ["product"], max_rows=9).count() == 1
+
+
+def test_no_cap(spark):
+    rows = spark.range(1200).selectExpr("concat('p', id) as product", "cast(id as double) as discount_gbp")
+    result = semantic.run_metric(CONTRACT, {"product_leaks": rows}, "discount_by_product", ["product"])
+    assert result.count() == 1200
+
+
+def test_blocked_type_without_detector_is_refused(marts):
+    strict = copy.deepcopy(CONTRACT)
+    strict["policy"]["unchecked_pii"] = []
+    with pytest.raises(ValueError, match="PERSON"):
+        semantic.run_metric(strict, marts, "discount_by_product", ["product"])
 
 
 @pytest.mark.parametrize("call", [
