@@ -1,0 +1,55 @@
+"""Repeated passages against brute force."""
+
+import random
+from collections import Counter
+
+from storeledger.llm import suffix_dedup as S
+from storeledger.llm.support import Scratch
+
+
+def covered(texts, size):
+    """Word places within passages of this size that occur more than once."""
+    words = {doc: (text or "").lower().split() for doc, text in texts}
+    counts = Counter(tuple(w[i : i + size]) for w in words.values() for i in range(len(w) - size + 1))
+    return {
+        (doc, i + k)
+        for doc, w in words.items()
+        for i in range(len(w) - size + 1)
+        if counts[tuple(w[i : i + size])] > 1
+        for k in range(size)
+    }
+
+
+def found(spark, texts):
+    frame = spark.createDataFrame([(d, t, 1) for d, t in texts], "doc_id long, text string, key int").repartition(3)
+    rows = S.repeated_passages(frame, Scratch(spark, "test")).collect()
+    return {(r["doc_id"], r["start_word"] + k) for r in rows for k in range(r["n_words"])}, rows
+
+
+def test_like_brute_force(spark):
+    rng = random.Random(6)
+    new = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    passages = [new(n) for n in (30, 34, 50, 51, 60, 200)]
+    texts = []
+    for doc in range(120):
+        own = new(rng.randrange(0, 120))
+        for passage in rng.sample(passages, rng.randrange(0, 3)):
+            own += passage + new(rng.randrange(0, 40))
+        texts.append((doc, " ".join(own)))
+    texts += [(200, None), (201, ""), (202, "a " * 400), (203, "short"), (204, texts[5][1]), (205, texts[5][1].upper())]
+    got, rows = found(spark, texts)
+    assert covered(texts, S.PASSAGE) <= got <= covered(texts, S.CORE)
+    assert all(r["n_words"] >= S.PASSAGE for r in rows)
+
+
+def test_large_groups_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(S, "SHARE", 5)
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(70))
+    texts = [(d, f"u{rng.random()} {passage} v{rng.random()}") for d in range(60)]
+    got, _ = found(spark, texts)
+    assert covered(texts, S.PASSAGE) <= got <= covered(texts, S.CORE)
+
+
+def test_none(spark):
+    assert found(spark, [])[1] == []
