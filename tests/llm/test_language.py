@@ -1,0 +1,73 @@
+"""Language identification: held-out accuracy, independence of neighbours, edge cases."""
+
+import numpy as np
+import pytest
+
+from storeledger.llm import language as L
+from storeledger.llm.queries import op8_language_id
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    langs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    rows = op8_language_id(spark, SF).join(langs, "doc_id").collect()
+    assert len(rows) == 1000
+    held = [r for r in rows if r["held_out"]]
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+ROWS = [
+    (1, "der hund und die katze", "de", 0.5), (2, "the dog and the cat", "en", 0.5),
+    (3, "das haus ist gross und schön", "de", 0.5), (4, "this house is big and nice", "en", 0.5),
+    (5, None, "de", 0.5), (6, "", "en", 0.5), (7, "12 34 !?", None, 0.5), (8, "the end", None, 0.5),
+    (None, "und das ist gut", "de", 0.5), (1, "der hund und die katze", "de", 0.5), (9, "the " * 200_000, "en", 0.5),
+]
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    return spark.createDataFrame(ROWS, "doc_id long, text string, lang string, score double")
+
+
+def test_edges(spark, frame):
+    model = L.train_language_model(frame)
+    assert model.languages == ["de", "en"]
+    got = L.identify_language(frame.repartition(3), model)
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == 10 and got.count() == 11
+    for doc in (5, 6, 7):
+        assert (rows[doc]["lang_pred"], rows[doc]["score"]) == ("und", 0.0)
+    assert rows[8]["lang_pred"] == rows[9]["lang_pred"] == "en" and rows[None]["lang_pred"] == "de"
+
+
+def test_nothing_learned(spark, frame):
+    model = L.train_language_model(frame.limit(0))
+    assert {r["lang_pred"] for r in L.identify_language(frame, model).collect()} == {"und"}
+    assert L.identify_language(frame.limit(0), model).count() == 0
+
+
+def test_logits_are_a_texts_own():
+    rng = np.random.default_rng(0)
+    model = L.LanguageModel(["a", "b"], rng.standard_normal((1 << L.BITS, 2)).astype(np.float32), np.zeros(2), 1.0)
+    texts = ["", "x", "xy", "abc", None, "ÀÉ something", "", "z" * 50]
+    together = model.logits(texts)
+    for i, text in enumerate(texts):
+        assert np.allclose(together[i], model.logits([text])[0], atol=1e-9)
+        points = np.array([ord(c) for c in (text or "").lower()], np.uint32)
+        grams = np.concatenate([L.buckets(points, order) for order in L.ORDERS])
+        want = model.table[grams].sum(0, dtype=float) / max(1, len(grams))
+        assert np.allclose(together[i], want, atol=1e-6)
+
+
+def test_l1_leaves_weights_at_zero():
+    rng = np.random.default_rng(1)
+    rows = [(np.array([i % 2, 2 + i % 50]), np.array([1.0, 0.05]), i % 2) for i in range(400)]
+    weights, _ = L.train_ftrl(rows, 2, 64)
+    assert np.abs(weights[:2]).min() > 0.1 and (weights[52:] == 0).all()
+    assert (np.abs(weights[2:52]) < np.abs(weights[:2]).min()).all()
+    logits = rng.standard_normal((500, 2)) * 10
+    labels = (rng.random(500) < L.softmax(logits / 5)[:, 1]).astype(int)
+    assert 3 < L.temperature(logits, labels) < 8
