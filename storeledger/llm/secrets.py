@@ -26,7 +26,7 @@ SAMPLE_DOCUMENTS = 1500
 TREES, DEPTH = 40, 8
 REPLACEMENT = "[SECRET]"
 
-_CANDIDATE = rf"[A-Za-z0-9+/=_.\-]{{{LEAST},}}"
+_CANDIDATE = rf"[A-Za-z0-9+/_.\-]{{{LEAST},}}={{0,2}}"
 # Fixed words: of paths, hosts, placeholders and settings.
 _WORDS = (
     "account bucket change client config data default demo dummy example file foo bar home host http https "
