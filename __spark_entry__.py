@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from storeledger.functions.pii import EMAIL  # noqa: E402
-from storeledger.operators import flatten, marts, quality, report, rollups, semantic  # noqa: E402
+from storeledger.operators import (  # noqa: E402
+    flatten, marts, quality, report, rollups, semantic, staging,
+)
 from storeledger.plans import pipeline  # noqa: E402
 from storeledger.plans.contract import CONTRACT  # noqa: E402
 from storeledger.session import configure, scratch_dir  # noqa: E402
@@ -132,6 +134,17 @@ def _page_chain_gaps(spark, sf):
     )
 
 
+def _cost_discounts_offsets(spark, sf):
+    """The mart from orders whose time of creation is text, with an offset, as pages have it."""
+    local = F.date_format(F.col("created_at") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss")
+    text = driver_tables.orders(spark, sf).withColumn("created_at", F.concat(local, F.lit("+02:00")))
+    return marts.cost_discounts(rollups.order_months(staging.stg_orders(text)))
+
+
+def _line_chain_gaps(spark, sf):
+    return pages.line_chain_gaps(driver_tables.lose_first_continuation(_short_pages(spark, sf)))
+
+
 def _page_errors(spark, sf):
     return pages.page_errors(driver_tables.spoil_pages(driver_tables.landed_pages(spark, sf)))
 
@@ -169,7 +182,7 @@ def _published_product_leaks(spark, sf):
     root = scratch_dir(spark, "run")
     pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
     pipeline.run(spark, pages.read_archive(spark, f"{root}/landing"), root)
-    return spark.read.parquet(f"{root}/published/product_leaks")
+    return tables.read_published(spark, f"{root}/published", "product_leaks")
 
 
 def _pii_scan_documents(spark, sf):
@@ -189,6 +202,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_unit_cost": _over(marts.product_unit_cost, "product_costs"),
     # marts
     "cost_discounts": _mart("cost_discounts"),
+    "cost_discounts_offsets": _cost_discounts_offsets,
     "cost_refunds": _mart("cost_refunds"),
     "money_summary": _mart("money_summary"),
     "product_leaks": _mart("product_leaks"),
@@ -207,6 +221,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_product_title": _item_product_title,
     "item_discount": _item_discount,
     "page_chain_gaps": _page_chain_gaps,
+    "line_chain_gaps": _line_chain_gaps,
     "page_errors": _page_errors,
     "truncation_suspects": _truncation_suspects,
     # semantic layer
@@ -297,68 +312,84 @@ b_variants AS (
     FROM part)"""
 
 
-def _cents_sql(amount: str) -> str:
-    return f"CAST({amount} * 100 AS HUGEINT)"
+def _share_sql(part: str, whole: str, digits: int) -> str:
+    """100 * part / whole of exact numbers, half away from zero; null over zero.
 
+    Floor and remainder of the quotient at the last digit, in place of the doubled quotient
+    that the library divides.
+    """
+    scaled = f"(abs(CAST(({part}) * 100 AS HUGEINT)) * {100 * 10**digits})"
+    size = f"nullif(abs(CAST(({whole}) * 100 AS HUGEINT)), 0)"
+    up = f"CASE WHEN {scaled} % {size} >= {size} - {scaled} % {size} THEN 1 ELSE 0 END"
+    sign = f"CASE WHEN sign({part}) * sign({whole}) < 0 THEN -1 ELSE 1 END"
+    return f"{sign} * CAST({scaled} // {size} + {up} AS DOUBLE) / {10**digits}"
 
-def _ratio_sql(part: str, whole: str, digits: int) -> str:
-    """Two integers' ratio, rounded half away from zero; null over zero."""
-    steps = f"(abs({part}) * {2 * 10**digits} + abs({whole})) // nullif(2 * abs({whole}), 0)"
-    return (
-        f"CASE WHEN ({part} < 0) = ({whole} < 0) THEN 1 ELSE -1 END"
-        f" * CAST({steps} AS DOUBLE) / {10**digits}"
-    )
+
+def _monthly_sql(amount: str, counted: str) -> str:
+    """A month's kept orders that have the amount, and its sum: over every order's share of it."""
+    return f"""
+        WITH kept AS (SELECT make_timestamp(year(created_at), month(created_at), 1, 0, 0, 0) AS month,
+                             {amount} AS amount, CASE WHEN {amount} > 0 THEN 1 ELSE 0 END AS has
+                      FROM b_orders WHERE cancelled = false)
+        SELECT month, CAST(sum(has) AS BIGINT) AS {counted}, CAST(sum(amount) AS DOUBLE) AS amount_gbp
+        FROM kept GROUP BY month"""
 
 
+# Written from the definitions of the marts: one pass of conditional sums for the money tree,
+# distinct product and order pairs for the leaks, cost and stock sums side by side for the margin.
 _MART_SQL = {
-    "cost_discounts": """
-        SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month,
-               count(*) FILTER (WHERE total_discounts > 0) AS discounted_orders,
-               CAST(round(sum(total_discounts), 2) AS DOUBLE) AS amount_gbp
-        FROM b_orders WHERE NOT cancelled GROUP BY 1""",
-    "cost_refunds": """
-        SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS month,
-               count(*) FILTER (WHERE total_refunded > 0) AS refunded_orders,
-               CAST(round(sum(total_refunded), 2) AS DOUBLE) AS amount_gbp
-        FROM b_orders WHERE NOT cancelled GROUP BY 1""",
+    "cost_discounts": _monthly_sql("total_discounts", "discounted_orders"),
+    "cost_refunds": _monthly_sql("total_refunded", "refunded_orders"),
     "money_summary": f"""
-        SELECT category, CAST(round(coalesce(amount, 0), 2) AS DOUBLE) AS amount_gbp,
-               {_ratio_sql("100 * " + _cents_sql("coalesce(amount, 0)"), _cents_sql("revenue"), 2)}
-                   AS pct_of_revenue
-        FROM (SELECT 'refunds' AS category, sum(total_refunded) AS amount
-              FROM b_orders WHERE NOT cancelled
-              UNION ALL SELECT 'discounts', sum(total_discounts) FROM b_orders WHERE NOT cancelled
-              UNION ALL SELECT 'cancelled orders', sum(total_price) FROM b_orders WHERE cancelled
-              UNION ALL SELECT 'capital in stock', sum(inventory_quantity * unit_cost)
-              FROM b_variants) leaks,
-             (SELECT sum(total_price) AS revenue FROM b_orders WHERE NOT cancelled) scale""",
+        WITH sums AS (
+            SELECT sum(CASE WHEN cancelled THEN 0 ELSE total_price END) AS revenue,
+                   sum(CASE WHEN cancelled THEN 0 ELSE total_refunded END) AS refunded,
+                   sum(CASE WHEN cancelled THEN 0 ELSE total_discounts END) AS given,
+                   sum(CASE WHEN cancelled THEN total_price ELSE 0 END) AS lost,
+                   (SELECT sum(unit_cost * inventory_quantity) FROM b_variants) AS stock
+            FROM b_orders),
+        tree AS (
+            SELECT revenue, unnest(['refunds', 'discounts', 'cancelled orders', 'capital in stock']) AS category,
+                   unnest([coalesce(refunded, 0), coalesce(given, 0), coalesce(lost, 0), coalesce(stock, 0)]) AS amount
+            FROM sums)
+        SELECT category, CAST(round(amount, 2) AS DOUBLE) AS amount_gbp,
+               {_share_sql("amount", "revenue", 2)} AS pct_of_revenue FROM tree""",
     "product_leaks": f"""
-        SELECT product, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
-               CAST(round(sum(discounted_total), 2) AS DOUBLE) AS revenue_gbp,
-               CAST(round(sum(discount), 2) AS DOUBLE) AS discount_gbp,
-               {_ratio_sql("100 * " + _cents_sql("sum(discount)"), _cents_sql("sum(original_total)"), 1)}
-                   AS discount_pct
-        FROM b_items WHERE NOT cancelled GROUP BY product""",
+        WITH by_order AS (
+            SELECT product, order_id, sum(quantity) AS units, sum(discounted_total) AS net,
+                   sum(discount) AS given, sum(original_total) AS gross
+            FROM b_items WHERE cancelled = false GROUP BY product, order_id),
+        by_product AS (
+            SELECT product, count(*) AS orders, CAST(sum(units) AS BIGINT) AS units, sum(net) AS net,
+                   sum(given) AS given, sum(gross) AS gross
+            FROM by_order GROUP BY product)
+        SELECT product, orders, units, CAST(net AS DOUBLE) AS revenue_gbp, CAST(given AS DOUBLE) AS discount_gbp,
+               {_share_sql("given", "gross", 1)} AS discount_pct
+        FROM by_product""",
+    # Costs are means: amounts are compared as multiples of the number of costs.
     "product_margin": f"""
-        SELECT product, units, CAST(round(net, 2) AS DOUBLE) AS revenue_gbp,
-               {_ratio_sql("cogs", "100 * n", 2)} AS cogs_gbp,
-               {_ratio_sql("(revenue - cogs)", "100 * n", 2)} AS margin_gbp,
-               {_ratio_sql("100 * (revenue - cogs)", "revenue", 1)} AS margin_pct,
-               CAST(round(given, 2) AS DOUBLE) AS discount_gbp,
-               {_ratio_sql("100 * discount", "(revenue - cogs + discount)", 1)}
-                   AS discount_share_of_potential_margin_pct
-        FROM (SELECT product, units, net, given, n, units * {_cents_sql("cost_sum")} AS cogs,
-                     {_cents_sql("net")} * n AS revenue, {_cents_sql("given")} * n AS discount
-              FROM (SELECT product, CAST(sum(quantity) AS BIGINT) AS units,
-                           sum(discounted_total) AS net, sum(discount) AS given
-                    FROM b_items WHERE NOT cancelled GROUP BY product) sold
-              JOIN (SELECT product, sum(unit_cost) AS cost_sum, count(unit_cost) AS n
-                    FROM b_variants WHERE unit_cost IS NOT NULL GROUP BY product) costs
-              USING (product)) priced""",
+        WITH facts AS (
+            SELECT product, quantity AS units, discounted_total AS net, discount AS given,
+                   CAST(0 AS DECIMAL(18,4)) AS cost, 0 AS costs, 1 AS sales
+            FROM b_items WHERE cancelled = false
+            UNION ALL SELECT product, 0, 0, 0, unit_cost, 1, 0 FROM b_variants WHERE unit_cost IS NOT NULL),
+        sums AS (
+            SELECT product, CAST(sum(units) AS BIGINT) AS units, sum(net) AS net, sum(given) AS given,
+                   sum(cost) AS cost, sum(costs) AS n
+            FROM facts GROUP BY product HAVING sum(costs) > 0 AND sum(sales) > 0),
+        scaled AS (
+            SELECT product, units, net, given, n, CAST(net * 100 AS HUGEINT) * n AS sold,
+                   CAST(given * 100 AS HUGEINT) * n AS gift, units * CAST(cost * 100 AS HUGEINT) AS cogs FROM sums)
+        SELECT product, units, CAST(net AS DOUBLE) AS revenue_gbp,
+               {_share_sql("cogs", "n * 10000", 2)} AS cogs_gbp,
+               {_share_sql("sold - cogs", "n * 10000", 2)} AS margin_gbp,
+               {_share_sql("sold - cogs", "sold", 1)} AS margin_pct, CAST(given AS DOUBLE) AS discount_gbp,
+               {_share_sql("gift", "sold - cogs + gift", 1)} AS discount_share_of_potential_margin_pct
+        FROM scaled""",
     "stock_capital": """
         SELECT product, variant, inventory_quantity, CAST(unit_cost AS DOUBLE) AS unit_cost,
-               CAST(round(inventory_quantity * unit_cost, 2) AS DOUBLE) AS capital_gbp
-        FROM b_variants WHERE inventory_quantity > 0""",
+               CAST(round(unit_cost * inventory_quantity, 2) AS DOUBLE) AS capital_gbp
+        FROM b_variants WHERE greatest(inventory_quantity, 0) <> 0""",
 }
 
 _MARTS = ",\n".join(
@@ -374,7 +405,7 @@ ends AS (SELECT resource, min(n) AS lo, max(n) AS hi FROM chain GROUP BY resourc
 
 
 def _base(sql: str) -> str:
-    return f"WITH {_BASE}\n{sql}"
+    return f"WITH {_BASE}\nSELECT * FROM ({sql})"
 
 
 def _over_marts(sql: str) -> str:
@@ -514,6 +545,12 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT resource, 'no last page', NULL FROM ends e WHERE NOT EXISTS (
                 SELECT 1 FROM landed b WHERE b.resource = e.resource AND b.n = e.hi)""",
+        "cost_discounts_offsets": _base(_MART_SQL["cost_discounts"]),
+        # Orders of more than five lines lose their second part; a third is announced by none.
+        "line_chain_gaps": """
+            SELECT CAST(l_orderkey AS VARCHAR) AS order_id, problem, part
+            FROM (SELECT l_orderkey, (count(*) + 4) // 5 AS parts FROM lineitem GROUP BY 1) o
+            JOIN (VALUES ('missing lines', 1), ('orphan lines', 2)) p(problem, part) ON part < parts""",
         "page_errors": f"""
             WITH {_CHAINS},
             faults(cursor, problem) AS (VALUES (0, 'errors'), (1, 'unreadable'),

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from storeledger.plans import pipeline
 from storeledger.session import configure
-from storeledger.sources.pages import page_chain_gaps, read_pages
+from storeledger.sources.pages import read_pages
 
 
 def main() -> None:
@@ -18,15 +18,18 @@ def main() -> None:
         action="store_true",
         help="load the good pages only; without it a bad page fails the run",
     )
+    parser.add_argument(
+        "--allow-gaps",
+        action="store_true",
+        help="load an incomplete landing; the gaps are kept in the table gaps",
+    )
     args = parser.parse_args()
 
     spark = configure(SparkSession.builder.appName("storeledger").getOrCreate())
     pages = read_pages(spark, args.landing)
     if args.set_bad_pages_aside:
         pages = pipeline.set_bad_pages_aside(spark, pages, args.out)
-    print("gaps in the page chains")
-    page_chain_gaps(pages).show(truncate=False)
-    for name, rows in pipeline.run(spark, pages, args.out).items():
+    for name, rows in pipeline.run(spark, pages, args.out, args.allow_gaps).items():
         print(name)
         rows.show(truncate=False)
 

@@ -65,6 +65,7 @@ def build_marts(
 
 
 def create_views(staged: dict[str, DataFrame]) -> None:
+    """Session views of the staged tables, which replace views of these names."""
     for name, rows in staged.items():
         rows.createOrReplaceTempView(name)
 
@@ -81,14 +82,15 @@ def load(pages: DataFrame, root: str) -> dict[str, int]:
     return tables.replace_tables(flatten_pages(pages), f"{root}/raw")
 
 
-def model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def model(spark: SparkSession, root: str, views: bool = False) -> dict[str, DataFrame]:
     """Stage the raw tables, replace the six mart tables and read them back.
 
     The rollups are written first and shared, so no mart but stock capital reads
-    a large table again.
+    a large table again. Session views of the staged tables are made on request.
     """
     staged = stage(tables.read_raw(spark, f"{root}/raw"))
-    create_views(staged)
+    if views:
+        create_views(staged)
     rolled = roll_up(staged)
     tables.replace_tables(rolled, f"{root}/rollups")
     built = build_marts(staged, tables.read_back(rolled, f"{root}/rollups"))
@@ -97,8 +99,8 @@ def model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def publish(built: dict[str, DataFrame], root: str) -> dict[str, int]:
-    """Copy the published marts to their own root; returns their row counts."""
-    return tables.replace_tables({name: built[name] for name in PUBLISHED}, root)
+    """Copy the published marts to their own root, as one version; returns their row counts."""
+    return tables.publish_tables({name: built[name] for name in PUBLISHED}, root)
 
 
 def reports(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -109,7 +111,24 @@ def reports(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def run(spark: SparkSession, pages: DataFrame, root: str) -> dict[str, DataFrame]:
+class IncompleteLoad(ValueError):
+    """Pages, or parts of orders' lines, are missing, repeated or not announced."""
+
+
+def check_complete(spark: SparkSession, pages: DataFrame, root: str, allow_gaps: bool = False) -> DataFrame:
+    """The gaps, kept as the table ``gaps``; any raises unless gaps are allowed."""
+    gaps = page_sources.load_gaps(pages)
+    found = tables.replace_table(gaps, root, "gaps")
+    if found and not allow_gaps:
+        raise IncompleteLoad(f"{found} gaps in the landed pages, listed in {root}/gaps")
+    return spark.read.schema(gaps.schema).parquet(f"{root}/gaps")
+
+
+def run(
+    spark: SparkSession, pages: DataFrame, root: str, allow_gaps: bool = False
+) -> dict[str, DataFrame]:
+    """Load, model and publish; returns the reports. An incomplete landing fails first."""
+    check_complete(spark, pages, root, allow_gaps)
     load(pages, root)
     built = model(spark, root)
     publish(built, f"{root}/published")

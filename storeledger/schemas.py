@@ -53,9 +53,12 @@ ORDER_LINES_PAGE = _response(
 )
 PRODUCT_PAGE = _response(_resource("products", f"nodes: array<struct<{_PRODUCT}>>"))
 PAGE_INFO = _response(_resource("orders", _PAGE_INFO), _resource("products", _PAGE_INFO))
+LINE_CHAIN_PAGE = _response(
+    _resource("orders", f"nodes: array<struct<id: string, lineItems: struct<{_PAGE_INFO}>>>")
+)
 CHILD_COUNT_PAGE = _response(
     _resource("orders", "nodes: array<struct<id: string, "
-              "lineItems: struct<nodes: array<struct<title: string>>>>>"),
+              f"lineItems: struct<{_PAGE_INFO}, nodes: array<struct<title: string>>>>>"),
     _resource("products", "nodes: array<struct<id: string, "
               "variants: struct<nodes: array<struct<id: string>>>>>"),
 )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.schemas import MONEY, TOTAL
+from storeledger.session import scratch_dir
 
 _PRICE = "decimal(18,2)"
 
@@ -219,7 +220,13 @@ def _order_node(order: Column) -> Column:
         _money_set(head["total_discounts"]).alias("totalDiscountsSet"),
         _money_set(head["total_refunded"]).alias("totalRefundedSet"),
         _money_set(head["shipping_charged"]).alias("totalShippingPriceSet"),
-        F.struct(F.transform(order["lines"], _line_node).alias("nodes")).alias("lineItems"),
+        F.struct(
+            F.struct(
+                (order["chunk"] + 1 < order["chunks"]).alias("hasNextPage"),
+                order["chunk"].cast("string").alias("endCursor"),
+            ).alias("pageInfo"),
+            F.transform(order["lines"], _line_node).alias("nodes"),
+        ).alias("lineItems"),
     )
 
 
@@ -249,22 +256,37 @@ def order_pages(
     pages that none nests much more than that: the first with the order, the
     others as ``order_lines`` pages. So no group grows with the data, not even
     where one order has a third of all lines, and no line is lost.
+
+    The order rows, with their sums over the lines, are written once to the shared
+    scratch folder: they serve as heads and in the join with the lines, whose side
+    is then a plain scan, so that adaptive execution can split a hot order.
     """
-    order_rows = _order_rows(spark, sf_dir).withColumn("page", F.expr(f"o_orderkey div {per_page}"))
+    path = scratch_dir(spark, "order-rows")
+    chunks = F.greatest(F.expr(f"(n_lines + {lines_per_order - 1}) div {lines_per_order}"), F.lit(1).cast("bigint"))
+    order_rows = (
+        _order_rows(spark, sf_dir)
+        .withColumn("page", F.expr(f"o_orderkey div {per_page}"))
+        .withColumn("chunks", chunks)
+    )
+    order_rows.write.parquet(path)
+    order_rows = spark.read.schema(order_rows.schema).parquet(path)
     bounds = _bounds(_table(spark, sf_dir, "orders"), "o_orderkey", per_page)
-    heads = order_rows.drop("n_lines", "order_id").withColumn("chunk", F.lit(0).cast("bigint"))
-    chunks = F.expr(f"(n_lines + {lines_per_order - 1}) div {lines_per_order}")
+    # Every part of an order has a row, also one that happens to get no line.
+    heads = order_rows.drop("n_lines", "order_id").withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    )
+    heads = heads.withColumn("name", F.when(F.col("chunk") == 0, F.col("name")))
     lines = (
         _line_cents(_table(spark, sf_dir, "lineitem"))
         .withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
         .join(
-            order_rows.select("o_orderkey", "page", "created_at", "cancelled", "n_lines"),
+            order_rows.select("o_orderkey", "page", "created_at", "cancelled", "chunks"),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
             "page",
-            F.pmod(F.col("position"), chunks).alias("chunk"),
+            F.pmod(F.col("position"), F.col("chunks")).alias("chunk"),
             "o_orderkey",
             "created_at",
             "cancelled",
@@ -283,12 +305,13 @@ def order_pages(
             ).alias("head"),
             F.first("created_at").alias("created_at"),
             F.first("cancelled").alias("cancelled"),
+            F.max("chunks").alias("chunks"),
             F.collect_list(
                 F.when(F.col("l_linenumber").isNotNull(), F.struct(*_LINE_COLUMNS))
             ).alias("lines"),
         )
     )
-    order = F.struct("o_orderkey", "head", "created_at", "cancelled", "lines")
+    order = F.struct("o_orderkey", "head", "created_at", "cancelled", "chunk", "chunks", "lines")
     cursor, body = _landed(
         "orders", F.col("page"), bounds, F.transform(F.col("orders"), _order_node)
     )
@@ -350,6 +373,11 @@ def lose_second_page(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("request_cursor").isNull() | (F.col("request_cursor") != "0"))
 
 
+def lose_first_continuation(pages: DataFrame) -> DataFrame:
+    """The landed pages without the first further part of any order's lines."""
+    return pages.filter(~F.coalesce(F.col("request_cursor").endswith("/1"), F.lit(False)))
+
+
 def spoil_pages(pages: DataFrame) -> DataFrame:
     """The landed pages with one fault each in the second to fifth page of a chain."""
     body, cursor = F.col("body"), F.col("request_cursor")

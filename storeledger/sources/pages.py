@@ -5,7 +5,9 @@ A landing file holds one JSON object per line: ``resource``, ``request_cursor``
 Landed pages may also be kept as parquet, partitioned by resource. ``orders`` and
 ``products`` pages form cursor chains. An order with more lines than one page
 may nest continues on ``order_lines`` pages, which have the shape of an orders
-page and add lines but no order.
+page and add lines but no order. Part n of an order's lines, from 1, is on a page
+whose request cursor ends in ``/n``; a part's ``lineItems.pageInfo`` says whether
+another follows.
 """
 
 from functools import reduce
@@ -302,30 +304,78 @@ def page_chain_gaps(pages: DataFrame) -> DataFrame:
     )
 
 
+def line_chain_gaps(pages: DataFrame) -> DataFrame:
+    """Breaks in the parts of orders' lines: ``(order_id, problem, part)``.
+
+    Part 0 is the order itself. A part that a former one announces is there once; a part
+    that none announces has lost its former part or its order. One grouped sum, as for
+    the cursors.
+    """
+    part = F.when(F.col("resource") == "orders", F.lit("0")).otherwise(
+        F.element_at(F.split("request_cursor", "/"), -1)
+    )
+    found = (
+        pages.filter(F.col("resource").isin("orders", "order_lines"))
+        .select(part.cast("bigint").alias("part"), parse(F.col("body"), schemas.LINE_CHAIN_PAGE).alias("page"))
+        .select("part", F.explode("page.data.orders.nodes").alias("order"))
+    )
+    more = F.coalesce(F.col("order.lineItems.pageInfo.hasNextPage"), F.lit(False))
+    note = lambda at, asked, wanted: F.struct(
+        at.alias("part"), F.lit(asked).alias("asked"), F.lit(wanted).alias("wanted")
+    )
+    notes = F.array(note(F.col("part"), 1, 0), F.when(more, note(F.col("part") + 1, 0, 1)))
+    parts = (
+        found.select(F.col("order.id").alias("order_id"), F.explode(F.array_compact(notes)).alias("n"))
+        .groupBy("order_id", "n.part")
+        .agg(F.sum("n.asked").alias("asked"), F.sum("n.wanted").alias("wanted"))
+    )
+    problems = F.array(
+        F.when(F.col("asked") == 0, "missing lines"),
+        F.when(F.col("asked") > 1, "repeated lines"),
+        F.when((F.col("part") > 0) & (F.col("asked") > 0) & (F.col("wanted") == 0), "orphan lines"),
+    )
+    return parts.select("order_id", F.explode(F.array_compact(problems)).alias("problem"), "part")
+
+
+def load_gaps(pages: DataFrame) -> DataFrame:
+    """All that shows a load as incomplete: ``(resource, problem, place)``."""
+    chains = page_chain_gaps(pages).select("resource", "problem", F.col("cursor").alias("place"))
+    lines = line_chain_gaps(pages).select(
+        F.lit("order_lines").alias("resource"), "problem", F.concat_ws("/", "order_id", "part").alias("place")
+    )
+    return chains.unionByName(lines)
+
+
 def truncation_suspects(pages: DataFrame, limit: int = 50) -> DataFrame:
     """Parents with exactly as many children as one request may nest.
 
     Such a parent may have lost children at the source; the flattening itself
-    never cuts a list.
+    never cuts a list. An order that says that further lines follow is no suspect.
     """
     page = parse(F.col("body"), schemas.CHILD_COUNT_PAGE)
     parents = F.when(
         F.col("resource") == "products",
         F.transform(
             F.col("page.data.products.nodes"),
-            lambda p: F.struct(p["id"].alias("id"), F.size(p["variants"]["nodes"]).alias("children")),
+            lambda p: F.struct(
+                p["id"].alias("id"), F.size(p["variants"]["nodes"]).alias("children"), F.lit(False).alias("more")
+            ),
         ),
     ).otherwise(
         F.transform(
             F.col("page.data.orders.nodes"),
-            lambda o: F.struct(o["id"].alias("id"), F.size(o["lineItems"]["nodes"]).alias("children")),
+            lambda o: F.struct(
+                o["id"].alias("id"),
+                F.size(o["lineItems"]["nodes"]).alias("children"),
+                F.coalesce(o["lineItems"]["pageInfo"]["hasNextPage"], F.lit(False)).alias("more"),
+            ),
         )
     )
     return (
         pages.filter(F.col("resource").isin("orders", "products"))
         .select("resource", page.alias("page"))
         .select("resource", F.explode(parents).alias("parent"))
-        .filter(F.col("parent.children") == limit)
+        .filter((F.col("parent.children") == limit) & ~F.col("parent.more"))
         .select(
             "resource",
             F.col("parent.id").alias("parent_id"),

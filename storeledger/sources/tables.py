@@ -1,5 +1,7 @@
 """Raw, mart and published tables as parquet folders, rewritten whole on every run."""
 
+import time
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +23,25 @@ def replace_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]
     return {name: replace_table(rows, root, name) for name, rows in tables.items()}
 
 
+def publish_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
+    """Write a new version of all tables, then name it the current one: in one append.
+
+    Readers keep the former version until then; a run that fails changes nothing for them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    counts = replace_tables(tables, f"{root}/{version}")
+    named = spark.createDataFrame([(version,)], "version string").coalesce(1)
+    named.write.mode("append").json(f"{root}/versions")
+    return counts
+
+
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the version published last."""
+    versions = spark.read.schema("version string").json(f"{root}/versions")
+    return spark.read.parquet(f"{root}/{versions.agg(F.max('version')).first()[0]}/{name}")
+
+
 def save_tables(tables: Mapping[str, DataFrame], database: str) -> None:
     """The same tables as managed tables of a catalog database."""
     for name, rows in tables.items():

@@ -5,6 +5,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from golden import PAGES, pages_frame, rows_of
 from storeledger.operators import report
@@ -109,12 +110,22 @@ def test_publish(spark, built, tmp_path):
     assert counts == {"money_summary": 4, "product_leaks": 4, "product_margin": 2, "stock_capital": 3}
     again = pipeline.publish(built, str(tmp_path))
     assert again == counts
-    published = {name: spark.read.parquet(str(tmp_path / name)) for name in counts}
+    published = {name: tables.read_published(spark, str(tmp_path), name) for name in counts}
     for name, rows in counts.items():
         assert published[name].dtypes == built[name].dtypes
         assert published[name].count() == rows
 
 
+def test_failed_publish_keeps_the_old_tables(spark, built, tmp_path):
+    root = str(tmp_path)
+    counts = pipeline.publish(built, root)
+    broken = {**built, "product_margin": spark.range(1).select(F.raise_error(F.lit("lost")).alias("x"))}
+    with pytest.raises(Exception, match="lost"):
+        pipeline.publish({**broken, "money_summary": built["money_summary"].limit(1)}, root)
+    for name, rows in counts.items():
+        assert tables.read_published(spark, root, name).count() == rows
+
+
 def test_managed_tables(spark, built):
     spark.sql("CREATE DATABASE IF NOT EXISTS ledger")
     for _ in range(2):
@@ -122,14 +133,24 @@ def test_managed_tables(spark, built):
     assert spark.table("ledger.product_leaks").count() == 4
 
 
-def test_staging_views(spark, built):
+def test_staging_views_on_request(spark, tmp_path):
+    pipeline.load(pages_frame(spark, PAGES), str(tmp_path))
+    spark.sql("CREATE OR REPLACE TEMP VIEW stg_orders AS SELECT 1 AS mine")
+    pipeline.model(spark, str(tmp_path))
+    assert spark.table("stg_orders").columns == ["mine"]
+    pipeline.model(spark, str(tmp_path), views=True)
     assert spark.table("stg_orders").count() == 4
 
 
 def test_run_replaces_earlier_load(spark, tmp_path):
     pages_all = pages_frame(spark, PAGES)
     pipeline.run(spark, pages_all, str(tmp_path))
-    reports = pipeline.run(spark, pages_frame(spark, PAGES[1:]), str(tmp_path))
+    lost = pages_frame(spark, PAGES[1:])
+    with pytest.raises(pipeline.IncompleteLoad, match="gaps"):
+        pipeline.run(spark, lost, str(tmp_path))
+    assert tables.read_raw(spark, str(tmp_path / "raw"))["orders"].count() == 4
+    reports = pipeline.run(spark, lost, str(tmp_path), allow_gaps=True)
+    assert spark.read.parquet(str(tmp_path / "gaps")).count() > 0
     assert [r[0] for r in rows_of(reports["top_discounted"])] == ["Tee"]
 
 

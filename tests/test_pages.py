@@ -142,13 +142,40 @@ def test_chain(spark, links, problems):
     assert sorted(rows_of(got), key=str) == sorted(problems, key=str)
 
 
+def part(cursor, *orders):
+    """A page of orders given as (id, whether more lines follow)."""
+    nodes = [{"id": i, "lineItems": {"pageInfo": {"hasNextPage": more}, "nodes": []}} for i, more in orders]
+    return page("orders" if cursor is None else "order_lines", cursor, nodes)
+
+
+@pytest.mark.parametrize("parts,problems", [
+    ([part(None, ("A", False), ("B", True)), part("0/1", ("B", False))], []),
+    ([part(None, ("A", True)), part("0/1", ("A", True)), part("0/2", ("A", False))], []),
+    ([part(None, ("A", True), ("B", False))], [("A", "missing lines", 1)]),
+    ([part(None, ("A", True)), part("0/2", ("A", False))], [("A", "missing lines", 1), ("A", "orphan lines", 2)]),
+    ([part(None, ("A", True)), part("0/1", ("A", False)), part("0/1", ("A", False))], [("A", "repeated lines", 1)]),
+    ([part(None, ("A", False)), part("0/1", ("C", False))], [("C", "orphan lines", 1)]),
+])
+def test_line_chain(spark, parts, problems):
+    got = pages.line_chain_gaps(pages_frame(spark, parts))
+    assert sorted(rows_of(got)) == sorted(problems)
+
+
+def test_lost_lines_fail_the_run(spark, tmp_path):
+    head = {**ORDERS[0], "lineItems": {"pageInfo": {"hasNextPage": True}, **ORDERS[0]["lineItems"]}}
+    landed = pages_frame(spark, [page("orders", None, [head] + ORDERS[1:]), PAGES[2]])
+    with pytest.raises(pipeline.IncompleteLoad):
+        pipeline.run(spark, landed, str(tmp_path))
+
+
 def test_truncation(spark):
     full = order("O50", "2026-01-01T00:00:00Z", None, "1", "0", None, [line("Mug", 1, "1", "1", None)] * 50)
     more = order("O51", "2026-01-01T00:00:00Z", None, "1", "0", None, [line("Mug", 1, "1", "1", None)] * 51)
+    going_on = {**full, "id": "O52", "lineItems": {"pageInfo": {"hasNextPage": True}, **full["lineItems"]}}
     wide = product("P9", "Mug", [variant(f"V{i}", "x", "1", None, 1) for i in range(50)])
-    landed = pages_frame(spark, [page("orders", None, [full, more] + ORDERS), page("products", None, [wide] + PRODUCTS)])
+    landed = pages_frame(spark, [page("orders", None, [full, more, going_on] + ORDERS), page("products", None, [wide] + PRODUCTS)])
     assert rows_of(pages.truncation_suspects(landed), "parent_id") == [("orders", "O50", 50), ("products", "P9", 50)]
-    assert flatten.flatten_items(landed).count() == 101 + 6
+    assert flatten.flatten_items(landed).count() == 151 + 6
 
 
 def test_continued_order(spark):

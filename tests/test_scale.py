@@ -32,7 +32,7 @@ def marts(spark, raw_root):
     return pipeline.build_marts(pipeline.stage(tables.read_raw(spark, raw_root)))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(entry_module._QUERIES) - EAGER))
 def test_no_cross_join_and_no_python(spark, name):
     plan = executed(entry_module.queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
@@ -148,6 +148,16 @@ def test_hot_order_spreads_over_pages(spark, skewed, shuffled_joins):
     assert counts["orders"] == 300 and counts["order_lines"] > 300
 
 
+def test_hot_order_join_of_pages_is_split(spark, skewed, shuffled_joins):
+    folder, _ = skewed
+    landed = driver_tables.order_pages(spark, folder)
+    landed.collect()
+    plan = executed(landed)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line and "l_orderkey" in line]
+    assert any("skew=true" in line for line in joins)
+    assert len([line for line in scans(plan.split("Initial Plan")[0]) if "l_orderkey" in line]) == 1
+
+
 def test_hot_order_join_is_split(spark, skewed, shuffled_joins):
     folder, _ = skewed
     joined = driver_tables.order_items(spark, folder)
