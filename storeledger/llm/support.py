@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storeledger.session import scratch_dir
 
@@ -49,6 +50,11 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return rows.select(*columns) if columns else rows
 
 
+def with_fields(schema: T.StructType, more: str) -> T.StructType:
+    """The schema and, after its fields, those of a DDL string."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
+
+
 def crc_remainder(key, modulus: int):
     """crc32 of a key's text, modulo; a null key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
