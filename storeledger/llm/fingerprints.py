@@ -105,8 +105,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "fingerprint", "n_anchors"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(add, f"{fields}, fingerprint string, n_anchors long")
+    return docs.mapInArrow(add, support.with_fields(docs.schema, "fingerprint string, n_anchors long"))
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -197,7 +196,7 @@ def likeness_under_edits(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     support.prepare(spark)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = 4 * tasks
     key = F.coalesce("doc_id", F.lit(_FIRST))

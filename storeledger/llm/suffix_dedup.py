@@ -146,7 +146,7 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     rows without an id. Repeated rows repeat each other. No rows give none.
     """
     support.prepare(docs.sparkSession)
-    docs = docs.select("doc_id", "text").filter("doc_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
     starts = docs.mapInArrow(_starts, "key long, doc_id long, at long, again boolean, salt int")
     group = Window.partitionBy("key", "salt").orderBy("doc_id", "at")
     starts = starts.withColumn("before", F.lag("at").over(group)).withColumn("after", F.lead("at").over(group))
