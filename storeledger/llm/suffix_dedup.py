@@ -156,7 +156,9 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     rows = docs.join(by_doc, "doc_id").mapInArrow(
         _surroundings, "key long, doc_id long, at long, after binary, before binary"
     )
+    # Written, so that the few large groups are a side of known size in the join.
     sizes = starts.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARE)
+    sizes = scratch.write(sizes, "sizes")
     share = F.pmod(F.xxhash64("doc_id", "at"), F.ceil(F.coalesce("n", F.lit(1)) / SHARE))
     rows = rows.join(sizes, "key", "left").withColumn("share", share).drop("n")
     rows = rows.repartition("key", "share").sortWithinPartitions("key", "share", "after", "before", "doc_id", "at")
