@@ -12,9 +12,10 @@ family of partitions, and so on until more than k of one family are filled; for
 sets the first family that suffices for either is emitted by both.
 
 Sets are distinct sets, known by a 64-bit digest; documents with equal sets are one. Before
-sets are moved to be compared, pairs are held against sketches: for each of a few ranges of
-hashes, count and checksum modulo 16. They bound the difference of two sets from below, so
-only pairs that are surely not similar are put aside.
+sets are moved to be compared, pairs are held against sketches: bit b is the parity of the
+count of elements whose hash ends in b. An element in one of two sets only flips one bit, so
+the bits in which two sketches differ bound the sets' difference from below, and only pairs
+that are surely not similar are put aside.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ HELD = 1 << 19
 BLOCK = 1024
 # Documents whose ids are broadcast to pick their texts; beyond, texts are joined.
 BROADCAST_IDS = 1_000_000
-# A sketch has a power of two of ranges, about one for SKETCH_SHARE to twice as many elements.
-SKETCH_SHARE, SKETCH_LEAST, SKETCH_MOST = 6, 16, 512
+# A sketch has a power of two of bits: 2 to 4 for each element, within these bounds.
+SKETCH_LEAST, SKETCH_MOST = 64, 1 << 16
 
 
 def difference_bound(total: int) -> int:
@@ -129,52 +130,29 @@ def signatures(sets: np.ndarray, offsets: np.ndarray, ids: np.ndarray, salt: int
     return np.concatenate(found), np.concatenate(owners)
 
 
-def _sketch_ranges(size: int) -> int:
-    return min(SKETCH_MOST, max(SKETCH_LEAST, 1 << max(0, (size // SKETCH_SHARE).bit_length() - 1)))
-
-
 def sketch(own: np.ndarray) -> bytes:
-    """For each range of hash values, the count and a checksum of the set's elements there, modulo 16."""
-    ranges = _sketch_ranges(len(own))
-    mixed = mix(own ^ np.uint64(0x8A5CD789635D2DFF))
-    at = (mixed >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64)
-    counts = np.bincount(at, minlength=ranges)
-    checks = np.bincount(at, weights=(mixed & np.uint64(15)).astype(np.float64), minlength=ranges)
-    return ((counts % 16) * 16 + checks.astype(np.int64) % 16).astype(np.uint8).tobytes()
-
-
-def _folded(sketches: list[bytes], ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and checksums of all sketches over so many ranges."""
-    counts, checks = (np.empty((len(sketches), ranges), np.uint8) for _ in range(2))
-    for i, one in enumerate(sketches):
-        values = np.frombuffer(one, np.uint8)
-        if len(values) == ranges:
-            counts[i], checks[i] = values >> 4, values & 15
-        else:
-            parts = values.reshape(ranges, -1)
-            counts[i], checks[i] = (parts >> 4).sum(1) & 15, (parts & 15).sum(1) & 15
-    return counts, checks
+    bits = min(SKETCH_MOST, max(SKETCH_LEAST, 1 << (2 * len(own)).bit_length()))
+    at = mix(own ^ np.uint64(0x8A5CD789635D2DFF)) & np.uint64(bits - 1)
+    parity = np.bincount(at.view(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(parity, bitorder="little").tobytes()
 
 
-def _least_difference(counts: np.ndarray, checks: np.ndarray, one: int) -> np.ndarray:
-    """A lower bound of the elements in which set `one` differs from each set."""
-    more = (counts - counts[one]) & 15
-    apart = np.minimum(more, (16 - more) & 15)
-    apart[(apart == 0) & (checks != checks[one])] = 2
-    return apart.sum(1, dtype=np.int64)
-
-
-def may_be_similar(sizes: np.ndarray, sketches: list[bytes], one: int) -> np.ndarray:
-    """Whether each set may be similar to set `one`, by sizes and sketches."""
-    counts, checks = _folded(sketches, min(map(len, sketches)) if sketches else 0)
-    return _possible(sizes, counts, checks, one)
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """All sketches as rows of 64-bit words, at the length of the shortest."""
+    width = min(map(len, sketches))
+    rows = np.empty((len(sketches), width // 8), np.uint64)
+    for i, one in enumerate(sketches):
+        words = np.frombuffer(one, np.uint64)
+        rows[i] = np.bitwise_xor.reduce(words.reshape(-1, width // 8)) if len(one) > width else words
+    return rows
 
 
-def _possible(sizes: np.ndarray, counts: np.ndarray, checks: np.ndarray, one: int) -> np.ndarray:
-    total = sizes + sizes[one]
-    bound = total + 2 * (-4 * total // 9)
-    near = 100 * np.minimum(sizes, sizes[one]) >= 80 * np.maximum(sizes, sizes[one])
-    return near & (_least_difference(counts, checks, one) <= bound)
+def _possible(sizes: np.ndarray, rows: np.ndarray, size: int, row: np.ndarray) -> np.ndarray:
+    """Whether each set may be similar to one, by their sizes and folded sketches."""
+    total = sizes + size
+    bound = total + 2 * (-4 * total // 9)  # of the difference, at similarity 0.8
+    near = 100 * np.minimum(sizes, size) >= 80 * np.maximum(sizes, size)
+    return near & (np.bitwise_count(rows ^ row).sum(1, dtype=np.int64) <= bound)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: str):
@@ -291,7 +269,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "ka", "kb")))
-        keep = [bool(may_be_similar(np.array([na, nb]), [ka, kb], 0)[1]) for na, nb, ka, kb in rows]
+        keep = []
+        for na, nb, ka, kb in rows:
+            both = _folded([ka, kb])
+            keep.append(bool(_possible(np.array([nb]), both[1:], na, both[0])[0]))
         yield batch.select(["a", "b", "shared"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -300,18 +281,22 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group, held = None, []
 
     def pairs() -> pa.RecordBatch:
+        within = group[1] == group[2]
+        if not within:
+            held.sort(key=lambda row: row[3] != group[1])
         ids, labels, sizes, blocks, sketches = zip(*held)
-        ids, labels, sizes, blocks = (np.array(x) for x in (ids, labels, sizes, blocks))
-        counts, checks = _folded(list(sketches), min(map(len, sketches)))
-        first = group[1] == group[2]
+        ids, labels, sizes = (np.array(x) for x in (ids, labels, sizes))
+        rows = _folded(list(sketches))
+        first = sum(block == group[1] for block in blocks)
         a, b = [], []
-        for i in range(len(ids)):
-            if not first and blocks[i] != group[1]:
-                continue
-            other = (ids > ids[i]) if first else (blocks != group[1])
-            found = np.flatnonzero(other & (labels != labels[i]) & _possible(sizes, counts, checks, i))
-            a.append(np.full(len(found), ids[i]))
-            b.append(ids[found])
+        for i in range(len(ids) - 1 if within else first):
+            rest = slice(i + 1 if within else first, None)
+            found = np.flatnonzero(
+                (labels[rest] != labels[i]) & _possible(sizes[rest], rows[rest], sizes[i], rows[i])
+            )
+            if len(found):
+                a.append(np.full(len(found), ids[i]))
+                b.append(ids[rest][found])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -375,7 +360,7 @@ def jaccard_join(docs: DataFrame, scratch: Scratch) -> DataFrame:
     that are still in different components against each other.
     """
     support.prepare(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
     described = scratch.write(
         docs.mapInArrow(_describe, "doc_id long, n_shingles long, set_id long, sketch binary"), "sets"
     )
