@@ -96,8 +96,8 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("label"),
                 batch.column("spot"),
-                pa.array([b.astype(np.int32) for b, _ in found], pa.list_(pa.int32())),
-                pa.array([v for _, v in found], pa.list_(pa.float64())),
+                pa.array([b.astype(np.int32).tobytes() for b, _ in found], pa.binary()),
+                pa.array([v.astype(np.float32).tobytes() for _, v in found], pa.binary()),
             ],
             ["label", "spot", "buckets", "shares"],
         )
@@ -199,12 +199,12 @@ def train_language_model(labelled: DataFrame, key: str = "doc_id") -> LanguageMo
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
     sample = rows.withColumn("spot", spot).filter(F.col("spot") < share)
     sample = sample.select("text", number.cast("int").alias("label"), (F.col("spot") / share).alias("spot"))
-    sample = sample.mapInArrow(_profiles, "label int, spot double, buckets array<int>, shares array<double>")
+    sample = sample.mapInArrow(_profiles, "label int, spot double, buckets binary, shares binary")
     sample = sample.toArrow().sort_by([("spot", "ascending"), ("label", "ascending")])
     cases = []
-    for label, at, shares in zip(*(sample.column(c).to_pylist() for c in ("label", "buckets", "shares"))):
-        at = np.array(at, np.int64)
-        cases.append((at, np.array(shares) * idf[at], label))
+    for label, at, shares in zip(*(sample.column(c) for c in ("label", "buckets", "shares"))):
+        at = np.frombuffer(at.as_buffer(), np.int32)
+        cases.append((at, (np.frombuffer(shares.as_buffer(), np.float32) * idf[at]).astype(np.float32), label.as_py()))
     kept, fitted = cases[::5], [c for i, c in enumerate(cases) if i % 5]
     weights, intercept = train_ftrl(fitted or kept, len(languages), size)
     logits = np.array([values @ weights[at] + intercept for at, values, _ in kept]).reshape(-1, len(languages))
@@ -239,5 +239,4 @@ def identify_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(predict, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(predict, support.with_fields(docs.schema, "lang_pred string, score double"))
