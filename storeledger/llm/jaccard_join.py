@@ -41,6 +41,9 @@ HELD = 1 << 19
 # Sets of one signature that one key compares with each other, or with so many others; a
 # larger group is compared block by block.
 BLOCK = 1024
+# Least hashes of its open signatures that a set brings along, so that most pairs are held
+# against each other in one of the groups they share.
+FIRSTS = 8
 # Documents whose ids are broadcast to pick their texts; beyond, texts are joined.
 BROADCAST_IDS = 1_000_000
 # A sketch has a power of two of bits: 2 to 4 for each element, within these bounds.
@@ -276,23 +279,34 @@ def _possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b", "shared"]).filter(pa.array(keep, pa.bool_()))
 
 
+_OPEN = ["sig", "i", "j", "set_id", "label", "n_shingles", "own", "sketch", "least", "hashes"]
+
+
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Possible pairs of each group's sets that have different labels; rows come group by group."""
+    """Possible pairs of each group's sets that have different labels; rows come group by group.
+
+    Two sets whose least signatures by one of FIRSTS hashes are the same meet in that
+    signature's group, by the first such hash; all other groups leave the pair to it.
+    """
     group, held = None, []
 
     def pairs() -> pa.RecordBatch:
         within = group[1] == group[2]
         if not within:
             held.sort(key=lambda row: row[3] != group[1])
-        ids, labels, sizes, blocks, sketches = zip(*held)
-        ids, labels, sizes = (np.array(x) for x in (ids, labels, sizes))
+        ids, labels, sizes, blocks, sketches, least, hashes = zip(*held)
+        ids, labels, sizes, least = (np.array(x) for x in (ids, labels, sizes, least))
+        here = np.array(hashes[0])
         rows = _folded(list(sketches))
         first = sum(block == group[1] for block in blocks)
         a, b = [], []
         for i in range(len(ids) - 1 if within else first):
             rest = slice(i + 1 if within else first, None)
+            same = least[rest] == least[i]
+            turn = same.argmax(1)
+            ours = ~same.any(1) | (least[i][turn] == here[turn])
             found = np.flatnonzero(
-                (labels[rest] != labels[i]) & _possible(sizes[rest], rows[rest], sizes[i], rows[i])
+                ours & (labels[rest] != labels[i]) & _possible(sizes[rest], rows[rest], sizes[i], rows[i])
             )
             if len(found):
                 a.append(np.full(len(found), ids[i]))
@@ -301,7 +315,7 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("sig", "i", "j", "set_id", "label", "n_shingles", "own", "sketch")]
+        columns = [batch.column(c).to_pylist() for c in _OPEN]
         for row in zip(*columns):
             if row[:3] != group:
                 if len(held) > 1:
@@ -394,10 +408,14 @@ def jaccard_join(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .filter("n > 2 and low <> high")
         .select("sig", "n")
     )
-    rows = _blocks(placed.join(open_groups, "sig").join(sketches, "set_id"))
-    rows = rows.select("sig", "i", "j", "set_id", "label", "n_shingles", "own", "sketch")
+    opened = scratch.write(placed.join(open_groups, "sig"), "open")
+    hashes = [F.xxhash64("sig", F.lit(turn)) for turn in range(FIRSTS)]
+    least = opened.groupBy("set_id").agg(*[F.min(h).alias(f"least{turn}") for turn, h in enumerate(hashes)])
+    least = least.select("set_id", F.array(*[f"least{turn}" for turn in range(FIRSTS)]).alias("least"))
+    rows = _blocks(opened.join(least, "set_id").join(sketches, "set_id"))
+    rows = rows.withColumn("hashes", F.array(*hashes)).select(*_OPEN)
     rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    pairs = rows.mapInArrow(_open_pairs, "a long, b long").distinct()
+    pairs = scratch.write(rows.mapInArrow(_open_pairs, "a long, b long").distinct(), "open-pairs")
     tested = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = fetch.links(pairs.join(tested, ["a", "b"], "left_anti"))
     if not more.isEmpty():
