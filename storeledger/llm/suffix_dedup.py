@@ -3,9 +3,10 @@
 Suffixes are kept at positions that the text itself selects: the least of GRAM-word hashes
 among WINDOW neighbours. Of a passage of PASSAGE words or more, the first WINDOW hashes select
 a position that all its copies have, with at least CORE words of the passage from there on.
-Suffixes that begin with equal CORE words are sorted by what follows and compared with their
-neighbours; matches are extended right and left by up to WINDOW words, as far as which the
-next kept suffix stands. Overlapping matches of a document make one span.
+Suffixes that begin with equal CORE words make a group. A suffix has a hash for each run of
+PASSAGE words that begins with up to WINDOW - 1 words before it and so holds its core; a run that
+another suffix of the group has too, as many words before it, occurs again. Overlapping runs of a
+document make one span.
 """
 
 from __future__ import annotations
@@ -14,20 +15,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.llm import support
-from storeledger.llm.support import Scratch, chunks, gram_hashes, utf8, word_hashes
+from storeledger.llm.support import Scratch, chunks, gram_hashes, mix, utf8, word_hashes
 
 PASSAGE = 50
 GRAM, WINDOW = 8, 16
 CORE = PASSAGE - WINDOW + 1
 # Rows of one suffix start that one key holds; a larger group is dealt out, and a row is then
-# compared with its neighbours of the same share.
+# compared with the rows of the same share.
 SHARE = 10_000
 HELD = 1 << 19
+# Rows compared at once, besides those of a key that goes on.
+STEP = 1 << 16
 
 
 def kept_positions(words: np.ndarray) -> np.ndarray:
@@ -78,62 +82,82 @@ def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words after the core and, backwards, before it, as 32-bit hashes; null beyond the text's ends."""
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each suffix, the runs of PASSAGE words around its core: first word of the first, hashes of all."""
+    names = ["key", "doc_id", "at", "begin", "runs"]
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         found = batch.column("found").to_pylist()
         ids = batch.column("doc_id").to_pylist()
         for first, _, part, part_offsets in chunks(data, offsets):
             words, firsts = word_hashes(part, part_offsets)
-            short = (words >> np.uint64(32)).astype(">u4")
             rows = []
             for i, (s, e) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist())):
-                own, cores = short[s:e], gram_hashes(words[s:e], CORE).view(np.int64)
+                if e - s < PASSAGE:
+                    continue
+                cores, runs = gram_hashes(words[s:e], CORE).view(np.int64), gram_hashes(words[s:e], PASSAGE)
                 for place in found[first + i]:
                     key, at = place["key"], place["at"]
                     # Rows of one doc_id may have several texts: only the text's own suffixes count.
                     if at < len(cores) and cores[at] == key:
-                        after = own[at + CORE : at + CORE + WINDOW].tobytes()
-                        before = own[max(0, at - WINDOW) : at][::-1].tobytes()
-                        rows.append((key, ids[first + i], at, after, before))
+                        begin = max(0, at - WINDOW + 1)
+                        own = runs[begin : at + 1]
+                        # Equal only with as many words before the suffix.
+                        own = own + _BEFORE[at - begin - np.arange(len(own))]
+                        rows.append((key, ids[first + i], at, begin, own.tobytes()))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "doc_id", "at", "after", "before"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Equal 32-bit words at the beginning."""
-    n = min(len(a), len(b)) // 4
-    if a[: 4 * n] == b[: 4 * n]:
-        return n
-    return next(i for i in range(n) if a[4 * i : 4 * i + 4] != b[4 * i : 4 * i + 4])
+_BEFORE = mix(np.arange(1, WINDOW + 1, dtype=np.uint64))
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Span of each suffix's longest match with its neighbour before or after it."""
-    last, best = None, (0, 0)
-    names = ["doc_id", "begin", "stop"]
+def _again(runs: np.ndarray) -> np.ndarray:
+    """Whether each hash is there more than once."""
+    order = np.argsort(runs, kind="stable")
+    same = runs[order][1:] == runs[order][:-1]
+    again = np.zeros(len(runs), bool)
+    again[order[1:]] = same
+    again[order[:-1]] |= same
+    return again
 
-    def span(row, ext):
-        return row[2], row[3] - ext[1], row[3] + CORE + ext[0]
+
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Span of each suffix's repeated runs; rows come by key, and no key has more than a task holds."""
+    held: list[pa.RecordBatch] = []
+
+    def spans(rows: pa.Table) -> pa.RecordBatch:
+        sizes, runs = _flat(rows.column("runs"))
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        begins = rows.column("begin").to_numpy()[owner] + np.arange(len(runs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.flatnonzero(_again(runs))
+        owner, begins = owner[at], begins[at]
+        firsts = np.flatnonzero(np.diff(owner, prepend=-1))
+        lasts = np.append(firsts[1:], len(owner))[: len(firsts)] - 1
+        docs = rows.column("doc_id").to_numpy()[owner[firsts]]
+        columns = [docs, begins[firsts], begins[lasts] + PASSAGE]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "begin", "stop"])
 
     for batch in batches:
-        rows = []
-        columns = [batch.column(c).to_pylist() for c in ("key", "share", "doc_id", "at", "after", "before")]
-        for row in zip(*columns):
-            if last is not None:
-                if row[:2] == last[:2]:
-                    ext = (_common(row[4], last[4]), _common(row[5], last[5]))
-                    rows.append(span(last, max(best, ext, key=sum)))
-                    best = ext
-                else:
-                    rows.append(span(last, best))
-                    best = (0, 0)
-            last = row
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
-    if last is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in span(last, best)], names)
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= STEP:
+            rows = pa.Table.from_batches(held)
+            keys = rows.column("key").to_numpy()
+            whole = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+            if whole:
+                yield spans(rows.slice(0, whole))
+                held = rows.slice(whole).combine_chunks().to_batches()
+    if held:
+        yield spans(pa.Table.from_batches(held))
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of hashes of each row, and all hashes."""
+    values = column.combine_chunks()
+    if isinstance(values, pa.ChunkedArray):
+        values = pa.concat_arrays(values.chunks)
+    sizes = pc.binary_length(values).to_numpy(zero_copy_only=False) // 8
+    return sizes.astype(np.int64), np.frombuffer(b"".join(values.to_pylist()), np.uint64)
 
 
 def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -141,8 +165,8 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     docs: `doc_id` (long), `text`; other columns are ignored. Words are `[^\\x20\\x09-\\x0D]+`,
     A-Z as a-z. One row for each span of PASSAGE words or more: `doc_id`, `start_word`,
-    `n_words`. Every passage of at least PASSAGE words that occurs twice is within a span; no
-    passage of fewer than CORE is by itself. Null, empty and short texts have none, as have
+    `n_words`. Every passage of at least PASSAGE words that occurs twice is within a span, and
+    spans hold nothing else. Null, empty and short texts have none, as have
     rows without an id. Repeated rows repeat each other. No rows give none.
     """
     support.prepare(docs.sparkSession)
@@ -154,15 +178,15 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     starts = scratch.write(starts.filter(repeated).select("key", "doc_id", "at"), "starts")
     by_doc = starts.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("key", "at")).alias("found"))
     rows = docs.join(by_doc, "doc_id").mapInArrow(
-        _surroundings, "key long, doc_id long, at long, after binary, before binary"
+        _passages, "key long, doc_id long, at long, begin long, runs binary"
     )
     # Written, so that the few large groups are a side of known size in the join.
     sizes = starts.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARE)
     sizes = scratch.write(sizes, "sizes")
     share = F.pmod(F.xxhash64("doc_id", "at"), F.ceil(F.coalesce("n", F.lit(1)) / SHARE))
     rows = rows.join(sizes, "key", "left").withColumn("share", share).drop("n")
-    rows = rows.repartition("key", "share").sortWithinPartitions("key", "share", "after", "before", "doc_id", "at")
-    spans = rows.mapInArrow(_neighbours, "doc_id long, begin long, stop long")
+    rows = rows.repartition("key", "share").sortWithinPartitions("key", "share").select("key", "doc_id", "begin", "runs")
+    spans = rows.mapInArrow(_repeats, "doc_id long, begin long, stop long")
     # Overlapping and touching spans of a document are one.
     order = Window.partitionBy("doc_id").orderBy("begin", "stop")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))

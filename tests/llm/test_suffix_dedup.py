@@ -42,6 +42,26 @@ def test_like_brute_force(spark):
     assert all(r["n_words"] >= S.PASSAGE for r in rows)
 
 
+def shared_tails(seed, groups):
+    """Pairs of texts with a passage of 50 to 65 words, and others with only its tail and words after it."""
+    rng = random.Random(seed)
+    new = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    texts = []
+    for _ in range(groups):
+        passage, after = new(rng.randrange(50, 66)), [new(4) for _ in range(3)]
+        for cut in [0, 0, *(rng.randrange(1, 16) for _ in range(4))]:
+            follows = rng.choice(after)[: rng.randrange(5)]
+            texts.append(new(rng.randrange(20)) + passage[cut:] + follows + new(rng.randrange(20)))
+        texts.append(new(3) + passage[: -rng.randrange(1, 16)] + new(9))
+    return [(doc, " ".join(words)) for doc, words in enumerate(texts)]
+
+
+def test_texts_that_share_only_tails(spark):
+    texts = shared_tails(9, 150)
+    got, _ = found(spark, texts)
+    assert got == covered(texts, S.PASSAGE)
+
+
 def test_large_groups_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(S, "SHARE", 5)
     rng = random.Random(8)
