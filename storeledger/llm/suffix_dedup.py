@@ -26,8 +26,7 @@ from storeledger.llm.support import Scratch, chunks, gram_hashes, mix, utf8, wor
 PASSAGE = 50
 GRAM, WINDOW = 8, 16
 CORE = PASSAGE - WINDOW + 1
-# Rows of one suffix start that one key holds; a larger group is dealt out, and a row is then
-# compared with the rows of the same share.
+# Rows of one suffix start that one key holds; a larger group is dealt out by its runs.
 SHARE = 10_000
 HELD = 1 << 19
 # Rows compared at once, besides those of a key that goes on.
@@ -84,7 +83,7 @@ def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each suffix, the runs of PASSAGE words around its core: first word of the first, hashes of all."""
-    names = ["key", "doc_id", "at", "begin", "runs"]
+    names = ["key", "doc_id", "begin", "stop", "runs"]
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         found = batch.column("found").to_pylist()
@@ -104,7 +103,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         own = runs[begin : at + 1]
                         # Equal only with as many words before the suffix.
                         own = own + _BEFORE[at - begin - np.arange(len(own))]
-                        rows.append((key, ids[first + i], at, begin, own.tobytes()))
+                        rows.append((key, ids[first + i], begin, 0, own.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
 
@@ -122,21 +121,78 @@ def _again(runs: np.ndarray) -> np.ndarray:
     return again
 
 
+def _runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all runs of the rows: number of the row, first word, hash."""
+    values = rows.column("runs").combine_chunks()
+    values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
+    sizes = pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+    runs = np.frombuffer(b"".join(values.to_pylist()), np.uint64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(runs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return owner, rows.column("begin").to_numpy()[owner] + place, runs
+
+
+def _around(owner: np.ndarray, begins: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Document, begin and stop of the span of each row's runs, which come by row."""
+    firsts = np.flatnonzero(np.diff(owner, prepend=-1))
+    lasts = np.append(firsts[1:], len(owner))[: len(firsts)] - 1
+    return docs[owner[firsts]], begins[firsts], begins[lasts] + PASSAGE
+
+
+_DEALT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("begin", pa.int64()), ("stop", pa.int64()), ("runs", pa.binary())])
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of small groups, and those of large ones by run in place of by group.
+
+    Repeats within STEP rows of large groups are known here, as spans with a `stop`. Of each run
+    one row goes to the run's own key, where it meets those of other rows and partitions.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def dealt() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        docs = rows.column("doc_id").to_numpy()
+        owner, begins, runs = _runs(rows)
+        at = np.flatnonzero(_again(runs))
+        found = _around(owner[at], begins[at], docs)
+        # Keys that spread these rows.
+        keys = mix(mix(found[0].astype(np.uint64)) + found[1].astype(np.uint64)).view(np.int64)
+        none = pa.array([b""] * len(keys), pa.binary())
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (keys, *found)), none], schema=_DEALT)
+        own, at = np.unique(runs, return_index=True)
+        columns = [own.view(np.int64), docs[owner[at]], begins[at], np.zeros(len(own), np.int64)]
+        offsets = pa.py_buffer(np.arange(0, 8 * len(own) + 1, 8, dtype=np.int32))
+        values = pa.Array.from_buffers(pa.binary(), len(own), [None, offsets, pa.py_buffer(own)])
+        table = pa.Table.from_arrays([*(pa.array(c) for c in columns), values], schema=_DEALT)
+        yield from table.to_batches(max_chunksize=STEP)
+
+    for batch in batches:
+        large = batch.column("large")
+        small = batch.filter(pc.invert(large))
+        if small.num_rows:
+            yield small.select(_DEALT.names)
+        if small.num_rows < batch.num_rows:
+            held.append(batch.filter(large))
+            if sum(b.num_rows for b in held) >= STEP:
+                yield from dealt()
+                held = []
+    if held:
+        yield from dealt()
+
+
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Span of each suffix's repeated runs; rows come by key, and no key has more than a task holds."""
     held: list[pa.RecordBatch] = []
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
-        sizes, runs = _flat(rows.column("runs"))
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        begins = rows.column("begin").to_numpy()[owner] + np.arange(len(runs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.flatnonzero(_again(runs))
-        owner, begins = owner[at], begins[at]
-        firsts = np.flatnonzero(np.diff(owner, prepend=-1))
-        lasts = np.append(firsts[1:], len(owner))[: len(firsts)] - 1
-        docs = rows.column("doc_id").to_numpy()[owner[firsts]]
-        columns = [docs, begins[firsts], begins[lasts] + PASSAGE]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "begin", "stop"])
+        docs, stops = rows.column("doc_id").to_numpy(), rows.column("stop").to_numpy()
+        owner, begins, runs = _runs(rows)
+        at, known = np.flatnonzero(_again(runs)), np.flatnonzero(stops)
+        found = _around(owner[at], begins[at], docs)
+        known = docs[known], rows.column("begin").to_numpy()[known], stops[known]
+        columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(found, known)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "begin", "stop"])
 
     for batch in batches:
         held.append(batch)
@@ -151,15 +207,6 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield spans(pa.Table.from_batches(held))
 
 
-def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of hashes of each row, and all hashes."""
-    values = column.combine_chunks()
-    if isinstance(values, pa.ChunkedArray):
-        values = pa.concat_arrays(values.chunks)
-    sizes = pc.binary_length(values).to_numpy(zero_copy_only=False) // 8
-    return sizes.astype(np.int64), np.frombuffer(b"".join(values.to_pylist()), np.uint64)
-
-
 def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Spans of words that occur again, in the same or another document.
 
@@ -178,14 +225,14 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     starts = scratch.write(starts.filter(repeated).select("key", "doc_id", "at"), "starts")
     by_doc = starts.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("key", "at")).alias("found"))
     rows = docs.join(by_doc, "doc_id").mapInArrow(
-        _passages, "key long, doc_id long, at long, begin long, runs binary"
+        _passages, "key long, doc_id long, begin long, stop long, runs binary"
     )
     # Written, so that the few large groups are a side of known size in the join.
     sizes = starts.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARE)
     sizes = scratch.write(sizes, "sizes")
-    share = F.pmod(F.xxhash64("doc_id", "at"), F.ceil(F.coalesce("n", F.lit(1)) / SHARE))
-    rows = rows.join(sizes, "key", "left").withColumn("share", share).drop("n")
-    rows = rows.repartition("key", "share").sortWithinPartitions("key", "share").select("key", "doc_id", "begin", "runs")
+    rows = rows.join(sizes, "key", "left").withColumn("large", F.col("n").isNotNull()).drop("n")
+    rows = rows.mapInArrow(_dealt, "key long, doc_id long, begin long, stop long, runs binary")
+    rows = rows.repartition("key").sortWithinPartitions("key")
     spans = rows.mapInArrow(_repeats, "doc_id long, begin long, stop long")
     # Overlapping and touching spans of a document are one.
     order = Window.partitionBy("doc_id").orderBy("begin", "stop")

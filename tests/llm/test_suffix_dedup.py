@@ -71,5 +71,23 @@ def test_large_groups_are_dealt_out(spark, monkeypatch):
     assert covered(texts, S.PASSAGE) <= got <= covered(texts, S.CORE)
 
 
+def test_large_groups_lose_no_pair(spark, monkeypatch):
+    """A frequent core, in pairs of texts that share some words around it."""
+    monkeypatch.setattr(S, "SHARE", 5)
+    monkeypatch.setattr(S, "STEP", 7)
+    rng = random.Random(10)
+    new = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    core, texts = [f"p{i}" for i in range(48)], []
+    for _ in range(60):
+        left = rng.randrange(12)
+        before, after = new(left), new(rng.randrange(12))
+        texts += [new(5) + before + core + after + new(5) for _ in range(2)]
+    texts += [new(5) + core for _ in range(30)]
+    rng.shuffle(texts)
+    texts = [(doc, " ".join(words)) for doc, words in enumerate(texts)]
+    got, _ = found(spark, texts)
+    assert got == covered(texts, S.PASSAGE)
+
+
 def test_none(spark):
     assert found(spark, [])[1] == []
