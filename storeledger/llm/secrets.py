@@ -1,7 +1,8 @@
 """Operator 9: secret scan, with a random forest that removes false positives.
 
-DataFrame functions only. Candidates are long runs of the characters that keys are made of;
-a forest judges each by its length, its changes between kinds of characters, the share of it
+DataFrame functions only. Candidates are long runs of the characters that keys are made of, and
+values of SHORT characters or more, of any kind, that follow a key word and = or a colon;
+a forest judges each by its length, its marks and vowels, its changes between kinds of characters, the share of it
 that dictionary words cover, whether it is part of a path, and the words before and after
 it. The dictionary is the words of the candidate's own document and a few fixed ones.
 The forest is trained from labelled findings: rows of `before`, `word`, `after`, `words`,
@@ -21,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST = 16
+LEAST, SHORT = 16, 8
 SAMPLE_DOCUMENTS = 1500
 TREES, DEPTH = 40, 8
 REPLACEMENT = "[SECRET]"
@@ -38,8 +39,15 @@ _KEY_WORDS = (
     r"(?i)(token|secret|passw(or)?d|passwd|pwd|api[_\-]?key|access[_\-]?key|private[_\-]?key|auth|bearer|"
     r"credential|signature)"
 )
+# A value after a key word and = or a colon, up to its quote or the next parameter, in the last word of
+# a few; the third group. Stops that end a sentence are not part of it.
+_VALUE = r"(?:(?!&[A-Za-z_]+=)[^\s\"'`<>,;(){}\[\]])"
+_ASSIGNED = (
+    _KEY_WORDS.replace("(?i)", "(?i:") + r")[A-Za-z0-9_\-]*[\"'`\]]* ?(?:=>|:=|==?|:) ?[\"'`]*"
+    rf"({_VALUE}{{{SHORT - 1},}}(?![.:?]){_VALUE})(?=[^ ]*$)"
+)
 FEATURES = (
-    "length changes digits uppers distinct hexadecimal numeric coverage path prefixed assigned quoted key_near "
+    "length marks vowels changes digits uppers distinct hexadecimal numeric coverage path prefixed assigned quoted key_near "
     "key_before hash_before"
 ).split()
 
@@ -49,9 +57,15 @@ def _context(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     words = F.split(text, r"[\x20\x09-\x0D]+")
     # The words are the function's argument, not looked up in it: that would split anew for each.
-    long = F.array_compact(
-        F.transform(words, lambda w, i: F.when((F.length(w) >= LEAST) & w.rlike(r"[0-9]|[a-z][A-Z]"), i))
-    )
+    blank = F.lit("")
+    near = F.arrays_zip(words, F.concat(F.array(blank), words), F.concat(F.array(blank, blank), words))
+
+    def chosen(z: Column, i: Column) -> Column:
+        long = (F.length(z["0"]) >= LEAST) & z["0"].rlike(r"[0-9]|[a-z][A-Z]")
+        assigned = (F.length(z["0"]) >= SHORT) & F.concat_ws(" ", z["2"], z["1"], z["0"]).rlike(_ASSIGNED)
+        return F.when(long | assigned, i)
+
+    long = F.array_compact(F.transform(near, chosen))
     rows = docs.select("doc_id", words.alias("words"), long.alias("places")).filter(F.size("places") > 0)
     rows = rows.withColumn("place", F.explode("places"))
 
@@ -65,10 +79,17 @@ def _context(docs: DataFrame) -> DataFrame:
         word(0).alias("word"),
         word(1).alias("after"),
         "words",
+        F.concat_ws(" ", word(-2), word(-1), word(0)).alias("near"),
+    )
+    rows = rows.withColumn("assigned", F.regexp_extract_all("near", F.lit(_ASSIGNED), 3))
+    # Runs within an assigned value are no candidates of their own.
+    runs = F.filter(
+        F.regexp_extract_all("word", F.lit(_CANDIDATE), 0),
+        lambda run: run.rlike(r"[0-9]|[a-z][A-Z]")
+        & ~F.exists("assigned", lambda value: F.contains(value, F.regexp_replace(run, r"[.]+$", ""))),
     )
-    candidates = F.regexp_extract_all("word", F.lit(_CANDIDATE), 0)
-    rows = rows.withColumn("candidate", F.explode(candidates))
-    return rows.filter(F.col("candidate").rlike(r"[0-9]|[a-z][A-Z]"))
+    rows = rows.withColumn("candidate", F.explode(F.array_distinct(F.concat("assigned", runs))))
+    return rows.drop("near", "assigned")
 
 
 def _removed(value: Column, pattern: str) -> Column:
@@ -85,12 +106,17 @@ def with_features(rows: DataFrame) -> DataFrame:
     )
     runs = F.length(F.regexp_replace(kinds, r"(.)\1*", "x"))
     parts = F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), 0)
-    dictionary = F.concat(F.array(*map(F.lit, _WORDS)), F.split(F.lower(F.concat_ws(" ", "words")), " "))
+    # A word of the document that is the candidate alone covers it only if it is there again.
+    alone = F.size(F.filter("words", lambda w: w == F.col("word"))) == 1
+    others = F.when(alone, F.array_remove("words", F.col("word"))).otherwise(F.col("words"))
+    dictionary = F.concat(F.array(*map(F.lit, _WORDS)), F.split(F.lower(F.concat_ws(" ", others)), " "))
     covered = F.length(F.concat_ws("", F.array_intersect(parts, dictionary)))
     named = F.concat_ws(" ", "before", "word")
     head = F.call_function("substring_index", F.col("word"), F.col("candidate"), F.lit(1))
     features = {
         "length": size,
+        "marks": 1 - _removed(candidate, "[^A-Za-z0-9]") / size,
+        "vowels": 1 - _removed(candidate, "(?i)[aeiou]") / size,
         "changes": (runs - 1) / size,
         "digits": 1 - _removed(candidate, "[0-9]") / size,
         "uppers": 1 - _removed(candidate, "[A-Z]") / size,
@@ -133,6 +159,12 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFr
     quote, none = F.lit('"'), F.lit("")
     random = F.regexp_replace(F.substring("b64", 1, 32), "[+/=]", "x")
     letters = F.concat(*[F.lower(F.regexp_replace(w, "[^A-Za-z]", "")) for w in own])
+    # Short values: letters of one case, letters and digits, with marks; and a longer word of the text.
+    size = F.lit(SHORT) + F.pmod(F.xxhash64("hex"), F.lit(8)).cast("int")
+    low = F.lower(F.regexp_replace("b64", "[^A-Za-z]", ""))
+    marked = F.translate(F.regexp_replace("b64", "[+/=]", "!"), "AbCdEfGh", "!@#$%&*?")
+    usual = F.coalesce(F.get(F.filter("words", lambda w: w.rlike("^[A-Za-z]{8,}$")), F.lit(0)), F.lit("required"))
+    assign, then = F.concat(name, F.lit("=")), F.concat_ws(" ", own[0], own[1], F.concat(name, F.lit(":")))
     kinds = [
         # before, what stands before the candidate in its word, candidate, label
         (equals, quote, F.substring("hex", 1, 40), 1),
@@ -144,6 +176,21 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFr
         (plain, none, F.concat(F.lit("AKIA"), F.upper(F.substring("md5", 1, 16))), 1),
         (plain, none, F.concat(F.lit("ghp_"), random), 1),
         (F.concat_ws(" ", own[0], F.lit("Authorization:"), F.lit("Bearer")), none, F.substring("b64", 1, 40), 1),
+        (plain, assign, F.substring(random, F.lit(1), size), 1),
+        (plain, assign, F.substring(marked, F.lit(1), size), 1),
+        (then, none, F.substring(marked, F.lit(5), size), 1),
+        (then, quote, F.substring(marked, 9, 28), 1),
+        (equals, quote, F.substring(low, F.lit(1), size), 1),
+        (plain, assign, F.substring(low, 9, 24), 1),
+        (then, none, F.upper(F.substring(low, F.lit(4), size)), 1),
+        (then, none, usual, 0),
+        (plain, assign, usual, 0),
+        (equals, quote, F.lit("password"), 0),
+        (then, none, F.lit("required"), 0),
+        (plain, assign, F.lit("xxxxxxxx"), 0),
+        (plain, assign, F.lit("********"), 0),
+        (plain, assign, F.lit("${PASSWORD}"), 0),
+        (equals, quote, F.lit("your-password"), 0),
         (F.concat_ws(" ", own[0], own[1], F.lit("commit")), none, F.substring("hex", 1, 40), 0),
         (F.concat_ws(" ", own[0], own[1], F.lit("sha256")), none, F.substring("hex", 1, 64), 0),
         (F.concat_ws(" ", own[0], F.lit("md5"), F.lit("=")), quote, F.col("md5"), 0),
@@ -175,7 +222,8 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFr
         )
     )
     rows = rows.select("words", finding.alias("finding")).select("words", "finding.*")
-    return rows.filter(F.col("candidate").rlike(f"^{_CANDIDATE}$"))
+    assigned = F.concat_ws(" ", "before", "word").rlike(_ASSIGNED)
+    return rows.filter(F.col("candidate").rlike(f"^{_CANDIDATE}$") | assigned)
 
 
 def train_forest(findings: DataFrame) -> RandomForestClassificationModel | None:

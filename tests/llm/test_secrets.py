@@ -51,6 +51,27 @@ def test_planted_keys(spark, forest):
     assert want == got and len(want) > 5
 
 
+SHORT = [
+    ("the password=Tr0ub4dor3 of the host", "Tr0ub4dor3"),
+    ("log in with pwd:k9$Lw!2z now", "k9$Lw!2z"),
+    ('my secret: "qzxvkwpjtr" here', "qzxvkwpjtr"),
+    ('an api_key = "aB3$kL9!mN2@pQ7&rS5%tU1#" there', "aB3$kL9!mN2@pQ7&rS5%tU1#"),
+    ("set token=zkqwxvbnmrtplkjhgfds and go", "zkqwxvbnmrtplkjhgfds"),
+    ("a password: Xk8rQ2mv. Then more", "Xk8rQ2mv"),
+    ("the secret: everything is in the garden and everything is well", None),
+    ('a password = "password" is bad', None),
+]
+
+
+def test_short_and_marked_values(spark, forest):
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SHORT)], "doc_id long, text string")
+    got = {(r["doc_id"], r["candidate"]) for r in S.find_secrets(table, forest).collect()}
+    assert got == {(i, key) for i, (_, key) in enumerate(SHORT) if key}
+    for r in S.redact(table, S.find_secrets(table, forest)).collect():
+        key = SHORT[r["doc_id"]][1]
+        assert (key is None) == ("[SECRET]" not in r["text"]) and (key is None or key not in r["text"])
+
+
 def test_native_plan(spark, docs, forest):
     plan = S.redact(docs, S.find_secrets(docs, forest))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
