@@ -136,16 +136,16 @@ def with_features(rows: DataFrame) -> DataFrame:
 
 
 def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """Labelled findings made from about `sample` documents, chosen by a hash of their texts.
+    """Labelled findings made from about `sample` distinct texts, chosen by their hashes.
 
-    Every sampled document gives a key or a false positive of each kind below, drawn from a
+    Every sampled text gives a key or a false positive of each kind below, drawn from a
     digest of its text, between words of its own.
     """
     rows = docs.filter("text is not null").select("text")
-    share = sample / max(sample, rows.count())
+    share = sample / max(sample, rows.select(F.xxhash64("text")).distinct().count())
     place = F.pmod(F.xxhash64("text", F.lit("secrets")), F.lit(1 << 30))
-    rows = rows.filter(place < int(share * (1 << 30))).select(
-        F.slice(F.split("text", r"[\x20\x09-\x0D]+"), 1, 200).alias("words"),
+    rows = rows.filter(place < int(share * (1 << 30))).distinct().select(
+        F.split("text", r"[\x20\x09-\x0D]+").alias("words"),
         F.sha2("text", 512).alias("hex"),
         F.md5("text").alias("md5"),
         F.base64(F.unhex(F.sha2("text", 512))).alias("b64"),

@@ -87,6 +87,13 @@ def test_redaction(spark, docs, forest):
     assert next(r["text"] for r in clean.collect() if r["doc_id"] == 2) == "set api_key=[SECRET] now"
 
 
+def test_sample_is_of_distinct_whole_texts(spark):
+    texts = ["one text many times"] * 200 + [f"text {i} " + "of words " * 200 for i in range(20)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = S.labelled_findings(table, 21).selectExpr("array_join(words, ' ') AS text").groupBy("text").count().collect()
+    assert {r["text"] for r in rows} == set(texts) and max(r["count"] for r in rows) < 100
+
+
 def test_without_findings(spark, docs):
     assert S.train_forest(S.labelled_findings(docs.limit(0))) is None
     assert S.find_secrets(docs, None).filter("doc_id = 3").count() == 2
