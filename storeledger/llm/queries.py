@@ -12,6 +12,7 @@ from storeledger.llm.fingerprints import likeness_under_edits
 from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.packing import pack
+from storeledger.llm.periodic_runs import periodic_runs
 from storeledger.llm.quality import score_quality, train_quality_model
 from storeledger.llm.secrets import find_secrets, labelled_findings, train_forest
 from storeledger.llm.suffix_dedup import repeated_passages
@@ -74,6 +75,36 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def plant_periods(docs: DataFrame) -> DataFrame:
+    """The texts of one id in ten, by its crc32, from some word on as a few words over and over; others as they are."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.withColumn("g", F.floor(hashed / 10)).withColumn("words", F.when(hashed % 10 == 0, words))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    period = F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)")
+    tail = F.transform(F.sequence("a", F.col("n") - 1), lambda i: F.col("words")[F.col("a") + (i - F.col("a")) % F.col("p")])
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    text = F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text"))
+    return rows.withColumn("p", period).select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(plant_periods(documents(spark, sf_dir, "doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best["run"]).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 # SHA-1 in base32: eight groups of five hex digits, each four letters.
 _OP10_SQL = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -103,5 +134,6 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_secrets": (op9_secrets, None),
     "op10_warc": (op10_warc, _OP10_SQL),
+    "op13_periodic_runs": (op13_periodic_runs, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
