@@ -11,6 +11,7 @@ from storeledger.llm.decontaminate import contamination
 from storeledger.llm.fingerprints import likeness_under_edits
 from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.language import identify_language, train_language_model
+from storeledger.llm.license_scan import COVERAGE, DRIFT, NOTICE, PHRASE, TEMPLATES, license_scan
 from storeledger.llm.packing import pack
 from storeledger.llm.periodic_runs import periodic_runs
 from storeledger.llm.quality import score_quality, train_quality_model
@@ -75,6 +76,59 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
+_PLACES_SQL = ", ".join(
+    f"({i}, '{t.label}', {str(t.base).lower()}, {len(t.words)}, {at}, '{' '.join(words)}')"
+    for i, t in enumerate(TEMPLATES)
+    for at, words in t.places()
+)
+
+
+def _held_sql(k: int) -> str:
+    return f"bit_count({' | '.join(f'(votes << {i})' for i in range(k))})"
+
+
+_OP12_SQL = f"""
+WITH places(template, label, base, size, place, gram) AS (VALUES {_PLACES_SQL}),
+texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents),
+spread AS (SELECT r, unnest(words) AS w0, generate_subscripts(words, 1) - 1 AS word FROM texts),
+shifted AS (
+    SELECT r, word, w0, {", ".join(f"lead(w0, {i}) OVER (PARTITION BY r ORDER BY word) AS w{i}" for i in range(1, NOTICE))}
+    FROM spread),
+grams AS (
+    SELECT r, word, {" || ' ' || ".join(f"w{i}" for i in range(PHRASE))} AS gram FROM shifted
+    UNION ALL SELECT r, word, {" || ' ' || ".join(f"w{i}" for i in range(NOTICE))} FROM shifted),
+diagonals AS (
+    SELECT r, template, label, base, size, word - place AS diagonal, bit_or(CAST(1 AS BIGINT) << place) AS votes,
+           min(word) AS start
+    FROM grams JOIN places USING (gram) GROUP BY ALL),
+apart AS (
+    SELECT *, CASE WHEN diagonal - lag(diagonal) OVER along <= CASE WHEN base THEN 0 ELSE {DRIFT} END THEN 0 ELSE 1 END AS new
+    FROM diagonals WINDOW along AS (PARTITION BY r, template ORDER BY diagonal)),
+spans AS (
+    SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM apart),
+merged AS (
+    SELECT r, label, base, size, bit_or(votes) AS votes, min(start) AS start
+    FROM spans GROUP BY r, template, label, base, size, span),
+held AS (
+    SELECT *, CASE WHEN base THEN {_held_sql(PHRASE)} ELSE {_held_sql(NOTICE)} END / CAST(size AS DOUBLE) AS coverage
+    FROM merged),
+found AS (SELECT * FROM held WHERE coverage >= CASE WHEN base THEN 1 ELSE {COVERAGE} END)
+SELECT doc_id, CAST(len(any_value(words)) AS BIGINT) AS n_words, count(*) FILTER (WHERE base) AS n_base,
+       min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(coverage), 0.0) AS score
+FROM texts LEFT JOIN found USING (r) GROUP BY r, doc_id
+"""
+
+
 def plant_periods(docs: DataFrame) -> DataFrame:
     """The texts of one id in ten, by its crc32, from some word on as a few words over and over; others as they are."""
     hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -134,6 +188,7 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_secrets": (op9_secrets, None),
     "op10_warc": (op10_warc, _OP10_SQL),
+    "op12_license_scan": (op12_license_scan, _OP12_SQL),
     "op13_periodic_runs": (op13_periodic_runs, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
