@@ -9,6 +9,7 @@ import corpus_pipeline
 from storeledger.llm.attention import score_texts, train_scorer
 from storeledger.llm.decontaminate import contamination
 from storeledger.llm.fingerprints import likeness_under_edits
+from storeledger.llm.hard_negatives import hard_negatives
 from storeledger.llm.jaccard_join import jaccard_join
 from storeledger.llm.language import identify_language, train_language_model
 from storeledger.llm.license_scan import COVERAGE, DRIFT, NOTICE, PHRASE, TEMPLATES, license_scan
@@ -76,6 +77,36 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END")
+    vectors = rows.select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives(vectors, vectors.filter("vec_id % 100 = 0"), Scratch(spark, "op11"))
+
+
+_OP11_SQL = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+           CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+    SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -188,6 +219,7 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_secrets": (op9_secrets, None),
     "op10_warc": (op10_warc, _OP10_SQL),
+    "op11_hard_negatives": (op11_hard_negatives, _OP11_SQL),
     "op12_license_scan": (op12_license_scan, _OP12_SQL),
     "op13_periodic_runs": (op13_periodic_runs, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
