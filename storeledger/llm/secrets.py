@@ -22,6 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storeledger.session import scratch_dir
+
 LEAST, SHORT = 16, 8
 SAMPLE_DOCUMENTS = 1500
 TREES, DEPTH = 40, 8
@@ -227,12 +229,18 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFr
 
 
 def train_forest(findings: DataFrame) -> RandomForestClassificationModel | None:
-    """A forest from labelled findings; none without findings of both labels."""
+    """A forest from labelled findings; none without findings of both labels.
+
+    It is written and read back: the fitted one holds its training summary, and with it the session,
+    which cannot be sent to tasks once the session has observed a write.
+    """
     rows = with_features(findings).select(*FEATURES, F.col("label").cast("double").alias("label"))
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label")
     if rows.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=9, subsamplingRate=0.8).fit(rows)
+    path = f"{scratch_dir(findings.sparkSession, 'forest')}/model"
+    RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=9, subsamplingRate=0.8).fit(rows).save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def find_secrets(

@@ -3,6 +3,8 @@
 import hashlib
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from storeledger.llm import secrets as S
 
@@ -42,6 +44,15 @@ def test_findings(spark, docs, forest):
     assert all(0.5 <= r["score"] <= 1 for r in rows)
 
 
+def test_after_an_observed_write(spark, docs, tmp_path):
+    """The trained forest reaches the tasks also of a session that has observed a write."""
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "seen"))
+    assert seen.get == {"n": 3}
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(100)
+    assert S.find_secrets(docs, S.train_forest(S.labelled_findings(table, 100))).count() >= 0
+
+
 def test_planted_keys(spark, forest):
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     import re
