@@ -64,7 +64,10 @@ def _context(docs: DataFrame) -> DataFrame:
 
     def chosen(z: Column, i: Column) -> Column:
         long = (F.length(z["0"]) >= LEAST) & z["0"].rlike(r"[0-9]|[a-z][A-Z]")
-        assigned = (F.length(z["0"]) >= SHORT) & F.concat_ws(" ", z["2"], z["1"], z["0"]).rlike(_ASSIGNED)
+        said = F.concat_ws(" ", z["2"], z["1"], z["0"])
+        # Cheap tests go first: the pattern has a sign, = or a colon, that few words are near to.
+        signed = F.contains(said, F.lit("=")) | F.contains(said, F.lit(":"))
+        assigned = (F.length(z["0"]) >= SHORT) & signed & said.rlike(_ASSIGNED)
         return F.when(long | assigned, i)
 
     long = F.array_compact(F.transform(near, chosen))
@@ -234,13 +237,16 @@ def train_forest(findings: DataFrame) -> RandomForestClassificationModel | None:
     It is written and read back: the fitted one holds its training summary, and with it the session,
     which cannot be sent to tasks once the session has observed a write.
     """
+    spark, folder = findings.sparkSession, scratch_dir(findings.sparkSession, "forest")
     rows = with_features(findings).select(*FEATURES, F.col("label").cast("double").alias("label"))
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label")
+    # Every pass of the training reads the features written here.
+    rows.write.parquet(f"{folder}/features")
+    rows = spark.read.schema(rows.schema).parquet(f"{folder}/features")
     if rows.select("label").distinct().count() < 2:
         return None
-    path = f"{scratch_dir(findings.sparkSession, 'forest')}/model"
-    RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=9, subsamplingRate=0.8).fit(rows).save(path)
-    return RandomForestClassificationModel.load(path)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label")
+    RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=9, subsamplingRate=0.8).fit(rows).save(f"{folder}/model")
+    return RandomForestClassificationModel.load(f"{folder}/model")
 
 
 def find_secrets(
