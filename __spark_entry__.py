@@ -97,41 +97,45 @@ def _kept_orders(orders: DataFrame) -> DataFrame:
     return _doubles(rollups.kept(orders).select("order_id", "created_at", "total_price"))
 
 
+def _archive(landed: DataFrame) -> pages.Archive:
+    """Landed pages, parsed once and archived; queries read the leaf columns they need."""
+    return pages.archive_pages(landed, f"{scratch_dir(landed.sparkSession, 'pages')}/pages")
+
+
+def _order_archive(spark, sf, lines_per_order: int = 50) -> pages.Archive:
+    return _archive(driver_tables.order_pages(spark, sf, lines_per_order=lines_per_order))
+
+
 def _flatten_orders(spark, sf):
-    return _doubles(flatten.flatten_orders(driver_tables.order_pages(spark, sf)))
+    return _doubles(flatten.flatten_orders(_order_archive(spark, sf)))
 
 
 def _flatten_items(spark, sf):
-    return _doubles(flatten.flatten_items(driver_tables.order_pages(spark, sf)))
+    return _doubles(flatten.flatten_items(_order_archive(spark, sf)))
 
 
 def _flatten_variants(spark, sf):
-    return _doubles(flatten.flatten_variants(driver_tables.product_pages(spark, sf)))
-
-
-def _short_pages(spark, sf):
-    """Order pages that nest few lines, so that many orders continue on further pages."""
-    return driver_tables.order_pages(spark, sf, lines_per_order=5)
+    return _doubles(flatten.flatten_variants(_archive(driver_tables.product_pages(spark, sf))))
 
 
 def _item_allocations(spark, sf):
-    lines = flatten.order_lines(_short_pages(spark, sf))
+    """Order pages that nest few lines, so that many orders continue on further pages."""
+    lines = flatten.order_lines(_order_archive(spark, sf, lines_per_order=5))
     return _doubles(lines.select("order_id", "original_total", "net_total", "allocated"))
 
 
 def _item_product_title(spark, sf):
-    return flatten.order_lines(driver_tables.order_pages(spark, sf)).select("order_id", "product")
+    return flatten.order_lines(_order_archive(spark, sf)).select("order_id", "product")
 
 
 def _item_discount(spark, sf):
-    items = flatten.flatten_items(_short_pages(spark, sf))
+    items = flatten.flatten_items(_order_archive(spark, sf, lines_per_order=5))
     return _doubles(items.select("order_id", "original_total", "discounted_total", "discount"))
 
 
 def _page_chain_gaps(spark, sf):
-    return pages.page_chain_gaps(
-        driver_tables.lose_second_page(driver_tables.landed_pages(spark, sf))
-    )
+    landed = driver_tables.plant_chain_faults(driver_tables.landed_pages(spark, sf))
+    return pages.page_chain_gaps(_archive(landed))
 
 
 def _cost_discounts_offsets(spark, sf):
@@ -142,15 +146,16 @@ def _cost_discounts_offsets(spark, sf):
 
 
 def _line_chain_gaps(spark, sf):
-    return pages.line_chain_gaps(driver_tables.lose_first_continuation(_short_pages(spark, sf)))
+    landed = driver_tables.order_pages(spark, sf, lines_per_order=5)
+    return pages.line_chain_gaps(_archive(driver_tables.lose_first_continuation(landed)))
 
 
 def _page_errors(spark, sf):
-    return pages.page_errors(driver_tables.spoil_pages(driver_tables.landed_pages(spark, sf)))
+    return pages.page_errors(_archive(driver_tables.spoil_pages(driver_tables.landed_pages(spark, sf))))
 
 
 def _truncation_suspects(spark, sf):
-    return pages.truncation_suspects(driver_tables.landed_pages(spark, sf), NESTED_LIMIT)
+    return pages.truncation_suspects(_archive(driver_tables.landed_pages(spark, sf)), NESTED_LIMIT)
 
 
 def _raw_roundtrip(spark, sf):
@@ -163,16 +168,15 @@ def _raw_roundtrip(spark, sf):
 def _load_counts(spark, sf):
     """Land the pages as files, read them back, load the raw tables, report the rows."""
     root = scratch_dir(spark, "load")
-    pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
-    counts = pipeline.load(pages.read_archive(spark, f"{root}/landing"), root)
-    return tables.counts_frame(spark, counts)
+    archive = pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
+    return tables.counts_frame(spark, pipeline.load(archive, root))
 
 
 def _publish_counts(spark, sf):
     """Write the raw tables, build the marts from them, publish four, report the rows."""
     root = scratch_dir(spark, "publish")
     raw = driver_tables.raw_tables(spark, sf)
-    tables.replace_tables({n: tables.conform(rows, n) for n, rows in raw.items()}, f"{root}/raw")
+    tables.publish_tables({n: tables.conform(rows, n) for n, rows in raw.items()}, root)
     counts = pipeline.publish(pipeline.model(spark, root), f"{root}/published")
     return tables.counts_frame(spark, counts)
 
@@ -180,8 +184,7 @@ def _publish_counts(spark, sf):
 def _published_product_leaks(spark, sf):
     """One mart after the whole way: pages, raw tables, rollups, marts, published copy."""
     root = scratch_dir(spark, "run")
-    pages.archive_pages(driver_tables.landed_pages(spark, sf), f"{root}/landing")
-    pipeline.run(spark, pages.read_archive(spark, f"{root}/landing"), root)
+    pipeline.run(spark, driver_tables.landed_pages(spark, sf), root)
     return tables.read_published(spark, f"{root}/published", "product_leaks")
 
 
@@ -535,16 +538,35 @@ def oracle_sql() -> dict[str, str]:
                CAST(discounted_total AS DOUBLE) AS discounted_total,
                CAST(discount AS DOUBLE) AS discount FROM b_items"""
         ),
+        # Links of the landed pages with the planted faults, and the pages that no chain's head leads to.
         "page_chain_gaps": f"""
-            WITH {_CHAINS},
-            landed AS (SELECT chain.*, hi FROM chain JOIN ends USING (resource)
-                       WHERE n = lo OR n - 1 <> 0)
-            SELECT resource, 'missing page' AS problem, CAST(n AS VARCHAR) AS cursor FROM landed a
-            WHERE n < hi AND NOT EXISTS (
-                SELECT 1 FROM landed b WHERE b.resource = a.resource AND b.n = a.n + 1)
-            UNION ALL
-            SELECT resource, 'no last page', NULL FROM ends e WHERE NOT EXISTS (
-                SELECT 1 FROM landed b WHERE b.resource = e.resource AND b.n = e.hi)""",
+            WITH RECURSIVE {_CHAINS},
+            links AS (
+                SELECT resource, CASE WHEN n > lo THEN CAST(n - 1 AS VARCHAR) END AS cursor, n < hi AS more,
+                       CAST(n AS VARCHAR) AS "end" FROM chain JOIN ends USING (resource) WHERE n = lo OR n <> 1
+                UNION ALL
+                SELECT resource, 'ring ' || CAST(n - 1 AS VARCHAR), true,
+                       'ring ' || CAST(CASE WHEN n = hi - 1 THEN lo ELSE n END AS VARCHAR)
+                FROM chain JOIN ends USING (resource) WHERE n > lo AND n < hi
+                UNION ALL
+                SELECT resource, 'stray', true, CAST(n AS VARCHAR)
+                FROM chain JOIN ends USING (resource) WHERE n = 3 AND n < hi),
+            known AS (
+                SELECT resource, cursor, sum(asked) AS asked, sum(wanted) AS wanted
+                FROM (SELECT resource, cursor, 1 AS asked, 0 AS wanted FROM links
+                      UNION ALL SELECT resource, "end", 0, 1 FROM links WHERE more) GROUP BY ALL),
+            reached AS (
+                SELECT resource, cursor FROM known WHERE wanted = 0 AND asked > 0
+                UNION SELECT l.resource, l."end" FROM reached r JOIN links l
+                    ON l.resource = r.resource AND l.cursor IS NOT DISTINCT FROM r.cursor WHERE l.more)
+            SELECT resource, 'missing page' AS problem, cursor FROM known WHERE asked = 0
+            UNION ALL SELECT resource, 'orphan page', cursor FROM known WHERE wanted = 0 AND cursor IS NOT NULL
+            UNION ALL SELECT resource, 'cursor handed out twice', cursor FROM known WHERE wanted > 1
+            UNION ALL SELECT resource, 'repeated page', cursor FROM known WHERE asked > 1
+            UNION ALL SELECT resource, 'no last page', NULL FROM links GROUP BY resource HAVING bool_and(more)
+            UNION ALL SELECT resource, 'detached ring', min(cursor) FROM links l
+            WHERE NOT EXISTS (SELECT 1 FROM reached r WHERE r.resource = l.resource
+                              AND r.cursor IS NOT DISTINCT FROM l.cursor) GROUP BY resource""",
         "cost_discounts_offsets": _base(_MART_SQL["cost_discounts"]),
         # Orders of more than five lines lose their second part; a third is announced by none.
         "line_chain_gaps": """

@@ -1,8 +1,8 @@
 """Nested order and product pages to the three flat raw tables.
 
-Each table parses only the fields it uses. A page with errors, or one that does
-not parse, fails the job; filter with ``sources.pages.good_pages`` first to set
-bad pages aside instead.
+Each table reads only the leaf columns of the archived pages that it uses; landed pages
+are parsed in the table's own plan. A page with errors, or one that does
+not parse, fails the job; take ``Archive.good()`` to set bad pages aside instead.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,7 @@ from storeledger.functions.money import (
     set_amount,
 )
 from storeledger.schemas import MONEY, TOTAL
-from storeledger.sources.pages import REQUIRED, nodes
+from storeledger.sources.pages import Pages, nodes
 
 
 def product_title(product: Column, line_title: Column) -> Column:
@@ -33,11 +33,9 @@ def line_discount(original: Column, discounted: Column, allocated: Column) -> Co
     return F.round(F.greatest(original - discounted, allocated), 2)
 
 
-def flatten_orders(pages: DataFrame) -> DataFrame:
+def flatten_orders(pages: Pages) -> DataFrame:
     o = F.col("node")
-    return nodes(
-        pages, ("orders",), schemas.ORDER_HEAD_PAGE, "orders", required=REQUIRED["orders"][0]
-    ).select(
+    return nodes(pages, ("orders",), schemas.ORDER_HEADS, "orders").select(
         o["id"].alias("order_id"),
         o["name"].alias("name"),
         o["createdAt"].alias("created_at"),
@@ -50,16 +48,9 @@ def flatten_orders(pages: DataFrame) -> DataFrame:
     )
 
 
-def order_lines(pages: DataFrame) -> DataFrame:
+def order_lines(pages: Pages) -> DataFrame:
     """One row per order line with its amounts before the discount rule."""
-    lines = nodes(
-        pages,
-        ("orders", "order_lines"),
-        schemas.ORDER_LINES_PAGE,
-        "orders",
-        "lineItems",
-        *REQUIRED["order_lines"],
-    ).select(
+    lines = nodes(pages, ("orders", "order_lines"), schemas.ORDER_LINES, "orders").select(
         F.col("node.id").alias("order_id"),
         F.col("node.cancelledAt").isNotNull().alias("cancelled"),
         F.explode("node.lineItems.nodes").alias("line"),
@@ -76,7 +67,7 @@ def order_lines(pages: DataFrame) -> DataFrame:
     )
 
 
-def flatten_items(pages: DataFrame) -> DataFrame:
+def flatten_items(pages: Pages) -> DataFrame:
     original = F.col("original_total")
     discount = line_discount(original, F.col("net_total"), F.col("allocated"))
     return (
@@ -94,11 +85,9 @@ def flatten_items(pages: DataFrame) -> DataFrame:
     )
 
 
-def flatten_variants(pages: DataFrame) -> DataFrame:
+def flatten_variants(pages: Pages) -> DataFrame:
     p = F.col("node")
-    variants = nodes(
-        pages, ("products",), schemas.PRODUCT_PAGE, "products", "variants", *REQUIRED["products"]
-    ).select(
+    variants = nodes(pages, ("products",), schemas.PRODUCTS, "products").select(
         p["id"].alias("product_id"),
         p["title"].alias("product"),
         p["status"].alias("status"),

@@ -3,7 +3,7 @@
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.functions.pii import DETECTORS
@@ -59,6 +59,32 @@ def run_checks(contract: Mapping, tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(reports).withColumn("passed", F.col("failing_rows") == 0)
 
 
+CHECK_ROW = "check string, entity string, kind string, severity string, failing_rows bigint, passed boolean"
+
+
+def check_sums(contract: Mapping, entity: str) -> dict[str, Column]:
+    """The failing rows of each of an entity's checks, as aggregates over its rows while they are written."""
+    return {
+        name: _failing(check).cast("bigint")
+        for name, check in contract["checks"].items()
+        if check["entity"] == entity
+    }
+
+
+def checks_frame(spark: SparkSession, contract: Mapping, found: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The report of ``run_checks`` from sums observed while the entities were written.
+
+    Checks of entities that were not written have no row.
+    """
+    rows = []
+    for name, check in contract["checks"].items():
+        if check["entity"] in found:
+            failing = found[check["entity"]][name]
+            severity = check.get("severity", "error")
+            rows.append((name, check["entity"], check["kind"], severity, failing, failing == 0))
+    return spark.createDataFrame(rows, CHECK_ROW)
+
+
 def pk_violations(contract: Mapping, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Declared keys that occur more than once: ``entity, key_value, copies``."""
     return _union(

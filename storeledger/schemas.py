@@ -17,12 +17,12 @@ _ORDER_HEAD = (
     f"totalPriceSet: {_AMOUNT}, totalDiscountsSet: {_AMOUNT}, "
     f"totalRefundedSet: {_AMOUNT}, totalShippingPriceSet: {_AMOUNT}"
 )
-_LINES = (
-    "lineItems: struct<nodes: array<struct<"
+_LINE = (
     "title: string, quantity: bigint, product: struct<title: string>, "
     f"originalTotalSet: {_AMOUNT}, discountedTotalSet: {_AMOUNT}, "
-    f"discountAllocations: array<struct<allocatedAmountSet: {_AMOUNT}>>>>>"
+    f"discountAllocations: array<struct<allocatedAmountSet: {_AMOUNT}>>"
 )
+_LINES = f"lineItems: struct<nodes: array<struct<{_LINE}>>>"
 _PRODUCT = (
     "id: string, title: string, status: string, "
     "variants: struct<nodes: array<struct<"
@@ -31,11 +31,7 @@ _PRODUCT = (
 )
 
 
-def _response(*resources: str) -> str:
-    return f"errors string, data struct<{', '.join(resources)}>, _corrupt string"
-
-
-def _resource(name: str, *fields: str) -> str:
+def _list(name: str, *fields: str) -> str:
     return f"{name}: struct<{', '.join(fields)}>"
 
 
@@ -43,28 +39,34 @@ def _resource(name: str, *fields: str) -> str:
 # (null for the first page) and the JSON response.
 LANDED_PAGE = "resource string, request_cursor string, body string"
 
-# The same response read with only the fields a reader needs, so that the JSON
-# parser skips the rest.
-ORDER_HEAD_PAGE = _response(
-    _resource("orders", f"nodes: array<struct<{_ORDER_HEAD}>>")
-)
-ORDER_LINES_PAGE = _response(
-    _resource("orders", f"nodes: array<struct<id: string, cancelledAt: string, {_LINES}>>")
-)
-PRODUCT_PAGE = _response(_resource("products", f"nodes: array<struct<{_PRODUCT}>>"))
-PAGE_INFO = _response(_resource("orders", _PAGE_INFO), _resource("products", _PAGE_INFO))
-LINE_CHAIN_PAGE = _response(
-    _resource("orders", f"nodes: array<struct<id: string, lineItems: struct<{_PAGE_INFO}>>>")
-)
-CHILD_COUNT_PAGE = _response(
-    _resource("orders", "nodes: array<struct<id: string, "
-              f"lineItems: struct<{_PAGE_INFO}, nodes: array<struct<title: string>>>>>"),
-    _resource("products", "nodes: array<struct<id: string, "
-              "variants: struct<nodes: array<struct<id: string>>>>>"),
+_ORDER_LIST = _list(
+    "orders",
+    _PAGE_INFO,
+    f"nodes: array<struct<{_ORDER_HEAD}, lineItems: struct<{_PAGE_INFO}, nodes: array<struct<{_LINE}>>>>>",
 )
-FULL_PAGE = _response(
-    _resource("orders", _PAGE_INFO, f"nodes: array<struct<{_ORDER_HEAD}, {_LINES}>>"),
-    _resource("products", _PAGE_INFO, f"nodes: array<struct<{_PRODUCT}>>"),
+_PRODUCT_LIST = _list("products", _PAGE_INFO, f"nodes: array<struct<{_PRODUCT}>>")
+
+# The whole response, parsed once.
+RESPONSE = f"errors string, data struct<{_ORDER_LIST}, {_PRODUCT_LIST}>, _corrupt string"
+
+
+def _archived(*lists: str) -> str:
+    columns = [one.replace(":", "", 1) for one in lists]
+    return ", ".join(["request_cursor string, problem string, detail string", *columns, "resource string"])
+
+
+# A parsed page as it is archived, and the parts of it that a reader names: parquet
+# reads the leaves of these and no others. `body` is kept for pages with a problem.
+ARCHIVED_PAGE = _archived("body: string", _ORDER_LIST, _PRODUCT_LIST)
+PAGE_PROBLEMS = _archived()
+ORDER_HEADS = _archived(_list("orders", f"nodes: array<struct<{_ORDER_HEAD}>>"))
+ORDER_LINES = _archived(_list("orders", f"nodes: array<struct<id: string, cancelledAt: string, {_LINES}>>"))
+PRODUCTS = _archived(_list("products", f"nodes: array<struct<{_PRODUCT}>>"))
+PAGE_ENDS = _archived(_list("orders", _PAGE_INFO), _list("products", _PAGE_INFO))
+LINE_CHAINS = _archived(_list("orders", f"nodes: array<struct<id: string, lineItems: struct<{_PAGE_INFO}>>>"))
+CHILD_COUNTS = _archived(
+    _list("orders", f"nodes: array<struct<id: string, lineItems: struct<{_PAGE_INFO}, nodes: array<struct<quantity: bigint>>>>>"),
+    _list("products", "nodes: array<struct<id: string, variants: struct<nodes: array<struct<id: string>>>>>"),
 )
 
 RAW_COLUMNS = {

@@ -373,6 +373,33 @@ def lose_second_page(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("request_cursor").isNull() | (F.col("request_cursor") != "0"))
 
 
+# The start of a landed page's body, up to the value of its end cursor.
+_TO_END = r'^(\{"data":\{"[a-z]+":\{"pageInfo":\{"hasNextPage":true,"endCursor":")([^"]*)'
+
+
+def plant_chain_faults(pages: DataFrame) -> DataFrame:
+    """The landed pages with three faults in each chain.
+
+    The second page is lost. Copies of all pages between the first and the last hand out
+    cursors among themselves only, the last of them that of the first: a ring that nothing
+    leads into. A copy of the fourth page answers a cursor that nobody handed out, so what it
+    hands out is handed out twice.
+    """
+    chained = F.col("resource").isin("orders", "products")
+    end = F.regexp_extract("body", _TO_END, 2)
+    inner = pages.filter(chained & F.col("request_cursor").isNotNull() & (end != ""))
+    number = F.col("request_cursor").cast("bigint")
+    edges = inner.groupBy("resource").agg(F.min(number).alias("first"), F.max(number).alias("last"))
+    around = F.when(number == F.col("last"), F.col("first")).otherwise(number + 1)
+    ring = inner.join(edges, "resource").select(
+        "resource",
+        F.concat(F.lit("ring "), "request_cursor").alias("request_cursor"),
+        F.regexp_replace("body", F.lit(_TO_END), F.concat(F.lit("$1ring "), around.cast("string"))).alias("body"),
+    )
+    stray = inner.filter(F.col("request_cursor") == "2").withColumn("request_cursor", F.lit("stray"))
+    return lose_second_page(pages).unionByName(ring).unionByName(stray)
+
+
 def lose_first_continuation(pages: DataFrame) -> DataFrame:
     """The landed pages without the first further part of any order's lines."""
     return pages.filter(~F.coalesce(F.col("request_cursor").endswith("/1"), F.lit(False)))

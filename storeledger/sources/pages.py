@@ -1,15 +1,19 @@
-"""Landed JSON pages: reading, writing, and the checks that a fetch is whole.
+"""Landed JSON pages: reading, parsing once, archiving, and the checks that a fetch is whole.
 
 A landing file holds one JSON object per line: ``resource``, ``request_cursor``
 (null for the first page) and ``body``, the response, as text or as an object.
-Landed pages may also be kept as parquet, partitioned by resource. ``orders`` and
-``products`` pages form cursor chains. An order with more lines than one page
-may nest continues on ``order_lines`` pages, which have the shape of an orders
+``orders`` and ``products`` pages form cursor chains. An order with more lines than
+one page may nest continues on ``order_lines`` pages, which have the shape of an orders
 page and add lines but no order. Part n of an order's lines, from 1, is on a page
 whose request cursor ends in ``/n``; a part's ``lineItems.pageInfo`` says whether
 another follows.
+
+``archive_pages`` parses every page once and keeps it as nested columns, with its
+problem if it has one. Readers take an ``Archive``, of which they read only the leaf
+columns they name; or landed pages, which are then parsed in the reader's own plan.
 """
 
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,11 +21,14 @@ from pyspark.sql import functions as F
 
 from storeledger import schemas
 from storeledger.functions.money import allocation_amounts, beyond_scale
+from storeledger.session import scratch_dir
 
 RESOURCES = ("orders", "order_lines", "products")
 
 # JSON texts that count as "no errors".
 _NO_ERRORS = ("", "[]", "{}", "null", "false", "0")
+# The one problem that leaves a page's nodes whole.
+_NO_PAGE_INFO = "no page info"
 
 
 def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = False) -> DataFrame:
@@ -34,20 +41,41 @@ def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = False)
     )
 
 
-def archive_pages(pages: DataFrame, path: str) -> None:
-    """Keep landed pages as parquet by resource: splittable, compressed, and a reader
-    of one resource skips the files of the others."""
+@dataclass(frozen=True)
+class Archive:
+    """Archived pages: parquet by resource, read with the columns a reader names."""
+
+    spark: SparkSession
+    path: str
+    good_only: bool = False
+
+    def read(self, schema: str) -> DataFrame:
+        rows = self.spark.read.schema(schema).parquet(self.path)
+        return rows.filter("problem is null") if self.good_only else rows
+
+    def good(self) -> "Archive":
+        """The same pages without those that have a problem."""
+        return replace(self, good_only=True)
+
+
+Pages = DataFrame | Archive
+
+
+def archive_pages(pages: DataFrame, path: str) -> Archive:
+    """Parse landed pages and keep them as nested parquet by resource: splittable, compressed,
+    and a reader of one resource skips the files of the others."""
     (
-        pages.write.mode("overwrite")
+        parse_pages(pages)
+        .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy("resource")
         .parquet(path)
     )
+    return read_archive(pages.sparkSession, path)
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Archived pages; ``problem`` is null unless they were archived with one."""
-    return spark.read.schema(schemas.LANDED_PAGE + ", problem string").parquet(path)
+def read_archive(spark: SparkSession, path: str) -> Archive:
+    return Archive(spark, path)
 
 
 def parse(body: Column, schema: str) -> Column:
@@ -103,46 +131,46 @@ REQUIRED = {
 }
 
 
-def nodes(
-    pages: DataFrame,
-    resources: tuple[str, ...],
-    schema: str,
-    name: str,
-    children: str | None = None,
-    required: tuple[str, ...] = ("id",),
-    child_required: tuple[str, ...] = (),
-) -> DataFrame:
+def parsed(pages: Pages, schema: str) -> DataFrame:
+    """The columns of an archive that a reader names; landed pages are parsed here, whole."""
+    if isinstance(pages, Archive):
+        return pages.read(schema)
+    return pages if "problem" in pages.columns else parse_pages(pages)
+
+
+def _refusal(name: str) -> Column:
+    """The error of a page that cannot be loaded, by its problem."""
+    problem = F.col("problem")
+    return (
+        F.when(problem == "errors", F.concat(F.lit("page with errors: "), F.col("detail")))
+        .when(problem == "unreadable", F.lit(f"unreadable {name} page"))
+        .when(problem == "no nodes", F.lit(f"{name} page without nodes"))
+        .when(problem == "incomplete node", F.lit(f"{name} page with an incomplete node"))
+        .when(problem == "missing field", F.lit(f"{name} page with a node without a required field"))
+        .when(problem == "broken allocation", F.lit(f"{name} page with a discount allocation without an amount"))
+        .otherwise(F.concat(F.lit(f"{name} page: "), problem))
+    )
+
+
+def nodes(pages: Pages, resources: tuple[str, ...], schema: str, name: str) -> DataFrame:
     """The nodes of the given pages, one per row; a bad page fails the job.
 
-    So does a page of no known resource, whichever resources are asked for, and a node
-    without a required field. The check asks for the resource itself, so it holds wherever the optimizer
+    So does a page of no known resource, whichever resources are asked for. A page that
+    only lacks its page info has its nodes; the chain it breaks is found by the chain check.
+    The check asks for the resource itself, so it holds wherever the optimizer
     moves it. The outer explode keeps the optimizer from guessing a filter on the
-    list and pushing it below the parse, which would parse every page twice.
+    list and pushing it below a parse, which would parse every page twice.
     """
-    page = F.col("page")
     wanted = F.col("resource").isin(*resources)
-    found = page["data"][name]["nodes"]
+    bad = F.col("problem").isNotNull() & (F.col("problem") != _NO_PAGE_INFO)
     checked = (
         F.when(unknown(F.col("resource")), F.raise_error(F.lit("page of an unknown resource")))
-        .when(wanted & unreadable(page, F.col("body")), F.raise_error(F.lit(f"unreadable {name} page")))
-        .when(
-            wanted & has_errors(page),
-            F.raise_error(F.concat(F.lit("page with errors: "), page["errors"])),
-        )
-        .when(wanted & found.isNull(), F.raise_error(F.lit(f"{name} page without nodes")))
-        .when(
-            wanted & _incomplete(found, children),
-            F.raise_error(F.lit(f"{name} page with an incomplete node")),
-        )
-        .when(
-            wanted & _lacking(found, required, children, child_required),
-            F.raise_error(F.lit(f"{name} page with a node without a required field")),
-        )
-        .otherwise(found)
+        .when(wanted & bad, F.raise_error(_refusal(name)))
+        .otherwise(F.col(name)["nodes"])
     )
     return (
-        pages.filter(wanted | unknown(F.col("resource")))
-        .select("resource", "body", parse(F.col("body"), schema).alias("page"))
+        parsed(pages, schema)
+        .filter(wanted | unknown(F.col("resource")))
         .select(F.explode_outer(checked).alias("node"))
         .filter(F.col("node").isNotNull())
     )
@@ -208,31 +236,41 @@ def _problem(resource: Column, page: Column, body: Column) -> Column:
         .when(has_errors(page), "errors")
         .when(nodes_missing, "no nodes")
         .when(incomplete, "incomplete node")
-        .when((resource != "order_lines") & more.isNull(), "no page info")
         .when(lacking, "missing field")
         .when(broken_allocation, "broken allocation")
         .when(_amounts(orders, products), "amount beyond the scale")
+        .when((resource != "order_lines") & more.isNull(), _NO_PAGE_INFO)
     )
 
 
-def with_problem(pages: DataFrame) -> DataFrame:
-    """The pages with why they cannot be loaded, or null; parses every page whole."""
-    page = parse(F.col("body"), schemas.FULL_PAGE)
-    return (
-        pages.select("resource", "request_cursor", "body", page.alias("page"))
-        .withColumn("problem", _problem(F.col("resource"), F.col("page"), F.col("body")))
-        .drop("page")
+def _with_response(pages: DataFrame) -> DataFrame:
+    page = parse(F.col("body"), schemas.RESPONSE)
+    rows = pages.select("resource", "request_cursor", "body", page.alias("page"))
+    return rows.withColumn("problem", _problem(F.col("resource"), F.col("page"), F.col("body")))
+
+
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages, each parsed once, with why they cannot be loaded, or null."""
+    problem = F.col("problem")
+    return _with_response(pages).select(
+        "request_cursor",
+        "problem",
+        F.when(problem == "errors", F.col("page.errors")).alias("detail"),
+        F.when(problem.isNotNull(), F.col("body")).alias("body"),
+        F.col("page.data.orders").alias("orders"),
+        F.col("page.data.products").alias("products"),
+        "resource",
     )
 
 
-def page_errors(pages: DataFrame) -> DataFrame:
+def page_errors(pages: Pages) -> DataFrame:
     """Pages that cannot be loaded and why: one row per bad page.
 
     An exploded list of none or one problem, here and in ``good_pages``, keeps the
     test above the parse; a filter would be pushed below it and parse many times.
     """
     problem = F.array(F.col("problem"))
-    return with_problem(pages).select(
+    return parsed(pages, schemas.PAGE_PROBLEMS).select(
         "resource",
         "request_cursor",
         F.explode(F.filter(problem, lambda p: p.isNotNull())).alias("problem"),
@@ -240,25 +278,40 @@ def page_errors(pages: DataFrame) -> DataFrame:
 
 
 def good_pages(pages: DataFrame) -> DataFrame:
-    """The pages ``page_errors`` does not list, for loads that set bad pages aside."""
-    return with_problem(pages).select(
+    """The landed pages ``page_errors`` does not list, for loads that set bad pages aside."""
+    return _with_response(pages).select(
         "resource",
         "request_cursor",
         F.explode(F.when(F.col("problem").isNull(), F.array("body"))).alias("body"),
     )
 
 
-def page_chain_gaps(pages: DataFrame) -> DataFrame:
+def page_chain_gaps(pages: Pages, work: str | None = None) -> DataFrame:
     """Breaks in the cursor chains: ``(resource, problem, cursor)``.
 
-    A whole chain has one first page, one last page, and every page's end cursor
-    was asked for once. Each page says which cursor it answers and which it
-    hands out; one grouped sum over the cursors tells the rest, with no join.
+    A whole chain has one first page and one last page, and leads from the one to the
+    other through every page. Each page says which cursor it answers and which it hands
+    out; one grouped sum over the cursors finds pages that are missing, repeated or under
+    a cursor that none or several handed out. What those counts cannot see is a ring that no
+    page leads into: ``detached_rings`` follows the links for it. The links are written once
+    below ``work``, by default a new folder of the shared scratch space.
     """
-    page = parse(F.col("body"), schemas.PAGE_INFO)
-    info = F.when(F.col("resource") == "products", F.col("page.data.products.pageInfo")).otherwise(
-        F.col("page.data.orders.pageInfo")
+    info = F.when(F.col("resource") == "products", F.col("products.pageInfo")).otherwise(F.col("orders.pageInfo"))
+    rows = parsed(pages, schemas.PAGE_ENDS)
+    spark, work = rows.sparkSession, work or scratch_dir(rows.sparkSession, "chains")
+    links = (
+        rows.filter(F.col("resource").isin("orders", "products"))
+        .select("resource", F.col("request_cursor").alias("cursor"), info.alias("info"))
+        .select("resource", "cursor", F.col("info.hasNextPage").alias("more"), F.col("info.endCursor").alias("end"))
     )
+    links.write.mode("overwrite").parquet(f"{work}/links")
+    links = spark.read.schema(links.schema).parquet(f"{work}/links")
+    rings = detached_rings(links, work).select("resource", F.lit("detached ring").alias("problem"), "cursor")
+    return _cursor_gaps(links).unionByName(rings)
+
+
+def _cursor_gaps(links: DataFrame) -> DataFrame:
+    """What the counts of a cursor's answers and announcements tell."""
 
     def note(cursor, asked, wanted, closed):
         return F.struct(
@@ -268,19 +321,14 @@ def page_chain_gaps(pages: DataFrame) -> DataFrame:
             closed.cast("int").alias("closed"),
         )
 
-    zero = F.lit(0)
-    more, end = F.col("info.hasNextPage"), F.col("info.endCursor")
-    last = F.coalesce(~more, F.lit(False))
+    zero, more = F.lit(0), F.col("more")
     notes = F.array(
-        note(F.col("request_cursor"), 1, zero, zero),
-        note(F.lit(None), 0, zero, last),
-        F.when(more, note(end, 0, F.lit(1), zero)),
+        note(F.col("cursor"), 1, zero, zero),
+        note(F.lit(None), 0, zero, F.coalesce(~more, F.lit(False))),
+        F.when(more, note(F.col("end"), 0, F.lit(1), zero)),
     )
     cursors = (
-        pages.filter(F.col("resource").isin("orders", "products"))
-        .select("resource", "request_cursor", page.alias("page"))
-        .select("resource", "request_cursor", info.alias("info"))
-        .select("resource", F.explode(F.filter(notes, lambda n: n.isNotNull())).alias("n"))
+        links.select("resource", F.explode(F.filter(notes, lambda n: n.isNotNull())).alias("n"))
         .groupBy("resource", "n.cursor")
         .agg(
             F.sum("n.asked").alias("asked"),
@@ -296,6 +344,8 @@ def page_chain_gaps(pages: DataFrame) -> DataFrame:
         F.when(start & (F.col("wanted") > 0), "page without end cursor"),
         F.when(~start & (F.col("asked") == 0), "missing page"),
         F.when(F.col("asked") > 1, "repeated page"),
+        F.when(~start & (F.col("asked") > 0) & (F.col("wanted") == 0), "orphan page"),
+        F.when(~start & (F.col("wanted") > 1), "cursor handed out twice"),
     )
     return cursors.select(
         "resource",
@@ -304,7 +354,43 @@ def page_chain_gaps(pages: DataFrame) -> DataFrame:
     )
 
 
-def line_chain_gaps(pages: DataFrame) -> DataFrame:
+def detached_rings(links: DataFrame, work: str) -> DataFrame:
+    """Pages whose cursors lead back to themselves: ``(resource, cursor)``, the least cursor of each ring.
+
+    Pointer jumping: every page points to the one it hands out a cursor for, and in each
+    round to where the page it points to does, so pointers reach twice as far; a page whose
+    pointer runs past a chain's end drops out. When pointers reach as far as there are links,
+    those left lead around a ring. Each round is one join on the cursor, written below
+    ``work``, so a lost executor costs the round; a cursor that several pages hand out has
+    one pointer of its own, so no round has more rows than there are links.
+
+    A ring has a link that does not lead upwards, in whatever order of the cursors. Where
+    every link does, in order of length and text, as with counted cursors, no round is needed.
+    """
+    spark = links.sparkSession
+    onward = links.filter(F.col("more") & F.col("cursor").isNotNull() & F.col("end").isNotNull())
+    hops = onward.groupBy("resource", F.col("cursor").alias("at")).agg(F.min("end").alias("to"))
+    hops = hops.withColumn("least", F.col("at"))
+    size, end_size = F.length("cursor"), F.length("end")
+    upwards = (end_size > size) | ((end_size == size) & (F.col("end") > F.col("cursor")))
+    pages, others = onward.agg(F.count(F.lit(1)), F.count_if(~upwards)).first()
+    if not others:
+        hops = hops.limit(0)
+    for reach in range((pages - 1).bit_length() if others else 0):
+        ahead = hops.select("resource", F.col("at").alias("to"), F.col("to").alias("then"), F.col("least").alias("ahead"))
+        step = hops.join(ahead, ["resource", "to"]).select(
+            "resource", "at", F.col("then").alias("to"), F.least("least", "ahead").alias("least")
+        )
+        step.write.mode("overwrite").parquet(f"{work}/reach-{reach}")
+        hops = spark.read.schema(step.schema).parquet(f"{work}/reach-{reach}")
+        if hops.isEmpty():
+            break
+    # Pages that only lead into a ring are no part of it: a pointer that far is.
+    within = hops.select("resource", F.col("to").alias("at")).distinct()
+    return hops.join(within, ["resource", "at"], "left_semi").select("resource", F.col("least").alias("cursor")).distinct()
+
+
+def line_chain_gaps(pages: Pages) -> DataFrame:
     """Breaks in the parts of orders' lines: ``(order_id, problem, part)``.
 
     Part 0 is the order itself. A part that a former one announces is there once; a part
@@ -315,9 +401,10 @@ def line_chain_gaps(pages: DataFrame) -> DataFrame:
         F.element_at(F.split("request_cursor", "/"), -1)
     )
     found = (
-        pages.filter(F.col("resource").isin("orders", "order_lines"))
-        .select(part.cast("bigint").alias("part"), parse(F.col("body"), schemas.LINE_CHAIN_PAGE).alias("page"))
-        .select("part", F.explode("page.data.orders.nodes").alias("order"))
+        parsed(pages, schemas.LINE_CHAINS)
+        .filter(F.col("resource").isin("orders", "order_lines"))
+        .select(part.cast("bigint").alias("part"), F.explode_outer("orders.nodes").alias("order"))
+        .filter(F.col("order").isNotNull())
     )
     more = F.coalesce(F.col("order.lineItems.pageInfo.hasNextPage"), F.lit(False))
     note = lambda at, asked, wanted: F.struct(
@@ -337,33 +424,32 @@ def line_chain_gaps(pages: DataFrame) -> DataFrame:
     return parts.select("order_id", F.explode(F.array_compact(problems)).alias("problem"), "part")
 
 
-def load_gaps(pages: DataFrame) -> DataFrame:
+def load_gaps(pages: Pages, work: str | None = None) -> DataFrame:
     """All that shows a load as incomplete: ``(resource, problem, place)``."""
-    chains = page_chain_gaps(pages).select("resource", "problem", F.col("cursor").alias("place"))
+    chains = page_chain_gaps(pages, work).select("resource", "problem", F.col("cursor").alias("place"))
     lines = line_chain_gaps(pages).select(
         F.lit("order_lines").alias("resource"), "problem", F.concat_ws("/", "order_id", "part").alias("place")
     )
     return chains.unionByName(lines)
 
 
-def truncation_suspects(pages: DataFrame, limit: int = 50) -> DataFrame:
+def truncation_suspects(pages: Pages, limit: int = 50) -> DataFrame:
     """Parents with exactly as many children as one request may nest.
 
     Such a parent may have lost children at the source; the flattening itself
     never cuts a list. An order that says that further lines follow is no suspect.
     """
-    page = parse(F.col("body"), schemas.CHILD_COUNT_PAGE)
     parents = F.when(
         F.col("resource") == "products",
         F.transform(
-            F.col("page.data.products.nodes"),
+            F.col("products.nodes"),
             lambda p: F.struct(
                 p["id"].alias("id"), F.size(p["variants"]["nodes"]).alias("children"), F.lit(False).alias("more")
             ),
         ),
     ).otherwise(
         F.transform(
-            F.col("page.data.orders.nodes"),
+            F.col("orders.nodes"),
             lambda o: F.struct(
                 o["id"].alias("id"),
                 F.size(o["lineItems"]["nodes"]).alias("children"),
@@ -372,8 +458,8 @@ def truncation_suspects(pages: DataFrame, limit: int = 50) -> DataFrame:
         )
     )
     return (
-        pages.filter(F.col("resource").isin("orders", "products"))
-        .select("resource", page.alias("page"))
+        parsed(pages, schemas.CHILD_COUNTS)
+        .filter(F.col("resource").isin("orders", "products"))
         .select("resource", F.explode(parents).alias("parent"))
         .filter((F.col("parent.children") == limit) & ~F.col("parent.more"))
         .select(

@@ -1,13 +1,12 @@
-"""Raw, mart and published tables as parquet folders, rewritten whole on every run."""
+"""Tables as parquet folders, rewritten whole on every run, and published ones as versions."""
 
-import time
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger import schemas
+from storeledger.sources.versions import Load, current
 
 
 def replace_table(rows: DataFrame, root: str, name: str) -> int:
@@ -24,22 +23,23 @@ def replace_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]
 
 
 def publish_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
-    """Write a new version of all tables, then name it the current one: in one append.
+    """Write all tables as one new version and make it current.
 
-    Readers keep the former version until then; a run that fails changes nothing for them.
+    Readers keep the former version until then; a run that fails changes nothing for them, and
+    of two that run at the same time one is refused.
     """
-    spark = next(iter(tables.values())).sparkSession
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    counts = replace_tables(tables, f"{root}/{version}")
-    named = spark.createDataFrame([(version,)], "version string").coalesce(1)
-    named.write.mode("append").json(f"{root}/versions")
+    step = Load(next(iter(tables.values())).sparkSession, root)
+    counts = {name: step.write(name, rows)["rows"] for name, rows in tables.items()}
+    step.commit()
     return counts
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the version published last."""
-    versions = spark.read.schema("version string").json(f"{root}/versions")
-    return spark.read.parquet(f"{root}/{versions.agg(F.max('version')).first()[0]}/{name}")
+    """A table of the version made current last, of raw tables, rollups, marts or published ones."""
+    version = current(spark, root)
+    if version is None:
+        raise ValueError(f"nothing has been committed to {root}")
+    return version.read(name)
 
 
 def save_tables(tables: Mapping[str, DataFrame], database: str) -> None:
@@ -62,13 +62,5 @@ def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def read_back(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """The same tables as written below ``root``, with the schemas they were written with."""
-    return {
-        name: rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/{name}")
-        for name, rows in tables.items()
-    }
-
-
 def counts_frame(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "table string, rows bigint")

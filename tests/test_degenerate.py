@@ -5,6 +5,7 @@ import pytest
 from golden import PRODUCTS, line, order, page, pages_frame, product, rows_of, variant
 from storeledger.operators import report
 from storeledger.plans import pipeline
+from storeledger.plans.contract import CONTRACT
 
 
 def marts_of(spark, orders, products=PRODUCTS):
@@ -30,7 +31,9 @@ def test_no_orders(spark):
 
 def test_no_orders_written_and_read_back(spark, tmp_path):
     pages = pages_frame(spark, [page("orders", None, []), page("products", None, [])])
-    reports = pipeline.run(spark, pages, str(tmp_path))
+    with pytest.raises(pipeline.FailedChecks, match="margins_exist"):
+        pipeline.run(spark, pages, str(tmp_path))
+    reports = pipeline.run(spark, pages, str(tmp_path), contract={**CONTRACT, "checks": {}})
     assert reports["money_tree"].count() == 4
     assert reports["top_discounted"].count() == 0
 

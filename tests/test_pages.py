@@ -5,9 +5,10 @@ import json
 import pytest
 
 from golden import ORDERS, PAGES, PRODUCTS, line, money, order, page, pages_frame, product, rows_of, variant
+from storeledger import schemas
 from storeledger.operators import flatten
 from storeledger.plans import pipeline
-from storeledger.sources import pages
+from storeledger.sources import pages, tables
 
 BROKEN = line("Mug", 1, "1.00", "1.00", ["0.10"])
 BROKEN["discountAllocations"].append({"allocatedAmountSet": None})
@@ -82,9 +83,11 @@ def test_good_pages_load(spark):
 
 def test_bad_pages_set_aside(spark, tmp_path):
     good = pipeline.set_bad_pages_aside(spark, pages_frame(spark, PAGES + BAD), str(tmp_path))
-    assert good.columns == ["request_cursor", "body", "resource"] and good.count() == 3
-    kept = pages.read_archive(spark, str(tmp_path / "pages"))
+    assert good.read(schemas.PAGE_PROBLEMS).count() == 3
+    kept = pages.read_archive(spark, str(tmp_path / "pages")).read(schemas.ARCHIVED_PAGE)
     assert kept.filter("problem is not null").count() == len(BAD)
+    # What could not be loaded is kept as it landed, what could is not kept twice.
+    assert {r["body"] for r in kept.collect()} == {None, *[body for _, _, body in BAD]}
     assert pipeline.load(good, str(tmp_path))["order_items"] == 6
 
 
@@ -131,17 +134,45 @@ def chain(*links):
 
 @pytest.mark.parametrize("links,problems", [
     ([(None, "1"), ("1", "2"), ("2", None)], []),
-    ([(None, "1"), ("2", None)], [("missing page", "1")]),
+    ([(None, "1"), ("2", None)], [("missing page", "1"), ("orphan page", "2")]),
     ([(None, "1"), ("1", "2")], [("missing page", "2"), ("no last page", None)]),
-    ([("1", "2"), ("2", None)], [("no first page", None)]),
+    ([("1", "2"), ("2", None)], [("no first page", None), ("orphan page", "1")]),
     ([(None, "1"), ("1", None), ("1", None)], [("repeated page", "1"), ("several last pages", None)]),
-    ([(None, "1"), (None, "1"), ("1", None)], [("repeated page", None)]),
+    ([(None, "1"), (None, "1"), ("1", None)], [("repeated page", None), ("cursor handed out twice", "1")]),
+    # A page under a cursor that nobody handed out, which hands out another's end.
+    ([(None, "a"), ("a", "b"), ("x", "b"), ("b", None)], [("orphan page", "x"), ("cursor handed out twice", "b")]),
+    # Rings that nothing leads into, of one page to many, in one resource or two.
+    ([(None, "a"), ("a", None), ("c", "d"), ("d", "c")], [("detached ring", "c")]),
+    ([(None, "a"), ("a", None), ("z", "z")], [("detached ring", "z")]),
+    ([(None, "a"), ("a", None), ("z", "y"), ("y", "x"), ("x", "z"), ("q", "p"), ("p", "q")], [("detached ring", "x"), ("detached ring", "p")]),
+    ([(None, "a"), ("a", None)] + [(f"r{i}", f"r{(i + 1) % 37}") for i in range(37)], [("detached ring", "r0")]),
+    # A tail that leads into a ring is no part of it.
+    ([(None, "a"), ("a", None), ("0", "c"), ("c", "d"), ("d", "c")], [("orphan page", "0"), ("cursor handed out twice", "c"), ("detached ring", "c")]),
+    # A chain whose cursors lead downwards, and one that is long.
+    ([(None, "9"), ("9", "8"), ("8", "7"), ("7", None)], []),
+    ([(None, "50")] + [(str(i), str(i - 1)) for i in range(50, 1, -1)] + [("1", None)], []),
 ])
 def test_chain(spark, links, problems):
     got = pages.page_chain_gaps(pages_frame(spark, chain(*links))).select("problem", "cursor")
     assert sorted(rows_of(got), key=str) == sorted(problems, key=str)
 
 
+@pytest.mark.parametrize("more", [
+    [("c", "d"), ("d", "c")], [("x", "c1")], [("c1", None)],
+])
+def test_run_refuses_pages_outside_the_chain(spark, tmp_path, more):
+    landed = pages_frame(spark, PAGES + chain(*more))
+    with pytest.raises(pipeline.IncompleteLoad):
+        pipeline.run(spark, landed, str(tmp_path))
+    assert tables.current(spark, str(tmp_path)) is None
+
+
+def test_rings_of_one_resource_leave_the_other(spark):
+    ring = [page("products", "c", [], "d"), page("products", "d", [], "c")]
+    got = rows_of(pages.page_chain_gaps(pages_frame(spark, PAGES + ring)))
+    assert got == [("products", "detached ring", "c")]
+
+
 def part(cursor, *orders):
     """A page of orders given as (id, whether more lines follow)."""
     nodes = [{"id": i, "lineItems": {"pageInfo": {"hasNextPage": more}, "nodes": []}} for i, more in orders]
@@ -188,8 +219,12 @@ def test_continued_order(spark):
         assert sorted(rows_of(rows), key=str) == sorted(rows_of(pipeline.flatten_pages(whole)[name]), key=str)
 
 
+def optimized(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_parse_once(spark):
-    """No consumer makes the optimizer repeat the JSON parse of a page."""
+    """No consumer of landed pages makes the optimizer repeat the JSON parse of a page."""
     landed = pages_frame(spark, PAGES)
     flat = pipeline.flatten_pages(landed)
     built = pipeline.build_marts(pipeline.stage(flat))
@@ -198,8 +233,8 @@ def test_parse_once(spark):
         pages.page_errors(landed).filter("problem = 'errors'").groupBy("resource").count(),
         pages.good_pages(landed),
         pages.good_pages(landed).filter("resource = 'orders'").groupBy().count(),
-        pages.with_problem(landed),
-        pages.page_chain_gaps(landed),
+        pages.parse_pages(landed),
+        pages.line_chain_gaps(landed),
         pages.truncation_suspects(landed),
         *flat.values(),
         *[rows.groupBy().count() for rows in flat.values()],
@@ -208,11 +243,56 @@ def test_parse_once(spark):
         flat["order_items"].filter("not cancelled").select("product"),
     ]
     for frame in frames:
-        plan = frame._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("from_json") == 1, plan
+        assert optimized(frame).count("from_json") == 1, optimized(frame)
     for name, (_, sources) in pipeline.MARTS.items():
-        plan = built[name]._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("from_json") == len(sources), plan
+        assert optimized(built[name]).count("from_json") == len(sources), optimized(built[name])
+
+
+def leaves(frame):
+    """What the scan of an archive reads."""
+    plan = frame._jdf.queryExecution().sparkPlan()
+    assert "from_json" not in plan.toString()
+    return plan.collectLeaves().head().requiredSchema().json()
+
+
+def test_archive_readers_read_their_leaves(spark, tmp_path):
+    archive = pages.archive_pages(pages_frame(spark, PAGES), str(tmp_path / "pages"))
+    flat = pipeline.flatten_pages(archive)
+    heads, lines, variants = (leaves(flat[name]) for name in ("orders", "order_items", "variants"))
+    assert "totalPriceSet" in heads and "lineItems" not in heads and "products" not in heads
+    assert "originalTotalSet" in lines and "totalPriceSet" not in lines and "pageInfo" not in lines
+    assert "inventoryQuantity" in variants and "orders" not in variants
+    for frame, wanted, unwanted in [
+        (pages.line_chain_gaps(archive), "pageInfo", "originalTotalSet"),
+        (pages.truncation_suspects(archive), "quantity", "originalTotalSet"),
+        (pages.page_errors(archive), "problem", "nodes"),
+    ]:
+        assert wanted in leaves(frame) and unwanted not in leaves(frame) and "body" not in leaves(frame)
+    ends = archive.read(schemas.PAGE_ENDS)
+    assert "endCursor" in leaves(ends) and "nodes" not in leaves(ends)
+
+
+def test_archive_gives_what_the_pages_give(spark, tmp_path):
+    landed = pages_frame(spark, PAGES)
+    archive = pages.archive_pages(landed, str(tmp_path / "pages"))
+    for name, rows in pipeline.flatten_pages(archive).items():
+        assert sorted(rows_of(rows), key=str) == sorted(rows_of(pipeline.flatten_pages(landed)[name]), key=str)
+    assert pages.load_gaps(archive).count() == 0
+
+
+@pytest.mark.parametrize("bad,reader,message", [
+    (BAD[0], flatten.flatten_orders, "Throttled"),
+    (BAD[1], flatten.flatten_items, "unreadable orders page"),
+    (BAD[6], flatten.flatten_items, "allocation without an amount"),
+    (BAD[10], flatten.flatten_variants, "incomplete node"),
+    (BAD[11], flatten.flatten_variants, "unknown resource"),
+    (BAD[13], flatten.flatten_orders, "required field"),
+    (BAD[17], flatten.flatten_orders, "beyond the scale"),
+])
+def test_strict_load_of_an_archive_fails(spark, tmp_path, bad, reader, message):
+    archive = pages.archive_pages(pages_frame(spark, PAGES + [bad]), str(tmp_path / "pages"))
+    with pytest.raises(Exception, match=message):
+        reader(archive).groupBy().count().collect()
 
 
 def test_check_fails_whatever_is_read(spark):

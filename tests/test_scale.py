@@ -85,8 +85,8 @@ def test_top_k_is_no_full_sort(marts):
 
 
 def test_archive_prunes_resources(spark, tmp_path):
-    pages.archive_pages(driver_tables.landed_pages(spark, SF), str(tmp_path))
-    plan = executed(flatten.flatten_variants(pages.read_archive(spark, str(tmp_path))))
+    archive = pages.archive_pages(driver_tables.landed_pages(spark, SF), str(tmp_path))
+    plan = executed(flatten.flatten_variants(archive))
     # The resource asked for, or one that nobody knows: that must fail the load, not be skipped.
     assert re.search(r"PartitionFilters: \[[^\]]*resource#\d+ = products\) OR NOT coalesce\(resource", plan)
 

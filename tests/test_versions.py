@@ -1,0 +1,192 @@
+"""Loads that become current whole or not at all, checks that guard them, and the model graph."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from golden import PAGES, line, order, page, pages_frame, product, variant
+from storeledger.plans import graph, pipeline
+from storeledger.plans.contract import CONTRACT
+from storeledger.plans.graph import Model
+from storeledger.sources import tables, versions
+from storeledger.sources.versions import ConcurrentLoad, Load
+
+
+def numbers(spark, n):
+    return spark.range(n).toDF("x")
+
+
+def sizes(spark, root):
+    version = versions.current(spark, root)
+    return {name: version.read(name).count() for name in version.tables}
+
+
+def test_nothing_is_current_before_a_commit(spark, tmp_path):
+    root = str(tmp_path)
+    step = Load(spark, root)
+    assert step.write("a", numbers(spark, 3)) == {"rows": 3}
+    assert versions.current(spark, root) is None
+    with pytest.raises(ValueError, match="nothing has been committed"):
+        tables.read_published(spark, root, "a")
+    assert step.read("a").count() == 3
+    assert step.commit().rows() == {"a": 3}
+    assert sizes(spark, root) == {"a": 3}
+
+
+def test_tables_not_written_stay(spark, tmp_path):
+    root = str(tmp_path)
+    first = Load(spark, root)
+    first.write("a", numbers(spark, 3))
+    first.write("b", numbers(spark, 4))
+    first.commit()
+    second = Load(spark, root)
+    second.write("b", numbers(spark, 5))
+    assert second.read("a").count() == 3
+    second.commit()
+    assert sizes(spark, root) == {"a": 3, "b": 5}
+    assert versions.current(spark, root, 0).read("b").count() == 4
+
+
+def test_a_failed_load_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    first = Load(spark, root)
+    first.write("a", numbers(spark, 3))
+    first.commit()
+    second = Load(spark, root)
+    second.write("a", numbers(spark, 1))
+    with pytest.raises(Exception, match="lost"):
+        second.write("b", numbers(spark, 1).select(F.raise_error(F.lit("lost")).alias("x")))
+    assert sizes(spark, root) == {"a": 3}
+
+
+@pytest.mark.parametrize("late", [0, 1])
+def test_of_two_writers_one_is_refused(spark, tmp_path, late):
+    """Whichever began first: the later commit has not seen the other's version."""
+    root = str(tmp_path)
+    base = Load(spark, root)
+    base.write("a", numbers(spark, 1))
+    base.commit()
+    writers = [Load(spark, root), Load(spark, root)]
+    for size, writer in enumerate(writers, 10):
+        writer.write("a", numbers(spark, size))
+    writers[1 - late].commit()
+    with pytest.raises(ConcurrentLoad):
+        writers[late].commit()
+    assert sizes(spark, root) == {"a": 11 - late}
+    again = Load(spark, root)
+    again.write("a", numbers(spark, 20))
+    again.commit()
+    assert sizes(spark, root) == {"a": 20}
+
+
+def test_a_commit_may_be_repeated(spark, tmp_path):
+    step = Load(spark, str(tmp_path))
+    step.write("a", numbers(spark, 2))
+    assert step.commit().number == step.commit().number == 0
+    assert [p.name for p in (tmp_path / "_log").iterdir() if not p.name.startswith(".")] == [f"{0:020d}.json"]
+
+
+def test_schemas_come_from_the_log(spark, tmp_path):
+    step = Load(spark, str(tmp_path))
+    step.write("empty", spark.createDataFrame([], "x decimal(18,4), y array<struct<z: string>>"))
+    step.commit()
+    found = tables.read_published(spark, str(tmp_path), "empty")
+    assert found.dtypes == [("x", "decimal(18,4)"), ("y", "array<struct<z:string>>")] and found.count() == 0
+
+
+def test_clean_up_spares_named_and_new_folders(spark, tmp_path):
+    root = str(tmp_path)
+    for size in (1, 2, 3):
+        step = Load(spark, root)
+        step.write("a", numbers(spark, size))
+        step.commit()
+    lost = Load(spark, root)
+    lost.write("a", numbers(spark, 9))
+    assert versions.clean_up(spark, root, keep=2, hours=1) == []
+    deleted = versions.clean_up(spark, root, keep=2, hours=-1)
+    assert len(deleted) == 2 and lost.folder in deleted
+    assert sizes(spark, root) == {"a": 3} and versions.current(spark, root, 1).read("a").count() == 2
+
+
+def failing(**changes):
+    return {**CONTRACT, "checks": {**CONTRACT["checks"], **changes}}
+
+
+def test_a_failing_check_leaves_the_former_version(spark, tmp_path):
+    root = str(tmp_path)
+    pipeline.run(spark, pages_frame(spark, PAGES), root)
+    before, published = versions.current(spark, root), versions.current(spark, f"{root}/published")
+    bad = failing(many={"entity": "product_margin", "kind": "row_count_min", "min": 100})
+    with pytest.raises(pipeline.FailedChecks, match="many of product_margin: 98 rows"):
+        pipeline.run(spark, pages_frame(spark, PAGES), root, contract=bad)
+    assert versions.current(spark, root).number == before.number
+    assert versions.current(spark, f"{root}/published").number == published.number
+
+
+def test_a_warning_is_kept(spark, tmp_path):
+    orders = [order("O1", "2026-01-01T00:00:00Z", None, "1", "0", None, [line("Mug", 1, "1.00", "1.00", [])])]
+    pages = [page("orders", None, orders), page("products", None, [product("P", "Mug", [variant("V", "x", "1", "9.00", 1)])])]
+    pipeline.run(spark, pages_frame(spark, pages), str(tmp_path))
+    kept = {r["check"]: r.asDict() for r in tables.read_published(spark, str(tmp_path), "checks").collect()}
+    assert set(kept) == set(CONTRACT["checks"])
+    warned = kept["margin_pct_sane"]
+    assert (warned["severity"], warned["failing_rows"], warned["passed"]) == ("warn", 1, False)
+    assert kept["margins_exist"]["passed"] and kept["product_named"]["passed"]
+
+
+def test_observed_checks_are_the_checks(spark, tmp_path):
+    from storeledger.operators.quality import run_checks
+
+    checks = failing(
+        none={"entity": "stock_capital", "kind": "not_null", "field": "capital_gbp", "severity": "warn"},
+        few={"entity": "product_leaks", "kind": "row_count_min", "min": 9, "severity": "warn"},
+        low={"entity": "product_margin", "kind": "range", "field": "margin_gbp", "max": 20, "severity": "warn"},
+    )
+    pipeline.load(pages_frame(spark, PAGES), str(tmp_path))
+    built = pipeline.model(spark, str(tmp_path), contract=checks)
+    kept = tables.read_published(spark, str(tmp_path), "checks")
+    want = run_checks(checks, built)
+    assert sorted(kept.collect()) == sorted(want.collect()) and kept.filter("not passed").count() == 3
+
+
+def written(tmp_path):
+    log = sorted(p for p in (tmp_path / "_log").iterdir() if p.suffix == ".json")
+    return set(json.loads(log[-1].read_text())["tables"])
+
+
+def test_only_what_is_asked_for_is_built(spark, tmp_path):
+    pipeline.load(pages_frame(spark, PAGES), str(tmp_path))
+    raw = written(tmp_path)
+    built = pipeline.model(spark, str(tmp_path), targets=["product_leaks"])
+    assert set(built) == {"product_leaks"} and built["product_leaks"].count() == 4
+    assert written(tmp_path) - raw == {"product_leaks", "product_sums", "product_orders", "checks"}
+
+
+def test_shared_ancestors_are_built_once(spark):
+    made = []
+
+    def model(name, *inputs, stored=True):
+        def operator(*frames):
+            made.append(name)
+            return frames[0]
+
+        return Model(operator, inputs, stored)
+
+    models = {
+        "a": model("a", "raw"), "b": model("b", "a"), "c": model("c", "a"), "d": model("d", "b", "c"),
+        "e": model("e", "raw", stored=False),
+    }
+    stored = []
+    built = graph.build(models, {"raw": numbers(spark, 1)}, ["d", "c"], lambda name, rows: stored.append(name) or rows)
+    assert sorted(made) == sorted(stored) == ["a", "b", "c", "d"] and "e" not in built
+    assert graph.needed(models, ["b"], ["a"]) == ["b"]
+
+
+def test_cycles_and_unknown_names_are_refused(spark):
+    operator = lambda *frames: frames[0]
+    models = {"a": Model(operator, ("b",)), "b": Model(operator, ("a",)), "c": Model(operator, ("lost",))}
+    with pytest.raises(ValueError, match="depend on each other"):
+        graph.build(models, {}, ["a"])
+    with pytest.raises(ValueError, match="no model or table 'lost'"):
+        graph.build(models, {}, ["c"])
