@@ -47,7 +47,7 @@ _ORDER_LIST = _list(
 _PRODUCT_LIST = _list("products", _PAGE_INFO, f"nodes: array<struct<{_PRODUCT}>>")
 
 # The whole response, parsed once.
-RESPONSE = f"errors string, data struct<{_ORDER_LIST}, {_PRODUCT_LIST}>, _corrupt string"
+RESPONSE = f"errors: string, data: struct<{_ORDER_LIST}, {_PRODUCT_LIST}>"
 
 
 def _archived(*lists: str) -> str:

@@ -380,11 +380,14 @@ _TO_END = r'^(\{"data":\{"[a-z]+":\{"pageInfo":\{"hasNextPage":true,"endCursor":
 def plant_chain_faults(pages: DataFrame) -> DataFrame:
     """The landed pages with three faults in each chain.
 
-    The second page is lost. Copies of all pages between the first and the last hand out
+    The second page is lost. Copies, without nodes, of all pages between the first and the last hand out
     cursors among themselves only, the last of them that of the first: a ring that nothing
     leads into. A copy of the fourth page answers a cursor that nobody handed out, so what it
-    hands out is handed out twice.
+    hands out is handed out twice. The pages are written once: the copies read them again.
     """
+    path = scratch_dir(pages.sparkSession, "landed")
+    pages.write.parquet(path)
+    pages = pages.sparkSession.read.schema(pages.schema).parquet(path)
     chained = F.col("resource").isin("orders", "products")
     end = F.regexp_extract("body", _TO_END, 2)
     inner = pages.filter(chained & F.col("request_cursor").isNotNull() & (end != ""))
@@ -394,7 +397,9 @@ def plant_chain_faults(pages: DataFrame) -> DataFrame:
     ring = inner.join(edges, "resource").select(
         "resource",
         F.concat(F.lit("ring "), "request_cursor").alias("request_cursor"),
-        F.regexp_replace("body", F.lit(_TO_END), F.concat(F.lit("$1ring "), around.cast("string"))).alias("body"),
+        F.concat(
+            F.regexp_extract("body", _TO_END, 1), F.lit("ring "), around.cast("string"), F.lit('"},"nodes":[]}}}')
+        ).alias("body"),
     )
     stray = inner.filter(F.col("request_cursor") == "2").withColumn("request_cursor", F.lit("stray"))
     return lose_second_page(pages).unionByName(ring).unionByName(stray)

@@ -16,7 +16,7 @@ columns they name; or landed pages, which are then parsed in the reader's own pl
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger import schemas
@@ -25,6 +25,9 @@ from storeledger.session import scratch_dir
 
 RESOURCES = ("orders", "order_lines", "products")
 
+# Times as far that pointers along a chain reach after each round.
+JUMPS = 4
+
 # JSON texts that count as "no errors".
 _NO_ERRORS = ("", "[]", "{}", "null", "false", "0")
 # The one problem that leaves a page's nodes whole.
@@ -79,13 +82,16 @@ def read_archive(spark: SparkSession, path: str) -> Archive:
 
 
 def parse(body: Column, schema: str) -> Column:
-    return F.from_json(body, schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    """The page as the one element of a list, in one pass over the text.
+
+    Text after the page's JSON shows as a second element or makes the list unreadable, which is then null.
+    """
+    return F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<struct<{schema}>>")
 
 
-def unreadable(page: Column, body: Column) -> Column:
-    """No JSON object of the schema, or text after it: as a list's element it would not be alone."""
-    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]")))
-    return page.isNull() | page["_corrupt"].isNotNull() | (F.coalesce(alone, F.lit(0)) != 1)
+def unreadable(read: Column) -> Column:
+    """No list, or not of one JSON object of the schema."""
+    return (F.coalesce(F.size(read), F.lit(-1)) != 1) | F.get(read, F.lit(0)).isNull()
 
 
 def unknown(resource: Column) -> Column:
@@ -202,7 +208,8 @@ def _amounts(orders: Column, products: Column) -> Column:
     )
 
 
-def _problem(resource: Column, page: Column, body: Column) -> Column:
+def _problem(resource: Column, read: Column) -> Column:
+    page = F.get(read, F.lit(0))
     orders, products = page["data"]["orders"], page["data"]["products"]
     is_product = resource == "products"
     nodes_missing = F.when(is_product, products["nodes"].isNull()).otherwise(orders["nodes"].isNull())
@@ -232,7 +239,7 @@ def _problem(resource: Column, page: Column, body: Column) -> Column:
     )
     return (
         F.when(unknown(resource), "unknown resource")
-        .when(unreadable(page, body), "unreadable")
+        .when(unreadable(read), "unreadable")
         .when(has_errors(page), "errors")
         .when(nodes_missing, "no nodes")
         .when(incomplete, "incomplete node")
@@ -244,9 +251,10 @@ def _problem(resource: Column, page: Column, body: Column) -> Column:
 
 
 def _with_response(pages: DataFrame) -> DataFrame:
-    page = parse(F.col("body"), schemas.RESPONSE)
-    rows = pages.select("resource", "request_cursor", "body", page.alias("page"))
-    return rows.withColumn("problem", _problem(F.col("resource"), F.col("page"), F.col("body")))
+    read = parse(F.col("body"), schemas.RESPONSE)
+    rows = pages.select("resource", "request_cursor", "body", read.alias("read"))
+    rows = rows.withColumn("problem", _problem(F.col("resource"), F.col("read")))
+    return rows.withColumn("page", F.get("read", F.lit(0)))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -358,9 +366,9 @@ def detached_rings(links: DataFrame, work: str) -> DataFrame:
     """Pages whose cursors lead back to themselves: ``(resource, cursor)``, the least cursor of each ring.
 
     Pointer jumping: every page points to the one it hands out a cursor for, and in each
-    round to where the page it points to does, so pointers reach twice as far; a page whose
-    pointer runs past a chain's end drops out. When pointers reach as far as there are links,
-    those left lead around a ring. Each round is one join on the cursor, written below
+    round to where following its pointer JUMPS times leads, so pointers reach JUMPS times as far; a
+    page whose pointer runs past a chain's end drops out. When pointers reach as far as there are
+    links, those left lead around a ring. Each round is joins on the cursor, written below
     ``work``, so a lost executor costs the round; a cursor that several pages hand out has
     one pointer of its own, so no round has more rows than there are links.
 
@@ -375,16 +383,20 @@ def detached_rings(links: DataFrame, work: str) -> DataFrame:
     upwards = (end_size > size) | ((end_size == size) & (F.col("end") > F.col("cursor")))
     pages, others = onward.agg(F.count(F.lit(1)), F.count_if(~upwards)).first()
     if not others:
-        hops = hops.limit(0)
-    for reach in range((pages - 1).bit_length() if others else 0):
+        return hops.limit(0).select("resource", F.col("least").alias("cursor"))
+    reach, left = 1, pages
+    while reach < pages and left:
         ahead = hops.select("resource", F.col("at").alias("to"), F.col("to").alias("then"), F.col("least").alias("ahead"))
-        step = hops.join(ahead, ["resource", "to"]).select(
-            "resource", "at", F.col("then").alias("to"), F.least("least", "ahead").alias("least")
-        )
-        step.write.mode("overwrite").parquet(f"{work}/reach-{reach}")
-        hops = spark.read.schema(step.schema).parquet(f"{work}/reach-{reach}")
-        if hops.isEmpty():
-            break
+        step = hops
+        for _ in range(JUMPS - 1):
+            step = step.join(ahead, ["resource", "to"]).select(
+                "resource", "at", F.col("then").alias("to"), F.least("least", "ahead").alias("least")
+            )
+        reach *= JUMPS
+        seen = Observation("pointers")
+        path = f"{work}/reach-{reach}"
+        step.observe(seen, F.count(F.lit(1)).alias("left")).write.mode("overwrite").parquet(path)
+        hops, left = spark.read.schema(step.schema).parquet(path), seen.get["left"]
     # Pages that only lead into a ring are no part of it: a pointer that far is.
     within = hops.select("resource", F.col("to").alias("at")).distinct()
     return hops.join(within, ["resource", "at"], "left_semi").select("resource", F.col("least").alias("cursor")).distinct()
