@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert [name for name in QUERIES] == sorted(QUERIES, key=lambda n: (n == "pipeline", int(n[2:].split("_")[0]) if n != "pipeline" else 0))
-    assert len(QUERIES) == 11
+    assert len(QUERIES) == 14
 
 
 def test_stages(spark, tmp_path):
