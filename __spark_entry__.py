@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from storeledger.functions import person  # noqa: E402
 from storeledger.functions.pii import EMAIL  # noqa: E402
 from storeledger.operators import (  # noqa: E402
     flatten, marts, quality, report, rollups, semantic, staging,
@@ -445,8 +446,58 @@ _CARD_SQL = (
     r"\b([0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
     r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})\b"
 )
+
+
+def _listed(words: list[str]) -> str:
+    return "(" + ", ".join(f"'{word}'" for word in words) + ")"
+
+
+# The tagger's tests of a word w between b and a, the i-th from 1 of n in its run.
+_PERSON_TESTS = {
+    "any": "true",
+    "given": f"lower(rtrim(w, '.')) IN {_listed(person.GIVEN)}",
+    "title": f"lower(rtrim(w, '.')) IN {_listed(person.TITLES)}",
+    "initial": "regexp_full_match(w, '[A-Z][.]')",
+    "ending": f"regexp_matches(w, '{person.ENDING}')",
+    "stop": f"lower(rtrim(w, '.')) IN {_listed(person.STOPS)}",
+    "capitals": "regexp_full_match(w, '[A-Z]{2,}')",
+    "after_title": f"lower(rtrim(b, '.')) IN {_listed(person.TITLES)}",
+    "after_given": f"lower(rtrim(b, '.')) IN {_listed(person.GIVEN)}",
+    "before_stop": f"lower(rtrim(a, '.')) IN {_listed(person.STOPS)}",
+    "cue": f"i = 1 AND b IN {_listed(person.CUES)}",
+    "start": "i = 1 AND b = ''",
+    "same": "w = b OR w = a",
+    "long": "n >= 4",
+}
+_PERSON_SCORE = " + ".join(
+    f"CASE WHEN {test} THEN {person.WEIGHTS[name]} ELSE 0 END" for name, test in _PERSON_TESTS.items()
+)
+_RUN_SQL = person.RUN.replace("'", "''")
+_W = person.WEIGHTS
 _PII_SQL = f"""
-WITH found AS (
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS id, text FROM documents),
+runs AS (
+    SELECT id, unnest(regexp_extract_all(text, '{_RUN_SQL}', 1)) AS before,
+           unnest(regexp_extract_all(text, '{_RUN_SQL}', 2)) AS run FROM texts),
+split AS (SELECT row_number() OVER () AS r, id, before, string_split(run, ' ') AS words FROM runs),
+words AS (SELECT r, before, unnest(words) AS w, generate_subscripts(words, 1) AS i, len(words) AS n FROM split),
+around AS (
+    SELECT r, i, n, w, coalesce(lag(w) OVER run, before) AS b, coalesce(lead(w) OVER run, '') AS a
+    FROM words WINDOW run AS (PARTITION BY r ORDER BY i)),
+scored AS (SELECT r, i, {_PERSON_SCORE} AS s FROM around),
+-- Best score of each state after i words, and the names on the way to it.
+states AS (
+    SELECT r, CAST(0 AS BIGINT) AS i, 0 AS other, 0 AS others, -1000000 AS name, 0 AS names FROM split
+    UNION ALL
+    SELECT r, i, greatest(other, ended), CASE WHEN ended > other THEN names ELSE others END,
+           greatest(began, went_on) + s, CASE WHEN went_on > began THEN names ELSE others + 1 END
+    FROM (SELECT t.r, x.i, other, others, names, s, other + {_W["other_name"]} AS began,
+                 name + {_W["name_name"]} AS went_on, name + {_W["name_other"]} AS ended
+          FROM states t JOIN scored x ON x.r = t.r AND x.i = t.i + 1)),
+persons AS (
+    SELECT id, sum(CASE WHEN name + {_W["name_end"]} > other THEN names ELSE others END) AS persons
+    FROM states JOIN split USING (r) WHERE i = len(words) GROUP BY id),
+found AS (
     SELECT len(regexp_extract_all(text, '{EMAIL}')) AS emails,
            len(regexp_extract_all(text, '{_PHONE_SQL}', 1)) AS phones,
            len(list_filter(
@@ -457,7 +508,9 @@ WITH found AS (
                         ELSE (CAST(substr(d, i, 1) AS INTEGER) * 2) % 10
                              + CAST(substr(d, i, 1) AS INTEGER) // 5 END)) % 10 = 0)) AS cards
     FROM documents)
-SELECT 'EMAIL_ADDRESS' AS pii_type, count(*) FILTER (WHERE emails > 0) AS rows,
+SELECT 'PERSON' AS pii_type, count(*) FILTER (WHERE persons > 0) AS rows,
+       CAST(coalesce(sum(persons), 0) AS BIGINT) AS hits FROM persons
+UNION ALL SELECT 'EMAIL_ADDRESS' AS pii_type, count(*) FILTER (WHERE emails > 0) AS rows,
        CAST(coalesce(sum(emails), 0) AS BIGINT) AS hits FROM found
 UNION ALL SELECT 'PHONE_NUMBER', count(*) FILTER (WHERE phones > 0),
        CAST(coalesce(sum(phones), 0) AS BIGINT) FROM found

@@ -1,4 +1,4 @@
-"""Patterns for personal data, as built-in expressions over whole texts.
+"""Detectors of personal data, as built-in expressions over whole texts: patterns, and a tagger for names.
 
 Every quantifier has an upper bound, so a long run of letters or digits costs
 time linear in its length.
@@ -7,6 +7,8 @@ time linear in its length.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from storeledger.functions.person import person_hits
+
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,63}"
 PHONE = (
     r"(?<![0-9])(?<![0-9]\.)(?:"
@@ -53,8 +55,8 @@ def card_hits(text: Column) -> Column:
     return _where(text.rlike("[0-9]{4}"), F.size(F.filter(candidates, _luhn)))
 
 
-# PERSON, the contract's fourth type, needs a language model and has no pattern.
 DETECTORS = {
+    "PERSON": person_hits,
     "EMAIL_ADDRESS": email_hits,
     "PHONE_NUMBER": phone_hits,
     "CREDIT_CARD": card_hits,

@@ -54,8 +54,8 @@ def test_no_cap(spark):
 
 def test_blocked_type_without_detector_is_refused(marts):
     strict = copy.deepcopy(CONTRACT)
-    strict["policy"]["unchecked_pii"] = []
-    with pytest.raises(ValueError, match="PERSON"):
+    strict["policy"]["block_pii"] = ["PERSON", "IBAN"]
+    with pytest.raises(ValueError, match="IBAN"):
         semantic.run_metric(strict, marts, "discount_by_product", ["product"])
 
 
@@ -172,5 +172,5 @@ def test_luhn_against_brute_force(spark):
 
 def test_pii_scan_empty(spark):
     assert rows_of(quality.pii_scan(spark.createDataFrame([], "text string"), "text"), "pii_type") == [
-        ("CREDIT_CARD", 0, 0), ("EMAIL_ADDRESS", 0, 0), ("PHONE_NUMBER", 0, 0),
+        ("CREDIT_CARD", 0, 0), ("EMAIL_ADDRESS", 0, 0), ("PERSON", 0, 0), ("PHONE_NUMBER", 0, 0),
     ]
