@@ -26,7 +26,8 @@ from storeledger.operators import (  # noqa: E402
 from storeledger.plans import pipeline  # noqa: E402
 from storeledger.plans.contract import CONTRACT  # noqa: E402
 from storeledger.session import configure, scratch_dir  # noqa: E402
-from storeledger.sources import driver_tables, pages, tables  # noqa: E402
+from storeledger.sources import catalog, driver_tables, pages, tables  # noqa: E402
+from storeledger.sources.versions import Load  # noqa: E402
 
 # Longest nested list looked for; the driver's orders never reach the 50 lines
 # of a real request.
@@ -189,6 +190,35 @@ def _published_product_leaks(spark, sf):
     return tables.read_published(spark, f"{root}/published", "product_leaks")
 
 
+def _catalog_mart(name: str):
+    """A mart as SQL over staging views of raw tables in the catalog, in a database of its own."""
+
+    def query(spark, sf):
+        root = scratch_dir(spark, "catalog")
+        database = f"storeledger_{root[-32:]}"
+        catalog.create_database(spark, database, root)
+        raw = driver_tables.raw_tables(spark, sf)
+        catalog.save_raw({n: tables.conform(rows, n) for n, rows in raw.items()}, database)
+        catalog.create_staging_views(spark, database)
+        return catalog.mart(spark, database, name)
+
+    return query
+
+
+def _product_orders_estimate(spark, sf):
+    """Distinct orders by product, exactly, and whether the merged monthly sketches tell as much but for seven in a hundred."""
+    staged = {name: _staged(spark, sf, name) for name in ("stg_order_items", "stg_orders")}
+    step = Load(spark, scratch_dir(spark, "sketches"))
+    step.write("order_sketches", rollups.order_sketches(staged["stg_order_items"], staged["stg_orders"]))
+    step.commit()
+    told = rollups.product_orders_estimate(step.read("order_sketches")).select(
+        F.col("product").alias("told"), F.col("orders").alias("estimate")
+    )
+    exact = rollups.product_orders(staged["stg_order_items"])
+    near = F.abs(F.col("estimate") - F.col("orders")) * 100 <= F.col("orders") * 7
+    return exact.join(told, F.col("product").eqNullSafe(F.col("told"))).select("product", "orders", near.alias("near"))
+
+
 def _pii_scan_documents(spark, sf):
     return quality.pii_scan(driver_tables.documents(spark, sf), "text")
 
@@ -249,6 +279,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_counts": _load_counts,
     "publish_counts": _publish_counts,
     "published_product_leaks": _published_product_leaks,
+    # catalog tables and views
+    "catalog_cost_discounts": _catalog_mart("cost_discounts"),
+    "catalog_cost_refunds": _catalog_mart("cost_refunds"),
+    "catalog_product_leaks": _catalog_mart("product_leaks"),
+    "catalog_stock_capital": _catalog_mart("stock_capital"),
+    # sketches
+    "product_orders_estimate": _product_orders_estimate,
 }
 
 
@@ -696,6 +733,11 @@ def oracle_sql() -> dict[str, str]:
         "pii_scan_documents": _PII_SQL,
         "raw_roundtrip": _ITEMS_SQL,
         "published_product_leaks": _base(_MART_SQL["product_leaks"]),
+        **{f"catalog_{name}": _base(_MART_SQL[name]) for name in catalog.MART_SQL},
+        "product_orders_estimate": _base(
+            """SELECT product, count(DISTINCT order_id) AS orders, true AS near
+               FROM b_items WHERE NOT cancelled GROUP BY product"""
+        ),
         "load_counts": _base(
             """SELECT 'orders' AS "table", count(*) AS rows FROM b_orders
                UNION ALL SELECT 'order_items', count(*) FROM b_items
