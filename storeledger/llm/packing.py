@@ -4,8 +4,9 @@ Every partition of the input packs its own documents in their order. A document'
 windows of WINDOW tokens are sequences of their own. Its rest goes to the open window whose
 fill level makes the sum of the squared counts of partially filled windows, by level,
 smallest afterwards; opening a window is level 0. The counts are one array over the levels.
-At the partition's end the open windows are dealt out into full windows and at most one
-rest, which is cut into sequences of power-of-two lengths: nothing is padded.
+At the partition's end the open windows stay as they were placed, the fullest first; what they
+lack is cut from the emptiest, which so are used up. At most one rest is left, cut into
+sequences of power-of-two lengths: nothing is padded.
 """
 
 from __future__ import annotations
@@ -137,9 +138,31 @@ class SumOfSquares:
         self.open.setdefault(level, []).append(content)
         return None
 
-    def rest(self) -> list[tuple]:
-        """Pieces of all open windows, fullest window first."""
-        return [p for level in sorted(self.open, reverse=True) for content in self.open[level] for p in content]
+    def windows(self) -> list[list[tuple]]:
+        """Pieces of each open window, fullest window first."""
+        return [content for level in sorted(self.open, reverse=True) for content in self.open[level]]
+
+
+def topped_up(windows: list[list[tuple]], window: int) -> Iterator[list[tuple]]:
+    """Windows, fullest first, filled with pieces cut from the last of them; the rest in powers of two."""
+    first, last, spare = 0, len(windows) - 1, []
+    while first <= last:
+        content = windows[first]
+        room = window - sum(len(ids) // 4 for _, _, ids, _ in content)
+        while room and (spare or last > first):
+            if not spare:
+                spare, last = windows[last][::-1], last - 1
+            doc, start, ids, total = spare.pop()
+            content.append((doc, start, ids[: 4 * room], total))
+            if len(ids) > 4 * room:
+                spare.append((doc, start + room, ids[4 * room :], total))
+            room -= min(room, len(ids) // 4)
+        if room:
+            yield from redealt(content, window)
+        else:
+            yield content
+        first += 1
+    yield from redealt(spare[::-1], window)
 
 
 def redealt(pieces: list[tuple], window: int) -> Iterator[list[tuple]]:
@@ -197,7 +220,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int
                     add(full)
         if columns[0]:
             yield flushed()
-    for content in redealt(packer.rest(), window):
+    for content in topped_up(packer.windows(), window):
         add(content)
     if columns[0]:
         yield flushed()

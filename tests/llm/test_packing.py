@@ -90,3 +90,55 @@ def _counts(levels, level, size):
 
 def test_no_rows(spark):
     assert P.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def placed(rng, documents, window=4096):
+    packer, full = P.SumOfSquares(window), 0
+    for i in range(documents):
+        size = min(window, max(1, int(rng.lognormvariate(5.5, 1.2))))
+        full += size
+        packer.place((i, 0, bytes(4 * size), size), size)
+    return packer, full
+
+
+@pytest.mark.parametrize("documents,most", [(1000, 0.1), (3000, 0.06), (10000, 0.03)])
+def test_few_tokens_are_dealt_anew(documents, most):
+    """Windows stay as sum-of-squares placed them, but for what tops them up: a bounded share of all tokens."""
+    packer, tokens = placed(random.Random(4), documents)
+    windows = packer.windows()
+    before = [[piece[:2] + (len(piece[2]),) for piece in w] for w in windows]
+    out = list(P.topped_up(windows, 4096))
+    after = {tuple(piece[:2] + (len(piece[2]),) for piece in w[: len(b)]) for w, b in zip(out, before)}
+    stayed = sum(size // 4 for b in before if tuple(b) in after for _, _, size in b)
+    moved = sum(size // 4 for b in before for _, _, size in b) - stayed
+    assert moved <= most * tokens
+    sizes = [sum(len(ids) // 4 for _, _, ids, _ in w) for w in out]
+    assert all(n == 4096 for n in sizes if n not in [1 << i for i in range(12)])
+    assert sum(sizes) == sum(size // 4 for b in before for _, _, size in b)
+
+
+def test_topped_up_keeps_every_id():
+    rng = random.Random(2)
+    for _ in range(300):
+        windows, pieces = [], []
+        for w in range(rng.randrange(6)):
+            content = []
+            for _ in range(rng.randrange(1, 4)):
+                size = rng.randrange(1, 6)
+                content.append((len(pieces), 0, rng.randbytes(4 * size), size))
+                pieces.append(content[-1][2])
+            windows.append(content)
+        windows = [w for w in windows if sum(len(p[2]) // 4 for p in w) < 16]
+        kept = {p[0] for w in windows for p in w}
+        windows.sort(key=lambda w: -sum(len(p[2]) for p in w))
+        found = defaultdict(dict)
+        for content in P.topped_up(windows, 16):
+            size = sum(len(p[2]) // 4 for p in content)
+            assert size == 16 or size.bit_count() == 1
+            for doc, start, ids, _ in content:
+                assert ids and start not in found[doc]
+                found[doc][start] = ids
+        assert set(found) == kept
+        for doc, parts in found.items():
+            assert b"".join(parts[s] for s in sorted(parts)) == pieces[doc]
+            assert sorted(parts) == list(np.cumsum([0] + [len(parts[s]) // 4 for s in sorted(parts)])[:-1])
