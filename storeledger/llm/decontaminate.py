@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.llm import support
-from storeledger.llm.support import PUNCTUATION, chunks, gram_hashes, powers, utf8, word_hashes
+from storeledger.llm.support import PUNCTUATION, Scratch, chunks, gram_hashes, powers, utf8, word_hashes
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
@@ -135,16 +136,18 @@ class Block:
         return pairs
 
 
-def _blocks(benchmark: DataFrame, least: int) -> list[Block]:
-    """The benchmark in blocks, by a hash of the item; one block for a usual benchmark."""
+def _blocks(benchmark: DataFrame, least: int) -> tuple[int, Iterator[Block]]:
+    """How many blocks the benchmark has, by a hash of the item, and the blocks, each made when it is asked for."""
     rows = benchmark.select("item_id", "text").filter("text is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // BLOCK_BYTES))
-    found = []
-    for block in range(count):
-        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
-        found.append(Block.of([tuple(r) for r in part.orderBy("item_id", "text").collect()], least))
-    return found
+
+    def made() -> Iterator[Block]:
+        for block in range(count):
+            part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
+            yield Block.of([tuple(r) for r in part.orderBy("item_id", "text").collect()], least)
+
+    return count, made()
 
 
 def _hits(batch: pa.RecordBatch, block: Block, least: int) -> Iterator[tuple[int, int, list]]:
@@ -194,13 +197,16 @@ def contamination(
 
         return over
 
-    parts = [
-        rows.mapInArrow(scan(spark.sparkContext.broadcast(block)), schema) for block in _blocks(benchmark, min_match)
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    count, blocks = _blocks(benchmark, min_match)
+    if count == 1:
+        return rows.mapInArrow(scan(spark.sparkContext.broadcast(next(blocks))), schema)
+    # One block at a time: what it finds is written, and it leaves the driver and the tasks.
+    scratch, parts = Scratch(spark, "benchmark"), []
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(block)
+        parts.append(scratch.write(rows.mapInArrow(scan(shared), schema), "block"))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def without_benchmark(
@@ -224,6 +230,12 @@ def without_benchmark(
 
         return over
 
-    for block in _blocks(benchmark, min_match):
-        docs = docs.mapInArrow(scan(spark.sparkContext.broadcast(block)), docs.schema)
+    count, blocks = _blocks(benchmark, min_match)
+    if count == 1:
+        return docs.mapInArrow(scan(spark.sparkContext.broadcast(next(blocks))), docs.schema)
+    scratch = Scratch(spark, "benchmark")
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(block)
+        docs = scratch.write(docs.mapInArrow(scan(shared), docs.schema), "block")
+        shared.destroy()
     return docs
