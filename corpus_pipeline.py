@@ -36,14 +36,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of similar ones; of rows that repeat an id, the least.
+    """Of each group of similar texts the document of the least id; of rows with equal id and text, one.
 
-    Documents without an id, or without words, are in no group and stay.
+    Different texts under one id are documents of their own. Documents without an id, or without words,
+    are in no group and stay.
     """
-    groups = jaccard_join(docs, Scratch(spark, "pipeline"))
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("document"))
-    return rows.select("document.*").unionByName(docs.filter("doc_id is null"))
+    key = "key"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.filter("doc_id is not null").withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text"), Scratch(spark, "pipeline"))
+    ids = keyed.select(F.col(key).alias("named"), F.col("doc_id").alias("id")).distinct()
+    members = groups.select(F.col("doc_id").alias("named"), "component_id").distinct().join(ids, "named")
+    first = members.groupBy("component_id").agg(F.min(F.struct("id", "named")).alias("first"))
+    kept = first.select(F.col("first.named").alias(key))
+    rows = keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    return rows.unionByName(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
