@@ -35,3 +35,15 @@ def test_empty_tables(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, rows, SF).count() == 0
+
+
+def test_texts_under_one_id(spark):
+    """A text of its own is kept under an id whose other text repeats another document's."""
+    words = lambda start: " ".join(f"w{i}" for i in range(start, start + 60))
+    rows = [(3, words(0)), (5, words(0)), (5, words(500)), (5, words(500)), (7, words(500) + " more"), (8, ""), (None, words(0))]
+    frame = spark.createDataFrame([(d, t, {"a": 1}) for d, t in rows], "doc_id long, text string, key map<string, int>")
+    near_duplicates = dict(P.STAGES)["near_duplicates"]
+    got = near_duplicates(spark, frame, SF)
+    assert got.columns == frame.columns
+    found = sorted(((r["doc_id"] or 0, r["text"]) for r in got.collect()))
+    assert found == sorted([(3, words(0)), (5, words(500)), (8, ""), (0, words(0))])
