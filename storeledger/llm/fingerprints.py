@@ -2,17 +2,23 @@
 
 A k-mer of K bytes is an anchor if the least of its inner S-byte substrings, by hash, is its
 first or its last one: a property of the k-mer alone, so equal passages have equal anchors
-wherever they stand. A fingerprint is the least SKETCH anchor hashes of the text, 32 bits
-each, ascending, in hex; the likeness of two is the share of common hashes among the least
-of both together, an estimate of the Jaccard similarity of the anchor sets (exact for
-texts of few anchors). A text without an anchor has its own hash as the only one; the
-empty text has the empty fingerprint.
+wherever they stand. A fingerprint is the text's level and its anchors in text order, 32 bits of
+hash each, in hex. Level 0 keeps every anchor; a text of more than FULL anchors has level 1, of more
+than 8 * FULL level 2, where those stay whose hash is in the least quarter or sixteenth of all: again
+a property of the k-mer, so what is kept grows with the text and two texts keep the same of what they
+share. The likeness of two matches their anchors by position: equal anchors, the first with the first and so
+on, in the longest chain that ascends in both texts; passages that change places match once only.
+It is the chain's share of all anchors of both, those matched counted once, at the
+coarser of the two levels. A text without a kept anchor has its own hash as the only one;
+the empty text has the empty fingerprint.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +29,8 @@ from storeledger.llm import support
 from storeledger.llm.support import chunks, mix, range_hashes, utf8
 
 K, S = 16, 8
-SKETCH = 64
+# Anchors up to which all are kept.
+FULL = 128
 
 
 def syncmers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,19 +55,39 @@ def syncmers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hashes, at, np.searchsorted(at, offsets)
 
 
-def sketches(texts: pa.Array) -> list[np.ndarray]:
-    """The least SKETCH distinct 32-bit anchor hashes of each text, ascending."""
+class Sketch(NamedTuple):
+    """A text's level and its kept anchors' hashes in text order."""
+
+    level: int
+    hashes: np.ndarray
+
+    def at(self, level: int) -> np.ndarray:
+        return self.hashes if level == self.level else self.hashes[self.hashes < _limit(level)]
+
+
+def _limit(level):
+    """The least hash that a level does not keep."""
+    return np.uint64(1) << (np.uint64(32) - np.uint64(2) * np.asarray(level, np.uint64))
+
+
+def sketches(texts: pa.Array) -> list[Sketch]:
+    """Level and kept anchors of each text."""
     data, offsets = utf8(texts)
     found = []
     for _, _, part, part_offsets in chunks(data, offsets):
         hashes, _, firsts = syncmers(part, part_offsets)
+        counts = np.diff(firsts)
+        levels = (counts > FULL).astype(np.int64) + (counts > 8 * FULL)
         short = (hashes >> np.uint64(32)).astype(np.uint32)
+        kept = short < np.repeat(_limit(levels), counts)
+        ends = np.concatenate([[0], np.cumsum(kept)])[firsts]
+        short = short[kept]
         whole = (_exact_hashes(part, part_offsets) >> np.uint64(32)).astype(np.uint32)
-        for i, (s, e) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist())):
+        for i, (s, e) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
             if e > s:
-                found.append(np.unique(short[s:e])[:SKETCH])
+                found.append(Sketch(int(levels[i]), short[s:e]))
             else:
-                found.append(whole[i : i + (part_offsets[i + 1] > part_offsets[i])])
+                found.append(Sketch(0, whole[i : i + (part_offsets[i + 1] > part_offsets[i])]))
     return found
 
 
@@ -68,20 +95,40 @@ def _exact_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return range_hashes(data, offsets[:-1], offsets[1:])
 
 
-def text_of(sketch: np.ndarray) -> str:
-    return sketch.astype(">u4").tobytes().hex()
-
-
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Common hashes' share of the least of both sketches; of two empty texts 1."""
-    both = np.concatenate([a, b])
-    if not len(both):
-        return 1.0
-    both.sort()
-    values, counts = np.unique(both, return_counts=True)
-    if max(len(a), len(b)) >= SKETCH:
-        counts = counts[:SKETCH]
-    return float(np.count_nonzero(counts == 2) / len(counts))
+def text_of(sketch: Sketch) -> str:
+    return f"{sketch.level}{sketch.hashes.astype('>u4').tobytes().hex()}" if len(sketch.hashes) else ""
+
+
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """Each hash with how many equal ones stand before it, as one number."""
+    order = np.argsort(hashes, kind="stable")
+    ranked = hashes[order]
+    nth = np.empty(len(hashes), np.uint64)
+    nth[order] = np.arange(len(hashes)) - np.searchsorted(ranked, ranked)
+    return hashes.astype(np.uint64) << np.uint64(32) | nth
+
+
+def chain(a: np.ndarray, b: np.ndarray) -> int:
+    """Most equal hashes, the n-th with the n-th, that can be matched in ascending order of both."""
+    _, left, right = np.intersect1d(_numbered(a), _numbered(b), assume_unique=True, return_indices=True)
+    places = right[np.argsort(left)]
+    if (np.diff(places) > 0).all():
+        return len(places)
+    tails: list[int] = []
+    for place in places.tolist():
+        at = bisect_left(tails, place)
+        tails[at : at + 1] = [place]
+    return len(tails)
+
+
+def likeness(a: Sketch, b: Sketch) -> float:
+    """Anchors matched in position, as a share of all of both; of two empty texts 1."""
+    level = max(a.level, b.level)
+    left, right = a.at(level), b.at(level)
+    if not len(left) and not len(right):
+        return float(a.level == b.level and np.array_equal(a.hashes, b.hashes))
+    matched = chain(left, right)
+    return matched / (len(left) + len(right) - matched)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
