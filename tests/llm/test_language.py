@@ -1,5 +1,9 @@
 """Language identification: held-out accuracy, independence of neighbours, edge cases."""
 
+import math
+import zlib
+from collections import Counter, defaultdict
+
 import numpy as np
 import pytest
 
@@ -71,3 +75,72 @@ def test_l1_leaves_weights_at_zero():
     logits = rng.standard_normal((500, 2)) * 10
     labels = (rng.random(500) < L.softmax(logits / 5)[:, 1]).astype(int)
     assert 3 < L.temperature(logits, labels) < 8
+
+
+# A plain version of the query: n-grams counted in dictionaries, one coordinate at a time.
+
+
+def plain_grams(text):
+    points = [ord(c) for c in (text or "").lower()]
+    found = []
+    for order in L.ORDERS:
+        for i in range(len(points) - order + 1):
+            total = order * 0x27D4EB2F % 2**32
+            for j in range(order):
+                total = (total ^ points[i + j] * L._FACTORS[j] % 2**32) * 0x2C1B3C6D % 2**32
+                total ^= total >> 15
+            found.append(total * 0x297A2D39 % 2**32 >> 32 - L.BITS)
+    return Counter(found)
+
+
+def plain_predictions(docs, spots):
+    """docs: id, text, lang; spots: the place of each id in the order of training."""
+    learned = [(i, t, g) for i, t, g in docs if zlib.crc32(str(i).encode()) % 4 != 2 and t is not None and g is not None]
+    names = sorted({g for _, _, g in learned})
+    seen = Counter(b for _, t, _ in learned for b in plain_grams(t))
+    idf = lambda b: L.SCALE * (math.log((1 + len(learned)) / (1 + seen[b])) + 1)
+    share = lambda t: {b: n / max(1, sum(plain_grams(t).values())) * idf(b) for b, n in plain_grams(t).items()}
+    share_of = {g: L.SAMPLE_PER_LANGUAGE / sum(x == g for _, _, x in learned) for g in names}
+    order = sorted((spots[i] / share_of[g], names.index(g), t) for i, t, g in learned)
+    kept, fitted = order[::5], [r for i, r in enumerate(order) if i % 5]
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(b, c):
+        if abs(z[b, c]) <= L.L1:
+            return 0.0
+        return -(z[b, c] - math.copysign(L.L1, z[b, c])) / ((L.BETA + math.sqrt(n[b, c])) / L.ALPHA + L.L2)
+
+    def logits(values):
+        return [sum(v * weight(b, c) for b, v in values.items()) for c in range(len(names))]
+
+    for _ in range(L.EPOCHS):
+        for _, label, text in fitted:
+            values = {**share(text), "bias": 1.0}
+            chances = L.softmax(np.array(logits(values)))
+            old = {(b, c): weight(b, c) for b in values for c in range(len(names))}
+            for (b, c), w in old.items():
+                gradient = values[b] * (chances[c] - (c == label))
+                z[b, c] += gradient - (math.sqrt(n[b, c] + gradient**2) - math.sqrt(n[b, c])) / L.ALPHA * w
+                n[b, c] += gradient**2
+    told = lambda t: np.array(logits({**share(t), "bias": 1.0}))
+    divisor = L.temperature(np.array([told(t) for _, _, t in kept]), np.array([c for _, c, _ in kept]))
+    return {i: (names, L.softmax(told(t) / divisor)) for i, t, _ in docs if t and any(map(str.isalpha, t))}
+
+
+def test_query_like_plain_version(spark, tmp_path):
+    table = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars < 400").orderBy("doc_id").limit(90)
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in table.collect()]
+    docs += [(10**6, None, "en"), (10**6 + 1, "", "en"), (10**6 + 2, "12 !", None), (10**6 + 3, "Und DIE É", None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    places = frame.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'language'), 1073741824L) / 1073741824D AS spot")
+    want = plain_predictions(docs, {r["doc_id"]: r["spot"] for r in places.collect()})
+    got = op8_language_id(spark, str(tmp_path)).collect()
+    assert len(got) == len(docs) and len(want) == len(docs) - 3
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        if r["doc_id"] not in want:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        names, chances = want[r["doc_id"]]
+        assert abs(chances[names.index(r["lang_pred"])] - chances.max()) < 1e-3 and abs(r["score"] - chances.max()) < 1e-3
