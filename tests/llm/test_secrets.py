@@ -1,6 +1,7 @@
 """Secret scan: planted keys are found, look-alikes are not; native plans; redaction."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import Observation
@@ -55,8 +56,6 @@ def test_after_an_observed_write(spark, docs, tmp_path):
 
 def test_planted_keys(spark, forest):
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    import re
-
     want = {(r["doc_id"], k) for r in table.collect() for k in re.findall(r'(?i)token = "([0-9a-f]{40})"', r["text"])}
     got = {(r["doc_id"], r["candidate"]) for r in S.find_secrets(table, forest).collect()}
     assert want == got and len(want) > 5
@@ -110,3 +109,27 @@ def test_without_findings(spark, docs):
     assert S.find_secrets(docs, None).filter("doc_id = 3").count() == 2
     assert S.find_secrets(docs.limit(0), None).count() == 0
     assert S.redact(docs.limit(0), S.find_secrets(docs, None)).count() == 0
+
+
+def plain_candidates(text):
+    """Word number and candidate, by every pattern on every word."""
+    words, found = re.split(r"[\x20\x09-\x0D]+", text or ""), set()
+    for i, word in enumerate(words):
+        near = " ".join([words[j] if j >= 0 else "" for j in (i - 2, i - 1, i)])
+        values = [m.group(3) for m in re.finditer(S._ASSIGNED, near)] if len(word) >= S.SHORT else []
+        if values or len(word) >= S.LEAST and re.search("[0-9]|[a-z][A-Z]", word):
+            runs = [m.group() for m in re.finditer(S._CANDIDATE, word)]
+            runs = [r for r in runs if re.search("[0-9]|[a-z][A-Z]", r) and not any(r.rstrip(".") in v for v in values)]
+            found |= {(i, c) for c in values + runs}
+    return found
+
+
+def test_candidates_like_plain_version(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = table.collect() + [(10**6 + i, t) for i, (_, t, _) in enumerate(CASES)] + [(10**7 + i, t) for i, (t, _) in enumerate(SHORT)]
+    frame = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string").repartition(4)
+    got = {}
+    for r in S._context(frame).select("doc_id", "word_no", "candidate").collect():
+        got.setdefault(r["doc_id"], set()).add((r["word_no"], r["candidate"]))
+    want = {i: c for i, t in map(tuple, rows) if (c := plain_candidates(t))}
+    assert got == want and len(want) > 50
