@@ -425,6 +425,11 @@ def jaccard_join(docs: DataFrame, scratch: Scratch) -> DataFrame:
     named = described.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     group = F.when(F.col("set_id") != 0, F.coalesce("component", "set_id"))
     named = scratch.write(named.select("doc_id", "n_shingles", group.alias("group")), "named")
-    least = named.filter("group is not null and doc_id is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
+    least = named.filter("group is not null and doc_id is not null").groupBy("group").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")
+    )
+    # Written, and without the documents that are alone: both sides of the join are then scans, so that the
+    # rows of a large group can be split or meet a small side where they are.
+    least = scratch.write(least.filter("rows > 1").drop("rows"), "least")
     linked = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return named.join(least, "group", "left").select("doc_id", "n_shingles", linked.alias("component_id"))
