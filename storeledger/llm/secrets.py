@@ -5,7 +5,8 @@ values of SHORT characters or more, of any kind, that follow a key word and = or
 a forest judges each by its length, its marks and vowels, its changes between kinds of characters, the share of it
 that dictionary words cover, whether it is part of a path, and the words before and after
 it. The dictionary is the words of the candidate's own document and a few fixed ones.
-The forest is trained from labelled findings: rows of `before`, `word`, `after`, `words`,
+The forest is trained from labelled findings: rows of `before`, `word`, `after`, `known`, `twice`
+(the letter runs of the word that its document has as words, once or twice at least),
 `candidate`, `label`. Without a table of such, `labelled_findings` makes some from a bounded
 sample of documents: keys of usual shapes and, as false positives, digests and numbers
 without a key's context, hosts, paths, dates, versions, placeholders and joined words.
@@ -54,10 +55,33 @@ FEATURES = (
 ).split()
 
 
+_SPLIT = r"[\x20\x09-\x0D]+"
+
+
+def _parts(word: Column) -> Column:
+    return F.regexp_extract_all(F.lower(word), F.lit("[a-z]{3,}"), 0)
+
+
+def _lowered(words: Column) -> Column:
+    return F.split(F.lower(F.concat_ws(" ", words)), " ")
+
+
+def _repeated(words: Column) -> Column:
+    """Words that are there twice or more: equal neighbours in order."""
+    ordered = F.array_sort(words)
+    pairs = F.arrays_zip(ordered.alias("one"), F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))).alias("next"))
+    return F.array_distinct(F.transform(F.filter(pairs, lambda z: z["one"] == z["next"]), lambda z: z["one"]))
+
+
 def _context(docs: DataFrame) -> DataFrame:
-    """Documents with candidates: one row for each, with the words around it."""
+    """Documents with candidates: one row for each, with the words around it.
+
+    `known` and `twice` have the letter runs of the candidate's word that are words of the document, once
+    or more and twice or more. A document's words are looked up once for all of its candidates, and
+    no row carries them.
+    """
     text = F.coalesce("text", F.lit(""))
-    words = F.split(text, r"[\x20\x09-\x0D]+")
+    words = F.split(text, _SPLIT)
     # The words are the function's argument, not looked up in it: that would split anew for each.
     blank = F.lit("")
     near = F.arrays_zip(words, F.concat(F.array(blank), words), F.concat(F.array(blank, blank), words))
@@ -72,20 +96,24 @@ def _context(docs: DataFrame) -> DataFrame:
 
     long = F.array_compact(F.transform(near, chosen))
     rows = docs.select("doc_id", words.alias("words"), long.alias("places")).filter(F.size("places") > 0)
-    rows = rows.withColumn("place", F.explode("places"))
-
-    def word(shift: int) -> Column:
-        return F.coalesce(F.get("words", F.col("place") + shift), F.lit(""))
-
-    rows = rows.select(
-        "doc_id",
-        F.col("place").cast("long").alias("word_no"),
-        F.concat_ws(" ", word(-3), word(-2), word(-1)).alias("before"),
-        word(0).alias("word"),
-        word(1).alias("after"),
-        "words",
-        F.concat_ws(" ", word(-2), word(-1), word(0)).alias("near"),
-    )
+    parts = F.array_distinct(F.flatten(F.transform("places", lambda i: _parts(F.get("words", i)))))
+    rows = rows.withColumn("parts", parts).withColumn("lowered", _lowered(F.col("words")))
+    rows = rows.withColumn("known", F.array_intersect("parts", "lowered"))
+    rows = rows.withColumn("twice", F.array_intersect("known", _repeated(F.col("lowered"))))
+
+    def around(i: Column) -> Column:
+        word = lambda shift: F.coalesce(F.get("words", i + shift), F.lit(""))
+        return F.struct(
+            i.cast("long").alias("word_no"),
+            F.concat_ws(" ", word(-3), word(-2), word(-1)).alias("before"),
+            word(0).alias("word"),
+            word(1).alias("after"),
+            F.array_intersect(_parts(word(0)), F.col("known")).alias("known"),
+            F.array_intersect(_parts(word(0)), F.col("twice")).alias("twice"),
+            F.concat_ws(" ", word(-2), word(-1), word(0)).alias("near"),
+        )
+
+    rows = rows.select("doc_id", F.inline(F.transform("places", around)))
     rows = rows.withColumn("assigned", F.regexp_extract_all("near", F.lit(_ASSIGNED), 3))
     # Runs within an assigned value are no candidates of their own.
     runs = F.filter(
@@ -102,7 +130,7 @@ def _removed(value: Column, pattern: str) -> Column:
 
 
 def with_features(rows: DataFrame) -> DataFrame:
-    """Rows of `before`, `word`, `after`, `words`, `candidate` with the columns FEATURES."""
+    """Rows of `before`, `word`, `after`, `known`, `twice`, `candidate` with the columns FEATURES."""
     candidate, size = F.col("candidate"), F.length("candidate")
     kinds = reduce(
         lambda value, step: F.regexp_replace(value, *step),
@@ -110,12 +138,11 @@ def with_features(rows: DataFrame) -> DataFrame:
         candidate,
     )
     runs = F.length(F.regexp_replace(kinds, r"(.)\1*", "x"))
-    parts = F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), 0)
     # A word of the document that is the candidate alone covers it only if it is there again.
-    alone = F.size(F.filter("words", lambda w: w == F.col("word"))) == 1
-    others = F.when(alone, F.array_remove("words", F.col("word"))).otherwise(F.col("words"))
-    dictionary = F.concat(F.array(*map(F.lit, _WORDS)), F.split(F.lower(F.concat_ws(" ", others)), " "))
-    covered = F.length(F.concat_ws("", F.array_intersect(parts, dictionary)))
+    dictionary = F.concat(
+        F.array(*map(F.lit, _WORDS)), "twice", F.array_remove("known", F.lower("word"))
+    )
+    covered = F.length(F.concat_ws("", F.array_intersect(_parts(candidate), dictionary)))
     named = F.concat_ws(" ", "before", "word")
     head = F.call_function("substring_index", F.col("word"), F.col("candidate"), F.lit(1))
     features = {
@@ -140,17 +167,22 @@ def with_features(rows: DataFrame) -> DataFrame:
     return rows.withColumns({name: value.cast("double") for name, value in features.items()})
 
 
+def sampled_texts(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """About `sample` distinct whole texts, chosen by their hashes."""
+    rows = docs.filter("text is not null").select("text")
+    share = sample / max(sample, rows.select(F.xxhash64("text")).distinct().count())
+    place = F.pmod(F.xxhash64("text", F.lit("secrets")), F.lit(1 << 30))
+    return rows.filter(place < int(share * (1 << 30))).distinct()
+
+
 def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """Labelled findings made from about `sample` distinct texts, chosen by their hashes.
+    """Labelled findings made from `sampled_texts`.
 
     Every sampled text gives a key or a false positive of each kind below, drawn from a
     digest of its text, between words of its own.
     """
-    rows = docs.filter("text is not null").select("text")
-    share = sample / max(sample, rows.select(F.xxhash64("text")).distinct().count())
-    place = F.pmod(F.xxhash64("text", F.lit("secrets")), F.lit(1 << 30))
-    rows = rows.filter(place < int(share * (1 << 30))).distinct().select(
-        F.split("text", r"[\x20\x09-\x0D]+").alias("words"),
+    rows = sampled_texts(docs, sample).select(
+        F.split("text", _SPLIT).alias("words"),
         F.sha2("text", 512).alias("hex"),
         F.md5("text").alias("md5"),
         F.base64(F.unhex(F.sha2("text", 512))).alias("b64"),
@@ -226,7 +258,11 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFr
             ]
         )
     )
-    rows = rows.select("words", finding.alias("finding")).select("words", "finding.*")
+    rows = rows.withColumn("lowered", _lowered(F.col("words"))).withColumn("repeated", _repeated(F.col("lowered")))
+    rows = rows.select("lowered", "repeated", finding.alias("finding")).select("lowered", "repeated", "finding.*")
+    parts = _parts(F.col("word"))
+    rows = rows.withColumn("known", F.array_intersect(parts, "lowered"))
+    rows = rows.withColumn("twice", F.array_intersect(parts, "repeated")).drop("lowered", "repeated")
     assigned = F.concat_ws(" ", "before", "word").rlike(_ASSIGNED)
     return rows.filter(F.col("candidate").rlike(f"^{_CANDIDATE}$") | assigned)
 

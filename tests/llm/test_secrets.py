@@ -100,7 +100,7 @@ def test_redaction(spark, docs, forest):
 def test_sample_is_of_distinct_whole_texts(spark):
     texts = ["one text many times"] * 200 + [f"text {i} " + "of words " * 200 for i in range(20)]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = S.labelled_findings(table, 21).selectExpr("array_join(words, ' ') AS text").groupBy("text").count().collect()
+    rows = S.sampled_texts(table, 21).groupBy("text").count().collect()
     assert {r["text"] for r in rows} == set(texts) and max(r["count"] for r in rows) < 100
 
 
@@ -133,3 +133,16 @@ def test_candidates_like_plain_version(spark):
         got.setdefault(r["doc_id"], set()).add((r["word_no"], r["candidate"]))
     want = {i: c for i, t in map(tuple, rows) if (c := plain_candidates(t))}
     assert got == want and len(want) > 50
+
+
+def test_dictionary_of_a_document(spark):
+    """Letter runs of a candidate's word that are words of its document, once or twice and more."""
+    text = "key key Word other alpha-beta9/gamma42 beta x alphakey=aKEYword123456789 Other"
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string").filter("doc_id > 0")
+    found = {r["word_no"]: (r["known"], r["twice"]) for r in S._context(rows).collect()}
+    assert found[4] == (["beta"], [])
+    assert set(found) == {4, 7} and found[7] == ([], [])
+    many = spark.createDataFrame([(1, " ".join(f"a{i}b-key{i}Xy/zz-word" for i in range(3000)) + " word word key")], rows.schema)
+    rows = S._context(many)
+    assert "words" not in rows.columns and rows.count() == 3000
+    assert rows.selectExpr("max(size(known))", "max(size(twice))").first()[:] == (2, 1)
