@@ -26,7 +26,7 @@ from storeledger.operators import (  # noqa: E402
 from storeledger.plans import pipeline  # noqa: E402
 from storeledger.plans.contract import CONTRACT  # noqa: E402
 from storeledger.session import configure, scratch_dir  # noqa: E402
-from storeledger.sources import catalog, driver_tables, pages, tables  # noqa: E402
+from storeledger.sources import catalog, driver_tables, landed, pages, tables  # noqa: E402
 from storeledger.sources.versions import Load  # noqa: E402
 
 # Longest nested list looked for; the driver's orders never reach the 50 lines
@@ -99,9 +99,9 @@ def _kept_orders(orders: DataFrame) -> DataFrame:
     return _doubles(rollups.kept(orders).select("order_id", "created_at", "total_price"))
 
 
-def _archive(landed: DataFrame) -> pages.Archive:
+def _archive(rows: DataFrame) -> pages.Archive:
     """Landed pages, parsed once and archived; queries read the leaf columns they need."""
-    return pages.archive_pages(landed, f"{scratch_dir(landed.sparkSession, 'pages')}/pages")
+    return pages.archive_pages(rows, f"{scratch_dir(rows.sparkSession, 'pages')}/pages")
 
 
 def _order_archive(spark, sf, lines_per_order: int = 50) -> pages.Archive:
@@ -116,6 +116,14 @@ def _flatten_items(spark, sf):
     return _doubles(flatten.flatten_items(_order_archive(spark, sf)))
 
 
+def _source_orders(spark, sf):
+    """Orders of pages landed by ranges of cursors and read by the data source, which opens no other resource."""
+    folder = f"{scratch_dir(spark, 'landing')}/pages"
+    landed.land_pages(driver_tables.landed_pages(spark, sf), folder, ranges=16)
+    read = landed.read_landed(spark, folder).filter("resource = 'orders'")
+    return _doubles(flatten.flatten_orders(_archive(read)))
+
+
 def _flatten_variants(spark, sf):
     return _doubles(flatten.flatten_variants(_archive(driver_tables.product_pages(spark, sf))))
 
@@ -136,8 +144,7 @@ def _item_discount(spark, sf):
 
 
 def _page_chain_gaps(spark, sf):
-    landed = driver_tables.plant_chain_faults(driver_tables.landed_pages(spark, sf))
-    return pages.page_chain_gaps(_archive(landed))
+    return pages.page_chain_gaps(_archive(driver_tables.plant_chain_faults(driver_tables.landed_pages(spark, sf))))
 
 
 def _cost_discounts_offsets(spark, sf):
@@ -148,8 +155,8 @@ def _cost_discounts_offsets(spark, sf):
 
 
 def _line_chain_gaps(spark, sf):
-    landed = driver_tables.order_pages(spark, sf, lines_per_order=5)
-    return pages.line_chain_gaps(_archive(driver_tables.lose_first_continuation(landed)))
+    short = driver_tables.order_pages(spark, sf, lines_per_order=5)
+    return pages.line_chain_gaps(_archive(driver_tables.lose_first_continuation(short)))
 
 
 def _page_errors(spark, sf):
@@ -249,6 +256,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stock_capital_ranked": _report(report.stock_capital_ranked, "stock_capital"),
     # landed pages
     "flatten_orders": _flatten_orders,
+    "source_orders": _source_orders,
     "flatten_items": _flatten_items,
     "flatten_variants": _flatten_variants,
     "item_allocations": _item_allocations,
@@ -613,6 +621,11 @@ def oracle_sql() -> dict[str, str]:
                cancelled, financial_status, """
             + _ORDER_COLUMNS
         ),
+        "source_orders": _base(
+            """SELECT order_id, name, strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
+               cancelled, financial_status, """
+            + _ORDER_COLUMNS
+        ),
         "flatten_items": _ITEMS_SQL,
         "flatten_variants": _VARIANTS_SQL,
         "item_allocations": _base(

@@ -1,5 +1,6 @@
 """Session settings every operator relies on, and the shared scratch folder."""
 
+import os
 import tempfile
 import uuid
 
@@ -23,6 +24,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """This package on the Python workers' path; on a cluster without a shared installation use --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, the cluster's shared folder.
 

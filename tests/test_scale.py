@@ -14,7 +14,7 @@ from storeledger.sources import driver_tables, pages, tables
 from test_oracle import normal
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"raw_roundtrip", "load_counts", "publish_counts", "published_product_leaks", "product_orders_estimate"}
+EAGER = {"raw_roundtrip", "load_counts", "publish_counts", "published_product_leaks", "product_orders_estimate", "source_orders"}
 
 
 def executed(frame):
