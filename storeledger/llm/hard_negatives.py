@@ -9,9 +9,13 @@ hold every window as a suffix, cut at its lower limit; the best of each slot are
 
 Scores are exact integers. Every anchor meets every row: anchors go to the tasks in blocks of
 BLOCK_BYTES, one after the other, each released before the next; of a block the driver holds the
-vectors and the positives' scores. Each block reads the rows twice and shuffles, for each task and
-anchor, the best few of each slot. Rows are read where they lie and no label, anchor or vector
+vectors and the positives' scores. Rows are read where they lie and no label, anchor or vector
 gathers them, so equal vectors and frequent labels make no task larger.
+
+What is shuffled would be the best few of each slot from every task. So one row in ONE_IN, by a hash, goes
+first: the last of the best few among these is a score below which no row of the slot can be needed,
+whatever the others hold, and then tasks send what reaches it: about ONE_IN times the best few for each anchor and
+slot from all tasks together, however many there are.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from storeledger.llm.support import Scratch
 
 SCALE, POSITIVES, NEGATIVES, LOWER, UPPER = 256, 5, 10, 30, 90
 BLOCK_BYTES = 8 << 20
+# Rows of which one sets the least scores that can be needed.
+ONE_IN = 16
 # Rows and anchors scored at once, and bytes of rows kept for it.
 ROWS, ANCHORS, ROW_BYTES = 4096, 1024, 32 << 20
 # Squared length of the longest vector that takes part: every score then fits a long.
@@ -67,10 +73,13 @@ def exact_scores(left: np.ndarray, right: np.ndarray, bound: float) -> np.ndarra
 
 
 class Best:
-    """The best `most` scores of each group, ties by smaller id, and the least score that still counts."""
+    """The best `most` scores of each group, ties by smaller id, and the least score that still counts.
+
+    least: a score for each group below which none can be needed.
+    """
 
-    def __init__(self, groups: int, most: int):
-        self.most, self.least = most, np.full(groups, np.iinfo(np.int64).min)
+    def __init__(self, least: np.ndarray, most: int):
+        self.most, self.least = most, least.copy()
         self.rows = np.zeros((3, 0), np.int64)  # group, score, id
         self.new: list[np.ndarray] = []
         self.waiting = 0
@@ -115,10 +124,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield joined()
 
 
-def _positives(block, batches: Iterator[pa.RecordBatch], most: int) -> np.ndarray:
+def _positives(block, least: np.ndarray, batches: Iterator[pa.RecordBatch], most: int) -> np.ndarray:
     """The task's best rows of each anchor's label: anchor, score, id."""
     anchor_ids, anchor_labels, anchors, longest = block
-    best = Best(len(anchor_ids), most)
+    best = Best(least, most)
     members = {label: np.flatnonzero(anchor_labels == label) for label in np.unique(anchor_labels).tolist()}
     for ids, labels, matrix, square in _chunks(batches):
         for label in np.unique(labels).tolist():
@@ -133,7 +142,9 @@ def _positives(block, batches: Iterator[pa.RecordBatch], most: int) -> np.ndarra
     return best.settle()
 
 
-def _slots(block, limits: np.ndarray, lowest: np.ndarray, batches: Iterator[pa.RecordBatch], most: int) -> np.ndarray:
+def _slots(
+    block, limits: np.ndarray, lowest: np.ndarray, least: np.ndarray, batches: Iterator[pa.RecordBatch], most: int
+) -> np.ndarray:
     """The task's best rows of other labels in each slot of each anchor: anchor * slots + slot, score, id.
 
     limits: of each anchor the windows' upper limits, descending; lowest: its windows' least lower limit.
@@ -141,7 +152,7 @@ def _slots(block, limits: np.ndarray, lowest: np.ndarray, batches: Iterator[pa.R
     """
     anchor_ids, anchor_labels, anchors, longest = block
     slots = limits.shape[1]
-    best = Best(len(anchor_ids) * slots, most)
+    best = Best(least, most)
     asked = np.flatnonzero(limits[:, 0] >= lowest)
     last = (limits >= 0).sum(axis=1) - 1
     for ids, labels, matrix, square in _chunks(batches):
@@ -220,18 +231,40 @@ def hard_negatives(
 def _mined(rows: DataFrame, block, scratch: Scratch, positives: int, negatives: int, lower: int, upper: int) -> DataFrame:
     """The answers of one block of anchors, written."""
     context = rows.sparkSession.sparkContext
-    shared = context.broadcast(block)
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, score, ids = _positives(shared.value, batches, positives)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shared.value[0][anchor], score, ids)], ["anchor_id", "score", "id"])
+    anchors = context.broadcast(block)
+    sent_all = [anchors]
+    few = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(ONE_IN)) == 0)
+    none, size = np.iinfo(np.int64).min, len(block[0])
+
+    def best_of(frame: DataFrame, scores, groups: int, most: int, least: np.ndarray) -> DataFrame:
+        """The best rows of each group, with their place `nth` in it: of each task, then of all."""
+        sent = context.broadcast(least)
+        sent_all.append(sent)
+        slots = groups // size
+
+        def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            group, score, ids = scores(sent.value, batches)
+            columns = [pa.array(x) for x in (anchors.value[0][group // slots], group, score, ids)]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor_id", "group", "score", "id"])
+
+        first = W.partitionBy("group").orderBy(F.desc("score"), "id")
+        found = frame.mapInArrow(over, "anchor_id long, group long, score long, id long")
+        return found.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= most)
+
+    def needed(scores, groups: int, most: int) -> np.ndarray:
+        """Of each group the last of the best scores among a few rows, if they are as many: one row of a group at most."""
+        least = np.full(groups, none)
+        last = best_of(few, scores, groups, most, least).filter(F.col("nth") == most).select("group", "score").toArrow()
+        least[last.column("group").to_numpy()] = last.column("score").to_numpy()
+        return least
+
+    def near(least: np.ndarray, batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return _positives(anchors.value, least, batches, positives)
 
-    best = W.partitionBy("anchor_id").orderBy(F.desc("score"), "id")
     chosen = scratch.write(
-        rows.mapInArrow(near, "anchor_id long, score long, id long")
-        .withColumn("nth", F.row_number().over(best))
-        .filter(F.col("nth") <= positives)
-        .select("anchor_id", "nth", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")),
+        best_of(rows, near, size, positives, needed(near, size, positives)).select(
+            "anchor_id", "group", "nth", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")
+        ),
         "positives",
     )
     # Whole numbers n with lower * p <= 100 * n <= upper * p; no window where p is negative.
@@ -239,27 +272,19 @@ def _mined(rows: DataFrame, block, scratch: Scratch, positives: int, negatives:
     most = F.expr(f"positive_score DIV 100 * {upper} + positive_score % 100 * {upper} DIV 100")
     windows = chosen.filter("positive_score >= 0").select("*", least.alias("least"), most.alias("most"))
 
-    none = np.iinfo(np.int64).min
-    limits, lowest = np.full((len(block[0]), positives), none), np.full(len(block[0]), np.iinfo(np.int64).max)
-    table = windows.select("anchor_id", "nth", "least", "most").toArrow()
+    limits, lowest = np.full((size, positives), none), np.full(size, np.iinfo(np.int64).max)
+    table = windows.select("group", "nth", "least", "most").toArrow()
     at, nth, low, high = (table.column(i).to_numpy().astype(np.int64) for i in range(4))
-    at = np.searchsorted(block[0], at)
     limits[at, nth - 1] = high
     np.minimum.at(lowest, at, low)
     bounds = context.broadcast((limits, lowest))
+    sent_all.append(bounds)
 
-    def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, score, ids = _slots(shared.value, *bounds.value, batches, negatives)
-        anchor = shared.value[0][group // positives]
-        columns = [pa.array(x) for x in (anchor, group % positives, score, ids)]
-        yield pa.RecordBatch.from_arrays(columns, ["anchor_id", "slot", "score", "id"])
-
-    in_slot = W.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "id")
-    kept = (
-        rows.mapInArrow(far, "anchor_id long, slot long, score long, id long")
-        .withColumn("nth", F.row_number().over(in_slot))
-        .filter(F.col("nth") <= negatives)
-    )
+    def far(least: np.ndarray, batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return _slots(anchors.value, *bounds.value, least, batches, negatives)
+
+    slots = size * positives
+    kept = best_of(rows, far, slots, negatives, needed(far, slots, negatives))
     # Of an anchor at most positives * negatives rows: its slots, merged in descending order.
     merged = kept.groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "id"))).alias("all"))
     suffix = F.filter("all", lambda r: (-r["down"]).between(F.col("least"), F.col("most")))
@@ -276,6 +301,6 @@ def _mined(rows: DataFrame, block, scratch: Scratch, positives: int, negatives:
         ),
         "negatives",
     )
-    shared.destroy()
-    bounds.destroy()
+    for one in sent_all:
+        one.destroy()
     return answers

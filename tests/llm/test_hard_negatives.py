@@ -110,7 +110,7 @@ def test_equal_vectors(spark):
 
 def test_combiner_keeps_the_best_of_each_group():
     draw = np.random.default_rng(3)
-    best, rows = Best(4, 3), draw.integers(0, [[4], [50], [1000]], (3, 5000))
+    best, rows = Best(np.full(4, np.iinfo(np.int64).min), 3), draw.integers(0, [[4], [50], [1000]], (3, 5000))
     for part in np.array_split(rows, 40, axis=1):
         part = part[:, part[1] >= best.least[part[0]]]
         best.add(*part)
@@ -120,6 +120,15 @@ def test_combiner_keeps_the_best_of_each_group():
         assert [(-s, i) for g, s, i in best.rows.T.tolist() if g == group] == want
 
 
+@pytest.mark.parametrize("one_in", [1, 2, 5, 10**6])
+def test_least_scores_lose_nothing(spark, monkeypatch, one_in):
+    """Whatever rows go first, among them all and none."""
+    monkeypatch.setattr(mining, "ONE_IN", one_in)
+    draw = random.Random(8)
+    rows = drawn(draw, 600, 3, [i / 31 - 0.2 for i in range(31)])
+    assert mined(spark, rows, rows[::40]) == plain(rows, rows[::40])
+
+
 def test_query_has_whole_answers(spark):
     got = op11_hard_negatives(spark, "/root/testdata/sf0.001")
     ranks = got.groupBy("anchor_id", "positive_id").agg({"rank": "max", "*": "count"}).collect()
