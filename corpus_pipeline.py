@@ -41,16 +41,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Different texts under one id are documents of their own. Documents without an id, or without words,
     are in no group and stay.
     """
-    key = "key"
-    while key in docs.columns:
-        key += "_"
-    keyed = docs.filter("doc_id is not null").withColumn(key, F.xxhash64("doc_id", "text"))
-    groups = jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text"), Scratch(spark, "pipeline"))
-    ids = keyed.select(F.col(key).alias("named"), F.col("doc_id").alias("id")).distinct()
-    members = groups.select(F.col("doc_id").alias("named"), "component_id").distinct().join(ids, "named")
-    first = members.groupBy("component_id").agg(F.min(F.struct("id", "named")).alias("first"))
-    kept = first.select(F.col("first.named").alias(key))
-    rows = keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    named, scratch = docs.filter("doc_id is not null"), Scratch(spark, "pipeline")
+    digest = F.xxhash64("text")
+    texts = named.groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    key = "doc_id"
+    if not texts.filter("low < high").isEmpty():  # then ids do not tell texts apart
+        while key in docs.columns:
+            key += "_"
+        named = named.withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = jaccard_join(named.select(F.col(key).alias("doc_id"), "text"), scratch)
+    if key == "doc_id":
+        kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    else:
+        ids = named.select(F.col(key).alias("named"), F.col("doc_id").alias("id")).distinct()
+        members = groups.select(F.col("doc_id").alias("named"), "component_id").distinct().join(ids, "named")
+        first = members.groupBy("component_id").agg(F.min(F.struct("id", "named")).alias("first"))
+        kept = first.select(F.col("first.named").alias(key))
+    rows = named.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
     return rows.unionByName(docs.filter("doc_id is null"))
 
 
