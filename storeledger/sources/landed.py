@@ -1,6 +1,6 @@
 """Landed pages as a Spark data source: ``spark.read.format("landed_pages").load(folder)``.
 
-``land_pages`` writes pages as JSON lines, a folder for each resource and a file for each range of
+``land_pages`` writes pages as JSON lines, gzipped, a folder for each resource and a file for each range of
 cursors. The source has one partition for each file, so a range is read, and read again after a
 lost executor, on its own; a filter on the resource is pushed into it, and the files of other resources are
 neither listed nor opened. Folders are opened by pyarrow, on executors and driver alike; where only
@@ -18,17 +18,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from storeledger import schemas
-from storeledger.session import ship
+from storeledger.session import scratch_dir, ship
 
 # Pages, and bytes of text, that one batch holds.
 BATCH_PAGES, BATCH_BYTES = 256, 16 << 20
+# Pages of a range at most, about; with more pages there are more ranges, so that a range's pages are sorted in memory.
+RANGE_PAGES = 2_000
 
 
 def land_pages(pages: DataFrame, folder: str, ranges: int) -> None:
-    """Write landed pages by resource in ``ranges`` ranges of cursors, by length and text."""
+    """Write landed pages by resource in ``ranges`` ranges of cursors, by length and text; more where
+    those would hold over RANGE_PAGES pages.
+
+    The bounds come from the cursors alone, written once beside the pages, so that no body is made twice.
+    """
     order = [F.length("request_cursor"), F.col("request_cursor")]
-    dealt = pages.repartitionByRange(ranges, "resource", *order).sortWithinPartitions("resource", *order)
-    dealt.write.partitionBy("resource").option("ignoreNullFields", False).json(folder)
+    place = F.struct(
+        F.coalesce("resource", F.lit("")).alias("resource"),
+        F.coalesce(order[0], F.lit(-1)).alias("size"),
+        F.coalesce("request_cursor", F.lit("")).alias("cursor"),
+    )
+    spark, cursors = pages.sparkSession, f"{scratch_dir(pages.sparkSession, 'cursors')}/cursors"
+    pages.select(place.alias("place")).write.parquet(cursors)
+    cursors = spark.read.schema("place struct<resource: string, size: int, cursor: string>").parquet(cursors)
+    ranges = max(ranges, -(-cursors.count() // RANGE_PAGES))
+    firsts = cursors.repartitionByRange(ranges, "place").groupBy(F.spark_partition_id()).agg(F.min("place").alias("place"))
+    bounds = sorted(tuple(row["place"]) for row in firsts.collect())[1:]
+    number = F.lit(0)
+    if bounds:
+        listed = F.array(*[F.struct(*map(F.lit, bound)) for bound in bounds])
+        number = F.size(F.filter(listed, lambda bound: bound <= place))
+    dealt = pages.repartitionById(ranges, number).sortWithinPartitions("resource", *order)
+    dealt.write.partitionBy("resource").option("ignoreNullFields", False).option("compression", "gzip").json(folder)
 
 
 def read_landed(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +103,7 @@ class LandedReader(DataSourceReader):
             name, _, resource = folder.base_name.partition("=")
             if name == "resource" and (self.resources is None or resource in self.resources):
                 inside = files.get_file_info(pyarrow.fs.FileSelector(folder.path))
-                found += [CursorRange(resource, one.path) for one in inside if one.base_name.endswith(".json")]
+                found += [CursorRange(resource, one.path) for one in inside if one.base_name.endswith((".json", ".json.gz"))]
         return sorted(found, key=lambda p: (p.resource, p.file)) or [CursorRange("", "")]
 
     def read(self, partition: CursorRange) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from golden import PAGES, pages_frame, rows_of
 from storeledger.sources import landed, pages
@@ -73,3 +74,26 @@ def test_the_pipeline_reads_it(spark, tmp_path):
     assert pages.page_errors(rows).count() == 0
     archive = pages.archive_pages(rows, str(tmp_path / "archive"))
     assert pages.load_gaps(archive).count() == 0
+
+
+def test_ranges_grow_with_the_pages_and_bodies_are_made_once(spark, tmp_path, monkeypatch):
+    """Ranges stay small; the bounds are found without the bodies; files are compressed."""
+    monkeypatch.setattr(landed, "RANGE_PAGES", 50)
+    made = spark.sparkContext.accumulator(0)
+
+    def body(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = pages_frame(spark, many(700))
+    bodies = rows.select("resource", "request_cursor").mapInArrow(body, "resource string, request_cursor string")
+    pages_of = rows.select("resource", "request_cursor", F.concat("body", F.lit(" ")).alias("body"))
+    path = tmp_path / "pages"
+    land_pages(pages_of, str(path), ranges=2)
+    files = list(path.glob("resource=orders/*.json.gz"))
+    assert len(files) >= 12 and not list(path.glob("resource=*/*.json"))
+    assert read_landed(spark, str(path)).count() == 702
+    # Once for the cursors, once for the pages; a sampled shuffle of the pages would run them a third time.
+    land_pages(bodies.withColumn("body", F.lit("{}")), str(tmp_path / "again"), ranges=2)
+    assert made.value == 2 * 702
