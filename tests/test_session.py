@@ -27,3 +27,8 @@ def test_no_local_folder_on_a_cluster():
 def test_settings(spark):
     configure(spark)
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
+
+
+def test_page_texts_are_read_in_small_batches(spark):
+    """4,096 texts of 100 kB, with the room that the reader adds, would be over a GB for each task."""
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
