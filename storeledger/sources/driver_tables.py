@@ -175,6 +175,14 @@ def _allocation(amount: Column) -> Column:
     return F.struct(_money_set(amount).alias("allocatedAmountSet"))
 
 
+def _text(cents: Column) -> Column:
+    """The text of an amount of whole cents, as ``_amount`` would show it."""
+    size = F.abs(cents)
+    whole = F.call_function("div", size, F.lit(100)).cast("string")
+    part = F.substring((size % 100 + 100).cast("string"), 2, 2)
+    return F.concat(F.when(cents < 0, F.lit("-")).otherwise(F.lit("")), whole, F.lit("."), part)
+
+
 _HEAD_COLUMNS = (
     "name",
     "financial_status",
@@ -186,35 +194,35 @@ _HEAD_COLUMNS = (
 _LINE_COLUMNS = ("l_linenumber", "l_quantity", "p_name", "original", "discount")
 
 
-def _line_node(line: Column) -> Column:
+def _line_node() -> Column:
     """A line whose discount shows as two allocations (odd line numbers) or as the gap
     between its totals (even ones); line 7 has no product and names it in its title."""
-    odd = line["l_linenumber"] % 2 == 1
-    original, discount = line["original"], line["discount"]
+    odd = F.col("l_linenumber") % 2 == 1
+    original, discount = F.col("original"), F.col("discount")
     half = F.call_function("div", discount + 1, F.lit(2))
     return F.struct(
-        line["p_name"].alias("title"),
-        line["l_quantity"].cast("bigint").alias("quantity"),
-        F.when(line["l_linenumber"] != 7, F.struct(line["p_name"].alias("title"))).alias("product"),
-        _money_set(_amount(original)).alias("originalTotalSet"),
-        _money_set(_amount(F.when(odd, original).otherwise(original - discount))).alias(
+        F.col("p_name").alias("title"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.when(F.col("l_linenumber") != 7, F.struct(F.col("p_name").alias("title"))).alias("product"),
+        _money_set(_text(original)).alias("originalTotalSet"),
+        _money_set(_text(F.when(odd, original).otherwise(original - discount))).alias(
             "discountedTotalSet"
         ),
         F.when(
-            odd, F.array(_allocation(_amount(half)), _allocation(_amount(discount - half)))
+            odd, F.array(_allocation(_text(half)), _allocation(_text(discount - half)))
         ).alias("discountAllocations"),
     )
 
 
-def _order_node(order: Column) -> Column:
-    """An order with its lines; on a continuation page only the id, the cancellation and
-    the lines are there."""
-    head, created = order["head"], F.date_format(order["created_at"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return F.struct(
-        order["o_orderkey"].cast("string").alias("id"),
+def _order_node() -> Column:
+    """The text of an order with its lines; on a continuation page only the id, the cancellation and
+    the lines are there. Lines come as text and are put in the place that the schema gives them."""
+    head, created = F.col("head"), F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    order = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"),
         head["name"].alias("name"),
         F.when(head.isNotNull(), created).alias("createdAt"),
-        F.when(order["cancelled"], created).alias("cancelledAt"),
+        F.when(F.col("cancelled"), created).alias("cancelledAt"),
         head["financial_status"].alias("displayFinancialStatus"),
         _money_set(head["total_price"]).alias("totalPriceSet"),
         _money_set(head["total_discounts"]).alias("totalDiscountsSet"),
@@ -222,12 +230,18 @@ def _order_node(order: Column) -> Column:
         _money_set(head["shipping_charged"]).alias("totalShippingPriceSet"),
         F.struct(
             F.struct(
-                (order["chunk"] + 1 < order["chunks"]).alias("hasNextPage"),
-                order["chunk"].cast("string").alias("endCursor"),
+                (F.col("chunk") + 1 < F.col("chunks")).alias("hasNextPage"),
+                F.col("chunk").cast("string").alias("endCursor"),
             ).alias("pageInfo"),
-            F.transform(order["lines"], _line_node).alias("nodes"),
         ).alias("lineItems"),
     )
+    return _with_nodes(F.to_json(order), F.col("lines"), 2)
+
+
+def _with_nodes(text: Column, nodes: Column, depth: int) -> Column:
+    """A JSON text with ``nodes``, a list of texts, as the last field ``depth`` braces from its end."""
+    start = F.substring(text, F.lit(1), F.length(text) - depth)
+    return F.concat(start, F.lit(',"nodes":['), F.array_join(nodes, ","), F.lit("]" + "}" * depth))
 
 
 def _bounds(rows: DataFrame, key: str, size: int) -> tuple[int, int]:
@@ -237,12 +251,14 @@ def _bounds(rows: DataFrame, key: str, size: int) -> tuple[int, int]:
 
 
 def _landed(resource: str, page: Column, bounds: tuple[int, int], nodes: Column) -> list[Column]:
+    """Cursor and body of a page; ``nodes``: a list of JSON texts."""
     first, last = bounds
     info = F.struct((page < last).alias("hasNextPage"), page.cast("string").alias("endCursor"))
-    listing = F.struct(info.alias("pageInfo"), nodes.alias("nodes"))
+    listing = F.struct(info.alias("pageInfo"))
+    text = F.to_json(F.struct(F.struct(listing.alias(resource)).alias("data")))
     return [
         F.when(page > first, (page - 1).cast("string")).alias("request_cursor"),
-        F.to_json(F.struct(F.struct(listing.alias(resource)).alias("data"))).alias("body"),
+        _with_nodes(text, nodes, 3).alias("body"),
     ]
 
 
@@ -258,8 +274,9 @@ def order_pages(
     where one order has a third of all lines, and no line is lost.
 
     The order rows, with their sums over the lines, are written once to the shared
-    scratch folder: they serve as heads and in the join with the lines, whose side
-    is then a plain scan, so that adaptive execution can split a hot order.
+    scratch folder: they serve as heads, which carry what all lines of an order share. Only orders
+    of several pages are joined with the lines, to tell how many; that side is a plain scan, so
+    that adaptive execution can split a hot order. Lines become JSON text before they are grouped.
     """
     path = scratch_dir(spark, "order-rows")
     chunks = F.greatest(F.expr(f"(n_lines + {lines_per_order - 1}) div {lines_per_order}"), F.lit(1).cast("bigint"))
@@ -276,49 +293,52 @@ def order_pages(
         "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
     )
     heads = heads.withColumn("name", F.when(F.col("chunk") == 0, F.col("name")))
+    spread = order_rows.filter("chunks > 1").select("o_orderkey", F.col("chunks").alias("of"))
+    lines = _line_cents(_table(spark, sf_dir, "lineitem").filter("l_orderkey IS NOT NULL"))
+    chunk = F.lit(0).cast("bigint")
+    if not spread.isEmpty():
+        lines = lines.withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
+        lines = lines.join(spread, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        chunk = F.coalesce(F.pmod(F.col("position"), F.col("of")), chunk)
     lines = (
-        _line_cents(_table(spark, sf_dir, "lineitem"))
-        .withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
-        .join(
-            order_rows.select("o_orderkey", "page", "created_at", "cancelled", "chunks"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
-        .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            "page",
-            F.pmod(F.col("position"), F.col("chunks")).alias("chunk"),
-            "o_orderkey",
-            "created_at",
-            "cancelled",
+            F.expr(f"l_orderkey div {per_page}").alias("page"),
+            chunk.alias("chunk"),
+            F.col("l_orderkey").alias("o_orderkey"),
             *_LINE_COLUMNS,
+            F.lit(True).alias("is_line"),
         )
     )
-    # One shuffle of flat rows on (page, chunk) serves both groupings above it; the
-    # nested nodes are built last, once per page.
+    # One shuffle and one sort of flat rows serve both groupings above them, which then hold one page
+    # at a time; texts are made after the sort.
+    line = F.when(F.col("is_line"), F.to_json(_line_node()))
+    flat = heads.unionByName(lines, allowMissingColumns=True)
+    flat = flat.repartition("page", "chunk").sortWithinPartitions("page", "chunk", "o_orderkey")
+    head = F.when(F.col("is_line").isNull(), F.struct(*_HEAD_COLUMNS))
     nodes = (
-        heads.unionByName(lines, allowMissingColumns=True)
-        .repartition("page", "chunk")
+        flat.select(
+            "page", "chunk", "o_orderkey", "created_at", "cancelled", "chunks", head.alias("head"), line.alias("line")
+        )
         .groupBy("page", "chunk", "o_orderkey")
         .agg(
-            F.first(
-                F.when(F.col("name").isNotNull(), F.struct(*_HEAD_COLUMNS)), ignorenulls=True
-            ).alias("head"),
-            F.first("created_at").alias("created_at"),
-            F.first("cancelled").alias("cancelled"),
+            F.first(F.when(F.col("head.name").isNotNull(), F.col("head")), ignorenulls=True).alias("head"),
+            F.first("created_at", ignorenulls=True).alias("created_at"),
+            F.first("cancelled", ignorenulls=True).alias("cancelled"),
             F.max("chunks").alias("chunks"),
-            F.collect_list(
-                F.when(F.col("l_linenumber").isNotNull(), F.struct(*_LINE_COLUMNS))
-            ).alias("lines"),
+            F.count("head").alias("rows"),
+            F.collect_list("line").alias("lines"),
         )
+        # Lines of no order fall away; an order that is there twice has its lines twice, by the join
+        # above where it has several pages.
+        .filter("rows > 0")
+        .withColumn("lines", F.expr("if(rows = 1 or chunks > 1, lines, flatten(array_repeat(lines, int(rows))))"))
     )
-    order = F.struct("o_orderkey", "head", "created_at", "cancelled", "chunk", "chunks", "lines")
-    cursor, body = _landed(
-        "orders", F.col("page"), bounds, F.transform(F.col("orders"), _order_node)
-    )
+    cursor, body = _landed("orders", F.col("page"), bounds, F.col("orders"))
     more = F.col("chunk") > 0
     return (
         nodes.groupBy("page", "chunk")
-        .agg(F.collect_list(order).alias("orders"))
+        .agg(F.collect_list(_order_node()).alias("orders"))
         .select(
             F.when(more, "order_lines").otherwise("orders").alias("resource"),
             F.when(more, F.concat_ws("/", "page", "chunk")).otherwise(cursor).alias("request_cursor"),
@@ -359,7 +379,7 @@ def product_pages(spark: SparkSession, sf_dir: str, per_page: int = 100) -> Data
     )
     return (
         products.groupBy("page")
-        .agg(F.collect_list(node).alias("nodes"))
+        .agg(F.collect_list(F.to_json(node)).alias("nodes"))
         .select(F.lit("products").alias("resource"), *_landed("products", F.col("page"), bounds, F.col("nodes")))
     )
 

@@ -168,3 +168,29 @@ def test_hot_order_join_is_split(spark, skewed, shuffled_joins):
     shuffled = joined.repartition("product")
     shuffled.collect()
     assert "isSkew=true" in executed(shuffled) or "skew=true" in executed(shuffled)
+
+
+def test_repeated_orders_and_lines_of_none_as_in_the_flat_binding(spark, tmp_path):
+    """An order that is there twice has its lines twice, on one page or several; lines of no order are left out."""
+    for name in ("orders", "lineitem", "part"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        if name == "orders":
+            rows = rows.filter("o_orderkey < 60 AND o_orderkey <> 7")
+            rows = rows.unionByName(rows.filter("o_orderkey % 5 = 0"))
+        if name == "lineitem":
+            rows = rows.filter("l_orderkey < 70")
+            rows = rows.unionByName(rows.limit(3).withColumn("l_orderkey", F.lit(None).cast("bigint")))
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = driver_tables.order_items(spark, str(tmp_path)).select("order_id", "original_total", "discount")
+    for limit in (50, 3):
+        pages = driver_tables.order_pages(spark, str(tmp_path), lines_per_order=limit)
+        got = flatten.flatten_items(pages).select("order_id", "original_total", "discount")
+        assert got.count() == want.count() > 100
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        assert pages.filter("resource = 'order_lines'").isEmpty() == (limit == 50)
+
+
+def test_lines_are_not_joined_where_no_order_is_spread(spark):
+    """Without orders of several pages, the lines' only shuffle is the one by page."""
+    plan = driver_tables.order_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in plan and not any("Join" in row and "l_orderkey" in row for row in plan.splitlines())
