@@ -5,13 +5,16 @@ the pairs' feature differences is minimised by Newton steps. The score of a docu
 weighted feature sum, less a quantile of the training scores: the share of label 0 lies
 below it. So a logistic score of 0.5 is the threshold. Features come from the text alone.
 
-Training uses a bounded sample of about SAMPLE labelled documents, chosen by a hash of
-their ids.
+Training uses every labelled document. Their features are written once, in blocks of about
+BLOCK rows dealt out by a hash of the ids, and pairs are formed within a block; a block without both
+labels gives none. Each Newton step sums gradient and curvature over the pairs of all blocks in
+tasks that hold one block at a time, means and spreads are those of all rows, and the
+threshold is the exact quantile of all their scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.llm import support
-from storeledger.llm.support import chunks, spans, utf8, word_hashes
+from storeledger.llm.support import Scratch, chunks, spans, utf8, word_hashes
 
-SAMPLE = 20_000
+# Labelled rows of a block, about, and pairs that are summed at a time.
+BLOCK, PAIRS_AT_ONCE = 4_096, 16_384
+# Labels that are sent to the tasks to find their documents; more are joined.
+BROADCAST_LABELS = 1_000_000
 PAIRS_EACH = 8
 PENALTY = 1e-3
 
@@ -113,36 +119,121 @@ def train_bradley_terry(rows: np.ndarray, labels: np.ndarray) -> QualityModel:
     mean, scale = (rows.mean(0), rows.std(0)) if len(rows) else (np.zeros(width), np.zeros(width))
     scale = np.where(scale > 1e-9, scale, 1.0)
     better, worse = preferences(labels)
-    weights = np.zeros(width)
     if not len(better):
-        return QualityModel(mean, scale, weights, 0.0)
+        return QualityModel(mean, scale, np.zeros(width), 0.0)
     standard = (rows - mean) / scale
-    differences = standard[better] - standard[worse]
-    for _ in range(25):
+    weights = _newton(width, lambda weights: _pair_sums(standard, better, worse, weights))
+    model = QualityModel(mean, scale, weights, 0.0)
+    model.threshold = float(np.quantile(model.raw(rows), np.mean(labels == 0)))
+    return model
+
+
+def _pair_sums(standard: np.ndarray, better: np.ndarray, worse: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Over pairs of rows: their number, the gradient and the curvature of the logistic loss, in one array."""
+    width = len(weights)
+    gradient, curve = np.zeros(width), np.zeros((width, width))
+    for at in range(0, len(better), PAIRS_AT_ONCE):
+        differences = standard[better[at : at + PAIRS_AT_ONCE]] - standard[worse[at : at + PAIRS_AT_ONCE]]
         chance = 1 / (1 + np.exp(np.clip(differences @ weights, -500, 500)))  # that the worse one wins
-        gradient = PENALTY * weights - differences.T @ chance / len(differences)
-        curve = (differences * (chance * (1 - chance))[:, None]).T @ differences / len(differences)
+        gradient -= differences.T @ chance
+        curve += (differences * (chance * (1 - chance))[:, None]).T @ differences
+    return np.concatenate([[len(better)], gradient, curve.reshape(-1)])
+
+
+def _newton(width: int, sums: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The weights of least loss; sums: of ``_pair_sums`` over all pairs, at given weights."""
+    weights = np.zeros(width)
+    for _ in range(25):
+        found = sums(weights)
+        if not found[0]:
+            break
+        gradient = PENALTY * weights + found[1 : width + 1] / found[0]
+        curve = found[width + 1 :].reshape(width, width) / found[0]
         step = np.linalg.solve(curve + PENALTY * np.eye(width), gradient)
         weights -= step
         if np.abs(step).max() < 1e-8:
             break
-    model = QualityModel(mean, scale, weights, 0.0)
-    model.threshold = float(np.quantile(model.raw(rows), np.mean(labels == 0)))
-    return model
+    return weights
+
+
+# --- training over blocks of labelled rows -------------------------------------------------
+
 
+def _packed(table: pa.Table) -> pa.Table:
+    """A block's rows, in an order of their own, as one row."""
+    table = table.sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("features", "ascending")])
+    labels = table.column("quality").to_numpy().astype(np.int8)
+    rows = b"".join(table.column("features").to_pylist())
+    return pa.table({"labels": pa.array([labels.tobytes()], pa.binary()), "rows": pa.array([rows], pa.binary())})
 
-def train_quality_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for labels, rows in zip(batch.column("labels"), batch.column("rows")):
+            matrix = np.frombuffer(rows.as_buffer(), np.float64).reshape(-1, WIDTH)
+            yield matrix, np.frombuffer(labels.as_buffer(), np.int8)
+
+
+def _summed(blocks: DataFrame, one: Callable[[np.ndarray, np.ndarray], np.ndarray], fold=np.add) -> np.ndarray | None:
+    """An array of each block, folded in the tasks and then in the driver; None without blocks."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for rows, labels in _unpacked(batches):
+            found = one(rows, labels)
+            total = found if total is None else fold(total, found)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["found"])
+
+    total = None
+    for row in blocks.mapInArrow(task, "found binary").collect():
+        found = np.frombuffer(row["found"], np.float64)
+        total = found if total is None else fold(total, found)
+    return total
+
+
+def _moments(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Rows, rows of label 0, means and squared deviations from them."""
+    mean = rows.mean(0)
+    return np.concatenate([[len(rows), np.sum(labels == 0)], mean, ((rows - mean) ** 2).sum(0)])
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows as those of both."""
+    n, apart = a[0] + b[0], b[2 : 2 + WIDTH] - a[2 : 2 + WIDTH]
+    mean = a[2 : 2 + WIDTH] + apart * b[0] / n
+    spread = a[2 + WIDTH :] + b[2 + WIDTH :] + apart * apart * a[0] * b[0] / n
+    return np.concatenate([a[:2] + b[:2], mean, spread])
+
+
+def _quantile(scores: DataFrame, rows: int, share: float) -> float:
+    """The exact quantile of the column `score`, between neighbours in proportion, as numpy has it.
+
+    An approximate quantile on either side brackets it; only the distinct scores between the two, some
+    thousandths of the rows, reach the driver.
+    """
+    around = [max(0.0, share - 0.001 - 2 / rows), min(1.0, share + 0.001 + 2 / rows)]
+    low, high = scores.agg(F.percentile_approx("score", around, 10_000)).first()[0]
+    below = scores.filter(F.col("score") < low).count()
+    inside = scores.filter(F.col("score").between(low, high)).groupBy("score").count().collect()
+    values, counts = (np.array(x) for x in zip(*sorted(map(tuple, inside))))
+    at = share * (rows - 1)
+    last = np.cumsum(counts) + below
+    first, then = (values[np.searchsorted(last, place, side="right")] for place in (int(at), min(int(at) + 1, rows - 1)))
+    return float(first + (then - first) * (at - int(at)))
+
+
+def train_quality_model(docs: DataFrame, labels: DataFrame, block: int = BLOCK) -> QualityModel:
     """A model from docs (`doc_id`, `text`) and labels (`doc_id`, `quality` 0 or 1; others are ignored).
 
     A document labelled more than once counts for each label. Null ids and labels are left out.
     """
-    support.prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    support.prepare(spark)
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
     labels = labels.filter("doc_id is not null and quality in (0, 1)")
-    share = sample / max(sample, labels.count())
-    place = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 30))
-    picked = F.broadcast(labels.filter(place < int(share * (1 << 30))))  # about `sample` rows
-    rows = docs.select("doc_id", "text").join(picked, "doc_id")
+    size = labels.count()
+    rows = docs.select("doc_id", "text").join(F.broadcast(labels) if size <= BROADCAST_LABELS else labels, "doc_id")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,10 +244,33 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
             )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(describe, f"doc_id {id_type}, quality int, features binary").toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("features", "ascending")])
-    matrix = np.frombuffer(b"".join(found.column("features").to_pylist()), np.float64).reshape(-1, WIDTH)
-    return train_bradley_terry(matrix, found.column("quality").to_numpy())
+    rows = rows.mapInArrow(describe, f"doc_id {id_type}, quality int, features binary")
+    number = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(max(1, -(-size // block))))
+    blocks = rows.withColumn("block", number).groupBy("block").applyInArrow(_packed, "labels binary, rows binary")
+    blocks = Scratch(spark, "quality").write(blocks, "blocks")
+    model = QualityModel(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), 0.0)
+    found = _summed(blocks, _moments, _merged)
+    if found is None:
+        return model
+    count, zeros = int(found[0]), found[1]
+    scale = np.sqrt(found[2 + WIDTH :] / count)
+    model.mean, model.scale = found[2 : 2 + WIDTH], np.where(scale > 1e-9, scale, 1.0)
+    if zeros in (0, count):
+        return model
+
+    def sums(weights: np.ndarray) -> np.ndarray:
+        mean, spread = model.mean, model.scale
+        return _summed(blocks, lambda rows, kinds: _pair_sums((rows - mean) / spread, *preferences(kinds), weights))
+
+    model.weights = _newton(WIDTH, sums)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for matrix, _ in _unpacked(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(model.raw(matrix))], ["score"])
+
+    scores = Scratch(spark, "quality").write(blocks.mapInArrow(score, "score double"), "scores")
+    model.threshold = _quantile(scores, count, float(zeros / count))
+    return model
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -131,3 +131,29 @@ def test_query_like_plain_version(spark, tmp_path):
     for i, score in want.items():
         assert abs(got[i]["score"] - score) < 1e-4 and got[i]["predicted"] == (got[i]["score"] >= 0.5)
         assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """Means, spreads, pairs and the threshold are of every labelled row, also where they are several blocks."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars < 2000").orderBy("doc_id").limit(300)
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    kinds = [(i, int(zlib.crc32((t or "")[:9].encode()) % 5 > 1)) for i, t in texts]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame(kinds, "doc_id long, quality int")
+    matrix, quality = np.array([plain_features(t) for _, t in sorted(texts)]), np.array([k for _, k in sorted(kinds)])
+    for block in (40, 1000):
+        model = Q.train_quality_model(docs, labels, block)
+        assert np.allclose(model.mean, matrix.mean(0)) and np.allclose(model.scale[matrix.std(0) > 1e-6], matrix.std(0)[matrix.std(0) > 1e-6])
+        assert abs(model.threshold - np.quantile(model.raw(matrix), np.mean(quality == 0))) < 1e-9
+        assert (model.weights != 0).any()
+    whole = Q.train_bradley_terry(matrix, quality)
+    assert np.allclose(model.weights, whole.weights, atol=1e-6)
+    counted = []
+    pairs = Q._summed
+    try:
+        Q._summed = lambda blocks, one, fold=np.add: counted.append(found := pairs(blocks, one, fold)) or found
+        Q.train_quality_model(docs, labels, 40)
+    finally:
+        Q._summed = pairs
+    # A pair for each row of a block's more frequent label, eight times.
+    assert counted[0][0] == 300 and counted[1][0] >= 8 * max(np.sum(quality == 0), np.sum(quality == 1))
