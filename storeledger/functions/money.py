@@ -7,8 +7,12 @@ from storeledger.schemas import MONEY, TOTAL
 
 
 def beyond_scale(text: Column) -> Column:
-    """Whether an amount has a digit other than 0 after the four decimals that amounts keep."""
-    return text.rlike(r"\.[0-9]{4}[0-9]*[1-9]|[0-9.][eE][-+]?[0-9]")
+    """Whether an amount has a digit other than 0 after the four decimals that amounts keep.
+
+    Only a text with more than four characters after its first point, or none, or an e is searched.
+    """
+    long = F.length(text) - F.instr(text, ".") > 4
+    return (long | F.contains(F.lower(text), F.lit("e"))) & text.rlike(r"\.[0-9]{4}[0-9]*[1-9]|[0-9.][eE][-+]?[0-9]")
 
 
 def exact_amount(text: Column, dtype: str = MONEY) -> Column:

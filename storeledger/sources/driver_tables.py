@@ -67,8 +67,8 @@ def _line_cents(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its line totals, summed before they are joined."""
+def _order_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order with its line totals in whole cents, summed before they are joined."""
     net = F.col("original") - F.col("discount")
     totals = (
         _line_cents(_table(spark, sf_dir, "lineitem"))
@@ -79,31 +79,42 @@ def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).alias("n_lines"),
         )
     )
-
-    def total(cents: str) -> Column:
-        return F.coalesce(_amount(F.col(cents)), F.lit(0)).cast(TOTAL).alias(cents)
-
+    none = F.lit(0).cast("bigint")
     return (
         _table(spark, sf_dir, "orders")
         .join(totals, "o_orderkey", "left")
         .select(
             "o_orderkey",
-            F.coalesce(F.col("n_lines"), F.lit(0).cast("bigint")).alias("n_lines"),
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
+            F.coalesce(F.col("n_lines"), none).alias("n_lines"),
             F.col("o_orderdate").alias("created_at"),
             _cancelled().alias("cancelled"),
             F.col("o_orderpriority").alias("financial_status"),
-            _amount(_cents(F.col("o_totalprice"))).cast(TOTAL).alias("total_price"),
-            total("total_discounts"),
-            total("total_refunded"),
-            F.lit(0).cast(TOTAL).alias("shipping_charged"),
+            _cents(F.col("o_totalprice")).alias("total_price"),
+            F.coalesce("total_discounts", none).alias("total_discounts"),
+            F.coalesce("total_refunded", none).alias("total_refunded"),
         )
     )
 
 
+def _order_name() -> Column:
+    return F.concat(F.lit("#"), F.col("o_orderkey").cast("string"))
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_rows(spark, sf_dir).drop("o_orderkey", "n_lines")
+    def total(cents: str) -> Column:
+        return _amount(F.col(cents)).cast(TOTAL).alias(cents)
+
+    return _order_sums(spark, sf_dir).select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        _order_name().alias("name"),
+        "created_at",
+        "cancelled",
+        "financial_status",
+        total("total_price"),
+        total("total_discounts"),
+        total("total_refunded"),
+        F.lit(0).cast(TOTAL).alias("shipping_charged"),
+    )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,12 +178,32 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # Landed pages ---------------------------------------------------------------
 
 
+# Texts of lines and orders are put together by plain expressions, which run far faster than a JSON
+# writer that walks structs: a field that is null is left out, as the writer would.
+
+
+def _quoted(text: Column) -> Column:
+    """The JSON string of a text; null stays null."""
+    written = F.to_json(F.struct(text.alias("t")))
+    return F.when(text.isNotNull(), F.substring(written, F.lit(6), F.length(written) - 6))
+
+
+def _field(name: str, value: Column) -> Column:
+    """A field of an object, ``value`` being its JSON text; null without one."""
+    return F.concat(F.lit(f'"{name}":'), value)
+
+
+def _object(*fields: Column) -> Column:
+    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+
+
 def _money_set(amount: Column) -> Column:
-    return F.struct(F.struct(amount.cast("string").alias("amount")).alias("shopMoney"))
+    amount = F.concat(F.lit('"amount":"'), amount, F.lit('"'))
+    return F.concat(F.lit('{"shopMoney":{'), F.coalesce(amount, F.lit("")), F.lit("}}"))
 
 
 def _allocation(amount: Column) -> Column:
-    return F.struct(_money_set(amount).alias("allocatedAmountSet"))
+    return _object(_field("allocatedAmountSet", _money_set(amount)))
 
 
 def _text(cents: Column) -> Column:
@@ -184,58 +215,79 @@ def _text(cents: Column) -> Column:
 
 
 _HEAD_COLUMNS = (
-    "name",
+    "created_at",
+    "cancelled",
     "financial_status",
     "total_price",
     "total_discounts",
     "total_refunded",
-    "shipping_charged",
 )
-_LINE_COLUMNS = ("l_linenumber", "l_quantity", "p_name", "original", "discount")
+_LINE_COLUMNS = ("l_linenumber", "l_quantity", "title", "original", "discount")
 
 
 def _line_node() -> Column:
-    """A line whose discount shows as two allocations (odd line numbers) or as the gap
-    between its totals (even ones); line 7 has no product and names it in its title."""
+    """The text of a line whose discount shows as two allocations (odd line numbers) or as the gap
+    between its totals (even ones); line 7 has no product and names it in its title.
+    ``title`` is a JSON string."""
     odd = F.col("l_linenumber") % 2 == 1
     original, discount = F.col("original"), F.col("discount")
     half = F.call_function("div", discount + 1, F.lit(2))
-    return F.struct(
-        F.col("p_name").alias("title"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.when(F.col("l_linenumber") != 7, F.struct(F.col("p_name").alias("title"))).alias("product"),
-        _money_set(_text(original)).alias("originalTotalSet"),
-        _money_set(_text(F.when(odd, original).otherwise(original - discount))).alias(
-            "discountedTotalSet"
-        ),
-        F.when(
-            odd, F.array(_allocation(_text(half)), _allocation(_text(discount - half)))
-        ).alias("discountAllocations"),
+    allocations = F.concat(
+        F.lit("["), _allocation(_text(half)), F.lit(","), _allocation(_text(discount - half)), F.lit("]")
+    )
+    title = _field("title", F.col("title"))
+    return _object(
+        title,
+        _field("quantity", F.col("l_quantity").cast("bigint").cast("string")),
+        F.when(F.col("l_linenumber") != 7, _field("product", _object(title))),
+        _field("originalTotalSet", _money_set(_text(original))),
+        _field("discountedTotalSet", _money_set(_text(F.when(odd, original).otherwise(original - discount)))),
+        F.when(odd, _field("discountAllocations", allocations)),
+    )
+
+
+def _is_whole() -> Column:
+    """Whether an order's row shows all its fields; on a continuation page only the id, the cancellation
+    and the lines are there."""
+    return (F.col("chunk") == 0) & F.col("o_orderkey").isNotNull()
+
+
+def _order_totals() -> Column:
+    """The text of an order's status, a JSON string, and totals, which show four decimals."""
+
+    def total(name: str, cents: Column) -> Column:
+        return _field(name, _money_set(F.when(_is_whole(), F.concat(_text(cents), F.lit("00")))))
+
+    return F.concat_ws(
+        ",",
+        F.when(_is_whole(), _field("displayFinancialStatus", F.col("financial_status"))),
+        total("totalPriceSet", F.col("total_price")),
+        total("totalDiscountsSet", F.col("total_discounts")),
+        total("totalRefundedSet", F.col("total_refunded")),
+        total("totalShippingPriceSet", F.lit(0).cast("bigint")),
     )
 
 
 def _order_node() -> Column:
-    """The text of an order with its lines; on a continuation page only the id, the cancellation and
-    the lines are there. Lines come as text and are put in the place that the schema gives them."""
-    head, created = F.col("head"), F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    order = F.struct(
-        F.col("o_orderkey").cast("string").alias("id"),
-        head["name"].alias("name"),
-        F.when(head.isNotNull(), created).alias("createdAt"),
-        F.when(F.col("cancelled"), created).alias("cancelledAt"),
-        head["financial_status"].alias("displayFinancialStatus"),
-        _money_set(head["total_price"]).alias("totalPriceSet"),
-        _money_set(head["total_discounts"]).alias("totalDiscountsSet"),
-        _money_set(head["total_refunded"]).alias("totalRefundedSet"),
-        _money_set(head["shipping_charged"]).alias("totalShippingPriceSet"),
-        F.struct(
-            F.struct(
-                (F.col("chunk") + 1 < F.col("chunks")).alias("hasNextPage"),
-                F.col("chunk").cast("string").alias("endCursor"),
-            ).alias("pageInfo"),
-        ).alias("lineItems"),
+    """The text of an order with its lines, from those of its totals, of its lines and of the time ``created``."""
+
+    def string(text: Column) -> Column:
+        return F.concat(F.lit('"'), text, F.lit('"'))
+
+    fields = F.concat_ws(
+        ",",
+        _field("id", string(F.col("o_orderkey").cast("string"))),
+        F.when(_is_whole(), _field("name", string(_order_name()))),
+        F.when(_is_whole(), _field("createdAt", string(F.col("created")))),
+        F.when(F.col("cancelled"), _field("cancelledAt", string(F.col("created")))),
+        F.col("totals"),
+    )
+    more = (F.col("chunk") + 1 < F.col("chunks")).cast("string")
+    info = _object(_field("hasNextPage", more), _field("endCursor", string(F.col("chunk").cast("string"))))
+    return F.concat(
+        F.lit("{"), fields, F.lit(',"lineItems":{"pageInfo":'), info,
+        F.lit(',"nodes":['), F.array_join("lines", ","), F.lit("]}}"),
     )
-    return _with_nodes(F.to_json(order), F.col("lines"), 2)
 
 
 def _with_nodes(text: Column, nodes: Column, depth: int) -> Column:
@@ -281,18 +333,23 @@ def order_pages(
     path = scratch_dir(spark, "order-rows")
     chunks = F.greatest(F.expr(f"(n_lines + {lines_per_order - 1}) div {lines_per_order}"), F.lit(1).cast("bigint"))
     order_rows = (
-        _order_rows(spark, sf_dir)
+        _order_sums(spark, sf_dir)
+        .withColumn("financial_status", _quoted(F.col("financial_status")))
         .withColumn("page", F.expr(f"o_orderkey div {per_page}"))
         .withColumn("chunks", chunks)
+        .drop("n_lines")
     )
     order_rows.write.parquet(path)
     order_rows = spark.read.schema(order_rows.schema).parquet(path)
     bounds = _bounds(_table(spark, sf_dir, "orders"), "o_orderkey", per_page)
     # Every part of an order has a row, also one that happens to get no line.
-    heads = order_rows.drop("n_lines", "order_id").withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    heads = order_rows.select(
+        "page",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"),
+        "o_orderkey",
+        "chunks",
+        *_HEAD_COLUMNS,
     )
-    heads = heads.withColumn("name", F.when(F.col("chunk") == 0, F.col("name")))
     spread = order_rows.filter("chunks > 1").select("o_orderkey", F.col("chunks").alias("of"))
     lines = _line_cents(_table(spark, sf_dir, "lineitem").filter("l_orderkey IS NOT NULL"))
     chunk = F.lit(0).cast("bigint")
@@ -300,38 +357,37 @@ def order_pages(
         lines = lines.withColumn("position", F.xxhash64(F.monotonically_increasing_id()))
         lines = lines.join(spread, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         chunk = F.coalesce(F.pmod(F.col("position"), F.col("of")), chunk)
-    lines = (
-        lines.join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.expr(f"l_orderkey div {per_page}").alias("page"),
-            chunk.alias("chunk"),
-            F.col("l_orderkey").alias("o_orderkey"),
-            *_LINE_COLUMNS,
-            F.lit(True).alias("is_line"),
-        )
+    titles = _table(spark, sf_dir, "part").select("p_partkey", _quoted(F.col("p_name")).alias("title"))
+    lines = lines.join(titles, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.expr(f"l_orderkey div {per_page}").alias("page"),
+        chunk.alias("chunk"),
+        F.col("l_orderkey").alias("o_orderkey"),
+        *_LINE_COLUMNS,
+        F.lit(True).alias("is_line"),
     )
     # One shuffle and one sort of flat rows serve both groupings above them, which then hold one page
     # at a time; texts are made after the sort.
-    line = F.when(F.col("l_linenumber").isNotNull(), F.to_json(_line_node()))
+    line = F.when(F.col("l_linenumber").isNotNull(), _line_node())
     flat = heads.unionByName(lines, allowMissingColumns=True)
     flat = flat.repartition("page", "chunk").sortWithinPartitions("page", "chunk", "o_orderkey")
-    head = F.when(F.col("is_line").isNull(), F.struct(*_HEAD_COLUMNS))
+    totals = F.when(F.col("is_line").isNull(), _order_totals())
     nodes = (
         flat.select(
-            "page", "chunk", "o_orderkey", "created_at", "cancelled", "chunks", head.alias("head"), line.alias("line")
+            "page", "chunk", "o_orderkey", "created_at", "cancelled", "chunks", totals.alias("totals"), line.alias("line")
         )
         .groupBy("page", "chunk", "o_orderkey")
         .agg(
-            F.first(F.when(F.col("head.name").isNotNull(), F.col("head")), ignorenulls=True).alias("head"),
+            F.first("totals", ignorenulls=True).alias("totals"),
             F.first("created_at", ignorenulls=True).alias("created_at"),
             F.first("cancelled", ignorenulls=True).alias("cancelled"),
             F.max("chunks").alias("chunks"),
-            F.count("head").alias("rows"),
+            F.count("totals").alias("rows"),
             F.collect_list("line").alias("lines"),
         )
         # Lines of no order fall away; an order that is there twice has its lines twice, by the join
         # above where it has several pages.
         .filter("rows > 0")
+        .withColumn("created", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
         .withColumn("lines", F.expr("if(rows = 1 or chunks > 1, lines, flatten(array_repeat(lines, int(rows))))"))
     )
     cursor, body = _landed("orders", F.col("page"), bounds, F.col("orders"))

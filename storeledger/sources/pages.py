@@ -66,11 +66,13 @@ Pages = DataFrame | Archive
 
 def archive_pages(pages: DataFrame, path: str) -> Archive:
     """Parse landed pages and keep them as nested parquet by resource: splittable, compressed,
-    and a reader of one resource skips the files of the others."""
+    and a reader of one resource skips the files of the others. Most texts are amounts and ids that
+    hardly repeat, so dictionaries of them would cost more time than they save room."""
     (
         parse_pages(pages)
         .write.mode("overwrite")
         .option("compression", "zstd")
+        .option("parquet.enable.dictionary", "false")
         .partitionBy("resource")
         .parquet(path)
     )
