@@ -142,3 +142,17 @@ def test_topped_up_keeps_every_id():
         for doc, parts in found.items():
             assert b"".join(parts[s] for s in sorted(parts)) == pieces[doc]
             assert sorted(parts) == list(np.cumsum([0] + [len(parts[s]) // 4 for s in sorted(parts)])[:-1])
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    """Ids stay right when a worker forgets; the number and the length of what it keeps are bounded."""
+    monkeypatch.setattr(P, "REMEMBERED", 50)
+    monkeypatch.setattr(P, "_remembered", {})
+    word_ids = P.WordIds(P.tokenizer_path())
+    texts = [" ".join(f"word{i * 7 + j} the" for j in range(20)) + " " + "x" * 1000 for i in range(20)]
+    texts.append(" ".join(f"all{j}" for j in range(200)))
+    for text in texts:
+        want = word_ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(word_ids(text), "<u4").tolist() == want
+        assert len(word_ids.known) <= 50 and max(map(len, word_ids.known), default=0) <= P.LONGEST
+    assert any(piece.startswith("all") for piece in word_ids.known)  # of what is met last
