@@ -156,3 +156,37 @@ def test_remembered_pieces_are_bounded(monkeypatch):
         assert np.frombuffer(word_ids(text), "<u4").tolist() == want
         assert len(word_ids.known) <= 50 and max(map(len, word_ids.known), default=0) <= P.LONGEST
     assert any(piece.startswith("all") for piece in word_ids.known)  # of what is met last
+
+
+def test_frequent_pieces_outlive_rare_ones(monkeypatch):
+    """A piece that every text has is never forgotten, however many others come and go."""
+    monkeypatch.setattr(P, "REMEMBERED", 20)
+    monkeypatch.setattr(P, "_remembered", {})
+    word_ids = P.WordIds(P.tokenizer_path())
+    for i in range(200):
+        word_ids(f"the word{i}of")
+        assert "the" in word_ids.known or "the" in getattr(word_ids, "older", {})
+        assert len(word_ids.known) + len(word_ids.older) <= 20
+
+
+def test_runs_of_letters_have_the_tokenizers_ids():
+    word_ids = P.WordIds(P.tokenizer_path())
+    assert word_ids.plain
+    texts = ["", "ABC abc", "don't I'LL x's áb's 's 're's", "É b ß ſ K İ ǅ ﬁ", "ab<|startoftext|>cd", "a_b 12ab34", "onntshansh " * 3]
+    for text in texts * 2:
+        want = word_ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(word_ids(text), "<u4").tolist() == want
+
+
+def test_other_tokenizers_get_letters_by_themselves():
+    """One that changes letters, or cuts runs of them, or has such a token of its own, is not passed by."""
+    from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers, pre_tokenizers
+
+    def made():
+        return Tokenizer(models.BPE({c: i for i, c in enumerate("abc")}, []))
+
+    plain, changed, cut, own = made(), made(), made(), made()
+    changed.normalizer = normalizers.Replace("a", "b")
+    cut.pre_tokenizer = pre_tokenizers.Split(Regex("c"), "removed")
+    own.add_tokens([AddedToken("abc")])
+    assert [P._takes_letters_as_they_are(t) for t in (plain, changed, cut, own)] == [True, False, False, False]
