@@ -5,6 +5,7 @@ JSON pages, so that flattening them must give the flat binding back.
 """
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -206,12 +207,17 @@ def _allocation(amount: Column) -> Column:
     return _object(_field("allocatedAmountSet", _money_set(amount)))
 
 
+def _pieces(cents: Column) -> tuple[Column, ...]:
+    """The parts of the text of an amount: sign, whole units, and point and cents, which are looked up."""
+    size = F.abs(cents)
+    hundredths = F.array(*[F.lit(f".{i:02}") for i in range(100)])
+    sign = F.when(cents < 0, F.lit("-")).otherwise(F.lit(""))
+    return sign, F.call_function("div", size, F.lit(100)).cast("string"), F.get(hundredths, (size % 100).cast("int"))
+
+
 def _text(cents: Column) -> Column:
     """The text of an amount of whole cents, as ``_amount`` would show it."""
-    size = F.abs(cents)
-    whole = F.call_function("div", size, F.lit(100)).cast("string")
-    part = F.substring((size % 100 + 100).cast("string"), 2, 2)
-    return F.concat(F.when(cents < 0, F.lit("-")).otherwise(F.lit("")), whole, F.lit("."), part)
+    return F.concat(*_pieces(cents))
 
 
 _HEAD_COLUMNS = (
@@ -228,22 +234,40 @@ _LINE_COLUMNS = ("l_linenumber", "l_quantity", "title", "original", "discount")
 def _line_node() -> Column:
     """The text of a line whose discount shows as two allocations (odd line numbers) or as the gap
     between its totals (even ones); line 7 has no product and names it in its title.
-    ``title`` is a JSON string."""
+    ``title`` is a JSON string. A line that has all its fields is one concatenation."""
     odd = F.col("l_linenumber") % 2 == 1
     original, discount = F.col("original"), F.col("discount")
     half = F.call_function("div", discount + 1, F.lit(2))
     allocations = F.concat(
         F.lit("["), _allocation(_text(half)), F.lit(","), _allocation(_text(discount - half)), F.lit("]")
     )
+    quantity = F.col("l_quantity").cast("bigint").cast("string")
     title = _field("title", F.col("title"))
-    return _object(
+    lacking = _object(
         title,
-        _field("quantity", F.col("l_quantity").cast("bigint").cast("string")),
+        _field("quantity", quantity),
         F.when(F.col("l_linenumber") != 7, _field("product", _object(title))),
         _field("originalTotalSet", _money_set(_text(original))),
         _field("discountedTotalSet", _money_set(_text(F.when(odd, original).otherwise(original - discount)))),
         F.when(odd, _field("discountAllocations", allocations)),
     )
+    product = F.when(
+        F.col("l_linenumber") != 7, F.concat(F.lit(',"product":{"title":'), F.col("title"), F.lit("}"))
+    ).otherwise(F.lit(""))
+    start = (F.lit('{"title":'), F.col("title"), F.lit(',"quantity":'), quantity, product)
+    start = (*start, F.lit(',"originalTotalSet":{"shopMoney":{"amount":"'), *_pieces(original))
+    start = (*start, F.lit('"}},"discountedTotalSet":{"shopMoney":{"amount":"'))
+    allocated = F.lit('"}},"discountAllocations":[{"allocatedAmountSet":{"shopMoney":{"amount":"')
+    then = F.lit('"}}},{"allocatedAmountSet":{"shopMoney":{"amount":"')
+    there = [F.col(name).isNotNull() for name in _LINE_COLUMNS]
+    return (
+        F.when(~reduce(Column.__and__, there), lacking)
+        .when(
+            odd,
+            F.concat(*start, *_pieces(original), allocated, *_pieces(half), then, *_pieces(discount - half), F.lit('"}}}]}')),
+        )
+        .otherwise(F.concat(*start, *_pieces(original - discount), F.lit('"}}}')))
+    )
 
 
 def _is_whole() -> Column:
@@ -393,7 +417,10 @@ def order_pages(
     cursor, body = _landed("orders", F.col("page"), bounds, F.col("orders"))
     more = F.col("chunk") > 0
     return (
-        nodes.groupBy("page", "chunk")
+        # The orders are in this order already, so nothing is sorted; but only where it is asked for are
+        # they grouped as they come, and not by a table of some pages that then gives way to a sort.
+        nodes.sortWithinPartitions("page", "chunk")
+        .groupBy("page", "chunk")
         .agg(F.collect_list(_order_node()).alias("orders"))
         .select(
             F.when(more, "order_lines").otherwise("orders").alias("resource"),

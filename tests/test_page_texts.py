@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from storeledger import schemas
 from storeledger.functions.money import beyond_scale
 from storeledger.session import SETTINGS
 from storeledger.sources import driver_tables as D
@@ -78,3 +79,48 @@ def test_only_long_amounts_are_searched(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     plain = F.col("t").rlike(r"\.[0-9]{4}[0-9]*[1-9]|[0-9.][eE][-+]?[0-9]")
     assert all(a == b for a, b in rows.select(beyond_scale(F.col("t")), plain).collect())
+
+
+def test_pages_are_grouped_as_they_come(spark, capsys):
+    """Both groupings of the page builder take rows in the order of their one sort; a table of pages that gives way to a sort would copy every text."""
+    D.order_pages(spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("SortAggregate(key=[page") == 2 and "ObjectHashAggregate(keys=[page" not in plan
+    assert plan.count("Sort [page") == 1
+
+
+def _page(node, errors=None, products=None, end=True):
+    info = {"hasNextPage": False, "endCursor": "0"}
+    data = {"orders": {"pageInfo": info if end else None, "nodes": node}, "products": products}
+    return json.dumps({"errors": errors, "data": data})
+
+
+def test_no_page_with_a_problem_passes_the_quick_test(spark):
+    money = lambda a: {"shopMoney": {"amount": a}}
+    share = lambda *a: {"discountAllocations": [x if x is None else {"allocatedAmountSet": money(x)} for x in a]}
+    line = {"title": "t", "quantity": 1, "originalTotalSet": money("1.2500"), "discountedTotalSet": money("1.00")}
+    order = {"id": "1", "name": "#1", "createdAt": "x", "totalPriceSet": money("2.50")}
+    nodes = lambda *lines, **more: [{**order, "lineItems": {"nodes": list(lines)}, **more}]
+    good = [
+        _page([]), _page(nodes()), _page(nodes(line)), _page(nodes(line, {**line, **share("1", "2.5")})),
+        _page(nodes({**line, **share()}, line) * 3), _page(nodes({"quantity": 0})),
+    ]
+    doubtful = [
+        _page(nodes(line), errors=[]), _page(nodes({**line, "originalTotalSet": money("1.23450")})), _page(nodes(line), products={"nodes": []}),
+    ]
+    bad = [
+        _page(None), _page([None]), _page([order]), _page(nodes(None)), _page(nodes(line, {"title": "t"})), _page(nodes(line, id=None)),
+        _page(nodes(line) + [{**order, "lineItems": {"nodes": None}}]), _page(nodes(line, createdAt=None)),
+        _page(nodes({**line, **share(None)})), _page(nodes(line, {**line, "discountAllocations": [{"allocatedAmountSet": money(None)}]})),
+        _page(nodes({**line, **share("1", "1.23456")})), _page(nodes(line, {**line, "discountedTotalSet": money("1.00001")})),
+        _page(nodes(line, totalPriceSet=money("1e3"))), _page(nodes(line), end=False), _page(nodes(line), errors="x"), "", "{}", "[", _page([]) + "1",
+    ]
+    rows = [(r, i, b) for r in ("orders", "order_lines", "products", "x", None) for i, b in enumerate(good + doubtful + bad)]
+    read = pages.parse(F.col("body"), schemas.RESPONSE)
+    found = spark.createDataFrame(rows, "resource string, i int, body string").withColumn("read", read)
+    sound, problem = pages._sound(F.col("resource"), F.col("read")), pages._problem(F.col("resource"), F.col("read"))
+    for resource, i, passes, why in found.select("resource", "i", sound, problem).collect():
+        assert not (passes and why), (resource, i, why)
+        if resource in ("orders", "order_lines"):
+            assert bool(passes) == (i < len(good)) or (resource, why, i) == ("order_lines", None, i), (resource, i, passes, why)
+            assert why is None or i >= len(good) + len(doubtful)
