@@ -418,10 +418,12 @@ def order_pages(
     more = F.col("chunk") > 0
     return (
         # The orders are in this order already, so nothing is sorted; but only where it is asked for are
-        # they grouped as they come, and not by a table of some pages that then gives way to a sort.
-        nodes.sortWithinPartitions("page", "chunk")
+        # they grouped as they come, and not by a table of some pages that then gives way to a sort. The text
+        # is made before, as a collected expression would be interpreted.
+        nodes.select("page", "chunk", _order_node().alias("node"))
+        .sortWithinPartitions("page", "chunk")
         .groupBy("page", "chunk")
-        .agg(F.collect_list(_order_node()).alias("orders"))
+        .agg(F.collect_list("node").alias("orders"))
         .select(
             F.when(more, "order_lines").otherwise("orders").alias("resource"),
             F.when(more, F.concat_ws("/", "page", "chunk")).otherwise(cursor).alias("request_cursor"),

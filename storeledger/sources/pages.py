@@ -13,6 +13,7 @@ problem if it has one. Readers take an ``Archive``, of which they read only the
 columns they name; or landed pages, which are then parsed in the reader's own plan.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -67,12 +68,15 @@ Pages = DataFrame | Archive
 def archive_pages(pages: DataFrame, path: str) -> Archive:
     """Parse landed pages and keep them as nested parquet by resource: splittable, compressed,
     and a reader of one resource skips the files of the others. Most texts are amounts and ids that
-    hardly repeat, so dictionaries of them would cost more time than they save room."""
+    hardly repeat, so dictionaries of them would cost more time than they save room. Nothing looks for a value
+    in them either, so no statistics are kept."""
     (
         parse_pages(pages)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .option("parquet.enable.dictionary", "false")
+        .option("parquet.column.statistics.enabled", "false")
+        .option("parquet.size.statistics.enabled", "false")
         .partitionBy("resource")
         .parquet(path)
     )
@@ -252,9 +256,14 @@ def _problem(resource: Column, read: Column) -> Column:
     )
 
 
-def _has_null(texts: Column) -> Column:
-    """Whether a list of texts has a null: joined with a letter for each of them the list is longer."""
-    return F.octet_length(F.array_join(texts, "", "x")) > F.octet_length(F.array_join(texts, ""))
+def _with(value: Column, expression: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is evaluated once: the finish of a sum over no elements. Unlike an
+    element of a transformed list, its result is not copied."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, expression)
+
+
+def _has_null(values: Column) -> Column:
+    return F.exists(values, lambda value: value.isNull())
 
 
 def _sound(resource: Column, read: Column) -> Column:
@@ -265,65 +274,68 @@ def _sound(resource: Column, read: Column) -> Column:
     page = F.get(read, F.lit(0))
     orders = page["data"]["orders"]
     nodes = orders["nodes"]
-    lines = F.flatten(nodes["lineItems"]["nodes"])  # null if any list is
     amount = lambda sets: sets["shopMoney"]["amount"]
-    allocated = amount(F.flatten(F.array_compact(lines["discountAllocations"]))["allocatedAmountSet"])
     sets = ("totalPriceSet", "totalDiscountsSet", "totalRefundedSet", "totalShippingPriceSet")
     line_sets = ("originalTotalSet", "discountedTotalSet")
-    amounts = F.concat_ws(" ", *[amount(nodes[s]) for s in sets], *[amount(lines[s]) for s in line_sets], allocated)
 
-    def fields(name: str) -> Column:
+    def fields(name: str, lines: Column) -> Column:
         own, of_lines = REQUIRED[name]
-        texts = [nodes[f] for f in own] + [lines[f].cast("array<string>") for f in of_lines]
-        return reduce(Column.__and__, [~_has_null(t) for t in texts])
+        lists = [nodes[f] for f in own] + [lines[f] for f in of_lines]
+        return reduce(Column.__and__, [~_has_null(values) for values in lists])
+
+    def amounts(lines: Column, allocated: Column) -> Column:
+        texts = F.concat_ws(" ", *[amount(nodes[s]) for s in sets], *[amount(lines[s]) for s in line_sets], allocated)
+        power = F.contains(texts, F.lit("e")) | F.contains(texts, F.lit("E"))
+        return ~_has_null(allocated) & ~power & ~texts.rlike(r"\.[0-9]{5}")
+
+    def whole(lines: Column) -> Column:
+        allocated = amount(F.flatten(F.array_compact(lines["discountAllocations"]))["allocatedAmountSet"])
+        ends = (resource == "orders") & orders["pageInfo"]["hasNextPage"].isNotNull() & fields("orders", lines)
+        return (ends | ((resource == "order_lines") & fields("order_lines", lines))) & _with(
+            allocated, lambda texts: amounts(lines, texts)
+        )
 
-    whole = ((resource == "orders") & orders["pageInfo"]["hasNextPage"].isNotNull() & fields("orders")) | (
-        (resource == "order_lines") & fields("order_lines")
-    )
     return (
         ~unreadable(read)
         & page["errors"].isNull()
         & page["data"]["products"].isNull()
-        & whole
-        & ~_has_null(allocated)
-        & ~amounts.rlike(r"\.[0-9]{5}|[eE]")
+        & _with(F.flatten(nodes["lineItems"]["nodes"]), whole)  # null if any list is
     )
 
 
 def _with_response(pages: DataFrame) -> DataFrame:
-    """Landed pages with ``problem``, ``errors``, ``orders`` and ``products``.
+    """Landed pages with ``problem``, ``detail``, ``kept`` (the body of a page with a problem), ``orders`` and ``products``.
 
-    All comes from one expression over the page as it was parsed, as the one element of a list, so that it is
-    not copied from row to row before. The outer inline keeps the optimizer from a filter on the list,
+    All comes from one expression over the page as it was parsed, so that neither is copied before: of a page
+    without a problem the text goes no further. The outer inline keeps the optimizer from a filter on the list,
     which would parse every page twice.
     """
     resource = F.col("resource")
 
     def looked_through(read: Column) -> Column:
         page = F.get(read, F.lit(0))
-        problem = F.when(_sound(resource, read), F.lit(None)).otherwise(_problem(resource, read))
-        return F.struct(
-            problem.alias("problem"),
-            page["errors"].alias("errors"),
-            page["data"]["orders"].alias("orders"),
-            page["data"]["products"].alias("products"),
-        )
+
+        def found(problem: Column) -> Column:
+            return F.struct(
+                problem.alias("problem"),
+                F.when(problem == "errors", page["errors"]).alias("detail"),
+                F.when(problem.isNotNull(), F.col("body")).alias("kept"),
+                page["data"]["orders"].alias("orders"),
+                page["data"]["products"].alias("products"),
+            )
+
+        return _with(F.when(_sound(resource, read), F.lit(None)).otherwise(_problem(resource, read)), found)
 
     read = parse(F.col("body"), schemas.RESPONSE)
-    return pages.select("resource", "request_cursor", "body", F.inline_outer(F.transform(F.array(read), looked_through)))
+    return pages.select(
+        "resource", "request_cursor", "body", F.inline_outer(F.array(_with(read, looked_through)))
+    )
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Landed pages, each parsed once, with why they cannot be loaded, or null."""
-    problem = F.col("problem")
     return _with_response(pages).select(
-        "request_cursor",
-        "problem",
-        F.when(problem == "errors", F.col("errors")).alias("detail"),
-        F.when(problem.isNotNull(), F.col("body")).alias("body"),
-        "orders",
-        "products",
-        "resource",
+        "request_cursor", "problem", "detail", F.col("kept").alias("body"), "orders", "products", "resource"
     )
 
 

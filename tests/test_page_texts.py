@@ -124,3 +124,28 @@ def test_no_page_with_a_problem_passes_the_quick_test(spark):
         if resource in ("orders", "order_lines"):
             assert bool(passes) == (i < len(good)) or (resource, why, i) == ("order_lines", None, i), (resource, i, passes, why)
             assert why is None or i >= len(good) + len(doubtful)
+
+
+def test_the_text_of_a_sound_page_goes_no_further(spark):
+    """Texts, and pages as they were parsed, were copied with each page's row."""
+    landed = spark.createDataFrame([("orders", None, _page([])), ("orders", "0", "[")], schemas.LANDED_PAGE)
+    plan = pages.parse_pages(landed)._jdf.queryExecution().sparkPlan()
+    while plan.nodeName() != "Generate":
+        plan = plan.children().head()
+    assert "body" not in plan.requiredChildOutput().mkString(",") and "transform(array(" not in plan.generator().sql()
+    found = pages.parse_pages(landed).select("request_cursor", "problem", "body").collect()
+    assert sorted(map(tuple, found), key=str) == [("0", "unreadable", "["), (None, None, None)]
+
+
+def test_archives_keep_no_statistics(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    pages.archive_pages(D.order_pages(spark, "/root/testdata/sf0.001"), str(tmp_path / "pages"))
+    groups = [pq.ParquetFile(file).metadata.row_group(0) for file in (tmp_path / "pages").glob("*/*.parquet")]
+    assert groups and not any(g.column(i).is_stats_set for g in groups for i in range(g.num_columns))
+
+
+def test_texts_of_orders_are_made_before_they_are_collected(spark, capsys):
+    """A collected expression is interpreted."""
+    D.order_pages(spark, "/root/testdata/sf0.001").explain()
+    assert "collect_list(concat" not in capsys.readouterr().out
